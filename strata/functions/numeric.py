@@ -74,3 +74,16 @@ def relative_change(current, previous) -> Column:
 def share_percent(part, total) -> Column:
     """100 * part / total in double precision."""
     return _col(part).cast("double") * F.lit(100.0) / _col(total).cast("double")
+
+
+def ordered_mean(c) -> Column:
+    """Mean of a small, bounded set of doubles summed in ascending order.
+
+    For re-aggregating an already aggregated table (e.g. yearly means per
+    topic, one value per year): summing in a fixed order makes the result
+    independent of partitioning and identical across engines. Only use it
+    where the group size is bounded by a dimension, never on raw rows.
+    """
+    values = F.array_sort(F.collect_list(_col(c)))
+    total = F.aggregate(values, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+    return F.when(F.size(values) > 0, total / F.size(values))

@@ -1,4 +1,10 @@
-"""Registered queries (one per operator) and their oracle SQL."""
+"""Registered queries (one per operator of the inventory) and their oracle SQL.
+
+Every query reads the driver tables of ``sf_dir`` through the bridge and the
+cleaning layer, so its work grows with the data. Keys follow the inventory
+IDs. SQL-expressible queries have an independent DuckDB statement in
+:mod:`strata.oracle_sql`.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import oracle_sql as O
+from strata.operators import marts as M
 from strata.operators import priority as P
+from strata.operators import questions as Q
+from strata.operators import reshape as R
+from strata.operators import trend as Z
 from strata.plans.cleaning import bridge_facts
 
 QUERIES: dict = {}
@@ -22,11 +32,214 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bridge_facts(spark, sf_dir)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.intervention_priority(bridge_facts(spark, sf_dir)).orderBy(
+    return P.intervention_priority(facts(spark, sf_dir)).orderBy(
         F.col("intervention_priority_score").desc(), "state", "disease_topic", "year")
 
 
+# --- composite mart ------------------------------------------------------------
+
 @register("p1_intervention_priority", O.PRIORITY)
 def p1(spark, sf_dir):
-    return P.intervention_priority(bridge_facts(spark, sf_dir))
+    return P.intervention_priority(facts(spark, sf_dir))
+
+
+# --- marts ---------------------------------------------------------------------
+
+@register("a1_dashboard_kpis", O.KPIS)
+def a1(spark, sf_dir):
+    return M.dashboard_kpis(facts(spark, sf_dir))
+
+
+@register("a2_topic_year_trends", O.TOPIC_YEAR_TRENDS)
+def a2(spark, sf_dir):
+    return M.topic_year_trends(facts(spark, sf_dir))
+
+
+@register("a3_state_topic_summary", O.STATE_TOPIC_SUMMARY)
+def a3(spark, sf_dir):
+    return M.state_topic_summary(facts(spark, sf_dir))
+
+
+@register("a4_risk_distribution", O.RISK_DISTRIBUTION)
+def a4(spark, sf_dir):
+    return M.risk_distribution(facts(spark, sf_dir))
+
+
+@register("a5_mortality_by_topic", O.MORTALITY_BY_TOPIC)
+def a5(spark, sf_dir):
+    return M.mortality_by_topic(facts(spark, sf_dir))
+
+
+@register("a6_demographic_risk", O.DEMOGRAPHIC_RISK)
+def a6(spark, sf_dir):
+    return M.demographic_risk(facts(spark, sf_dir))
+
+
+@register("a7_state_topic_year", O.STATE_TOPIC_YEAR_FULL)
+def a7(spark, sf_dir):
+    return P.state_topic_year(facts(spark, sf_dir))
+
+
+@register("c11_feature_base", O.FEATURE_BASE)
+def c11(spark, sf_dir):
+    return M.feature_base(facts(spark, sf_dir))
+
+
+# --- analysis questions ---------------------------------------------------------
+
+@register("a8_q1_overview", O.KPIS)
+def a8(spark, sf_dir):
+    return Q.overview(facts(spark, sf_dir))
+
+
+@register("a9_q2_topic_volume", O.TOPIC_VOLUME)
+def a9(spark, sf_dir):
+    return Q.topic_volume(M.topic_year_trends(facts(spark, sf_dir)))
+
+
+@register("a10_q3_topic_growth", O.TOPIC_GROWTH)
+def a10(spark, sf_dir):
+    return Q.topic_growth(M.topic_year_trends(facts(spark, sf_dir)))
+
+
+@register("t3_q4_top_state_topics", O.TOP_STATE_TOPICS)
+def t3(spark, sf_dir):
+    return Q.top_state_topics(facts(spark, sf_dir))
+
+
+@register("q5_mortality_ranking", O.MORTALITY_BY_TOPIC)
+def q5(spark, sf_dir):
+    return Q.mortality_ranking(facts(spark, sf_dir))
+
+
+@register("q6_risk_imbalance", O.RISK_DISTRIBUTION)
+def q6(spark, sf_dir):
+    return Q.risk_imbalance(facts(spark, sf_dir))
+
+
+@register("t4_q7_top_demographic_groups", O.TOP_DEMOGRAPHIC)
+def t4(spark, sf_dir):
+    return Q.top_demographic_groups(facts(spark, sf_dir))
+
+
+@register("a11_q8_feature_base_size", O.FEATURE_BASE_SIZE)
+def a11(spark, sf_dir):
+    return Q.feature_base_size(facts(spark, sf_dir))
+
+
+@register("a12_records_per_topic", O.RECORDS_PER_TOPIC)
+def a12(spark, sf_dir):
+    return Q.records_per_topic(facts(spark, sf_dir))
+
+
+@register("a13_records_per_year_topic", O.RECORDS_PER_YEAR_TOPIC)
+def a13(spark, sf_dir):
+    return Q.records_per_year_topic(facts(spark, sf_dir))
+
+
+@register("a14_state_topic_average", O.STATE_TOPIC_AVERAGE)
+def a14(spark, sf_dir):
+    return Q.state_topic_average(facts(spark, sf_dir))
+
+
+@register("a15_mortality_share", O.MORTALITY_SHARE)
+def a15(spark, sf_dir):
+    return Q.mortality_share(facts(spark, sf_dir))
+
+
+@register("a16_risk_percentages", O.RISK_PERCENTAGES)
+def a16(spark, sf_dir):
+    return Q.risk_percentages(facts(spark, sf_dir))
+
+
+@register("a17_risk_counts", O.RISK_COUNTS)
+def a17(spark, sf_dir):
+    return Q.risk_counts(facts(spark, sf_dir))
+
+
+@register("a18_focus_group_means", O.FOCUS_GROUP_MEANS)
+def a18(spark, sf_dir):
+    return Q.focus_group_means(facts(spark, sf_dir))
+
+
+@register("a19_yearly_topic_means", O.YEARLY_TOPIC_MEANS)
+def a19(spark, sf_dir):
+    return Q.yearly_topic_means(facts(spark, sf_dir))
+
+
+@register("t5_top_topics", O.TOP_TOPICS)
+def t5(spark, sf_dir):
+    return Q.top_topics(facts(spark, sf_dir))
+
+
+@register("j3_top_topic_trend", O.TOP_TOPIC_TREND)
+def j3(spark, sf_dir):
+    return Q.top_topic_trend(facts(spark, sf_dir))
+
+
+# --- windows -------------------------------------------------------------------
+
+@register("w2_previous_year_value", O.PREVIOUS_YEAR)
+def w2(spark, sf_dir):
+    base = P.state_topic_year(facts(spark, sf_dir), with_group_count=False)
+    return P.with_previous_value(base).select(
+        "state", "disease_topic", "year", "avg_indicator_value", "previous_year_value")
+
+
+def _score(spark, sf_dir, out):
+    base = P.materialize(P.state_topic_year(facts(spark, sf_dir), with_group_count=False))
+    col = P.SCORE_COLUMNS[out]
+    from strata.operators.ranking import percent_rank
+    return percent_rank(base.select("state", "disease_topic", "year", col), {out: col})
+
+
+@register("w3_burden_score", O.BURDEN_SCORE)
+def w3(spark, sf_dir):
+    return _score(spark, sf_dir, "burden_score")
+
+
+@register("w4_mortality_score", O.MORTALITY_SCORE)
+def w4(spark, sf_dir):
+    return _score(spark, sf_dir, "mortality_score")
+
+
+@register("w5_reliability_score", O.RELIABILITY_SCORE)
+def w5(spark, sf_dir):
+    return _score(spark, sf_dir, "reliability_score")
+
+
+# --- reshapes and trend tests -------------------------------------------------------
+
+@register("r1_state_year_heatmap", O.HEATMAP)
+def r1(spark, sf_dir):
+    return R.state_year_heatmap(facts(spark, sf_dir))
+
+
+@register("r2_state_topic_shares", O.STATE_TOPIC_SHARES)
+def r2(spark, sf_dir):
+    return R.state_topic_shares(facts(spark, sf_dir))
+
+
+@register("z1_mann_kendall", O.MANN_KENDALL)
+def z1(spark, sf_dir):
+    return Z.mann_kendall(Z.yearly_series(facts(spark, sf_dir)), with_p=False)
+
+
+@register("z1_mann_kendall_test")
+def z1p(spark, sf_dir):
+    return Z.mann_kendall(Z.yearly_series(facts(spark, sf_dir)), with_p=True)
+
+
+@register("z2_spearman", O.SPEARMAN)
+def z2(spark, sf_dir):
+    return Z.spearman(Z.yearly_series(facts(spark, sf_dir)), with_p=False)
+
+
+@register("z2_spearman_test")
+def z2p(spark, sf_dir):
+    return Z.spearman(Z.yearly_series(facts(spark, sf_dir)), with_p=True)
