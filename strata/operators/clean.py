@@ -79,6 +79,30 @@ def check_min_rows(n_rows: int, min_rows: int = MIN_CLEAN_ROWS) -> None:
             f"Dataset unexpectedly small after cleaning: {n_rows} rows (need > {min_rows})")
 
 
+def _keep_condition(df: DataFrame, value_col: str, location_col: str):
+    keep_value = F.col(value_col).isNotNull()
+    if location_col in df.columns:
+        return keep_value, keep_value & F.col(location_col).isNotNull()
+    return keep_value, keep_value
+
+
+def clean_counts(df: DataFrame, value_col: str = "DataValueAlt", location_col: str = "GeoLocation",
+                 drop_cols=DROP_COLUMNS, min_rows: int = MIN_CLEAN_ROWS) -> DataFrame:
+    """C3/C4/C6/C7 bookkeeping as one lazy aggregate over coerced input:
+    rows in, rows dropped for a missing value / location, rows out, the gate,
+    and the non-null count of every surviving column (``nn_<column>``)."""
+    keep_value, keep = _keep_condition(df, value_col, location_col)
+    survivors = drop_listed_columns(df, drop_cols).columns
+    aggs = [
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count(F.when(~keep_value, 1)).alias("dropped_missing_value"),
+        F.count(F.when(keep_value & ~keep, 1)).alias("dropped_missing_location"),
+        F.count(F.when(keep, 1)).alias("rows_out"),
+    ]
+    aggs += [F.count(F.when(keep, F.col(f"`{c}`"))).alias(f"nn_{c}") for c in survivors]
+    return df.agg(*aggs).withColumn("passes_gate", F.col("rows_out") > F.lit(min_rows))
+
+
 def clean(df: DataFrame, value_col: str = "DataValueAlt", location_col: str = "GeoLocation",
           numeric_cols=("DataValue", "DataValueAlt"), drop_cols=DROP_COLUMNS,
           min_rows: int = MIN_CLEAN_ROWS, report: CleanReport | None = None) -> DataFrame:
@@ -89,25 +113,16 @@ def clean(df: DataFrame, value_col: str = "DataValueAlt", location_col: str = "G
     """
     df = coerce_numeric(df, numeric_cols)
     require_column(df, value_col)
-    keep_value = F.col(value_col).isNotNull()
-    has_location = location_col in df.columns
-    keep = keep_value & F.col(location_col).isNotNull() if has_location else keep_value
+    _, keep = _keep_condition(df, value_col, location_col)
     survivors = drop_listed_columns(df, drop_cols).columns
+    row = clean_counts(df, value_col, location_col, drop_cols, min_rows).first()
 
-    aggs = [
-        F.count(F.lit(1)).alias("__in"),
-        F.count(F.when(~keep_value, 1)).alias("__no_value"),
-        F.count(F.when(keep, 1)).alias("__out"),
-    ]
-    aggs += [F.count(F.when(keep, F.col(f"`{c}`"))).alias(f"__nn{i}") for i, c in enumerate(survivors)]
-    row = df.agg(*aggs).first()
-
-    rows_out = int(row["__out"])
-    empty = [c for i, c in enumerate(survivors) if int(row[f"__nn{i}"]) == 0]
+    rows_out = int(row["rows_out"])
+    empty = [c for c in survivors if int(row[f"nn_{c}"]) == 0]
     if report is not None:
-        report.rows_in = int(row["__in"])
-        report.dropped_missing_value = int(row["__no_value"])
-        report.dropped_missing_location = report.rows_in - report.dropped_missing_value - rows_out
+        report.rows_in = int(row["rows_in"])
+        report.dropped_missing_value = int(row["dropped_missing_value"])
+        report.dropped_missing_location = int(row["dropped_missing_location"])
         report.rows_out = rows_out
         report.dropped_columns = [c for c in drop_cols if c in df.columns]
         report.empty_columns = empty

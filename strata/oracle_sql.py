@@ -364,3 +364,78 @@ r AS (
 SELECT Topic, n_years, rho, CASE WHEN rho > 0 THEN 'increasing' ELSE 'decreasing' END AS trend,
   'Spearman' AS method
 FROM r""")
+
+# --- cleaning and feature layer ------------------------------------------------------
+
+RAW_ONLY = "WITH" + OBS_RAW + "," + OBS_CLEAN
+
+COERCE_NUMERIC = RAW_ONLY + """
+SELECT DataValue, COUNT(*) AS n, COUNT(DataValueAlt) AS with_alt FROM obs_typed GROUP BY DataValue"""
+
+CLEAN_REPORT = RAW_ONLY + """
+SELECT COUNT(*) AS rows_in,
+  COUNT(*) FILTER (WHERE DataValueAlt IS NULL) AS dropped_missing_value,
+  COUNT(*) FILTER (WHERE DataValueAlt IS NOT NULL AND GeoLocation IS NULL) AS dropped_missing_location,
+  COUNT(*) FILTER (WHERE DataValueAlt IS NOT NULL AND GeoLocation IS NOT NULL) AS rows_out,
+  COUNT(*) FILTER (WHERE DataValueAlt IS NOT NULL AND GeoLocation IS NOT NULL) > 100 AS passes_gate
+FROM obs_typed"""
+
+RAW_COLUMNS = ("YearStart", "YearEnd", "LocationAbbr", "DataSource", "Topic", "Question",
+               "DataValueUnit", "DataValueType", "DataValue", "DataValueAlt",
+               "StratificationCategory1", "Stratification1", "GeoLocation")
+
+COLUMN_PROFILE = RAW_ONLY + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, COUNT({c}) AS non_null FROM obs_typed "
+    f"WHERE DataValueAlt IS NOT NULL AND GeoLocation IS NOT NULL" for c in RAW_COLUMNS)
+
+PARSE_GEO = RAW_ONLY + """
+SELECT LocationAbbr, Longitude, Latitude, COUNT(*) AS n FROM obs_clean
+GROUP BY LocationAbbr, Longitude, Latitude"""
+
+IMPUTE_UNIT = _q([], """
+SELECT Topic, Question, DataValueUnit, COUNT(*) AS n FROM obs GROUP BY Topic, Question, DataValueUnit""")
+
+GROUP_MODE = "WITH" + OBS_RAW + "," + OBS_CLEAN + "," + UNIT_MODE + """
+SELECT Topic, Question, mode_unit FROM unit_mode"""
+
+MORTALITY_FLAG = _q([], """
+SELECT DataSource, is_mortality, COUNT(*) AS n FROM obs GROUP BY DataSource, is_mortality""")
+
+DURATION = _q([], """
+SELECT YearStart, YearEnd, disease_duration, COUNT(*) AS n FROM obs
+GROUP BY YearStart, YearEnd, disease_duration""")
+
+RISK_BINS = _q([], """
+SELECT risk_level, COUNT(*) AS n, MIN(DataValueAlt) AS min_value, MAX(DataValueAlt) AS max_value
+FROM obs GROUP BY risk_level""")
+
+TOPIC_DUMMIES = _q([], """
+SELECT 'topic_' || Topic AS column_name, COUNT(*) AS ones,
+  (SELECT COUNT(*) FROM obs) - COUNT(*) AS zeros
+FROM obs WHERE Topic IS NOT NULL GROUP BY Topic""")
+
+ENCODE_COLUMNS_SQL = ("LocationAbbr", "DataValueType", "StratificationCategory1", "Stratification1")
+
+LABEL_ENCODING = _q([], "\nUNION ALL\n".join(
+    f"""SELECT DISTINCT '{c}' AS column_name, COALESCE({c}, 'nan') AS label,
+  CAST(DENSE_RANK() OVER (ORDER BY COALESCE({c}, 'nan')) - 1 AS INTEGER) AS code FROM obs"""
+    for c in ENCODE_COLUMNS_SQL))
+
+CSV_ROUNDTRIP = RAW_ONLY + """
+SELECT * EXCLUDE (DataValue, DataValueAlt), DataValue,
+  CAST(DataValueAlt AS DOUBLE) AS DataValueAlt FROM obs_typed"""
+
+PROCESSED_TABLE = _q([], """
+SELECT *,
+  """ + ",\n  ".join(
+    f"CAST(DENSE_RANK() OVER (ORDER BY COALESCE({c}, 'nan')) - 1 AS INTEGER) AS {c}_enc"
+    for c in ENCODE_COLUMNS_SQL) + """
+FROM obs""")
+
+EXPORT_MANIFEST = _q([TRENDS_CTE, STATE_TOPIC_CTE, RISK_CTE, DEMO_CTE], """
+SELECT 'dashboard_kpis' AS extract, CAST(1 AS BIGINT) AS rows
+UNION ALL SELECT 'topic_year_trends', COUNT(*) FROM trends
+UNION ALL SELECT 'state_topic_summary', COUNT(*) FROM sts
+UNION ALL SELECT 'risk_distribution', COUNT(*) FROM risk
+UNION ALL SELECT 'mortality_by_topic', COUNT(DISTINCT Topic) + MAX(CASE WHEN Topic IS NULL THEN 1 ELSE 0 END) FROM obs
+UNION ALL SELECT 'demographic_risk', COUNT(*) FROM demo""")

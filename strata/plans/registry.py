@@ -243,3 +243,120 @@ def z2(spark, sf_dir):
 @register("z2_spearman_test")
 def z2p(spark, sf_dir):
     return Z.spearman(Z.yearly_series(facts(spark, sf_dir)), with_p=True)
+
+
+# --- sources, cleaning and features -------------------------------------------------
+
+from strata.operators import clean as C  # noqa: E402
+from strata.operators import features as FE  # noqa: E402
+from strata.sources.bridge import obs_raw  # noqa: E402
+
+
+def _cleaned(spark, sf_dir):
+    return C.parse_geolocation(C.clean(obs_raw(spark, sf_dir)))
+
+
+@register("c1_coerce_numeric", O.COERCE_NUMERIC)
+def c1(spark, sf_dir):
+    typed = C.coerce_numeric(obs_raw(spark, sf_dir))
+    return typed.groupBy("DataValue").agg(F.count(F.lit(1)).alias("n"),
+                                          F.count("DataValueAlt").alias("with_alt"))
+
+
+@register("c3_clean_report", O.CLEAN_REPORT)
+def c3(spark, sf_dir):
+    counts = C.clean_counts(C.coerce_numeric(obs_raw(spark, sf_dir)))
+    return counts.select("rows_in", "dropped_missing_value", "dropped_missing_location",
+                         "rows_out", "passes_gate")
+
+
+@register("c6_column_profile", O.COLUMN_PROFILE)
+def c6(spark, sf_dir):
+    counts = C.clean_counts(C.coerce_numeric(obs_raw(spark, sf_dir)))
+    nn = [c for c in counts.columns if c.startswith("nn_")]
+    return counts.unpivot([], nn, "column_name", "non_null").select(
+        F.regexp_replace("column_name", "^nn_", "").alias("column_name"), "non_null")
+
+
+@register("c8_parse_geolocation", O.PARSE_GEO)
+def c8(spark, sf_dir):
+    return _cleaned(spark, sf_dir).groupBy("LocationAbbr", "Longitude", "Latitude").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("c9_impute_unit", O.IMPUTE_UNIT)
+def c9(spark, sf_dir):
+    return facts(spark, sf_dir).groupBy("Topic", "Question", "DataValueUnit").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("a20_group_mode", O.GROUP_MODE)
+def a20(spark, sf_dir):
+    return C.group_mode(_cleaned(spark, sf_dir), ["Topic", "Question"], "DataValueUnit", "mode_unit")
+
+
+@register("f1_is_mortality", O.MORTALITY_FLAG)
+def f1(spark, sf_dir):
+    return facts(spark, sf_dir).groupBy("DataSource", "is_mortality").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("f3_disease_duration", O.DURATION)
+def f3(spark, sf_dir):
+    return facts(spark, sf_dir).groupBy("YearStart", "YearEnd", "disease_duration").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("f5_risk_level", O.RISK_BINS)
+def f5(spark, sf_dir):
+    return facts(spark, sf_dir).groupBy("risk_level").agg(
+        F.count(F.lit(1)).alias("n"), F.min("DataValueAlt").alias("min_value"),
+        F.max("DataValueAlt").alias("max_value"))
+
+
+@register("f6_topic_dummies", O.TOPIC_DUMMIES)
+def f6(spark, sf_dir):
+    wide = FE.add_topic_dummies(facts(spark, sf_dir))
+    dummies = [c for c in wide.columns if c.startswith("topic_")]
+    sums = wide.agg(F.count(F.lit(1)).alias("_rows"),
+                    *[F.sum(F.col(f"`{c}`")).cast("long").alias(c) for c in dummies])
+    long = sums.unpivot(["_rows"], dummies, "column_name", "ones")
+    return long.select("column_name", "ones", (F.col("_rows") - F.col("ones")).alias("zeros"))
+
+
+@register("e1_label_encoding", O.LABEL_ENCODING)
+def e1(spark, sf_dir):
+    from strata.constants import ENCODE_COLUMNS
+    enc = FE.encode_categoricals(facts(spark, sf_dir))
+    parts = [enc.select(F.lit(c).alias("column_name"),
+                        F.coalesce(F.col(c), F.lit("nan")).alias("label"),
+                        F.col(f"{c}_enc").alias("code")).distinct()
+             for c in ENCODE_COLUMNS if c in enc.columns]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("s1_csv_roundtrip", O.CSV_ROUNDTRIP)
+def s1(spark, sf_dir):
+    from strata.session import scratch_path
+    from strata.sources.raw_csv import load_raw, write_raw
+    path = write_raw(obs_raw(spark, sf_dir), scratch_path(spark, "raw-csv"))
+    return C.coerce_numeric(load_raw(spark, path))
+
+
+@register("c16_processed_table", O.PROCESSED_TABLE)
+def c16(spark, sf_dir):
+    from strata.plans.cleaning import run_pipeline
+    from strata.session import scratch_path
+    out = run_pipeline(spark, obs_raw(spark, sf_dir), scratch_path(spark, "processed"))
+    return out.select(*[c for c in out.columns if not c.startswith("topic_")])
+
+
+@register("s6_export_marts", O.EXPORT_MANIFEST)
+def s6(spark, sf_dir):
+    from strata.session import scratch_path
+    from strata.sources.export import export_marts, read_manifest
+    obs = facts(spark, sf_dir)
+    paths = export_marts({name: fn(obs) for name, fn in M.MARTS.items()}, scratch_path(spark, "extracts"))
+    return read_manifest(spark, paths)
