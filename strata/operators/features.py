@@ -98,8 +98,46 @@ def _as_label(column: str):
     return F.coalesce(F.col(column).cast("string"), F.lit("nan"))
 
 
+def dictionaries(df: DataFrame, dummy_columns=("Topic",), encode_columns=ENCODE_COLUMNS,
+                 max_dummies: int = MAX_DUMMY_COLUMNS, max_inline: int = MAX_INLINE_DICTIONARY) -> dict:
+    """Distinct values needed by F6 and E1, for all columns in one job.
+
+    Returns ``{("dummy", col): [values]}`` and ``{("enc", col): [labels] or
+    None}`` (None: too many labels to inline). At most ``limit + 1`` values
+    per column reach the driver; one-hot beyond ``max_dummies`` raises.
+    """
+    dummy_columns = [c for c in dummy_columns if c in df.columns]
+    encode_columns = [c for c in encode_columns if c in df.columns]
+    entries = [F.struct(F.lit(f"dummy:{c}").alias("k"), F.col(c).cast("string").alias("v"))
+               for c in dummy_columns]
+    entries += [F.struct(F.lit(f"enc:{c}").alias("k"), _as_label(c).alias("v")) for c in encode_columns]
+    out: dict = {}
+    if not entries:
+        return out
+    pairs = (df.select(F.explode(F.array(*entries)).alias("e")).select("e.k", "e.v")
+             .where(F.col("v").isNotNull()).distinct()).persist()
+    try:
+        sizes = {r["k"]: r["n"] for r in pairs.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+        for c in dummy_columns:
+            if sizes.get(f"dummy:{c}", 0) > max_dummies:
+                raise ValueError(f"{c} has more than {max_dummies} distinct values")
+        small = [k for k, n in sizes.items() if k.startswith("dummy:") or n <= max_inline]
+        values: dict = {}
+        if small:
+            for r in pairs.where(F.col("k").isin(small)).collect():
+                values.setdefault(r["k"], []).append(r["v"])
+    finally:
+        pairs.unpersist()
+    for c in dummy_columns:
+        out[("dummy", c)] = sorted(values.get(f"dummy:{c}", []))
+    for c in encode_columns:
+        k = f"enc:{c}"
+        out[("enc", c)] = sorted(values.get(k, [])) if sizes.get(k, 0) <= max_inline else None
+    return out
+
+
 def encode_column(df: DataFrame, column: str, out: str | None = None,
-                  max_inline: int = MAX_INLINE_DICTIONARY) -> DataFrame:
+                  max_inline: int = MAX_INLINE_DICTIONARY, labels: list | None = None) -> DataFrame:
     """E1 for one column: codes 0..k-1 in code-point order of the text form.
 
     A dictionary of at most ``max_inline`` entries is inlined as a map
@@ -108,18 +146,30 @@ def encode_column(df: DataFrame, column: str, out: str | None = None,
     """
     out = out or f"{column}_enc"
     label = _as_label(column)
-    rows = df.select(label.alias("_l")).distinct().limit(max_inline + 1).collect()
-    if len(rows) <= max_inline:
-        labels = sorted(r[0] for r in rows)
+    if labels is None:
+        rows = df.select(label.alias("_l")).distinct().limit(max_inline + 1).collect()
+        labels = sorted(r[0] for r in rows) if len(rows) <= max_inline else None
+    if labels is not None:
         mapping = F.create_map(*[x for i, l in enumerate(labels) for x in (F.lit(l), F.lit(i))])
         return df.withColumn(out, mapping[label])
     from strata.operators.ranking import dense_codes_text
     return dense_codes_text(df, label, out)
 
 
-def encode_categoricals(df: DataFrame, columns=ENCODE_COLUMNS) -> DataFrame:
-    """Integer codes for every listed column that exists."""
+def encode_categoricals(df: DataFrame, columns=ENCODE_COLUMNS, dicts: dict | None = None) -> DataFrame:
+    """Integer codes for every listed column that exists.
+
+    ``dicts`` (from :func:`dictionaries`) avoids one distinct job per column.
+    """
     for c in columns:
         if c in df.columns:
-            df = encode_column(df, c)
+            if dicts is not None and ("enc", c) in dicts:
+                labels = dicts[("enc", c)]
+                if labels is None:
+                    from strata.operators.ranking import dense_codes_text
+                    df = dense_codes_text(df, _as_label(c), f"{c}_enc")
+                else:
+                    df = encode_column(df, c, labels=labels)
+            else:
+                df = encode_column(df, c)
     return df

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from strata.operators.clean import CleanReport, clean, impute_unit, parse_geolocation
+from strata.constants import MIN_CLEAN_ROWS
+from strata.operators.clean import (
+    CleanReport,
+    check_min_rows,
+    clean,
+    coerce_numeric,
+    drop_listed_columns,
+    impute_unit,
+    parse_geolocation,
+    require_column,
+)
 from strata.operators.features import (
     add_duration,
     add_mortality_flag,
     add_risk_level,
+    dictionaries,
     encode_categoricals,
     engineer_features,
 )
@@ -45,17 +57,67 @@ def bridge_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return core_facts(obs_raw(spark, sf_dir))
 
 
+def stage_cleaned(spark: SparkSession, raw: DataFrame, path: str,
+                  report: CleanReport | None = None, min_rows: int = MIN_CLEAN_ROWS) -> DataFrame:
+    """C1-C8 in one pass over the raw input, written to ``path``.
+
+    The raw input (CSV parse, bridge joins) is read exactly once. The gate
+    and drop counts are collected by ``Observation`` metrics during that
+    write instead of by separate aggregate jobs. Entirely-missing columns are
+    dropped from the staged table as it is read back, and the size gate
+    raises before anything else runs.
+    """
+    typed = coerce_numeric(raw)
+    require_column(typed, "DataValueAlt")
+    keep_value = F.col("DataValueAlt").isNotNull()
+    keep = keep_value & F.col("GeoLocation").isNotNull() if "GeoLocation" in typed.columns else keep_value
+    seen = Observation("clean_input")
+    typed = typed.observe(seen, F.count(F.lit(1)).alias("rows_in"),
+                          F.count(F.when(~keep_value, 1)).alias("no_value"),
+                          F.count(F.when(keep_value & ~keep, 1)).alias("no_location"))
+    kept = drop_listed_columns(typed.filter(keep))
+    cols = kept.columns
+    kept_obs = Observation("clean_output")
+    kept = kept.observe(kept_obs, F.count(F.lit(1)).alias("rows_out"),
+                        *[F.count(F.col(f"`{c}`")).alias(f"nn_{i}") for i, c in enumerate(cols)])
+    parse_geolocation(kept).write.mode("overwrite").parquet(path)
+
+    m_in, m_out = seen.get, kept_obs.get
+    rows_out = int(m_out["rows_out"])
+    empty = [c for i, c in enumerate(cols) if int(m_out[f"nn_{i}"]) == 0]
+    if report is not None:
+        report.rows_in = int(m_in["rows_in"])
+        report.dropped_missing_value = int(m_in["no_value"])
+        report.dropped_missing_location = int(m_in["no_location"])
+        report.rows_out = rows_out
+        report.dropped_columns = [c for c in raw.columns if c not in drop_listed_columns(raw).columns]
+        report.empty_columns = empty
+    check_min_rows(rows_out, min_rows)
+    staged = spark.read.parquet(path)
+    return staged.drop(*[c for c in empty if c in staged.columns]) if empty else staged
+
+
 def run_pipeline(spark: SparkSession, raw: DataFrame, out_path: str,
-                 partition_by: str | None = "YearStart", report: CleanReport | None = None) -> DataFrame:
-    """Run the whole cleaning pipeline and write Parquet.
+                 partition_by: str | None = "YearStart", report: CleanReport | None = None,
+                 staging_path: str | None = None) -> DataFrame:
+    """The whole cleaning pipeline, written as Parquet.
+
+    1. raw -> cleaned rows, staged in the shared checkpoint folder (one pass
+       over the raw input; the lineage is cut there, so a lost executor never
+       re-reads raw files or re-runs joins);
+    2. one dictionary job over the staged table (topic list, label codes);
+    3. unit imputation, features and codes, written partitioned by year and
+       range-sorted by (YearStart, LocationAbbr).
 
-    The output is written partitioned by year (partition pruning for the
-    marts) and sorted inside each file by (YearStart, LocationAbbr), which is
-    the layout form of F7 without a global sort. Returns the written table
-    read back from storage, so later stages start from a short lineage.
+    Returns the written table read back from storage.
     """
-    from strata.sources.parquet import save_processed, load_processed
+    from strata.session import scratch_path
+    from strata.sources.parquet import load_processed, save_processed
 
-    df = processed(raw, report=report)
+    staged = stage_cleaned(spark, raw, staging_path or scratch_path(spark, "cleaned"), report)
+    dicts = dictionaries(staged)
+    df = impute_unit(staged)
+    df = engineer_features(df, topics=dicts.get(("dummy", "Topic")))
+    df = encode_categoricals(df, dicts=dicts)
     save_processed(df, out_path, partition_by=partition_by)
     return load_processed(spark, out_path)

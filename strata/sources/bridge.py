@@ -26,11 +26,22 @@ LINE_WITH_BAD_VALUE = 2
 LINE_WITHOUT_VALUE = 7
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a scan by ``key`` when it has fewer partitions than the
+    cluster has cores (e.g. a file with a single row group), so the joins
+    after it run in parallel. A large scan already has enough splits and is
+    left untouched (no extra shuffle at scale)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df
+
+
 def obs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw observations, one per line item (column names of the raw extract)."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_returnflag", "l_linestatus", "l_shipdate"), "l_orderkey")
     od = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
