@@ -439,3 +439,26 @@ UNION ALL SELECT 'state_topic_summary', COUNT(*) FROM sts
 UNION ALL SELECT 'risk_distribution', COUNT(*) FROM risk
 UNION ALL SELECT 'mortality_by_topic', COUNT(DISTINCT Topic) + MAX(CASE WHEN Topic IS NULL THEN 1 ELSE 0 END) FROM obs
 UNION ALL SELECT 'demographic_risk', COUNT(*) FROM demo""")
+
+# --- modelling inputs -----------------------------------------------------------------
+
+CLASS_WEIGHTS = _q([], """
+SELECT risk_level AS label, COUNT(*) AS n,
+  CAST(SUM(COUNT(*)) OVER () AS DOUBLE) / CAST(COUNT(*) OVER () * COUNT(*) AS DOUBLE) AS weight
+FROM obs WHERE risk_level IS NOT NULL GROUP BY risk_level""")
+
+FOLD_SIZES = _q([], """
+SELECT label, CAST(pos % 5 AS INTEGER) AS fold, COUNT(*) AS n FROM (
+  SELECT risk_level AS label,
+    row_number() OVER (PARTITION BY risk_level ORDER BY YearStart, LocationAbbr) - 1 AS pos
+  FROM obs WHERE risk_level IS NOT NULL)
+GROUP BY label, fold""")
+
+POSITIVE_RATE = _q([], """
+SELECT COUNT(*) AS rows, AVG(CAST(is_mortality AS DOUBLE)) AS positive_rate FROM obs""")
+
+LABELLED_ROWS = _q([], "SELECT COUNT(*) AS n FROM obs WHERE risk_level IS NOT NULL")
+
+TINY_CLASSES = _q([], """
+SELECT risk_level AS label, COUNT(*) AS n FROM obs WHERE risk_level IS NOT NULL
+GROUP BY risk_level HAVING COUNT(*) < 10""")

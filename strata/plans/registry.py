@@ -360,3 +360,107 @@ def s6(spark, sf_dir):
     obs = facts(spark, sf_dir)
     paths = export_marts({name: fn(obs) for name, fn in M.MARTS.items()}, scratch_path(spark, "extracts"))
     return read_manifest(spark, paths)
+
+
+# --- modelling ---------------------------------------------------------------------------
+
+from strata.constants import MORTALITY_FEATURES  # noqa: E402
+from strata.operators import ml as ML  # noqa: E402
+from strata.plans import modeling as MD  # noqa: E402
+
+
+def _processed(spark, sf_dir):
+    """The processed table (with one-hot topics and codes), built lazily."""
+    from strata.plans.cleaning import processed
+    return processed(obs_raw(spark, sf_dir))
+
+
+def _risk_rows(spark, sf_dir):
+    return ML.labelled(facts(spark, sf_dir), "risk_level").select(F.col("risk_level").alias("label"))
+
+
+@register("r2_state_disease_matrix")
+def r2w(spark, sf_dir):
+    return R.state_disease_matrix(_processed(spark, sf_dir))
+
+
+@register("m3_state_clusters")
+def m3(spark, sf_dir):
+    return MD.cluster_states(_processed(spark, sf_dir))["assignments"]
+
+
+@register("m4_silhouette")
+def m4(spark, sf_dir):
+    res = MD.cluster_states(_processed(spark, sf_dir))
+    return spark.createDataFrame([("silhouette_euclidean", res["silhouette"]),
+                                  ("silhouette_squared_euclidean", res["silhouette_squared"])],
+                                 "metric string, value double")
+
+
+@register("m5_class_weights", O.CLASS_WEIGHTS)
+def m5(spark, sf_dir):
+    return ML.class_weights(_risk_rows(spark, sf_dir))
+
+
+@register("m6_fold_sizes", O.FOLD_SIZES)
+def m6(spark, sf_dir):
+    return ML.with_folds(_risk_rows(spark, sf_dir)).groupBy("label", "fold").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("m8_mortality_model")
+def m8(spark, sf_dir):
+    res = ML.train_mortality_model(facts(spark, sf_dir))
+    return spark.createDataFrame(
+        [("auc", res["auc"]), ("accuracy", res["accuracy"]), ("macro_f1", res["macro_f1"]),
+         ("rows", float(res["rows"])), ("positive_rate", res["positive_rate"])],
+        "metric string, value double")
+
+
+@register("m9_positive_rate", O.POSITIVE_RATE)
+def m9(spark, sf_dir):
+    obs = facts(spark, sf_dir)
+    return ML.positive_rate(ML.feature_frame(obs, ML.available_features(obs, MORTALITY_FEATURES),
+                                             "is_mortality"))
+
+
+@register("m11_classification_report")
+def m11(spark, sf_dir):
+    return ML.train_mortality_model(facts(spark, sf_dir))["report"]
+
+
+@register("m13_labelled_rows", O.LABELLED_ROWS)
+def m13(spark, sf_dir):
+    return _risk_rows(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("m14_tiny_classes", O.TINY_CLASSES)
+def m14(spark, sf_dir):
+    return ML.tiny_classes(_risk_rows(spark, sf_dir))
+
+
+@register("m15_feature_importances")
+def m15(spark, sf_dir):
+    return MD.fit_risk_forest(_processed(spark, sf_dir))
+
+
+@register("t6_top_importances")
+def t6(spark, sf_dir):
+    return ML.top_importances(MD.fit_risk_forest(_processed(spark, sf_dir)))
+
+
+# Cross-validated forests fit six times; the registered checks use fewer
+# trees than the library default (300) to bound their runtime. The refit in
+# m15/t6 uses the full default.
+CHECK_TREES = 50
+
+
+@register("m12_risk_classifier")
+def m12(spark, sf_dir):
+    res = ML.train_risk_classifier(_processed(spark, sf_dir), trees=CHECK_TREES)
+    return res["report"]
+
+
+@register("m17_training_run")
+def m17(spark, sf_dir):
+    return MD.run(spark, _processed(spark, sf_dir), trees=CHECK_TREES)["summary"]
