@@ -30,15 +30,10 @@ def risk_level(value, edges=RISK_UPPER_EDGES, labels=RISK_LABELS) -> Column:
     """
     v = _col(value)
     expr = None
-    lower = None
     for edge, label in zip(edges, labels):
-        cond = v <= edge
-        if lower is None:
-            cond = cond & (v > float("-inf"))
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-        lower = edge
-    last = (v > lower) & ~F.isnan(v)
-    return expr.when(last, F.lit(labels[-1]))
+        expr = F.when(v <= edge, F.lit(label)) if expr is None else expr.when(v <= edge, F.lit(label))
+    expr = expr.when(~F.isnan(v), F.lit(labels[-1]))
+    return F.when(v > float("-inf"), expr)
 
 
 def risk_ordinal(level, labels=RISK_LABELS) -> Column:
