@@ -87,3 +87,26 @@ def ordered_mean(c) -> Column:
     values = F.array_sort(F.collect_list(_col(c)))
     total = F.aggregate(values, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
     return F.when(F.size(values) > 0, total / F.size(values))
+
+
+def _sorted_list(values: Column) -> Column:
+    return F.array_sort(values)
+
+
+def ordered_sum_of(values: Column) -> Column:
+    """Sum of an array of doubles in ascending order (deterministic)."""
+    return F.aggregate(_sorted_list(values), F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+
+
+def ordered_mean_of(values: Column) -> Column:
+    """Mean of an array of doubles summed in ascending order; null when empty."""
+    return F.when(F.size(values) > 0, ordered_sum_of(values) / F.size(values))
+
+
+def ordered_stddev_of(values: Column) -> Column:
+    """Sample standard deviation of an array of doubles, two-pass, summed in
+    ascending order; null for fewer than two values."""
+    mean = ordered_mean_of(values)
+    squares = F.transform(_sorted_list(values), lambda x: (x - mean) * (x - mean))
+    total = F.aggregate(squares, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+    return F.when(F.size(values) > 1, F.sqrt(total / (F.size(values) - 1)))

@@ -462,3 +462,113 @@ LABELLED_ROWS = _q([], "SELECT COUNT(*) AS n FROM obs WHERE risk_level IS NOT NU
 TINY_CLASSES = _q([], """
 SELECT risk_level AS label, COUNT(*) AS n FROM obs WHERE risk_level IS NOT NULL
 GROUP BY risk_level HAVING COUNT(*) < 10""")
+
+# --- documented-only analyses -------------------------------------------------------------
+
+DISPARITY_CTE = f"""
+disp AS (
+  SELECT state, disease_topic, year, MAX(m) - MIN(m) AS demographic_disparity FROM (
+    SELECT LocationAbbr AS state, Topic AS disease_topic, YearStart AS year, Stratification1, {AVG} AS m
+    FROM obs WHERE DataValueAlt IS NOT NULL AND Stratification1 IS NOT NULL
+    GROUP BY 1, 2, 3, 4)
+  GROUP BY 1, 2, 3
+)"""
+
+DISPARITY = _q([DISPARITY_CTE], "SELECT * FROM disp")
+
+DOCUMENTED_PRIORITY = _q([STATE_TOPIC_YEAR, DISPARITY_CTE, """
+j AS (
+  SELECT s.*, d.demographic_disparity,
+    LAG(s.avg_indicator_value) OVER (PARTITION BY s.state, s.disease_topic ORDER BY s.year) AS prev
+  FROM sty s LEFT JOIN disp d ON s.state = d.state AND s.disease_topic = d.disease_topic AND s.year = d.year
+),
+c AS (
+  SELECT *, CASE WHEN prev IS NULL OR prev = 0 THEN NULL
+                 ELSE (avg_indicator_value - prev) / prev END AS yoy_pct_change FROM j
+),
+r AS (
+  SELECT *,
+    PERCENT_RANK() OVER (ORDER BY avg_indicator_value NULLS LAST) AS burden_score,
+    PERCENT_RANK() OVER (ORDER BY mortality_source_rate NULLS LAST) AS mortality_score,
+    PERCENT_RANK() OVER (ORDER BY yoy_pct_change NULLS LAST) AS growth_score,
+    PERCENT_RANK() OVER (ORDER BY demographic_disparity NULLS LAST) AS disparity_score,
+    PERCENT_RANK() OVER (ORDER BY record_count NULLS LAST) AS reliability_score
+  FROM c
+)"""], """
+SELECT state, disease_topic, year, record_count, avg_indicator_value, mortality_source_rate,
+  yoy_pct_change, demographic_disparity, burden_score, mortality_score, growth_score, disparity_score,
+  reliability_score,
+  CAST(0.35 AS DOUBLE) * burden_score + CAST(0.25 AS DOUBLE) * mortality_score
+  + CAST(0.20 AS DOUBLE) * growth_score + CAST(0.10 AS DOUBLE) * disparity_score
+  + CAST(0.10 AS DOUBLE) * reliability_score AS documented_priority_score
+FROM r""")
+
+YEARLY_SEGMENT_CTE = f"""
+yearly AS (
+  SELECT LocationAbbr, Topic, YearStart, {AVG} AS v FROM obs WHERE DataValueAlt IS NOT NULL
+  GROUP BY LocationAbbr, Topic, YearStart
+)"""
+
+DATA_QUALITY = _q([YEARLY_SEGMENT_CTE, """
+yl AS (SELECT LocationAbbr, Topic, list_sort(list(v)) AS vs FROM yearly GROUP BY LocationAbbr, Topic),
+ym AS (SELECT *, list_reduce(vs, lambda a, b: a + b) / len(vs) AS mean FROM yl),
+vol AS (
+  SELECT LocationAbbr, Topic,
+    CASE WHEN len(vs) > 1 THEN sqrt(list_reduce(list_transform(vs, lambda x: (x - mean) * (x - mean)),
+                                                lambda a, b: a + b) / (len(vs) - 1)) END
+      / NULLIF(mean, 0) AS volatility
+  FROM ym
+),
+base AS (
+  SELECT LocationAbbr, Topic, COUNT(*) AS record_count,
+    CAST(COUNT(DataValueAlt) AS DOUBLE) / COUNT(*) AS value_coverage,
+    1.0 - CAST(COUNT(DataValueUnit) AS DOUBLE) / COUNT(*) AS unit_missing_rate,
+    COUNT(DISTINCT Stratification1) AS strata_present,
+    CAST(COUNT(DISTINCT Stratification1) AS DOUBLE)
+      / NULLIF(CAST((SELECT COUNT(DISTINCT Stratification1) FROM obs) AS DOUBLE), 0) AS strata_coverage
+  FROM obs GROUP BY LocationAbbr, Topic
+)"""], """
+SELECT b.*, v.volatility FROM base b
+LEFT JOIN vol v ON b.LocationAbbr = v.LocationAbbr AND b.Topic = v.Topic""")
+
+ROLLING_MEANS = _q([YEARLY_SEGMENT_CTE], """
+SELECT LocationAbbr, Topic, YearStart, v AS yearly_mean,
+  list_reduce(list_sort(list(v) OVER w), lambda a, b: a + b) / len(list(v) OVER w) AS rolling_mean
+FROM yearly
+WINDOW w AS (PARTITION BY LocationAbbr, Topic ORDER BY YearStart ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""")
+
+TIME_SPLIT = _q([], """
+SELECT CASE WHEN YearStart < (SELECT MAX(YearStart) FROM obs) THEN 'train' ELSE 'test' END AS split,
+  COUNT(*) AS rows, MIN(YearStart) AS first_year, MAX(YearStart) AS latest_year
+FROM obs WHERE YearStart IS NOT NULL GROUP BY 1""")
+
+DIFF_IN_DIFF = _q([f"""
+cells AS (
+  SELECT is_mortality = 1 AS treated,
+    YearStart >= floor(((SELECT MIN(YearStart) FROM obs) + (SELECT MAX(YearStart) FROM obs)) / 2) AS post,
+    {AVG} AS m
+  FROM obs WHERE DataValueAlt IS NOT NULL AND YearStart IS NOT NULL GROUP BY 1, 2
+),
+wide AS (
+  SELECT MAX(m) FILTER (WHERE treated AND post) AS treated_post,
+    MAX(m) FILTER (WHERE treated AND NOT post) AS treated_pre,
+    MAX(m) FILTER (WHERE NOT treated AND post) AS control_post,
+    MAX(m) FILTER (WHERE NOT treated AND NOT post) AS control_pre
+  FROM cells
+)"""], """
+SELECT *, (treated_post - treated_pre) - (control_post - control_pre) AS did FROM wide""")
+
+FILTERED_TRENDS = _q([f"""
+f AS (SELECT * FROM obs WHERE YearStart BETWEEN (SELECT MIN(YearStart) FROM obs)
+                                        AND (SELECT MIN(YearStart) FROM obs) + 2)"""], f"""
+SELECT YearStart, Topic, COUNT(*) AS record_count, {AVG} AS avg_indicator_value,
+  {RATE} AS mortality_source_rate
+FROM f GROUP BY YearStart, Topic""")
+
+FEATURE_AVAILABILITY_COLUMNS = ("YearStart", "disease_duration", "value_normalized", "is_mortality",
+                                "LocationAbbr_enc", "DataValueType_enc")
+
+FEATURE_AVAILABILITY = PROCESSED_TABLE.replace("\nSELECT *,", "\n, p AS (SELECT *,", 1) + ")\n" + \
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, CAST(COUNT({c}) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS availability FROM p"
+        for c in FEATURE_AVAILABILITY_COLUMNS)

@@ -464,3 +464,57 @@ def m12(spark, sf_dir):
 @register("m17_training_run")
 def m17(spark, sf_dir):
     return MD.run(spark, _processed(spark, sf_dir), trees=CHECK_TREES)["summary"]
+
+
+# --- documented-only analyses ---------------------------------------------------------------
+
+from strata.constants import RISK_FEATURES  # noqa: E402
+from strata.operators import quality as DQ  # noqa: E402
+
+
+@register("d1_documented_priority", O.DOCUMENTED_PRIORITY)
+def d1(spark, sf_dir):
+    return P.documented_priority(facts(spark, sf_dir))
+
+
+@register("d2_demographic_disparity", O.DISPARITY)
+def d2(spark, sf_dir):
+    return P.demographic_disparity(facts(spark, sf_dir))
+
+
+@register("d3_data_quality", O.DATA_QUALITY)
+def d3(spark, sf_dir):
+    return DQ.data_quality(facts(spark, sf_dir))
+
+
+@register("d5_rolling_means", O.ROLLING_MEANS)
+def d5(spark, sf_dir):
+    return DQ.rolling_means(facts(spark, sf_dir))
+
+
+@register("d8_risk_thresholds")
+def d8(spark, sf_dir):
+    return DQ.risk_thresholds(facts(spark, sf_dir))
+
+
+@register("d9_time_split", O.TIME_SPLIT)
+def d9(spark, sf_dir):
+    return DQ.time_split(facts(spark, sf_dir))
+
+
+@register("d10_diff_in_diff", O.DIFF_IN_DIFF)
+def d10(spark, sf_dir):
+    return DQ.diff_in_diff(facts(spark, sf_dir), F.col("is_mortality") == 1)
+
+
+@register("d11_filtered_trends", O.FILTERED_TRENDS)
+def d11(spark, sf_dir):
+    obs = facts(spark, sf_dir)
+    first = obs.select(F.min("YearStart")).first()[0]
+    return M.topic_year_trends(DQ.dashboard_filter(obs, years=(first, first + 2)))
+
+
+@register("d12_feature_availability", O.FEATURE_AVAILABILITY)
+def d12(spark, sf_dir):
+    cols = list(dict.fromkeys(list(MORTALITY_FEATURES) + list(RISK_FEATURES)))
+    return DQ.feature_availability(_processed(spark, sf_dir), cols)
