@@ -78,6 +78,13 @@ def value_ranks(df: DataFrame, value: str, by: tuple | list = (), splits: list[f
         counts = counts.withColumn("_n", F.lit(1).cast("long"))
     if splits is None:
         splits = quantile_splits(df.select(value), [value], target_rows)[value]
+    if not splits:
+        # At most ``target_rows`` rows (known from the quantile job): one
+        # running sum per group, no bucket offsets needed.
+        run = Window.partitionBy(*by).orderBy(v.asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.select(*by, value,
+                             F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_below"),
+                             F.sum("_n").over(Window.partitionBy(*by)).alias("_total"))
     n_buckets = len(splits) + 1
     if splits:
         bucketizer = Bucketizer(splits=[float("-inf")] + list(splits) + [float("inf")],
