@@ -201,8 +201,11 @@ def kmeans_best_of(df: DataFrame, k: int = KMEANS_K, starts: int = KMEANS_STARTS
         return model.summary.trainingCost, i, model
 
     # Starts are independent: submit them as concurrent Spark jobs.
-    with ThreadPoolExecutor(max_workers=min(PARALLEL_FITS, starts)) as pool:
-        results = list(pool.map(fit, range(starts)))
+    try:
+        with ThreadPoolExecutor(max_workers=min(PARALLEL_FITS, starts)) as pool:
+            results = list(pool.map(fit, range(starts)))
+    finally:
+        df.unpersist()
     return min(results, key=lambda r: (r[0], r[1]))[2]
 
 
@@ -280,6 +283,31 @@ def cluster_entities(matrix: DataFrame, key: str, k: int = KMEANS_K, starts: int
 
 # --- M7 / M8 / M12 / M15 ---------------------------------------------------------------
 
+def _parse_mb(text: str | None) -> float | None:
+    if not text:
+        return None
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    t = text.strip().lower().rstrip("b")
+    return float(t[:-1]) * units[t[-1]] if t and t[-1] in units else float(t) / (1024 * 1024)
+
+
+def forest_memory_mb(spark) -> int:
+    """Split-statistics budget per tree-growing task.
+
+    Every concurrent task of a forest iteration holds a buffer of up to
+    ``maxMemoryInMB``; the budget is a quarter of the heap share of one core,
+    clamped to [16, 256] MB (256 is MLlib's default).
+    """
+    conf = spark.sparkContext.getConf()
+    if spark.sparkContext.master.startswith("local"):
+        heap_mb = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() / (1024 * 1024)
+        cores = spark.sparkContext.defaultParallelism
+    else:
+        heap_mb = _parse_mb(conf.get("spark.executor.memory", "1g"))
+        cores = int(conf.get("spark.executor.cores", "1"))
+    return int(max(16, min(256, heap_mb / (4 * max(cores, 1)))))
+
+
 def _fold_fit_predict(train: DataFrame, test: DataFrame, features: list[str], make, standardize: bool):
     if standardize:
         params = fit_standardizer(train, features)
@@ -365,7 +393,8 @@ def train_risk_classifier(df: DataFrame, features=RISK_FEATURES, folds: int = CV
     def make(_train):
         return RandomForestClassifier(featuresCol="features", labelCol="label_idx", weightCol="weight",
                                       numTrees=trees, maxDepth=depth, seed=seed,
-                                      featureSubsetStrategy="sqrt", impurity="gini")
+                                      featureSubsetStrategy="sqrt", impurity="gini",
+                                      maxMemoryInMB=forest_memory_mb(df.sparkSession))
 
     pred = out_of_fold(data, feats, make, folds)
     mapping = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(float(i)), F.lit(lab))])

@@ -30,7 +30,9 @@ def fit_risk_forest(processed: DataFrame, trees: int = FOREST_TREES, depth: int
         data).transform(data)
     model = RandomForestClassifier(featuresCol="features", labelCol="label_idx", weightCol="weight",
                                    numTrees=trees, maxDepth=depth, seed=seed,
-                                   featureSubsetStrategy="sqrt").fit(ml.assemble(data, feats))
+                                   featureSubsetStrategy="sqrt",
+                                   maxMemoryInMB=ml.forest_memory_mb(processed.sparkSession)
+                                   ).fit(ml.assemble(data, feats))
     imp = model.featureImportances.toArray().tolist()
     return processed.sparkSession.createDataFrame(
         [(f, float(v)) for f, v in zip(feats, imp)], "feature string, importance double").orderBy(
