@@ -106,12 +106,18 @@ def with_folds(df: DataFrame, label: str = "label", folds: int = CV_FOLDS, seed:
 
     Rows of each class are ordered by a seeded hash of a row id and dealt to
     folds round-robin, so every class is split as evenly as possible. The
-    row id defaults to ``monotonically_increasing_id`` — deterministic when
-    ``df`` is a scan of stored files, which is how the modelling run reads
-    its input.
+    row id defaults to ``monotonically_increasing_id``, frozen by a reliable
+    checkpoint before it is used, so the assignment survives recomputation.
     """
+    from strata.operators.priority import materialize
+
     rid = F.col(row_id) if row_id else F.monotonically_increasing_id()
     keyed = df.withColumn("_h", F.xxhash64(rid, F.lit(seed)))
+    if row_id is None:
+        # The generated id depends on partition contents; checkpointing
+        # freezes it so every branch of the ranking plan (and any recompute
+        # after a lost executor) sees the same hash for the same row.
+        keyed = materialize(keyed)
     ranked = ordinal_within(keyed, "_h", [label], "_pos")
     return ranked.withColumn(out, F.pmod(F.col("_pos"), F.lit(folds)).cast("int")).drop("_h", "_pos")
 
@@ -334,11 +340,12 @@ def out_of_fold(df: DataFrame, features: list[str], make, folds: int = CV_FOLDS,
 
 
 def prepare(df: DataFrame, features: list[str], label: str, seed: int = SEED, folds: int = CV_FOLDS) -> DataFrame:
-    """Features + label, balanced weights and stratified folds, checkpointed
-    once so that every fold fit reads it instead of re-running the scan."""
-    from strata.operators.priority import materialize
+    """Features + label, balanced weights and stratified folds, computed once
+    (lineage cut at the fold checkpoint) and kept for every fold fit."""
     frame = with_folds(with_class_weights(feature_frame(df, features, label)), seed=seed, folds=folds)
-    return materialize(frame)
+    # Deterministic from the checkpoint inside with_folds: a plain persist
+    # suffices for the repeated fold fits.
+    return frame.persist()
 
 
 def train_mortality_model(df: DataFrame, features=MORTALITY_FEATURES, folds: int = CV_FOLDS,
@@ -367,7 +374,7 @@ def train_mortality_model(df: DataFrame, features=MORTALITY_FEATURES, folds: int
     model = make(data).fit(assemble(apply_standardizer(data, params), feats))
     rates = positive_rate(data).first()
     return {
-        "model": model, "standardizer": params, "auc": auc,
+        "model": model, "standardizer": params, "auc": auc, "scored": scored,
         "accuracy": report_metric(report, "accuracy", "precision"),
         "macro_f1": report_metric(report, "macro avg", "f1_score"),
         "report": report, "feature_names": feats,

@@ -572,3 +572,13 @@ FEATURE_AVAILABILITY = PROCESSED_TABLE.replace("\nSELECT *,", "\n, p AS (SELECT
     "\nUNION ALL\n".join(
         f"SELECT '{c}' AS feature, CAST(COUNT({c}) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS availability FROM p"
         for c in FEATURE_AVAILABILITY_COLUMNS)
+
+MART_VIEWS = _q([TRENDS_CTE, STATE_TOPIC_CTE, RISK_CTE, DEMO_CTE, STATE_TOPIC_YEAR], """
+SELECT 'dashboard_kpis' AS view_name, CAST(1 AS BIGINT) AS rows
+UNION ALL SELECT 'topic_year_trends', COUNT(*) FROM trends
+UNION ALL SELECT 'state_topic_summary', COUNT(*) FROM sts
+UNION ALL SELECT 'risk_distribution', COUNT(*) FROM risk
+UNION ALL SELECT 'mortality_by_topic', (SELECT COUNT(*) FROM (SELECT Topic FROM obs GROUP BY Topic))
+UNION ALL SELECT 'demographic_risk', COUNT(*) FROM demo
+UNION ALL SELECT 'ml_feature_base', COUNT(*) FROM obs WHERE DataValueAlt IS NOT NULL
+UNION ALL SELECT 'mart_intervention_priority', COUNT(*) FROM sty""")

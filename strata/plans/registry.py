@@ -518,3 +518,24 @@ def d11(spark, sf_dir):
 def d12(spark, sf_dir):
     cols = list(dict.fromkeys(list(MORTALITY_FEATURES) + list(RISK_FEATURES)))
     return DQ.feature_availability(_processed(spark, sf_dir), cols)
+
+
+@register("d4_calibration")
+def d4(spark, sf_dir):
+    scored = ML.train_mortality_model(facts(spark, sf_dir))["scored"]
+    rates = DQ.error_rates(scored).first()
+    return DQ.calibration(scored).select(
+        "bin", "n", "mean_score", "observed_rate",
+        F.lit(rates["false_positive_rate"]).cast("double").alias("false_positive_rate"),
+        F.lit(rates["false_negative_rate"]).cast("double").alias("false_negative_rate"))
+
+
+@register("s4_mart_views", O.MART_VIEWS)
+def s4(spark, sf_dir):
+    from strata.plans.marts import build_marts, register_views
+    names = register_views(build_marts(facts(spark, sf_dir)))
+    parts = [spark.sql(f"SELECT '{n}' AS view_name, COUNT(*) AS rows FROM {n}") for n in names]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
