@@ -176,13 +176,17 @@ def impute_unit(df: DataFrame, unit: str = "DataValueUnit", keys=("Topic", "Ques
     """Fill a missing unit with the mode of its (Topic, Question) group.
 
     Groups without any non-null unit, and rows with a null key, stay missing.
-    The mode table has one row per key; the join lets AQE broadcast it when
-    it is small and split skewed partitions when it is not.
+    The mode table has one row per key: it is broadcast behind a row-count
+    check, and joined by shuffle (with AQE skew splitting) beyond it.
     """
     keys = list(keys)
     if not set(keys + [unit]).issubset(df.columns):
         return df
-    modes = group_mode(df, keys, unit, "_mode_unit")
+    from strata.operators.joins import bounded_broadcast
+
+    # One small job sizes the mode table (one row per key); when it is
+    # bounded it is broadcast, so the fact rows are never shuffled for it.
+    modes = bounded_broadcast(group_mode(df, keys, unit, "_mode_unit"))
     cols = df.columns
     return (df.join(modes, on=keys, how="left")
             .withColumn(unit, F.coalesce(F.col(unit), F.col("_mode_unit")))

@@ -1,0 +1,22 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest lookup table (rows) that is broadcast to every task.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
+    """Hint a broadcast when the table has at most ``max_rows`` rows.
+
+    ``known_rows`` (an upper bound already known to the caller) avoids the
+    count job. Above the bound the table is joined by shuffle (sort-merge,
+    with AQE skew splitting), so the big side is never broadcast by accident
+    and never shuffled when the small side is provably small.
+    """
+    n = known_rows if known_rows is not None else small.count()
+    return F.broadcast(small) if n <= max_rows else small

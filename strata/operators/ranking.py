@@ -46,7 +46,7 @@ def _splits(quantiles, n_rows: int, target_rows: int) -> list[float]:
 
 
 def quantile_splits(df: DataFrame, columns: list[str], target_rows: int = TARGET_BUCKET_ROWS,
-                    max_quantiles: int = MAX_QUANTILES) -> dict[str, list[float]]:
+                    max_quantiles: int = MAX_QUANTILES, with_rows: bool = False):
     """Split points for several numeric columns in one aggregate job.
 
     The quantiles are weighted by rows, so a bucket never holds more than
@@ -58,7 +58,8 @@ def quantile_splits(df: DataFrame, columns: list[str], target_rows: int = TARGET
              for i, c in enumerate(columns)]
     row = df.agg(*aggs).first()
     n_rows = int(row["_rows"] or 0)
-    return {c: _splits(row[f"_q{i}"], n_rows, target_rows) for i, c in enumerate(columns)}
+    splits = {c: _splits(row[f"_q{i}"], n_rows, target_rows) for i, c in enumerate(columns)}
+    return (splits, n_rows) if with_rows else splits
 
 
 def value_ranks(df: DataFrame, value: str, by: tuple | list = (), splits: list[float] | None = None,
@@ -113,7 +114,13 @@ def value_ranks(df: DataFrame, value: str, by: tuple | list = (), splits: list[f
     )
 
 
-def _attach(df: DataFrame, ranks: DataFrame, value: str, by: list, out: str, expr) -> DataFrame:
+def _attach(df: DataFrame, ranks: DataFrame, value: str, by: list, out: str, expr,
+            max_rows: int | None = None) -> DataFrame:
+    """Join rank rows back to ``df`` on (by, value). ``max_rows`` is a known
+    upper bound of the rank table; below the broadcast bound it is broadcast."""
+    if max_rows is not None:
+        from strata.operators.joins import bounded_broadcast
+        ranks = bounded_broadcast(ranks, known_rows=max_rows)
     r = ranks.select(*[F.col(b).alias(f"_k_{b}") for b in by], F.col(value).alias("_k_v"),
                      "_below", "_total")
     cond = F.col(value).eqNullSafe(F.col("_k_v"))
@@ -134,14 +141,15 @@ def percent_rank(df: DataFrame, columns: dict[str, str], by: tuple | list = (),
     """
     by = list(by)
     cols = list(dict.fromkeys(columns.values()))
-    splits = quantile_splits(df.select(*cols), cols, target_rows)
+    splits, n_rows = quantile_splits(df.select(*cols), cols, target_rows, with_rows=True)
     out_df = df
     for out, col in columns.items():
         ranks = value_ranks(df.select(*by, col), col, by, splits=splits[col])
         pr = F.when(F.col("_total") > 1,
                     F.col("_below").cast("double") / (F.col("_total") - 1).cast("double")
                     ).otherwise(F.lit(0.0))
-        out_df = _attach(out_df, ranks, col, by, out, pr)
+        # A rank table has at most one row per input row: n_rows bounds it.
+        out_df = _attach(out_df, ranks, col, by, out, pr, max_rows=n_rows)
     return out_df
 
 

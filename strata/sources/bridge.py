@@ -49,10 +49,13 @@ def obs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     na = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
 
+    # Join order: orders gets its customer and nation first (shuffles of
+    # orders-sized data), then line items meet orders on the order key and
+    # part on the part key: two shuffles of the largest table, not three.
+    orders_ctx = (od.join(cu, od.o_custkey == cu.c_custkey)
+                  .join(na, F.col("c_nationkey") == na.n_nationkey))
     joined = (
-        li.join(od, li.l_orderkey == od.o_orderkey)
-        .join(cu, F.col("o_custkey") == cu.c_custkey)
-        .join(na, F.col("c_nationkey") == na.n_nationkey)
+        li.join(orders_ctx, li.l_orderkey == orders_ctx.o_orderkey)
         .join(pa, F.col("l_partkey") == pa.p_partkey)
     )
     flag = F.col("l_returnflag")
