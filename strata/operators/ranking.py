@@ -34,31 +34,28 @@ MAX_QUANTILES = 1024
 QUANTILE_ACCURACY = 10_000
 
 
-def _splits(quantiles, n_rows: int, target_rows: int) -> list[float]:
-    """Inner split points: about one bucket per ``target_rows`` rows."""
-    if not quantiles or n_rows <= target_rows:
-        return []
-    n_buckets = min(len(quantiles) + 1, math.ceil(n_rows / target_rows))
-    step = len(quantiles) / n_buckets
-    picked = sorted({float(quantiles[min(len(quantiles) - 1, int(round(step * i)))])
-                     for i in range(1, n_buckets)})
-    return [q for q in picked if not math.isnan(q) and not math.isinf(q)]
-
-
 def quantile_splits(df: DataFrame, columns: list[str], target_rows: int = TARGET_BUCKET_ROWS,
                     max_quantiles: int = MAX_QUANTILES, with_rows: bool = False):
-    """Split points for several numeric columns in one aggregate job.
+    """Split points for several numeric columns.
 
-    The quantiles are weighted by rows, so a bucket never holds more than
-    about ``target_rows`` rows and thus never more distinct values either.
+    One count job sizes the table; only when it exceeds ``target_rows`` a
+    second job computes ``ceil(rows / target_rows) - 1`` approximate
+    quantiles per column (at most ``max_quantiles``). The quantiles are
+    weighted by rows, so a bucket never holds more than about
+    ``target_rows`` rows and thus never more distinct values either.
     """
-    probs = [i / max_quantiles for i in range(1, max_quantiles)]
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    aggs += [F.percentile_approx(F.col(c).cast("double"), probs, QUANTILE_ACCURACY).alias(f"_q{i}")
-             for i, c in enumerate(columns)]
-    row = df.agg(*aggs).first()
-    n_rows = int(row["_rows"] or 0)
-    splits = {c: _splits(row[f"_q{i}"], n_rows, target_rows) for i, c in enumerate(columns)}
+    n_rows = df.count()
+    splits: dict[str, list[float]] = {c: [] for c in columns}
+    if n_rows > target_rows:
+        n_buckets = min(max_quantiles, math.ceil(n_rows / target_rows))
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        accuracy = max(QUANTILE_ACCURACY, 4 * n_buckets)
+        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(f"_q{i}")
+                       for i, c in enumerate(columns)]).first()
+        for i, c in enumerate(columns):
+            qs = row[f"_q{i}"] or []
+            splits[c] = sorted({float(q) for q in qs if q is not None
+                                and not math.isnan(q) and not math.isinf(q)})
     return (splits, n_rows) if with_rows else splits
 
 
