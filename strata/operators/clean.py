@@ -172,12 +172,14 @@ def group_mode_by_rank(df: DataFrame, keys, value: str, out: str = "mode_value")
             .select(*keys, F.col(value).alias(out)))
 
 
-def impute_unit(df: DataFrame, unit: str = "DataValueUnit", keys=("Topic", "Question")) -> DataFrame:
+def impute_unit(df: DataFrame, unit: str = "DataValueUnit", keys=("Topic", "Question"),
+                known_groups: int | None = None) -> DataFrame:
     """Fill a missing unit with the mode of its (Topic, Question) group.
 
     Groups without any non-null unit, and rows with a null key, stay missing.
     The mode table has one row per key: it is broadcast behind a row-count
-    check, and joined by shuffle (with AQE skew splitting) beyond it.
+    check (``known_groups``, the number of distinct keys, when the caller
+    already knows it), and joined by shuffle (with AQE skew splitting) beyond it.
     """
     keys = list(keys)
     if not set(keys + [unit]).issubset(df.columns):
@@ -186,7 +188,7 @@ def impute_unit(df: DataFrame, unit: str = "DataValueUnit", keys=("Topic", "Ques
 
     # One small job sizes the mode table (one row per key); when it is
     # bounded it is broadcast, so the fact rows are never shuffled for it.
-    modes = bounded_broadcast(group_mode(df, keys, unit, "_mode_unit"))
+    modes = bounded_broadcast(group_mode(df, keys, unit, "_mode_unit"), known_rows=known_groups)
     cols = df.columns
     return (df.join(modes, on=keys, how="left")
             .withColumn(unit, F.coalesce(F.col(unit), F.col("_mode_unit")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,7 +101,8 @@ def _as_label(column: str):
 
 
 def dictionaries(df: DataFrame, dummy_columns=("Topic",), encode_columns=ENCODE_COLUMNS,
-                 max_dummies: int = MAX_DUMMY_COLUMNS, max_inline: int = MAX_INLINE_DICTIONARY) -> dict:
+                 max_dummies: int = MAX_DUMMY_COLUMNS, max_inline: int = MAX_INLINE_DICTIONARY,
+                 count_pairs=(("Topic", "Question"),)) -> dict:
     """Distinct values needed by F6 and E1, for all columns in one job.
 
     Returns ``{("dummy", col): [values]}`` and ``{("enc", col): [labels] or
@@ -111,6 +114,13 @@ def dictionaries(df: DataFrame, dummy_columns=("Topic",), encode_columns=ENCODE_
     entries = [F.struct(F.lit(f"dummy:{c}").alias("k"), F.col(c).cast("string").alias("v"))
                for c in dummy_columns]
     entries += [F.struct(F.lit(f"enc:{c}").alias("k"), _as_label(c).alias("v")) for c in encode_columns]
+    # Distinct non-null key pairs are only counted (they size lookup tables
+    # such as the unit mode, whose rows they bound).
+    pairs_cols = [p for p in count_pairs if set(p).issubset(df.columns)]
+    entries += [F.struct(F.lit("size:" + "|".join(p)).alias("k"),
+                         F.when(~reduce(lambda a, b: a | b, [F.col(c).isNull() for c in p]),
+                                F.to_json(F.array(*[F.col(c).cast("string") for c in p]))).alias("v"))
+                for p in pairs_cols]
     out: dict = {}
     if not entries:
         return out
@@ -121,7 +131,8 @@ def dictionaries(df: DataFrame, dummy_columns=("Topic",), encode_columns=ENCODE_
         for c in dummy_columns:
             if sizes.get(f"dummy:{c}", 0) > max_dummies:
                 raise ValueError(f"{c} has more than {max_dummies} distinct values")
-        small = [k for k, n in sizes.items() if k.startswith("dummy:") or n <= max_inline]
+        small = [k for k, n in sizes.items()
+                 if k.startswith("dummy:") or (k.startswith("enc:") and n <= max_inline)]
         values: dict = {}
         if small:
             for r in pairs.where(F.col("k").isin(small)).collect():
@@ -133,6 +144,8 @@ def dictionaries(df: DataFrame, dummy_columns=("Topic",), encode_columns=ENCODE_
     for c in encode_columns:
         k = f"enc:{c}"
         out[("enc", c)] = sorted(values.get(k, [])) if sizes.get(k, 0) <= max_inline else None
+    for p in pairs_cols:
+        out[("pairs", tuple(p))] = int(sizes.get("size:" + "|".join(p), 0))
     return out
 
 

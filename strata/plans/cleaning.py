@@ -116,7 +116,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_path: str,
 
     staged = stage_cleaned(spark, raw, staging_path or scratch_path(spark, "cleaned"), report)
     dicts = dictionaries(staged)
-    df = impute_unit(staged)
+    df = impute_unit(staged, known_groups=dicts.get(("pairs", ("Topic", "Question"))))
     df = engineer_features(df, topics=dicts.get(("dummy", "Topic")))
     df = encode_categoricals(df, dicts=dicts)
     save_processed(df, out_path, partition_by=partition_by)
