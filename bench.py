@@ -24,6 +24,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from strata.operators import marts as M  # noqa: E402
 from strata.operators import priority as P  # noqa: E402
 from strata.operators import quality as DQ  # noqa: E402
+from strata.operators import ml as ML  # noqa: E402
+from strata.plans import modeling as MD  # noqa: E402
+from strata.constants import RISK_FEATURES  # noqa: E402
 from strata.operators import questions as Q  # noqa: E402
 from strata.operators import reshape as R  # noqa: E402
 from strata.operators import trend as Z  # noqa: E402
@@ -58,6 +61,16 @@ def main() -> None:
         timed("z1_mann_kendall", lambda: Z.mann_kendall(Z.yearly_series(obs)).collect())
         timed("z2_spearman", lambda: Z.spearman(Z.yearly_series(obs)).collect())
         timed("d3_data_quality", lambda: DQ.data_quality(obs).collect())
+        # Modelling lifecycle: state clustering (20 KMeans starts) and the
+        # stratified, class-weighted training frame of the risk classifier.
+        timed("m3_cluster_states", lambda: MD.cluster_states(obs)["assignments"].collect())
+
+        def folds():
+            frame = ML.prepare(ML.labelled(obs, "risk_level"),
+                               ML.available_features(obs, RISK_FEATURES), "risk_level")
+            frame.groupBy("label", "fold").count().collect()
+            frame.unpersist()
+        timed("m6_training_frame", folds)
 
     # Warm-up: one untimed pass of the same workload over a smaller data set
     # (never the measured one), so that JIT compilation, codegen caches and

@@ -39,7 +39,7 @@ from strata.constants import (
 from strata.operators.ranking import ordinal_within
 
 MAX_CLASSES = 1_000
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
 MAX_SILHOUETTE_POINTS = 50_000
 
 
