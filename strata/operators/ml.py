@@ -271,11 +271,27 @@ def silhouette_euclidean(pred: DataFrame, features: str = "features", cluster: s
     return float(s) if s is not None else float("nan")
 
 
+ENTITY_ROWS_PER_PARTITION = 100_000
+
+
+def materialize_small(df: DataFrame, rows_per_partition: int = ENTITY_ROWS_PER_PARTITION) -> DataFrame:
+    """Cache an entity-grain table in as many partitions as its size needs.
+
+    Iterative estimators run one Spark job per step; on an entity table
+    (states x topics) most of the default shuffle partitions would be empty
+    tasks. One count sizes it; large tables keep their partitions.
+    """
+    n = df.count()
+    parts = max(1, math.ceil(n / rows_per_partition))
+    return df.coalesce(parts).cache() if parts < df.rdd.getNumPartitions() else df.cache()
+
+
 def cluster_entities(matrix: DataFrame, key: str, k: int = KMEANS_K, starts: int = KMEANS_STARTS,
                      seed: int = SEED) -> dict:
     """M2-M4: standardise the entity matrix, cluster it, score it."""
     feats = [c for c in matrix.columns if c != key]
     filled = matrix.select(key, *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(c) for c in feats])
+    filled = materialize_small(filled)
     scaled = assemble(apply_standardizer(filled, fit_standardizer(filled, feats)), feats)
     model = kmeans_best_of(scaled, k, starts, seed)
     pred = model.transform(scaled)
