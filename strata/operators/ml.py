@@ -200,6 +200,7 @@ def kmeans_best_of(df: DataFrame, k: int = KMEANS_K, starts: int = KMEANS_STARTS
     """M3: KMeans from ``starts`` seeds, keeping the lowest within-cluster cost
     (Spark has no n_init). The input is cached once for all starts."""
     df = df.cache()
+    df.count()  # fill the cache once, before concurrent starts read it
 
     def fit(i):
         model = KMeans(k=k, seed=seed + i, featuresCol=features, predictionCol="cluster",
