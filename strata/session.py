@@ -72,3 +72,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/strata/{name}-{uuid.uuid4().hex[:12]}"
+
+
+MB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               executor_memory_mb: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of Parquet input.
+
+    * scan splits of ``target_partition_mb`` (``maxPartitionBytes``);
+    * shuffle partitions sized so that one partition is about the target
+      size even if a shuffle carried the whole input (AQE then coalesces the
+      many that carry less), never fewer than two waves of the cluster's
+      cores, capped at 100k to keep map-status metadata bounded;
+    * a per-task memory check: the target must fit in a quarter of one
+      core's share of executor memory, otherwise it is lowered;
+    * AQE skew splitting for partitions over 4x the median and the target.
+    """
+    per_core_mb = executor_memory_mb / max(cores_per_executor, 1)
+    target_mb = int(max(32, min(target_partition_mb, per_core_mb / 4)))
+    slots = executors * cores_per_executor
+    partitions = int(min(100_000, max(2 * slots, input_bytes // (target_mb * MB) + 1)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_mb}m",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": f"{target_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_mb}m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str], keep: tuple = ()) -> None:
+    """Apply runtime SQL settings, except the keys listed in ``keep``
+    (settings the launcher tuned on purpose)."""
+    for key, value in conf.items():
+        if key not in keep:
+            spark.conf.set(key, value)

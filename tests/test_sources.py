@@ -61,3 +61,12 @@ def test_streaming_ingest_matches_batch(spark, tmp_path):
     batch = clean_rows(spark.read.option("header", True).option("escape", '"').schema(schema).csv(src))
     cols = ["Topic", "DataValueAlt", "Latitude", "risk_level", "is_mortality"]
     assert sorted(streamed.select(*cols).collect()) == sorted(batch.select(*cols).collect())
+
+
+def test_scale_conf_bounds():
+    from strata.session import scale_conf
+    big = scale_conf(100 * 10**12, 1000, 8, 32 * 1024)
+    assert big["spark.sql.shuffle.partitions"] == "100000" and big["spark.sql.files.maxPartitionBytes"] == "256m"
+    small = scale_conf(10**9, 4, 8, 2048)
+    assert int(small["spark.sql.shuffle.partitions"]) >= 64
+    assert small["spark.sql.files.maxPartitionBytes"] == "64m"
