@@ -31,7 +31,7 @@ from strata.operators import questions as Q  # noqa: E402
 from strata.operators import reshape as R  # noqa: E402
 from strata.operators import trend as Z  # noqa: E402
 from strata.plans.cleaning import run_pipeline  # noqa: E402
-from strata.session import local_session, scratch_path  # noqa: E402
+from strata.session import apply_conf, local_session, scale_conf, scratch_path  # noqa: E402
 from strata.sources.bridge import obs_raw  # noqa: E402
 
 
@@ -40,6 +40,10 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app_name="strata-bench",
                           extra={"spark.driver.memory": "16g"})
+    # Size-dependent settings from the input volume, as on a cluster.
+    input_bytes = sum(os.path.getsize(os.path.join(sf_dir, f)) for f in os.listdir(sf_dir)
+                      if f.endswith(".parquet"))
+    apply_conf(spark, scale_conf(input_bytes, 1, int(cpus), 16 * 1024))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 

@@ -375,6 +375,27 @@ def _processed(spark, sf_dir):
     return processed(obs_raw(spark, sf_dir))
 
 
+_MEMO: dict = {}
+
+
+def _memo(spark, sf_dir, name, fn):
+    """Share one model fit between the registered queries of one Spark
+    application (m8/m11/d4 use the same cross-validated model, m15/t6 the
+    same forest)."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MEMO:
+        _MEMO[key] = fn()
+    return _MEMO[key]
+
+
+def _mortality(spark, sf_dir):
+    return _memo(spark, sf_dir, "mortality", lambda: ML.train_mortality_model(facts(spark, sf_dir)))
+
+
+def _forest(spark, sf_dir):
+    return _memo(spark, sf_dir, "forest", lambda: MD.fit_risk_forest(_processed(spark, sf_dir)))
+
+
 def _risk_rows(spark, sf_dir):
     return ML.labelled(facts(spark, sf_dir), "risk_level").select(F.col("risk_level").alias("label"))
 
@@ -410,7 +431,7 @@ def m6(spark, sf_dir):
 
 @register("m8_mortality_model")
 def m8(spark, sf_dir):
-    res = ML.train_mortality_model(facts(spark, sf_dir))
+    res = _mortality(spark, sf_dir)
     return spark.createDataFrame(
         [("auc", res["auc"]), ("accuracy", res["accuracy"]), ("macro_f1", res["macro_f1"]),
          ("rows", float(res["rows"])), ("positive_rate", res["positive_rate"])],
@@ -426,7 +447,7 @@ def m9(spark, sf_dir):
 
 @register("m11_classification_report")
 def m11(spark, sf_dir):
-    return ML.train_mortality_model(facts(spark, sf_dir))["report"]
+    return _mortality(spark, sf_dir)["report"]
 
 
 @register("m13_labelled_rows", O.LABELLED_ROWS)
@@ -441,12 +462,12 @@ def m14(spark, sf_dir):
 
 @register("m15_feature_importances")
 def m15(spark, sf_dir):
-    return MD.fit_risk_forest(_processed(spark, sf_dir))
+    return _forest(spark, sf_dir)
 
 
 @register("t6_top_importances")
 def t6(spark, sf_dir):
-    return ML.top_importances(MD.fit_risk_forest(_processed(spark, sf_dir)))
+    return ML.top_importances(_forest(spark, sf_dir))
 
 
 # Cross-validated forests fit six times; the registered checks use fewer
@@ -522,7 +543,7 @@ def d12(spark, sf_dir):
 
 @register("d4_calibration")
 def d4(spark, sf_dir):
-    scored = ML.train_mortality_model(facts(spark, sf_dir))["scored"]
+    scored = _mortality(spark, sf_dir)["scored"]
     rates = DQ.error_rates(scored).first()
     return DQ.calibration(scored).select(
         "bin", "n", "mean_score", "observed_rate",
