@@ -188,6 +188,15 @@ def classification_report(pred: DataFrame, label: str = "label", prediction: str
     return per.select("cls", "precision", "recall", "f1_score", "support").unionByName(summary)
 
 
+def local_copy(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """A small result (reports, metrics) held as local rows, so it no longer
+    depends on cached or persisted inputs. Raises beyond ``max_rows``."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"result larger than {max_rows} rows")
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def report_metric(report: DataFrame, cls: str, metric: str) -> float:
     row = report.filter(F.col("cls") == cls).select(metric).first()
     return float(row[0]) if row and row[0] is not None else float("nan")
@@ -294,14 +303,19 @@ def cluster_entities(matrix: DataFrame, key: str, k: int = KMEANS_K, starts: int
     filled = matrix.select(key, *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(c) for c in feats])
     filled = materialize_small(filled)
     scaled = assemble(apply_standardizer(filled, fit_standardizer(filled, feats)), feats)
-    model = kmeans_best_of(scaled, k, starts, seed)
-    pred = model.transform(scaled)
-    return {
-        "silhouette": silhouette_euclidean(pred),
-        "silhouette_squared": silhouette_squared(pred),
-        "n_clusters": k,
-        "assignments": pred.select(key, *feats, F.col("cluster").cast("int").alias("cluster")),
-    }
+    try:
+        model = kmeans_best_of(scaled, k, starts, seed)
+        pred = model.transform(scaled)
+        result = {
+            "silhouette": silhouette_euclidean(pred),
+            "silhouette_squared": silhouette_squared(pred),
+            "n_clusters": k,
+            "assignments": local_copy(pred.select(key, *feats, F.col("cluster").cast("int").alias("cluster")),
+                                      MAX_SILHOUETTE_POINTS),
+        }
+    finally:
+        filled.unpersist()
+    return result
 
 
 # --- M7 / M8 / M12 / M15 ---------------------------------------------------------------
@@ -382,14 +396,17 @@ def train_mortality_model(df: DataFrame, features=MORTALITY_FEATURES, folds: int
                                   regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
                                   maxIter=max_iter, fitIntercept=True, family="binomial")
 
-    pred = out_of_fold(data, feats, make, folds, standardize=True)
-    scored = pred.select("label", vector_to_array("probability")[1].alias("score"))
-    scored = scored.withColumn("prediction", (F.col("score") >= PROBABILITY_THRESHOLD).cast("int"))
-    auc = roc_auc(scored)
-    report = classification_report(scored)
-    params = fit_standardizer(data, feats)
-    model = make(data).fit(assemble(apply_standardizer(data, params), feats))
-    rates = positive_rate(data).first()
+    try:
+        pred = out_of_fold(data, feats, make, folds, standardize=True)
+        scored = pred.select("label", vector_to_array("probability")[1].alias("score"))
+        scored = scored.withColumn("prediction", (F.col("score") >= PROBABILITY_THRESHOLD).cast("int"))
+        auc = roc_auc(scored)
+        report = local_copy(classification_report(scored))
+        params = fit_standardizer(data, feats)
+        model = make(data).fit(assemble(apply_standardizer(data, params), feats))
+        rates = positive_rate(data).first()
+    finally:
+        data.unpersist()
     return {
         "model": model, "standardizer": params, "auc": auc, "scored": scored,
         "accuracy": report_metric(report, "accuracy", "precision"),
@@ -410,8 +427,8 @@ def train_risk_classifier(df: DataFrame, features=RISK_FEATURES, folds: int = CV
     indexer = StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc").fit(
         rows.select(F.col("risk_level").alias("label")))
     labels = list(indexer.labels)
-    data = prepare(rows, feats, "risk_level", seed, folds)
-    data = indexer.transform(data)
+    prepared = prepare(rows, feats, "risk_level", seed, folds)
+    data = indexer.transform(prepared)
     tiny = [r["label"] for r in tiny_classes(data).collect()]
 
     def make(_train):
@@ -420,11 +437,14 @@ def train_risk_classifier(df: DataFrame, features=RISK_FEATURES, folds: int = CV
                                       featureSubsetStrategy="sqrt", impurity="gini",
                                       maxMemoryInMB=forest_memory_mb(df.sparkSession))
 
-    pred = out_of_fold(data, feats, make, folds)
-    mapping = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(float(i)), F.lit(lab))])
-    named = pred.select("label", mapping[F.col("prediction")].alias("prediction"))
-    report = classification_report(named)
-    model = make(data).fit(assemble(data, feats))
+    try:
+        pred = out_of_fold(data, feats, make, folds)
+        mapping = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(float(i)), F.lit(lab))])
+        named = pred.select("label", mapping[F.col("prediction")].alias("prediction"))
+        report = local_copy(classification_report(named))
+        model = make(data).fit(assemble(data, feats))
+    finally:
+        prepared.unpersist()
     spark = df.sparkSession
     imp = model.featureImportances.toArray().tolist()
     importances = spark.createDataFrame([(f, float(v)) for f, v in zip(feats, imp)],

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.constants import DOCUMENTED_WEIGHTS, PRIORITY_WEIGHTS
 from strata.functions.numeric import exact_mean, flag_rate, relative_change
 from strata.operators.ranking import TARGET_BUCKET_ROWS, percent_rank
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, scratch_path
 
 SEGMENT = ("state", "disease_topic")
 
@@ -76,14 +76,20 @@ PRIORITY_COLUMNS = (
 )
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by a reliable checkpoint to the shared checkpoint folder.
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Cut lineage with a written table in the shared checkpoint folder.
 
-    Used for small aggregated tables that several jobs read, so the large
-    scan below them runs once and a lost executor does not re-trigger it.
+    Used for tables that several jobs read (and for frames carrying
+    generated ids), so the plan below them runs once — one write job, unlike
+    an eager ``checkpoint()`` that computes an unpersisted input twice — and
+    a lost executor re-reads files instead of re-running the plan. The
+    result is a plain Parquet scan: column pruning and filter pushdown apply.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def intervention_priority(obs: DataFrame, weights: dict = PRIORITY_WEIGHTS,
