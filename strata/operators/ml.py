@@ -122,6 +122,9 @@ def with_folds(df: DataFrame, label: str = "label", folds: int = CV_FOLDS, seed:
     return ranked.withColumn(out, F.pmod(F.col("_pos"), F.lit(folds)).cast("int")).drop("_h", "_pos")
 
 
+TRAINING_ROWS_PER_PARTITION = 1_000_000
+
+
 def labelled(df: DataFrame, label: str) -> DataFrame:
     """Rows whose label is known."""
     return df.dropna(subset=[label])
@@ -284,16 +287,24 @@ def silhouette_euclidean(pred: DataFrame, features: str = "features", cluster: s
 ENTITY_ROWS_PER_PARTITION = 100_000
 
 
+def right_sized(df: DataFrame, n_rows: int, rows_per_partition: int) -> DataFrame:
+    """Coalesce to about ``rows_per_partition`` rows per partition (never up)."""
+    parts = max(1, math.ceil(n_rows / rows_per_partition))
+    return df.coalesce(parts) if parts < df.rdd.getNumPartitions() else df
+
+
 def materialize_small(df: DataFrame, rows_per_partition: int = ENTITY_ROWS_PER_PARTITION) -> DataFrame:
-    """Cache an entity-grain table in as many partitions as its size needs.
+    """Prepare an entity-grain table for an iterative estimator.
 
-    Iterative estimators run one Spark job per step; on an entity table
-    (states x topics) most of the default shuffle partitions would be empty
-    tasks. One count sizes it; large tables keep their partitions.
+    Iterative estimators run many Spark jobs. Each job re-plans its input,
+    and each task is tracked by the driver, so the input should have a short
+    plan and no empty tasks. The table is written to the shared checkpoint
+    folder (lineage cut: a Parquet scan instead of the whole cleaning plan),
+    coalesced to the partitions its size needs, and cached.
     """
-    n = df.count()
-    parts = max(1, math.ceil(n / rows_per_partition))
-    return df.coalesce(parts).cache() if parts < df.rdd.getNumPartitions() else df.cache()
+    from strata.operators.priority import materialize
+    stored = materialize(df, "entities")
+    return right_sized(stored, stored.count(), rows_per_partition).cache()
 
 
 def cluster_entities(matrix: DataFrame, key: str, k: int = KMEANS_K, starts: int = KMEANS_STARTS,
@@ -372,11 +383,17 @@ def out_of_fold(df: DataFrame, features: list[str], make, folds: int = CV_FOLDS,
 
 def prepare(df: DataFrame, features: list[str], label: str, seed: int = SEED, folds: int = CV_FOLDS) -> DataFrame:
     """Features + label, balanced weights and stratified folds, computed once
-    (lineage cut at the fold checkpoint) and kept for every fold fit."""
-    frame = with_folds(with_class_weights(feature_frame(df, features, label)), seed=seed, folds=folds)
-    # Deterministic from the checkpoint inside with_folds: a plain persist
-    # suffices for the repeated fold fits.
-    return frame.persist()
+    and kept for every fold fit."""
+    from strata.operators.priority import materialize
+
+    # Written once (ids, weights and folds frozen, lineage cut), then sized
+    # and kept in memory for the repeated fold fits: every optimizer
+    # iteration is a job over a short plan with no empty tasks.
+    frame = materialize(with_folds(with_class_weights(feature_frame(df, features, label)),
+                                   seed=seed, folds=folds), "training-frame")
+    frame = right_sized(frame, frame.count(), TRAINING_ROWS_PER_PARTITION).persist()
+    frame.count()
+    return frame
 
 
 def train_mortality_model(df: DataFrame, features=MORTALITY_FEATURES, folds: int = CV_FOLDS,

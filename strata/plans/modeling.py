@@ -23,16 +23,22 @@ def fit_risk_forest(processed: DataFrame, trees: int = FOREST_TREES, depth: int
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import StringIndexer
 
+    from strata.operators.priority import materialize
+
     feats = ml.available_features(processed, RISK_FEATURES)
     rows = ml.labelled(processed, "risk_level")
-    data = ml.with_class_weights(ml.feature_frame(rows, feats, "risk_level"))
-    data = StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc").fit(
-        data).transform(data)
-    model = RandomForestClassifier(featuresCol="features", labelCol="label_idx", weightCol="weight",
-                                   numTrees=trees, maxDepth=depth, seed=seed,
-                                   featureSubsetStrategy="sqrt",
-                                   maxMemoryInMB=ml.forest_memory_mb(processed.sparkSession)
-                                   ).fit(ml.assemble(data, feats))
+    stored = materialize(ml.with_class_weights(ml.feature_frame(rows, feats, "risk_level")), "forest-frame")
+    sized = ml.right_sized(stored, stored.count(), ml.TRAINING_ROWS_PER_PARTITION).persist()
+    try:
+        data = StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc").fit(
+            sized).transform(sized)
+        model = RandomForestClassifier(featuresCol="features", labelCol="label_idx", weightCol="weight",
+                                       numTrees=trees, maxDepth=depth, seed=seed,
+                                       featureSubsetStrategy="sqrt",
+                                       maxMemoryInMB=ml.forest_memory_mb(processed.sparkSession)
+                                       ).fit(ml.assemble(data, feats))
+    finally:
+        sized.unpersist()
     imp = model.featureImportances.toArray().tolist()
     return processed.sparkSession.createDataFrame(
         [(f, float(v)) for f, v in zip(feats, imp)], "feature string, importance double").orderBy(
