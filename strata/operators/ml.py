@@ -17,7 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator  # noqa: F401
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -143,11 +143,27 @@ def positive_rate(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> float:
-    """Exact ROC AUC (numBins=0: no down-sampling of thresholds)."""
-    ev = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label,
-                                       metricName="areaUnderROC", numBins=0)
-    return float(ev.evaluate(scored.select(F.col(score).cast("double").alias(score),
-                                           F.col(label).cast("double").alias(label))))
+    """Exact, tie-aware ROC AUC as a Mann-Whitney rank sum.
+
+    AUC = (sum of positive ranks - P(P+1)/2) / (P * N), ties taking their
+    average rank. Ranks come from the distributed prefix counts in
+    :mod:`strata.operators.ranking` over distinct scores, so no threshold
+    is down-sampled and no single task sorts every score.
+    """
+    from strata.operators.ranking import value_ranks
+
+    s = scored.select(F.col(score).cast("double").alias("_s"), F.col(label).cast("int").alias("_y"))
+    per = s.groupBy("_s").agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_p"))
+    ranks = value_ranks(s.select("_s"), "_s")
+    avg_rank = F.col("_below").cast("double") + (F.col("_n").cast("double") + F.lit(1.0)) / F.lit(2.0)
+    row = per.join(ranks, "_s").agg(
+        F.sum(F.col("_p").cast("double") * avg_rank).alias("rank_sum"),
+        F.sum("_p").alias("pos"), F.sum("_n").alias("rows")).first()
+    pos = float(row["pos"] or 0)
+    neg = float((row["rows"] or 0) - (row["pos"] or 0))
+    if pos == 0 or neg == 0:
+        return float("nan")
+    return (float(row["rank_sum"]) - pos * (pos + 1) / 2.0) / (pos * neg)
 
 
 def classification_report(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -80,3 +80,16 @@ def test_standardizer_population_std(spark):
     out = [(r.a, r.b) for r in ML.apply_standardizer(df, params).collect()]
     s = (2 / 3) ** 0.5
     assert out == [pytest.approx((-1 / s, 0.0)), pytest.approx((0.0, 0.0)), pytest.approx((1 / s, 0.0))]
+
+
+def test_roc_auc_matches_evaluator_and_pairs(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    rows = [(0.1, 0), (0.4, 0), (0.35, 1), (0.8, 1), (0.4, 1), (0.4, 0), (0.9, 1), (0.2, 0), (0.6, 0)]
+    df = spark.createDataFrame(rows, "score double, label int")
+    got = ML.roc_auc(df)
+    pos = [sc for sc, y in rows if y == 1]
+    neg = [sc for sc, y in rows if y == 0]
+    pairs = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg) / (len(pos) * len(neg))
+    assert got == pytest.approx(pairs)
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    assert got == pytest.approx(ev.evaluate(df.withColumn("label", F.col("label").cast("double"))))
