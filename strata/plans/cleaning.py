@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.constants import MIN_CLEAN_ROWS
@@ -61,40 +61,44 @@ def stage_cleaned(spark: SparkSession, raw: DataFrame, path: str,
                   report: CleanReport | None = None, min_rows: int = MIN_CLEAN_ROWS) -> DataFrame:
     """C1-C8 in one pass over the raw input, written to ``path``.
 
-    The raw input (CSV parse, bridge joins) is read exactly once. The gate
-    and drop counts are collected by ``Observation`` metrics during that
-    write instead of by separate aggregate jobs. Entirely-missing columns are
-    dropped from the staged table as it is read back, and the size gate
-    raises before anything else runs.
+    The raw input (CSV parse, bridge joins) is read exactly once: every row
+    is written with two flags (has a value / is kept). The gate and drop
+    counts then come from one aggregate over the staged Parquet (flags and
+    null counts only), entirely-missing columns are dropped, the size gate
+    raises before anything else runs, and the kept rows are read back through
+    a filter that Parquet pushes down.
     """
     typed = coerce_numeric(raw)
     require_column(typed, "DataValueAlt")
     keep_value = F.col("DataValueAlt").isNotNull()
     keep = keep_value & F.col("GeoLocation").isNotNull() if "GeoLocation" in typed.columns else keep_value
-    seen = Observation("clean_input")
-    typed = typed.observe(seen, F.count(F.lit(1)).alias("rows_in"),
-                          F.count(F.when(~keep_value, 1)).alias("no_value"),
-                          F.count(F.when(keep_value & ~keep, 1)).alias("no_location"))
-    kept = drop_listed_columns(typed.filter(keep))
-    cols = kept.columns
-    kept_obs = Observation("clean_output")
-    kept = kept.observe(kept_obs, F.count(F.lit(1)).alias("rows_out"),
-                        *[F.count(F.col(f"`{c}`")).alias(f"nn_{i}") for i, c in enumerate(cols)])
-    parse_geolocation(kept).write.mode("overwrite").parquet(path)
-
-    m_in, m_out = seen.get, kept_obs.get
-    rows_out = int(m_out["rows_out"])
-    empty = [c for i, c in enumerate(cols) if int(m_out[f"nn_{i}"]) == 0]
+    flagged = drop_listed_columns(typed).withColumns({"_has_value": keep_value, "_keep": keep})
+    parse_geolocation(flagged).write.mode("overwrite").parquet(path)
+
+    stored = spark.read.parquet(path)
+    # Entirely-missing columns are judged on the cleaned input columns (the
+    # parsed coordinates are added after that step, as in the reference).
+    cols = [c for c in drop_listed_columns(typed).columns if c in stored.columns]
+    kept_flag = F.col("_keep")
+    row = stored.agg(
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count(F.when(~F.col("_has_value"), 1)).alias("no_value"),
+        F.count(F.when(F.col("_has_value") & ~kept_flag, 1)).alias("no_location"),
+        F.count(F.when(kept_flag, 1)).alias("rows_out"),
+        *[F.count(F.when(kept_flag, F.col(f"`{c}`"))).alias(f"nn_{i}") for i, c in enumerate(cols)],
+    ).first()
+    rows_out = int(row["rows_out"])
+    empty = [c for i, c in enumerate(cols) if int(row[f"nn_{i}"]) == 0]
     if report is not None:
-        report.rows_in = int(m_in["rows_in"])
-        report.dropped_missing_value = int(m_in["no_value"])
-        report.dropped_missing_location = int(m_in["no_location"])
+        report.rows_in = int(row["rows_in"])
+        report.dropped_missing_value = int(row["no_value"])
+        report.dropped_missing_location = int(row["no_location"])
         report.rows_out = rows_out
         report.dropped_columns = [c for c in raw.columns if c not in drop_listed_columns(raw).columns]
         report.empty_columns = empty
     check_min_rows(rows_out, min_rows)
-    staged = spark.read.parquet(path)
-    return staged.drop(*[c for c in empty if c in staged.columns]) if empty else staged
+    staged = stored.filter(kept_flag).drop("_has_value", "_keep")
+    return staged.drop(*empty) if empty else staged
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, out_path: str,
