@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import neardup
+from strata.llm import decontam, mixing, neardup, oracle, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,6 +26,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_source_mixing", oracle.MIXING)
+def op1(spark, sf_dir):
+    rows = mixing.mixed(table(spark, sf_dir, "documents"), ["doc_id"])
+    return rows.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
+                       F.col("mix_target").alias("target"),
+                       (F.col("mix_copies") * F.col("mix_size")).alias("taken"))
+
+
+@register("op4_spaced_seed_decontamination")
+def op4(spark, sf_dir):
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 @register("op5_odd_sketch_dedup")
 def op5(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op9_quality_rules")
+def op9(spark, sf_dir):
+    return quality.quality_verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id", *quality.BASE, "base_failed", "kept", "class_distance", "word_distance")

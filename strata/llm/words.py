@@ -37,8 +37,8 @@ def seeds(n: int, start: int) -> np.ndarray:
 
 _BASE = _U(0x9E3779B97F4A7C15)
 _INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTES = seeds(256, 1)
 _LOWERED = _BYTES.copy()
 _LOWERED[65:91] = _BYTES[97:123]
@@ -56,10 +56,10 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def _stretch(data: np.ndarray, breaks: np.ndarray, table: np.ndarray):
+def _stretch(data: np.ndarray, breaks: np.ndarray, table: np.ndarray, separators: np.ndarray):
     """Hashes, starts and ends of the words of one stretch. ``breaks``:
     positions where a text begins, so no word runs over them."""
-    word = ~_SPACE[data]
+    word = ~separators[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
     inside = breaks[breaks < len(data)]
@@ -79,22 +79,23 @@ def _stretch(data: np.ndarray, breaks: np.ndarray, table: np.ndarray):
 def _cut(data: np.ndarray, at: int, end: int, stop: int) -> int:
     """Last white space before ``end``, or the next one after a word that
     fills the whole stretch."""
-    gaps = np.flatnonzero(_SPACE[data[at:end]])
+    gaps = np.flatnonzero(SPACE[data[at:end]])
     if len(gaps):
         return at + int(gaps[-1]) + 1
     while end < stop:
-        after = np.flatnonzero(_SPACE[data[end:end + STRETCH]])
+        after = np.flatnonzero(SPACE[data[end:end + STRETCH]])
         if len(after):
             return end + int(after[0])
         end = min(end + STRETCH, stop)
     return stop
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
+def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, separators: np.ndarray = SPACE):
     """Words of the texts ``data[offsets[i]:offsets[i + 1]]``.
 
     Returns their hashes, their byte ranges in ``data`` and how many each text
-    has. ``lower`` hashes A-Z like a-z.
+    has. ``lower`` hashes A-Z like a-z. ``separators`` flags the bytes that stand
+    between words; white space must be among them.
     """
     table = _LOWERED if lower else _BYTES
     base, stop = int(offsets[0]), int(offsets[-1])
@@ -102,10 +103,10 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     with np.errstate(over="ignore"):
         while at < stop:
             end = min(at + STRETCH, stop)
-            if end < stop and not _SPACE[data[end]]:
+            if end < stop and not SPACE[data[end]]:
                 end = _cut(data, at, end, stop)
             inner = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, end)] - at
-            h, s, e = _stretch(data[at:end], inner, table)
+            h, s, e = _stretch(data[at:end], inner, table, separators)
             parts.append((h, s + at, e + at))
             at = end
     if not parts:
