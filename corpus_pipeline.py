@@ -1,16 +1,49 @@
 """Training-data pipeline over ``documents``.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is
-written as Parquet and read again as the next stage's ``docs``.
+written as Parquet and read again as the next stage's ``docs``. All but the
+last return the columns of ``documents``; the last returns one row per record
+of the token files it wrote, read back from them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm import decontam, mixing, neardup, quality, records
 from strata.llm.components import stored
+from strata.session import scratch_path
 
-STAGES = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.quality_filter(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.deduplicated(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.sampled(docs)
+
+
+def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "records")
+    records.write_records(docs, path, records.tokenizer_path())
+    return records.read_records(spark, path)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing to target weights", source_mix),
+    ("token-ID binary output", token_records),
+]
 
 #: Tokenisation has no SQL form; ``tests/llm`` holds a brute-force version.
 ORACLE_SQL = None

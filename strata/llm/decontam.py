@@ -242,3 +242,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found.groupBy("doc_id", "text_hash", "item_id").agg(
         *(F.max_by(c, F.struct("matched_words", "overlap", -F.col("first_word"))).alias(c)
           for c in ("item_words", "matched_words", "overlap", "first_word", "last_word")))
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that no benchmark item contaminates, all columns.
+    The list of contaminated rows is written first, so its size is known when
+    Spark chooses the join: sent to all tasks if small, shuffled otherwise."""
+    found = contaminated(docs, benchmark)
+    bad = stored(found.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                              "text_hash").distinct(), "contaminated")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                       F.xxhash64("text").alias("text_hash"))
+    return rows.join(bad, ["no_id", "id", "text_hash"], "left_anti").select("row.*")

@@ -111,3 +111,11 @@ def mixed(docs: DataFrame, payload: list[str]) -> DataFrame:
     return placed.select("row.*", F.col("size").alias("mix_size"), F.col("source_size").alias("mix_source_size"),
                          F.col("target").alias("mix_target"),
                          (_passed(F.col("place") + 1) - _passed(F.col("place"))).alias("mix_copies"))
+
+
+def sampled(docs: DataFrame) -> DataFrame:
+    """``docs`` as the mix takes it: each row as often as it was drawn."""
+    rows = mixed(docs.withColumn("mix_row", F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
+                 .select("mix_row", "doc_id", "source", "text"), ["mix_row"])
+    taken = rows.filter("mix_copies > 0").select("mix_row", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
+    return taken.select("mix_row.*")

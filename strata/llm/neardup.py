@@ -55,7 +55,7 @@ _BAND, _ROW = seeds(BANDS, 5000), seeds(ROWS, 6000) | _U(1)
 _DIGEST = seeds(2, 7000)
 _LANES = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
-FEATURES = ("doc_id long, n long, digest binary, bands array<long>, "
+FEATURES = ("doc_id long, text_hash long, n long, digest binary, bands array<long>, "
             + ", ".join(f"{lane} long" for lane in _LANES))
 SETS = "digest binary, shingles array<long>"
 
@@ -128,7 +128,7 @@ def _text_sets(batch, column: int):
 
 def _features(batches):
     for batch in batches:
-        for i, j, flat, sizes, some, starts in _text_sets(batch, 1):
+        for i, j, flat, sizes, some, starts in _text_sets(batch, 2):
             n = len(sizes)
             bands = np.zeros((0, BANDS), dtype=_U)
             sketch = np.zeros((n, len(_LANES)), dtype=np.int64)
@@ -137,10 +137,10 @@ def _features(batches):
                 digest = digests(flat, starts)
                 bands, sketch[some] = _sketches(flat, starts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), pa.array(sizes), _binary(digest, some),
+                [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(sizes), _binary(digest, some),
                  _lists(bands.ravel(), np.where(some, BANDS, 0))]
                 + [pa.array(sketch[:, k]) for k in range(len(_LANES))],
-                names=["doc_id", "n", "digest", "bands", *_LANES])
+                names=["doc_id", "text_hash", "n", "digest", "bands", *_LANES])
 
 
 def _sets(batches):
@@ -181,14 +181,13 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
     return both.filter(100 * shared >= THRESHOLD_PERCENT * total).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``.
-
-    ``component_id`` is the smallest ``doc_id`` that links reach, ``kept`` says
-    whether it is the row's own. See the module text for nulls and ties.
-    """
+def clustered(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text_hash, n, cluster, component_id)`` for every row of
+    ``docs``. ``cluster`` names the component, null for a row without words;
+    ``component_id`` is its smallest ``doc_id``, or the row's own."""
     docs = docs.select("doc_id", "text")
-    features = stored(docs.mapInArrow(_features, FEATURES), "features")
+    features = stored(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+                      .mapInArrow(_features, FEATURES), "features")
     classes = stored(
         features.filter("n > 0").groupBy("digest").agg(
             F.min("doc_id").alias("doc_id"),
@@ -231,10 +230,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     "linked")
     smallest = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_digest = (classes.select("digest", F.col("doc_id").alias("own"))
-                 .join(linked.select("digest", "root").join(smallest, "root").drop("root"), "digest", "left")
-                 .select("digest", F.coalesce("component_id", "own").alias("component_id"),
-                         F.lit(True).alias("has_words")))
-    joined = features.select("doc_id", "n", "digest").join(by_digest, "digest", "left")
-    component = F.when(F.col("has_words"), F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                         F.col("doc_id").eqNullSafe(component).alias("kept"))
+                 .join(linked.select("digest", "root").join(smallest, "root"), "digest", "left")
+                 .select("digest", F.coalesce("root", "digest").alias("cluster"),
+                         F.coalesce("component_id", "own").alias("smallest")))
+    joined = features.select("doc_id", "text_hash", "n", "digest").join(by_digest, "digest", "left")
+    component = F.when(F.col("cluster").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
+    return joined.select("doc_id", "text_hash", "n", "cluster", component.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``.
+
+    ``component_id`` is the smallest ``doc_id`` that links reach, ``kept`` says
+    whether it is the row's own. See the module text for nulls and ties.
+    """
+    return clustered(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id",
+                                  F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: the smallest ``doc_id`` (nulls
+    last), one row if that repeats. Rows without words all stay."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                       F.xxhash64("text").alias("text_hash"),
+                       F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)).alias("has_words"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                           "text_hash")).alias("first")
+    chosen = clustered(docs).filter("cluster IS NOT NULL").groupBy("cluster").agg(first).select("first.*")
+    keys = ["no_id", "id", "text_hash"]
+    kept = rows.filter("has_words").join(chosen, keys).groupBy(keys).agg(F.first("row").alias("row"))
+    return kept.select("row.*").union(rows.filter("NOT has_words").select("row.*"))

@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.llm.components import stored
 from strata.llm.words import SPACE, hash_words, mix64, runs, seeds, text_buffers
@@ -203,34 +204,52 @@ SCHEMA = ("doc_id long, " + ", ".join(f"{c} long" for c in BASE)
           + ", base_failed boolean, class_distance double, word_distance double, kept boolean")
 
 
-def _verdicts(references):
-    def run(batches):
-        for batch in batches:
-            langs = batch.column(1).to_pylist()
-            rows = []
-            lowered = _each_text(batch, 2, True)
-            for (row, text, hashes), (_, _, low) in zip(_each_text(batch, 2, False), lowered, strict=True):
-                base = _base(text, hashes)
-                n, repeated = base[0], base[4]
-                failed = n < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n
-                c = w = None
-                kept = not failed
-                if kept and references:
-                    classes, buckets = _classes(text).astype(float), _bucket(low)
-                    own = references.get(langs[row])
-                    best = _excess(classes, buckets, own) if own else None
-                    if not best or best[2] > 0:
-                        others = [_excess(classes, buckets, r) for r in references.values()]
-                        best = min([*others, *([best] if best else [])], key=lambda x: x[2])
-                    c, w, over = best
-                    kept = over <= 0
-                rows.append((*base, failed, c, w, kept))
-            columns = list(zip(*rows, strict=True)) or [()] * 9
-            kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0)] + [pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)],
-                names=["doc_id", *BASE, "base_failed", "class_distance", "word_distance", "kept"])
-    return run
+def _verdict_rows(references: dict, batch, lang: int, text: int) -> list[tuple]:
+    """A tuple as in ``SCHEMA``, without ``doc_id``, for every row of a batch."""
+    langs = batch.column(lang).to_pylist()
+    rows = []
+    for (row, content, hashes), (_, _, low) in zip(
+            _each_text(batch, text, False), _each_text(batch, text, True), strict=True):
+        base = _base(content, hashes)
+        n, repeated = base[0], base[4]
+        failed = n < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n
+        c = w = None
+        kept = not failed
+        if kept and references:
+            classes, buckets = _classes(content).astype(float), _bucket(low)
+            own = references.get(langs[row])
+            best = _excess(classes, buckets, own) if own else None
+            if not best or best[2] > 0:
+                others = [_excess(classes, buckets, r) for r in references.values()]
+                best = min(others, key=lambda x: x[2])
+            c, w, over = best
+            kept = over <= 0
+        rows.append((*base, failed, c, w, kept))
+    return rows
+
+
+def _verdicts(references, batches):
+    kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
+    for batch in batches:
+        columns = list(zip(*_verdict_rows(references, batch, 1, 2), strict=True)) or [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0)] + [pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)],
+            names=["doc_id", *BASE, "base_failed", "class_distance", "word_distance", "kept"])
+
+
+def _passing(references, batches):
+    for batch in batches:
+        kept = [r[-1] for r in _verdict_rows(references, batch, 0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column(2).filter(pa.array(kept, type=pa.bool_()))], names=["row"])
+
+
+def quality_filter(docs: DataFrame, references: dict | None = None) -> DataFrame:
+    """The rows of ``docs`` that :func:`quality_verdicts` keeps, all columns."""
+    if references is None:
+        references = language_references(docs)
+    rows = docs.select(F.col("lang"), F.col("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    out = StructType([rows.schema["row"]])
+    return rows.mapInArrow(lambda batches: _passing(references, batches), out).select("row.*")
 
 
 def quality_verdicts(docs: DataFrame, references: dict | None = None) -> DataFrame:
@@ -238,4 +257,5 @@ def quality_verdicts(docs: DataFrame, references: dict | None = None) -> DataFra
     two distances (null where the base rules failed) and ``kept``."""
     if references is None:
         references = language_references(docs)
-    return docs.select("doc_id", "lang", "text").mapInArrow(_verdicts(references), SCHEMA)
+    return docs.select("doc_id", "lang", "text").mapInArrow(
+        lambda batches: _verdicts(references, batches), SCHEMA)

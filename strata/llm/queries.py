@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, mixing, neardup, oracle, quality
+from strata.llm import decontam, mixing, neardup, oracle, quality, records
+from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,6 +45,13 @@ def op5(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register("op6_binary_records")
+def op6(spark, sf_dir):
+    path = scratch_path(spark, "op6")
+    records.write_records(table(spark, sf_dir, "documents"), path, records.tokenizer_path())
+    return records.read_records(spark, path)
+
+
 @register("op9_quality_rules")
 def op9(spark, sf_dir):
     return quality.quality_verdicts(table(spark, sf_dir, "documents")).select(
