@@ -39,3 +39,24 @@ SELECT doc_id, size, source_size, target,
        size * (((start + (place + 1) * step) >> 28) - ((start + place * step) >> 28)) AS taken
 FROM placed
 """
+
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), blocks AS (
+  SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before FROM turns
+), sized AS (
+  SELECT *, length(regexp_replace(text, '<(\\*)(turn|/turn|part)', '<\\\1\2', 'g'))
+       + CASE WHEN before = role THEN 6
+              ELSE 7 + 8 + length(role) + length(regexp_replace(role, '[^<>\\]', '', 'g')) END AS chars
+  FROM blocks
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
