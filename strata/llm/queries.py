@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontam, mixing, neardup, oracle, quality, records
+from strata.llm import chat, decontam, langid, mixing, neardup, oracle, quality, records
 from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,15 @@ def op6(spark, sf_dir):
 def op9(spark, sf_dir):
     return quality.quality_verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id", *quality.BASE, "base_failed", "kept", "class_distance", "word_distance")
+
+
+def remainder(divisor: int):
+    """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
+
+
+@register("op10_language_id")
+def op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(5) == 0
+    return langid.identified(docs, langid.fitted(docs, ~held_out), held_out)
