@@ -5,21 +5,22 @@
   five words. A document without words has an empty set and links to nothing.
 * Documents with equal sets form one class; a class is one node from then on,
   so thousands of copies cost one node.
-* Each class has ``BANDS * ROWS`` MinHash samples. Bands propose candidates; an
-  odd sketch (a bitmap in which every sample flips one bit) estimates their
-  similarity: two sketches differ in about
+* Each class has ``BANDS`` keys of ``ROWS`` MinHash samples that propose
+  candidates, and an odd sketch that estimates their similarity: a bitmap in
+  which each of ``k`` further samples flips one bit. Two sketches differ in about
   ``bits / 2 * (1 - exp(-4 k (1 - J) / bits))`` bits. Candidates that it puts
   far below the threshold go; the rest is confirmed on the full sets.
 * Candidates are found without listing all pairs of a band's members. First
-  every member is compared with the smallest member of its band. Where that
-  leaves members of one band in different components, each member outside the
-  smallest member's component is compared with the members of the other
+  every member is compared with its band's star, the member that shares bands
+  with most others: in a group of near copies that is their common original.
+  Where that leaves members of one band in different components, each member
+  outside the star's component is compared with the members of the other
   components. Every pair that shares a band is thus either in one component
   already or compared.
 
 At Jaccard 0.85 a pair shares no band with probability 4e-7 (25 bands of 5
-rows), and the sketch drops a pair at the threshold with probability about
-1e-5, being cut more than four deviations below it.
+rows), and the sketch, cut four deviations below it, drops one with
+probability 2e-5.
 
 Nulls: a null text has no words. Rows with a null ``doc_id`` take part by
 their text; they get the smallest non-null id of their component, or null.
@@ -41,16 +42,16 @@ from strata.llm.words import hash_words, mix64, runs, seeds, text_buffers
 
 SHINGLE = 5
 ROWS, BANDS = 5, 25
-SAMPLES = ROWS * BANDS
-SKETCH_BITS = 512
+SKETCH_SAMPLES, SKETCH_BITS = 512, 1024
 THRESHOLD_PERCENT = 85
 #: Candidates whose estimated similarity is below this are dropped.
-SKETCH_FLOOR = 0.70
+SKETCH_FLOOR = 0.77
 
 _U = np.uint64
 _SHINGLE = seeds(SHINGLE, 1000) | _U(1)
-_MUL, _ADD = seeds(SAMPLES, 2000) | _U(1), seeds(SAMPLES, 3000)
-_BIT = seeds(SAMPLES, 4000)
+_MUL, _ADD = seeds(ROWS * BANDS, 2000) | _U(1), seeds(ROWS * BANDS, 3000)
+_MUL32 = (seeds(SKETCH_SAMPLES, 10_000) | _U(1)).astype(np.uint32)
+_ADD32, _BIT = seeds(SKETCH_SAMPLES, 11_000).astype(np.uint32), seeds(SKETCH_SAMPLES, 12_000)
 _BAND, _ROW = seeds(BANDS, 5000), seeds(ROWS, 6000) | _U(1)
 _DIGEST = seeds(2, 7000)
 _LANES = [f"s{i}" for i in range(SKETCH_BITS // 64)]
@@ -92,14 +93,17 @@ def _sketches(flat: np.ndarray, starts: np.ndarray):
     """Band keys (sets x BANDS) and odd sketches (sets x lanes) of non-empty sets."""
     n = len(starts)
     bands = np.zeros((n, BANDS), dtype=_U)
-    flips = np.empty((n, SAMPLES), dtype=np.int64)
+    flips = np.empty((n, SKETCH_SAMPLES), dtype=np.int64)
     rows = np.arange(n, dtype=np.int64) * SKETCH_BITS
+    short = (flat >> _U(32)).astype(np.uint32)
     with np.errstate(over="ignore"):
-        for i in range(SAMPLES):
+        for i in range(ROWS * BANDS):
             low = np.minimum.reduceat(flat * _MUL[i] + _ADD[i], starts)
             bands[:, i // ROWS] += mix64(low) * _ROW[i % ROWS]
-            flips[:, i] = rows + (mix64(low ^ _BIT[i]) >> _U(64 - int(math.log2(SKETCH_BITS)))).astype(np.int64)
         bands = mix64(bands + _BAND)
+        for i in range(SKETCH_SAMPLES):
+            low = np.minimum.reduceat(short * _MUL32[i] + _ADD32[i], starts).astype(_U)
+            flips[:, i] = rows + (mix64(low ^ _BIT[i]) >> _U(64 - int(math.log2(SKETCH_BITS)))).astype(np.int64)
     parity = np.bincount(flips.ravel(), minlength=n * SKETCH_BITS) & 1
     return bands, np.packbits(parity.astype(np.uint8).reshape(n, -1), axis=1).view(np.int64)
 
@@ -154,7 +158,7 @@ def _sets(batches):
 
 def max_differing_bits(floor: float = SKETCH_FLOOR) -> int:
     """Sketch bits in which a pair of similarity ``floor`` differs on average."""
-    return int(SKETCH_BITS / 2 * (1 - math.exp(-4 * SAMPLES * (1 - floor) / SKETCH_BITS)))
+    return int(SKETCH_BITS / 2 * (1 - math.exp(-4 * SKETCH_SAMPLES * (1 - floor) / SKETCH_BITS)))
 
 
 def _similar(a: str, b: str) -> str:
@@ -194,11 +198,14 @@ def clustered(docs: DataFrame) -> DataFrame:
             *(F.first(c).alias(c) for c in ("n", "bands", *_LANES))), "classes")
 
     members = classes.select("digest", F.posexplode("bands").alias("band_no", "key"))
-    stars = (members.groupBy("band_no", "key")
-             .agg(F.min("digest").alias("star"), F.count(F.lit(1)).alias("size"))
-             .filter("size > 1").drop("size"))
-    members = stored(members.join(stars, ["band_no", "key"]), "members")
-    facts = classes.select("digest", "n", *_LANES)
+    sizes = members.groupBy("band_no", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = stored(members.join(sizes, ["band_no", "key"]), "members")
+    weight = members.groupBy("digest").agg(F.sum("size").alias("weight"))
+    stars = (members.join(weight, "digest").groupBy("band_no", "key")
+             .agg(F.max(F.struct("weight", "digest")).alias("star"))
+             .select("band_no", "key", F.col("star.digest").alias("star")))
+    members = stored(members.drop("size").join(stars, ["band_no", "key"]), "members")
+    facts = classes.select("digest", "n", "bands", *_LANES)
 
     pairs = (members.filter("digest <> star")
              .select(F.col("digest").alias("a"), F.col("star").alias("b")).distinct()
@@ -217,10 +224,12 @@ def clustered(docs: DataFrame) -> DataFrame:
     if not rest.isEmpty():
         open_bands = rest.select("band_no", "key").distinct()
         others = labelled.join(open_bands, ["band_no", "key"], "left_semi").join(facts, "digest")
+        # A pair counts in the first band it shares only.
+        once = "array_position(zip_with(x.bands, y.bands, (p, q) -> p = q), true) = x.band_no + 1"
         more = (rest.alias("x").join(
             others.alias("y"),
             F.expr("x.band_no = y.band_no AND x.key = y.key AND x.comp <> y.comp "
-                   f"AND y.digest <> x.star AND {_similar('x', 'y')}"))
+                   f"AND y.digest <> x.star AND {_similar('x', 'y')} AND {once}"))
             .select(F.greatest("x.digest", "y.digest").alias("a"),
                     F.least("x.digest", "y.digest").alias("b")).distinct())
         links = stored(links.union(_confirmed(stored(more, "pairs"), classes, docs)), "confirmed")
