@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontam, langid, mixing, neardup, oracle, quality, records
+from strata.llm import chat, decontam, langid, mixing, neardup, oracle, quality, records, toxicity
 from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,20 @@ def op1(spark, sf_dir):
                        (F.col("mix_copies") * F.col("mix_size")).alias("taken"))
 
 
+def remainder(divisor: int):
+    """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
+
+
+@register("op2_toxic_segments")
+def op2(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = remainder(3) == 1
+    rows = toxicity.scored(docs, toxicity.fitted(docs, labels, ~held_out), held_out)
+    return rows.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+                       F.size("passages").cast("long").alias("n_passages"))
+
+
 @register("op3_chat_format", oracle.CHAT)
 def op3(spark, sf_dir):
     probe = "\\### Assistant: </turn> ok"
@@ -75,11 +89,6 @@ def op9(spark, sf_dir):
         "doc_id", *quality.BASE, "base_failed", "kept", "class_distance", "word_distance")
 
 
-def remainder(divisor: int):
-    """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
-    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
-
-
 @register("op10_language_id")
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
