@@ -5,8 +5,7 @@
   five words. A document without words has an empty set and links to nothing.
 * Documents with equal sets form one class; a class is one node from then on,
   so thousands of copies cost one node.
-* Each class has ``BANDS`` keys of ``ROWS`` MinHash samples that propose
-  candidates, and an odd sketch that estimates their similarity: a bitmap in
+* Each class has 25 band keys of five MinHash samples that propose candidates, and an odd sketch that estimates their similarity: a bitmap in
   which each of ``k`` further samples flips one bit. Two sketches differ in about
   ``bits / 2 * (1 - exp(-4 k (1 - J) / bits))`` bits. Candidates that it puts
   far below the threshold go; the rest is confirmed on the full sets.
@@ -18,9 +17,8 @@
   components. Every pair that shares a band is thus either in one component
   already or compared.
 
-At Jaccard 0.85 a pair shares no band with probability 4e-7 (25 bands of 5
-rows), and the sketch, cut four deviations below it, drops one with
-probability 2e-5.
+At Jaccard 0.85 a pair shares no band with probability 4e-7, and the sketch, cut
+four deviations below it, drops one with probability 2e-5.
 
 Nulls: a null text has no words. Rows with a null ``doc_id`` take part by
 their text; they get the smallest non-null id of their component, or null.
@@ -41,23 +39,9 @@ from strata.llm.components import connected_components, stored
 from strata.llm.words import hash_words, mix64, runs, seeds, text_buffers
 
 SHINGLE = 5
-ROWS, BANDS = 5, 25
-SKETCH_SAMPLES, SKETCH_BITS = 512, 1024
-THRESHOLD_PERCENT = 85
-#: Candidates whose estimated similarity is below this are dropped.
-SKETCH_FLOOR = 0.77
-
 _U = np.uint64
 _SHINGLE = seeds(SHINGLE, 1000) | _U(1)
-_MUL, _ADD = seeds(ROWS * BANDS, 2000) | _U(1), seeds(ROWS * BANDS, 3000)
-_MUL32 = (seeds(SKETCH_SAMPLES, 10_000) | _U(1)).astype(np.uint32)
-_ADD32, _BIT = seeds(SKETCH_SAMPLES, 11_000).astype(np.uint32), seeds(SKETCH_SAMPLES, 12_000)
-_BAND, _ROW = seeds(BANDS, 5000), seeds(ROWS, 6000) | _U(1)
 _DIGEST = seeds(2, 7000)
-_LANES = [f"s{i}" for i in range(SKETCH_BITS // 64)]
-
-FEATURES = ("doc_id long, text_hash long, n long, digest binary, bands array<long>, "
-            + ", ".join(f"{lane} long" for lane in _LANES))
 SETS = "digest binary, shingles array<long>"
 
 
@@ -89,23 +73,48 @@ def digests(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return np.stack([np.add.reduceat(mix64(flat ^ s), starts) for s in _DIGEST], axis=1)
 
 
-def _sketches(flat: np.ndarray, starts: np.ndarray):
-    """Band keys (sets x BANDS) and odd sketches (sets x lanes) of non-empty sets."""
-    n = len(starts)
-    bands = np.zeros((n, BANDS), dtype=_U)
-    flips = np.empty((n, SKETCH_SAMPLES), dtype=np.int64)
-    rows = np.arange(n, dtype=np.int64) * SKETCH_BITS
-    short = (flat >> _U(32)).astype(np.uint32)
-    with np.errstate(over="ignore"):
-        for i in range(ROWS * BANDS):
-            low = np.minimum.reduceat(flat * _MUL[i] + _ADD[i], starts)
-            bands[:, i // ROWS] += mix64(low) * _ROW[i % ROWS]
-        bands = mix64(bands + _BAND)
-        for i in range(SKETCH_SAMPLES):
-            low = np.minimum.reduceat(short * _MUL32[i] + _ADD32[i], starts).astype(_U)
-            flips[:, i] = rows + (mix64(low ^ _BIT[i]) >> _U(64 - int(math.log2(SKETCH_BITS)))).astype(np.int64)
-    parity = np.bincount(flips.ravel(), minlength=n * SKETCH_BITS) & 1
-    return bands, np.packbits(parity.astype(np.uint8).reshape(n, -1), axis=1).view(np.int64)
+class Scheme:
+    """Sizes of the bands and the odd sketch, and the similarity sought."""
+
+    def __init__(self, rows: int, bands: int, samples: int, bits: int, floor: float, percent: int):
+        self.rows, self.bands, self.samples, self.bits, self.percent = rows, bands, samples, bits, percent
+        self.lanes = [f"s{i}" for i in range(bits // 64)]
+        #: Bits in which sketches of similarity ``floor`` differ on average.
+        self.most = int(bits / 2 * (1 - math.exp(-4 * samples * (1 - floor) / bits)))
+
+    def sketches(self, flat: np.ndarray, starts: np.ndarray):
+        """Band keys and odd sketches (as 64-bit lanes), a row per non-empty set."""
+        n, k = len(starts), self.rows * self.bands
+        mul, add = seeds(k, 2000) | _U(1), seeds(k, 3000)
+        mul32 = (seeds(self.samples, 10_000) | _U(1)).astype(np.uint32)
+        add32, bit = seeds(self.samples, 11_000).astype(np.uint32), seeds(self.samples, 12_000)
+        place = seeds(self.rows, 6000) | _U(1)
+        bands = np.zeros((n, self.bands), dtype=_U)
+        flips = np.empty((n, self.samples), dtype=np.int64)
+        rows = np.arange(n, dtype=np.int64) * self.bits
+        short = (flat >> _U(32)).astype(np.uint32)
+        shift = _U(64 - int(math.log2(self.bits)))
+        with np.errstate(over="ignore"):
+            for i in range(k):
+                low = np.minimum.reduceat(flat * mul[i] + add[i], starts)
+                bands[:, i // self.rows] += mix64(low) * place[i % self.rows]
+            bands = mix64(bands + seeds(self.bands, 5000))
+            for i in range(self.samples):
+                low = np.minimum.reduceat(short * mul32[i] + add32[i], starts).astype(_U)
+                flips[:, i] = rows + (mix64(low ^ bit[i]) >> shift).astype(np.int64)
+        parity = np.bincount(flips.ravel(), minlength=n * self.bits) & 1
+        return bands, np.packbits(parity.astype(np.uint8).reshape(n, -1), axis=1).view(np.int64)
+
+    def similar(self, a: str, b: str) -> str:
+        """Condition that sizes and sketches of two sides allow the similarity."""
+        differ = " + ".join(f"bit_count({a}.{s} ^ {b}.{s})" for s in self.lanes)
+        return (f"100 * least({a}.n, {b}.n) >= {self.percent} * greatest({a}.n, {b}.n) "
+                f"AND {differ} <= {self.most}")
+
+
+#: At Jaccard 0.85 no band is shared with probability 4e-7; the sketch cuts
+#: four deviations below it.
+DOCUMENTS = Scheme(rows=5, bands=25, samples=512, bits=1024, floor=0.77, percent=85)
 
 
 def _binary(rows: np.ndarray, present: np.ndarray) -> pa.Array:
@@ -134,17 +143,21 @@ def _features(batches):
     for batch in batches:
         for i, j, flat, sizes, some, starts in _text_sets(batch, 2):
             n = len(sizes)
-            bands = np.zeros((0, BANDS), dtype=_U)
-            sketch = np.zeros((n, len(_LANES)), dtype=np.int64)
+            bands = np.zeros((0, DOCUMENTS.bands), dtype=_U)
+            sketch = np.zeros((n, len(DOCUMENTS.lanes)), dtype=np.int64)
             digest = np.zeros((0, 2), dtype=_U)
             if some.any():
                 digest = digests(flat, starts)
-                bands, sketch[some] = _sketches(flat, starts)
+                bands, sketch[some] = DOCUMENTS.sketches(flat, starts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(sizes), _binary(digest, some),
-                 _lists(bands.ravel(), np.where(some, BANDS, 0))]
-                + [pa.array(sketch[:, k]) for k in range(len(_LANES))],
-                names=["doc_id", "text_hash", "n", "digest", "bands", *_LANES])
+                 _lists(bands.ravel(), np.where(some, DOCUMENTS.bands, 0))]
+                + [pa.array(sketch[:, k]) for k in range(len(DOCUMENTS.lanes))],
+                names=["doc_id", "text_hash", "n", "digest", "bands", *DOCUMENTS.lanes])
+
+
+FEATURES = ("doc_id long, text_hash long, n long, digest binary, bands array<long>, "
+            + ", ".join(f"{lane} long" for lane in DOCUMENTS.lanes))
 
 
 def _sets(batches):
@@ -156,48 +169,29 @@ def _sets(batches):
                      _lists(flat, sizes[some])], names=["digest", "shingles"])
 
 
-def max_differing_bits(floor: float = SKETCH_FLOOR) -> int:
-    """Sketch bits in which a pair of similarity ``floor`` differs on average."""
-    return int(SKETCH_BITS / 2 * (1 - math.exp(-4 * SKETCH_SAMPLES * (1 - floor) / SKETCH_BITS)))
-
-
-def _similar(a: str, b: str) -> str:
-    """Condition that sizes and sketches of two sides allow the threshold."""
-    differ = " + ".join(f"bit_count({a}.{s} ^ {b}.{s})" for s in _LANES)
-    return (f"100 * least({a}.n, {b}.n) >= {THRESHOLD_PERCENT} * greatest({a}.n, {b}.n) "
-            f"AND {differ} <= {max_differing_bits()}")
-
-
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs of classes whose full sets reach the threshold. Sets are computed
-    again, from the text of one document of each class in ``pairs``."""
-    wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-    ids = classes.join(wanted, "digest", "left_semi").select("doc_id")
-    texts = docs.join(ids.filter("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi").select("text")
-    texts = texts.union(docs.filter("doc_id IS NULL").select("text"))
-    sets = (texts.mapInArrow(_sets, SETS).join(wanted, "digest", "left_semi")
-            .groupBy("digest").agg(F.first("shingles").alias("shingles")))
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` whose ``sets`` (``digest, shingles``) reach ``percent``."""
     sets = stored(sets, "sets")
     first = pairs.join(sets.select(F.col("digest").alias("a"), F.col("shingles").alias("set_a")), "a")
     both = first.join(sets.select(F.col("digest").alias("b"), F.col("shingles").alias("set_b")), "b")
     shared = F.size(F.array_intersect("set_a", "set_b"))
     total = F.size("set_a") + F.size("set_b") - shared
-    return both.filter(100 * shared >= THRESHOLD_PERCENT * total).select("a", "b")
+    return both.filter(100 * shared >= percent * total).select("a", "b")
 
 
-def clustered(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_hash, n, cluster, component_id)`` for every row of
-    ``docs``. ``cluster`` names the component, null for a row without words;
-    ``component_id`` is its smallest ``doc_id``, or the row's own."""
-    docs = docs.select("doc_id", "text")
-    features = stored(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-                      .mapInArrow(_features, FEATURES), "features")
-    classes = stored(
-        features.filter("n > 0").groupBy("digest").agg(
-            F.min("doc_id").alias("doc_id"),
-            *(F.first(c).alias(c) for c in ("n", "bands", *_LANES))), "classes")
+def one_text_each(classes: DataFrame, wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """Texts that hold the ``wanted`` classes: those of each class's ``doc_id``,
+    and all without an id."""
+    ids = classes.join(wanted, "digest", "left_semi").select("doc_id").filter("doc_id IS NOT NULL").distinct()
+    return (docs.join(ids, "doc_id", "left_semi").select("text")
+            .union(docs.filter("doc_id IS NULL").select("text")))
 
-    members = classes.select("digest", F.posexplode("bands").alias("band_no", "key"))
+
+def linked_classes(classes: DataFrame, scheme: Scheme, sets_of) -> DataFrame:
+    """``(node, root)`` of all classes with a link. ``classes``: ``digest, n,
+    bands`` and the sketch lanes; ``sets_of(wanted)`` gives the full sets of the
+    classes in ``wanted``."""
+    members = classes.filter("bands IS NOT NULL").select("digest", F.posexplode("bands").alias("band_no", "key"))
     sizes = members.groupBy("band_no", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = stored(members.join(sizes, ["band_no", "key"]), "members")
     weight = members.groupBy("digest").agg(F.sum("size").alias("weight"))
@@ -205,14 +199,19 @@ def clustered(docs: DataFrame) -> DataFrame:
              .agg(F.max(F.struct("weight", "digest")).alias("star"))
              .select("band_no", "key", F.col("star.digest").alias("star")))
     members = stored(members.drop("size").join(stars, ["band_no", "key"]), "members")
-    facts = classes.select("digest", "n", "bands", *_LANES)
-
-    pairs = (members.filter("digest <> star")
-             .select(F.col("digest").alias("a"), F.col("star").alias("b")).distinct()
-             .join(facts.alias("x"), F.expr("a = x.digest"))
-             .join(facts.alias("y"), F.expr("b = y.digest"))
-             .filter(_similar("x", "y")).select("a", "b"))
-    links = stored(_confirmed(stored(pairs, "pairs"), classes, docs), "confirmed")
+    facts = classes.select("digest", "n", "bands", *scheme.lanes)
+
+    def links_among(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "pairs")
+        wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
+        return confirmed(pairs, sets_of(wanted), scheme.percent)
+
+    links = stored(links_among(
+        members.filter("digest <> star")
+        .select(F.col("digest").alias("a"), F.col("star").alias("b")).distinct()
+        .join(facts.alias("x"), F.expr("a = x.digest"))
+        .join(facts.alias("y"), F.expr("b = y.digest"))
+        .filter(scheme.similar("x", "y")).select("a", "b")), "confirmed")
     roots = connected_components(links)
 
     labelled = (members.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
@@ -221,20 +220,39 @@ def clustered(docs: DataFrame) -> DataFrame:
     rest = stored(labelled.join(star_comp, "star", "left")
                   .filter("comp <> coalesce(star_root, star)").drop("star_root")
                   .join(facts, "digest"), "rest")
-    if not rest.isEmpty():
-        open_bands = rest.select("band_no", "key").distinct()
-        others = labelled.join(open_bands, ["band_no", "key"], "left_semi").join(facts, "digest")
-        # A pair counts in the first band it shares only.
-        once = "array_position(zip_with(x.bands, y.bands, (p, q) -> p = q), true) = x.band_no + 1"
-        more = (rest.alias("x").join(
-            others.alias("y"),
-            F.expr("x.band_no = y.band_no AND x.key = y.key AND x.comp <> y.comp "
-                   f"AND y.digest <> x.star AND {_similar('x', 'y')} AND {once}"))
-            .select(F.greatest("x.digest", "y.digest").alias("a"),
-                    F.least("x.digest", "y.digest").alias("b")).distinct())
-        links = stored(links.union(_confirmed(stored(more, "pairs"), classes, docs)), "confirmed")
-        roots = connected_components(links)
+    if rest.isEmpty():
+        return roots
+    open_bands = rest.select("band_no", "key").distinct()
+    others = labelled.join(open_bands, ["band_no", "key"], "left_semi").join(facts, "digest")
+    # A pair counts in the first band it shares only.
+    once = "array_position(zip_with(x.bands, y.bands, (p, q) -> p = q), true) = x.band_no + 1"
+    more = (rest.alias("x").join(
+        others.alias("y"),
+        F.expr("x.band_no = y.band_no AND x.key = y.key AND x.comp <> y.comp "
+               f"AND y.digest <> x.star AND {scheme.similar('x', 'y')} AND {once}"))
+        .select(F.greatest("x.digest", "y.digest").alias("a"),
+                F.least("x.digest", "y.digest").alias("b")).distinct())
+    return connected_components(stored(links.union(links_among(more)), "confirmed"))
+
+
+def clustered(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text_hash, n, cluster, component_id)`` for every row of
+    ``docs``. ``cluster`` names the component, null for a row without words;
+    ``component_id`` is its smallest ``doc_id``, or the row's own."""
+    docs = docs.select("doc_id", "text")
+    features = stored(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+                      .mapInArrow(_features, FEATURES), "features")
+    classes = stored(
+        features.filter("n > 0").groupBy("digest").agg(
+            F.min("doc_id").alias("doc_id"),
+            *(F.first(c).alias(c) for c in ("n", "bands", *DOCUMENTS.lanes))), "classes")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        texts = one_text_each(classes, wanted, docs)
+        return (texts.mapInArrow(_sets, SETS).join(wanted, "digest", "left_semi")
+                .groupBy("digest").agg(F.first("shingles").alias("shingles")))
 
+    roots = linked_classes(classes, DOCUMENTS, sets_of)
     linked = stored(roots.withColumnRenamed("node", "digest").join(classes.select("digest", "doc_id"), "digest"),
                     "linked")
     smallest = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"))
