@@ -45,7 +45,7 @@ _LOWERED[65:91] = _BYTES[97:123]
 _powers: list[np.ndarray] = []
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def word_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         size = max(n, 2 * STRETCH)
         with np.errstate(over="ignore"):
@@ -70,7 +70,7 @@ def _stretch(data: np.ndarray, breaks: np.ndarray, table: np.ndarray, separators
     last[before] = word[before]
     starts = np.flatnonzero(first)
     ends = np.flatnonzero(last) + 1
-    up, down = _power_tables(len(data) + 1)
+    up, down = word_powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=_U)
     np.cumsum(table[data] * up[: len(data)], out=sums[1:])
     return mix64((sums[ends] - sums[starts]) * down[starts]), starts, ends
