@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontam, langid, mixing, neardup, oracle, paradup, quality, records, toxicity
+from strata.llm import chat, decontam, langid, mixing, neardup, oracle, paradup, pseudo, quality, records, toxicity
 from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,12 @@ def op7(spark, sf_dir):
     return paradup.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+@register("op8_pseudo_likelihood")
+def op8(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pseudo.scored(docs, pseudo.fitted(docs))
+
+
 @register("op9_quality_rules")
 def op9(spark, sf_dir):
     return quality.quality_verdicts(table(spark, sf_dir, "documents")).select(
