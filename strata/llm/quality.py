@@ -128,7 +128,7 @@ def _language_counts(batches):
             for kind, n in enumerate(counts):
                 bins = np.flatnonzero(n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(bins)), pa.array(np.full(len(bins), kind, dtype=np.int32)),
+                    [pa.array([lang] * len(bins), type=pa.string()), pa.array(np.full(len(bins), kind, dtype=np.int32)),
                      pa.array(bins.astype(np.int32)), pa.array(n[bins])], names=["lang", "kind", "bin", "n"])
         held.clear()
 
