@@ -5,13 +5,13 @@
   MinHash bands (16 of 4 rows, a miss of 2e-4 at 0.8 and 1e-8 at 0.95) and
   an odd sketch propose pairs, full sets confirm them.
 * A passage may also stand inside a longer line. Lines are therefore cut into
-  pieces after words whose hash is 0 modulo ``PIECE``; the cuts follow the words,
-  so equal passages hold equal pieces wherever they stand. Pieces link when
-  they are equal.
+  pieces after pairs of words whose hash is 0 modulo ``PIECE``; the cuts follow
+  the words, so equal passages hold equal pieces wherever they stand. Pieces
+  link when they are equal.
 * Linked lines and pieces of a component that reaches two documents are laid
   over each document's words; those at most ``GAP`` words apart make one passage.
-  An end inside a line lies up to half a piece short of the true end, so it
-  counts ``PIECE // 2`` words more. Passages of ``MIN_WORDS`` words or more are
+  An end inside a line lies a piece short of the true end on average, so it
+  counts ``EDGE`` words more. Passages of ``MIN_WORDS`` words or more are
   returned. A component's smallest ``doc_id`` keeps its text; in others the
   passage is marked for removal.
 
@@ -33,7 +33,8 @@ from strata.llm.words import hash_words, mix64, runs, text_buffers, word_powers
 
 MIN_WORDS = 50
 NEAR_WORDS = 40
-PIECE, MIN_PIECE = 16, 6
+PIECE, MIN_PIECE = 8, 4
+EDGE = 12
 MIN_LINE = 8
 GAP = 24
 LINES = neardup.Scheme(rows=4, bands=16, samples=128, bits=256, floor=0.62, percent=80)
@@ -49,7 +50,9 @@ def _cuts(hashes, starts, counts, data, offsets):
     new_line = np.ones(len(hashes), dtype=bool)
     new_line[1:] = (text[1:] != text[:-1]) | (line[1:] != line[:-1])
     new_piece = new_line.copy()
-    new_piece[1:] |= (hashes[:-1] >> _U(20)) % _U(PIECE) == 0
+    with np.errstate(over="ignore"):
+        pair = mix64(hashes[:-2] * _U(3) + hashes[1:-1]) if len(hashes) > 2 else hashes[:0]
+    new_piece[2:] |= pair % _U(PIECE) == 0
     return text, np.flatnonzero(new_line), np.flatnonzero(new_piece)
 
 
@@ -167,7 +170,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         F.min(F.struct("first_word", "cluster_id", "kept_in"))["kept_in"].alias("kept_in"),
         F.max(F.col("kept_in") < F.col("doc_id")).alias("removed"))
     span = F.col("last_word") - F.col("first_word")
-    reach = span + F.when(F.col("opens"), 0).otherwise(PIECE // 2) + F.when(F.col("closes"), 0).otherwise(PIECE // 2)
+    reach = span + F.when(F.col("opens"), 0).otherwise(EDGE) + F.when(F.col("closes"), 0).otherwise(EDGE)
     return passages.filter(reach >= MIN_WORDS).select(
         "doc_id", "first_word", "last_word", span.alias("n_words"), "cluster_id", "kept_in",
         F.coalesce("removed", F.lit(False)).alias("removed"))

@@ -83,10 +83,11 @@ def _cut(data: np.ndarray, at: int, end: int, stop: int) -> int:
     if len(gaps):
         return at + int(gaps[-1]) + 1
     while end < stop:
-        after = np.flatnonzero(SPACE[data[end:end + STRETCH]])
+        ahead = min(end + STRETCH, stop)
+        after = np.flatnonzero(SPACE[data[end:ahead]])
         if len(after):
             return end + int(after[0])
-        end = min(end + STRETCH, stop)
+        end = ahead
     return stop
 
 

@@ -41,3 +41,11 @@ def test_stretches_do_not_change_hashes(monkeypatch):
 def test_runs_cover_all_texts_once():
     offsets = np.array([0, 5, 5, 900, 905, 2000])
     assert list(W.runs(offsets, 100)) == [(0, 2), (2, 3), (3, 4), (4, 5)]
+
+
+def test_a_word_longer_than_the_stretch_ends_with_its_text(monkeypatch):
+    monkeypatch.setattr(W, "STRETCH", 64)
+    data, offsets = W.text_buffers(pa.array(["q" * 500, "next words", "r" * 100]))
+    for i in range(3):
+        hashes, _, _, counts = W.hash_words(data, offsets[i:i + 2])
+        assert len(hashes) == counts.sum() == (1, 2, 1)[i]
