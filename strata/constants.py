@@ -69,9 +69,6 @@ HEATMAP_FIRST_YEAR = 2010
 # Number of topics followed by the trend chart.
 TOP_TOPICS = 6
 
-# Number of feature importances charted.
-TOP_IMPORTANCES = 20
-
 # Limits of the ranked questions.
 TOP_STATE_TOPICS = 50
 TOP_DEMOGRAPHIC_GROUPS = 100
@@ -136,6 +133,3 @@ MISSING_TOKENS = (
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
     "n/a", "nan", "null",
 )
-
-# Decimal scale used for order-independent exact sums of indicator values.
-VALUE_SCALE = 2

@@ -13,5 +13,4 @@ from strata.functions.indicators import (  # noqa: F401
     clipped_duration,
     mortality_flag,
     risk_level,
-    risk_ordinal,
 )

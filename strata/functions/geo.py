@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# "POINT (<longitude> <latitude>)"
+from strata.functions.numeric import to_number
+
+# Fixed value: the form of a point, longitude first.
 POINT_PATTERN = r"POINT \(([^ ]+) ([^ ]+)\)"
 
 
 def point_coordinate(c, index: int) -> Column:
     """Coordinate ``index`` (1 = longitude, 2 = latitude) of a WKT point.
 
-    No match, an empty capture or non-numeric text give null (Spark's
-    ``regexp_extract`` returns '' on no match).
+    Text that is no such point, or holds no number there, gives null.
     """
     c = F.col(c) if isinstance(c, str) else c
-    raw = F.regexp_extract(c, POINT_PATTERN, index)
-    value = F.nullif(raw, F.lit("")).try_cast("double")
-    return F.when(F.isnan(value), F.lit(None).cast("double")).otherwise(value)
+    return to_number(F.regexp_extract(c, POINT_PATTERN, index))

@@ -34,12 +34,3 @@ def risk_level(value, edges=RISK_UPPER_EDGES, labels=RISK_LABELS) -> Column:
         expr = F.when(v <= edge, F.lit(label)) if expr is None else expr.when(v <= edge, F.lit(label))
     expr = expr.when(~F.isnan(v), F.lit(labels[-1]))
     return F.when(v > float("-inf"), expr)
-
-
-def risk_ordinal(level, labels=RISK_LABELS) -> Column:
-    """0..3 position of a risk label (null for unknown labels)."""
-    level = _col(level)
-    expr = None
-    for i, label in enumerate(labels):
-        expr = F.when(level == label, F.lit(i)) if expr is None else expr.when(level == label, F.lit(i))
-    return expr

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strata.constants import VALUE_SCALE
-
 # Plain decimal number text, optionally signed, with optional exponent.
 # Anything else (thousands separators, type suffixes such as "3f" or "1d",
 # words) is not a number.
@@ -39,21 +37,32 @@ def to_number(c) -> Column:
     return F.when(F.isnan(parsed), F.lit(None).cast("double")).otherwise(parsed)
 
 
-def exact_sum(c, scale: int = VALUE_SCALE) -> Column:
-    """Sum of a double column computed exactly in decimal.
+#: Decimal places kept by exact sums, and the size from which a value is too
+#: large for them (28 digits stand before the point; sums need room).
+DECIMAL_PLACES = 10
+DECIMAL_LIMIT = 1e17
+
+
+def exact_sum(c, places: int = DECIMAL_PLACES) -> Column:
+    """Sum of a double column that does not depend on the order of its rows.
 
     Double addition is not associative, so a plain ``sum`` depends on the
-    partitioning and the order in which partial aggregates meet. Casting to
-    a fixed-scale decimal makes the sum exact and therefore identical for
-    any plan, executor count or retry.
+    partitioning. Values below ``DECIMAL_LIMIT`` are added as decimals of
+    ``places`` places, exactly. Infinite and larger values are added as doubles
+    beside them: an infinity makes the sum infinite, as in a plain sum.
     """
-    return F.sum(_col(c).cast(f"decimal(18,{scale})")).cast("double")
+    c = _col(c)
+    small = F.abs(c) < F.lit(DECIMAL_LIMIT)
+    decimals = F.sum(F.when(small, c).cast(f"decimal(38,{places})")).cast("double")
+    rest = F.sum(F.when(~small, c))
+    return F.coalesce(decimals + rest, decimals, rest)
 
 
-def exact_mean(c, scale: int = VALUE_SCALE) -> Column:
-    """Order-independent mean: exact decimal sum divided by the count."""
+def exact_mean(c, places: int = DECIMAL_PLACES) -> Column:
+    """Order-independent mean: :func:`exact_sum` over the count, both over the
+    same rows."""
     c = _col(c)
-    return exact_sum(c, scale) / F.count(c)
+    return exact_sum(c, places) / F.count(c)
 
 
 def flag_rate(flag) -> Column:

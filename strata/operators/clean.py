@@ -76,7 +76,7 @@ def check_min_rows(n_rows: int, min_rows: int = MIN_CLEAN_ROWS) -> None:
     """The cleaned table must hold more than ``min_rows`` rows."""
     if n_rows <= min_rows:
         raise TooFewRowsError(
-            f"Dataset unexpectedly small after cleaning: {n_rows} rows (need > {min_rows})")
+            f"{n_rows} rows are left; a cleaned table needs more than {min_rows}")
 
 
 def _keep_condition(df: DataFrame, value_col: str, location_col: str):
@@ -172,23 +172,17 @@ def group_mode_by_rank(df: DataFrame, keys, value: str, out: str = "mode_value")
             .select(*keys, F.col(value).alias(out)))
 
 
-def impute_unit(df: DataFrame, unit: str = "DataValueUnit", keys=("Topic", "Question"),
-                known_groups: int | None = None) -> DataFrame:
+def impute_unit(df: DataFrame, unit: str = "DataValueUnit", keys=("Topic", "Question")) -> DataFrame:
     """Fill a missing unit with the mode of its (Topic, Question) group.
 
     Groups without any non-null unit, and rows with a null key, stay missing.
-    The mode table has one row per key: it is broadcast behind a row-count
-    check (``known_groups``, the number of distinct keys, when the caller
-    already knows it), and joined by shuffle (with AQE skew splitting) beyond it.
+    The mode table has one row per key. The plan leaves its size to Spark, which
+    broadcasts it if its bytes allow and splits skewed keys otherwise.
     """
     keys = list(keys)
     if not set(keys + [unit]).issubset(df.columns):
         return df
-    from strata.operators.joins import bounded_broadcast
-
-    # One small job sizes the mode table (one row per key); when it is
-    # bounded it is broadcast, so the fact rows are never shuffled for it.
-    modes = bounded_broadcast(group_mode(df, keys, unit, "_mode_unit"), known_rows=known_groups)
+    modes = group_mode(df, keys, unit, "_mode_unit")
     cols = df.columns
     return (df.join(modes, on=keys, how="left")
             .withColumn(unit, F.coalesce(F.col(unit), F.col("_mode_unit")))

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.constants import ENCODE_COLUMNS
@@ -15,7 +13,6 @@ from strata.functions.numeric import to_number
 # inline dictionary. Beyond it one-hot raises (the schema would explode) and
 # encoding switches to a distributed dictionary join.
 MAX_DUMMY_COLUMNS = 1_000
-MAX_INLINE_DICTIONARY = 50_000
 
 
 def add_mortality_flag(df: DataFrame, source: str = "DataSource") -> DataFrame:
@@ -100,89 +97,41 @@ def _as_label(column: str):
     return F.coalesce(F.col(column).cast("string"), F.lit("nan"))
 
 
-def dictionaries(df: DataFrame, dummy_columns=("Topic",), encode_columns=ENCODE_COLUMNS,
-                 max_dummies: int = MAX_DUMMY_COLUMNS, max_inline: int = MAX_INLINE_DICTIONARY,
-                 count_pairs=(("Topic", "Question"),)) -> dict:
-    """Distinct values needed by F6 and E1, for all columns in one job.
+def label_dictionary(df: DataFrame, columns) -> DataFrame:
+    """``(column, label, code)``: codes 0..k-1 of each column's labels in code
+    point order, for all columns together.
 
-    Returns ``{("dummy", col): [values]}`` and ``{("enc", col): [labels] or
-    None}`` (None: too many labels to inline). At most ``limit + 1`` values
-    per column reach the driver; one-hot beyond ``max_dummies`` raises.
-    """
-    dummy_columns = [c for c in dummy_columns if c in df.columns]
-    encode_columns = [c for c in encode_columns if c in df.columns]
-    entries = [F.struct(F.lit(f"dummy:{c}").alias("k"), F.col(c).cast("string").alias("v"))
-               for c in dummy_columns]
-    entries += [F.struct(F.lit(f"enc:{c}").alias("k"), _as_label(c).alias("v")) for c in encode_columns]
-    # Distinct non-null key pairs are only counted (they size lookup tables
-    # such as the unit mode, whose rows they bound).
-    pairs_cols = [p for p in count_pairs if set(p).issubset(df.columns)]
-    entries += [F.struct(F.lit("size:" + "|".join(p)).alias("k"),
-                         F.when(~reduce(lambda a, b: a | b, [F.col(c).isNull() for c in p]),
-                                F.to_json(F.array(*[F.col(c).cast("string") for c in p]))).alias("v"))
-                for p in pairs_cols]
-    out: dict = {}
-    if not entries:
-        return out
-    pairs = (df.select(F.explode(F.array(*entries)).alias("e")).select("e.k", "e.v")
-             .where(F.col("v").isNotNull()).distinct()).persist()
-    try:
-        sizes = {r["k"]: r["n"] for r in pairs.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
-        for c in dummy_columns:
-            if sizes.get(f"dummy:{c}", 0) > max_dummies:
-                raise ValueError(f"{c} has more than {max_dummies} distinct values")
-        small = [k for k, n in sizes.items()
-                 if k.startswith("dummy:") or (k.startswith("enc:") and n <= max_inline)]
-        values: dict = {}
-        if small:
-            for r in pairs.where(F.col("k").isin(small)).collect():
-                values.setdefault(r["k"], []).append(r["v"])
-    finally:
-        pairs.unpersist()
-    for c in dummy_columns:
-        out[("dummy", c)] = sorted(values.get(f"dummy:{c}", []))
-    for c in encode_columns:
-        k = f"enc:{c}"
-        out[("enc", c)] = sorted(values.get(k, [])) if sizes.get(k, 0) <= max_inline else None
-    for p in pairs_cols:
-        out[("pairs", tuple(p))] = int(sizes.get("size:" + "|".join(p), 0))
-    return out
-
-
-def encode_column(df: DataFrame, column: str, out: str | None = None,
-                  max_inline: int = MAX_INLINE_DICTIONARY, labels: list | None = None) -> DataFrame:
-    """E1 for one column: codes 0..k-1 in code-point order of the text form.
-
-    A dictionary of at most ``max_inline`` entries is inlined as a map
-    literal (no join, no shuffle). A larger one is built as a distributed
-    dictionary (dense ranks without a global window) and joined back.
-    """
-    out = out or f"{column}_enc"
-    label = _as_label(column)
-    if labels is None:
-        rows = df.select(label.alias("_l")).distinct().limit(max_inline + 1).collect()
-        labels = sorted(r[0] for r in rows) if len(rows) <= max_inline else None
-    if labels is not None:
-        mapping = F.create_map(*[x for i, l in enumerate(labels) for x in (F.lit(l), F.lit(i))])
-        return df.withColumn(out, mapping[label])
-    from strata.operators.ranking import dense_codes_text
-    return dense_codes_text(df, label, out)
-
-
-def encode_categoricals(df: DataFrame, columns=ENCODE_COLUMNS, dicts: dict | None = None) -> DataFrame:
-    """Integer codes for every listed column that exists.
-
-    ``dicts`` (from :func:`dictionaries`) avoids one distinct job per column.
+    The distinct labels are range-sorted over the cluster and written with
+    their partition number; a label's code is the number of its column's labels
+    in earlier partitions plus its place in its own. One path for any number of
+    labels, and none of them reaches the driver.
     """
+    from strata.operators.priority import materialize
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), _as_label(c).alias("label")) for c in columns)))
+    labels = df.select(pairs.alias("e")).select("e.*").distinct()
+    labels = materialize(labels.repartitionByRange("column", "label").withColumn("part", F.spark_partition_id()), "labels")
+    inside = Window.partitionBy("column", "part").orderBy("label")
+    earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = labels.groupBy("column", "part").agg(F.count(F.lit(1)).alias("n")).select(
+        "column", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    return labels.withColumn("place", F.row_number().over(inside)).join(before, ["column", "part"]).select(
+        "column", "label", (F.col("before") + F.col("place") - 1).cast("int").alias("code"))
+
+
+def encode_categoricals(df: DataFrame, columns=ENCODE_COLUMNS, source: DataFrame | None = None) -> DataFrame:
+    """``<column>_enc`` for every listed column that exists, by a join with
+    the label dictionary of ``source`` (default: ``df``; a stored table with
+    the same labels saves recomputing ``df``)."""
+    columns = [c for c in columns if c in df.columns]
+    if not columns:
+        return df
+    codes = label_dictionary(df if source is None else source, columns)
     for c in columns:
-        if c in df.columns:
-            if dicts is not None and ("enc", c) in dicts:
-                labels = dicts[("enc", c)]
-                if labels is None:
-                    from strata.operators.ranking import dense_codes_text
-                    df = dense_codes_text(df, _as_label(c), f"{c}_enc")
-                else:
-                    df = encode_column(df, c, labels=labels)
-            else:
-                df = encode_column(df, c)
+        own = codes.filter(F.col("column") == c).select(F.col("label").alias("_label"), F.col("code").alias(f"{c}_enc"))
+        df = df.withColumn("_label", _as_label(c)).join(own, "_label", "left").drop("_label")
     return df
+
+
+def encode_column(df: DataFrame, column: str) -> DataFrame:
+    """E1 for one column."""
+    return encode_categoricals(df, [column])

@@ -4,8 +4,8 @@
 * standardisation uses the *population* standard deviation, fitted on the
   training rows only (inside each fold);
 * folds are exactly stratified: the position of a row inside its class, by
-  a seeded hash, taken modulo the number of folds — computed with
-  distributed prefix counts, so the 99 % majority class is never one task;
+  a seeded hash, taken modulo the number of folds — numbered within ranges of
+  the hash, so the 99 % majority class is never one task;
 * class weights are n / (k * n_class), a join against a k-row table;
 * metrics come from aggregates over (label, prediction) counts.
 """
@@ -15,10 +15,13 @@ from __future__ import annotations
 import math
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator  # noqa: F401
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +39,6 @@ from strata.constants import (
     SEED,
     TINY_CLASS_ROWS,
 )
-from strata.operators.ranking import ordinal_within
 
 MAX_CLASSES = 1_000
 PARALLEL_FITS = 8
@@ -105,24 +107,37 @@ def with_folds(df: DataFrame, label: str = "label", folds: int = CV_FOLDS, seed:
     """M6: exact stratified folds.
 
     Rows of each class are ordered by a seeded hash of a row id and dealt to
-    folds round-robin, so every class is split as evenly as possible. The
-    row id defaults to ``monotonically_increasing_id``, frozen by a reliable
-    checkpoint before it is used, so the assignment survives recomputation.
+    folds round-robin, so every class is split as evenly as possible. The row
+    id defaults to ``monotonically_increasing_id``, frozen by a written table
+    before it is used, so the assignment survives recomputation.
+
+    The hash is uniform: its leading bits cut it into ``2**FOLD_BUCKET_BITS``
+    ranges without looking at the data. Rows are numbered inside (class, range)
+    and a small table of counts gives each range its start, so the majority
+    class is spread over all ranges and rows are shuffled once.
     """
     from strata.operators.priority import materialize
 
     rid = F.col(row_id) if row_id else F.monotonically_increasing_id()
     keyed = df.withColumn("_h", F.xxhash64(rid, F.lit(seed)))
+    keyed = keyed.withColumn("_b", F.shiftrightunsigned("_h", 64 - FOLD_BUCKET_BITS))
     if row_id is None:
-        # The generated id depends on partition contents; checkpointing
-        # freezes it so every branch of the ranking plan (and any recompute
-        # after a lost executor) sees the same hash for the same row.
         keyed = materialize(keyed)
-    ranked = ordinal_within(keyed, "_h", [label], "_pos")
-    return ranked.withColumn(out, F.pmod(F.col("_pos"), F.lit(folds)).cast("int")).drop("_h", "_pos")
+    sizes = keyed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col(label).alias("_label"), F.col("_b").alias("_range"),
+                          F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(label, "_b").orderBy("_h")
+    placed = keyed.withColumn("_place", F.row_number().over(inside) - 1).join(
+        starts, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_b") == F.col("_range")))
+    fold = F.pmod(F.col("_start") + F.col("_place"), F.lit(folds)).cast("int")
+    return placed.withColumn(out, fold).select(*df.columns, out)
 
 
-TRAINING_ROWS_PER_PARTITION = 1_000_000
+FOLD_BUCKET_BITS = 12
+TRAINING_ROWS_PER_PARTITION = 250_000
+#: Iterative fits are spread over the cluster while a task keeps this many rows.
+LEAST_ROWS_PER_TASK = 5_000
 
 
 def labelled(df: DataFrame, label: str) -> DataFrame:
@@ -238,7 +253,7 @@ def kmeans_best_of(df: DataFrame, k: int = KMEANS_K, starts: int = KMEANS_STARTS
     # Starts are independent: submit them as concurrent Spark jobs.
     try:
         with ThreadPoolExecutor(max_workers=min(PARALLEL_FITS, starts)) as pool:
-            results = list(pool.map(fit, range(starts)))
+            results = list(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(starts)))
     finally:
         df.unpersist()
     return min(results, key=lambda r: (r[0], r[1]))[2]
@@ -253,59 +268,62 @@ def silhouette_squared(pred: DataFrame, features: str = "features", cluster: str
 
 def silhouette_euclidean(pred: DataFrame, features: str = "features", cluster: str = "cluster",
                          max_points: int = MAX_SILHOUETTE_POINTS) -> float:
-    """M4: mean silhouette with plain Euclidean distance.
-
-    Exact Euclidean silhouette needs every pairwise distance, with no
-    decomposition by cluster sums. The points (clustered entities, e.g.
-    states) are broadcast once behind a size check, and every partition
-    scores its own points against them in Arrow batches; beyond the bound use
-    :func:`silhouette_squared`, which is distributed.
+    """M4: mean silhouette with plain Euclidean distance, for entities such as
+    states.
+
+    It needs every pairwise distance, with no decomposition by cluster sums:
+    the entities are sent to all tasks behind a size check, and every task
+    scores blocks of its own against them. Work grows with the square of their
+    number, so it is an operator of its own; :func:`silhouette_squared` serves
+    any number and is what clustering reports by itself.
     """
-    import numpy as np
-    import pandas as pd
-
     pts = pred.select(vector_to_array(features).alias("x"), F.col(cluster).cast("int").alias("c"))
-    n = pts.count()
-    if n > max_points:
-        raise ValueError(f"{n} points exceed the Euclidean silhouette bound {max_points}")
-    local = pts.collect()
-    if n < 2:
+    local = pts.limit(max_points + 1).collect()
+    if len(local) > max_points:
+        raise ValueError(f"more than {max_points} points; use silhouette_squared")
+    if len(local) < 2:
         return 0.0
-    X = np.array([r["x"] for r in local], dtype=float)
-    C = np.array([r["c"] for r in local], dtype=int)
-    bc = pred.sparkSession.sparkContext.broadcast((X, C))
-
-    def score(batches):
-        Xa, Ca = bc.value
-        labels = np.unique(Ca)
-        sizes = {c: int((Ca == c).sum()) for c in labels}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            xi = np.stack(pdf["x"].to_numpy()).astype(float)
-            ci = pdf["c"].to_numpy()
-            d = np.sqrt(((xi[:, None, :] - Xa[None, :, :]) ** 2).sum(axis=2))
-            out = []
-            for row, c in zip(d, ci):
-                if sizes[c] <= 1:
-                    out.append(0.0)
-                    continue
-                a = row[Ca == c].sum() / (sizes[c] - 1)
-                b = min(row[Ca == o].mean() for o in labels if o != c) if len(labels) > 1 else 0.0
-                out.append(0.0 if max(a, b) == 0 else (b - a) / max(a, b))
-            yield pd.DataFrame({"s": out})
-
-    s = pts.mapInPandas(score, "s double").agg(F.avg("s")).first()[0]
-    bc.unpersist()
-    return float(s) if s is not None else float("nan")
+    shared = pred.sparkSession.sparkContext.broadcast(
+        (np.array([r["x"] for r in local], dtype=float), np.array([r["c"] for r in local], dtype=int)))
+    own = pts.mapInPandas(lambda batches: _silhouettes(shared.value, batches), "s double")
+    return float(own.agg(F.avg("s")).first()[0])
+
+
+BLOCK = 256
+
+
+def _silhouettes(points, batches):
+    """Silhouette of each row against all points, ``BLOCK`` rows at a time."""
+    x, c = points
+    labels, code = np.unique(c, return_inverse=True)
+    member = np.eye(len(labels))[code]  # points x clusters
+    sizes = member.sum(axis=0)
+    norms = (x * x).sum(axis=1)
+    for pdf in batches:
+        for at in range(0, len(pdf), BLOCK):
+            part = pdf.iloc[at:at + BLOCK]
+            xi = np.stack(part["x"].to_numpy()).astype(float)
+            own = np.searchsorted(labels, part["c"].to_numpy())
+            squares = (xi * xi).sum(axis=1)[:, None] + norms - 2 * xi @ x.T
+            sums = np.sqrt(np.maximum(squares, 0)) @ member  # rows x clusters
+            rows = np.arange(len(xi))
+            inside = sums[rows, own] / np.maximum(sizes[own] - 1, 1)
+            means = sums / sizes
+            means[rows, own] = np.inf
+            outside = means.min(axis=1) if len(labels) > 1 else np.zeros(len(xi))
+            top = np.maximum(inside, outside)
+            alone = (sizes[own] <= 1) | (top == 0)
+            yield pd.DataFrame({"s": np.where(alone, 0.0, (outside - inside) / np.where(alone, 1.0, top))})
 
 
 ENTITY_ROWS_PER_PARTITION = 100_000
 
 
 def right_sized(df: DataFrame, n_rows: int, rows_per_partition: int) -> DataFrame:
-    """Coalesce to about ``rows_per_partition`` rows per partition (never up)."""
-    parts = max(1, math.ceil(n_rows / rows_per_partition))
+    """Coalesce (never up) to partitions of ``rows_per_partition`` rows, or to
+    one per core of the cluster while each keeps ``LEAST_ROWS_PER_TASK``."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, math.ceil(n_rows / rows_per_partition), min(cores, n_rows // LEAST_ROWS_PER_TASK))
     return df.coalesce(parts) if parts < df.rdd.getNumPartitions() else df
 
 
@@ -333,12 +351,12 @@ def cluster_entities(matrix: DataFrame, key: str, k: int = KMEANS_K, starts: int
     try:
         model = kmeans_best_of(scaled, k, starts, seed)
         pred = model.transform(scaled)
+        from strata.operators.priority import materialize
+        assigned = materialize(pred.select(key, *feats, "features", F.col("cluster").cast("int").alias("cluster")),
+                               "clusters")
         result = {
-            "silhouette": silhouette_euclidean(pred),
-            "silhouette_squared": silhouette_squared(pred),
-            "n_clusters": k,
-            "assignments": local_copy(pred.select(key, *feats, F.col("cluster").cast("int").alias("cluster")),
-                                      MAX_SILHOUETTE_POINTS),
+            "silhouette_squared": silhouette_squared(assigned), "n_clusters": k,
+            "points": assigned, "assignments": assigned.drop("features"),
         }
     finally:
         filled.unpersist()
@@ -382,15 +400,16 @@ def _fold_fit_predict(train: DataFrame, test: DataFrame, features: list[str], ma
 
 def out_of_fold(df: DataFrame, features: list[str], make, folds: int = CV_FOLDS,
                 standardize: bool = False) -> DataFrame:
-    """M7: fit on k-1 folds, predict the held-out fold, union the predictions."""
+    """M7: fit on k-1 folds, predict the held-out fold, union the predictions.
+    Class weights come from the rows a fold trains on."""
     def one(f):
-        train = df.filter(F.col("fold") != f)
+        train = with_class_weights(df.filter(F.col("fold") != f))
         test = df.filter(F.col("fold") == f)
         return _fold_fit_predict(train, test, features, make, standardize)[1]
 
     # Fold fits are independent: submit them as concurrent Spark jobs.
     with ThreadPoolExecutor(max_workers=min(PARALLEL_FITS, folds)) as pool:
-        parts = list(pool.map(one, range(folds)))
+        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(one), range(folds)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -398,15 +417,14 @@ def out_of_fold(df: DataFrame, features: list[str], make, folds: int = CV_FOLDS,
 
 
 def prepare(df: DataFrame, features: list[str], label: str, seed: int = SEED, folds: int = CV_FOLDS) -> DataFrame:
-    """Features + label, balanced weights and stratified folds, computed once
-    and kept for every fold fit."""
+    """Features, label and stratified folds, computed once and kept for every
+    fold fit."""
     from strata.operators.priority import materialize
 
-    # Written once (ids, weights and folds frozen, lineage cut), then sized
+    # Written once (ids and folds frozen, lineage cut), then sized
     # and kept in memory for the repeated fold fits: every optimizer
     # iteration is a job over a short plan with no empty tasks.
-    frame = materialize(with_folds(with_class_weights(feature_frame(df, features, label)),
-                                   seed=seed, folds=folds), "training-frame")
+    frame = materialize(with_folds(feature_frame(df, features, label), seed=seed, folds=folds), "training-frame")
     frame = right_sized(frame, frame.count(), TRAINING_ROWS_PER_PARTITION).persist()
     frame.count()
     return frame
@@ -436,7 +454,7 @@ def train_mortality_model(df: DataFrame, features=MORTALITY_FEATURES, folds: int
         auc = roc_auc(scored)
         report = local_copy(classification_report(scored))
         params = fit_standardizer(data, feats)
-        model = make(data).fit(assemble(apply_standardizer(data, params), feats))
+        model = make(data).fit(assemble(apply_standardizer(with_class_weights(data), params), feats))
         rates = positive_rate(data).first()
     finally:
         data.unpersist()
@@ -449,40 +467,44 @@ def train_mortality_model(df: DataFrame, features=MORTALITY_FEATURES, folds: int
     }
 
 
+def risk_forest(spark, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, seed: int = SEED) -> RandomForestClassifier:
+    return RandomForestClassifier(featuresCol="features", labelCol="label_idx", weightCol="weight", numTrees=trees,
+                                  maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt", impurity="gini",
+                                  maxMemoryInMB=forest_memory_mb(spark))
+
+
+def index_labels(df: DataFrame):
+    """``df`` with ``label_idx``, and the labels in the order of their index."""
+    indexer = StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc").fit(df)
+    return indexer.transform(df), list(indexer.labels)
+
+
+def refit_forest(data: DataFrame, feats: list[str], forest: RandomForestClassifier):
+    """Forest over all rows of ``data`` with weights from all of them, and its
+    importances by value (M15)."""
+    model = forest.fit(assemble(with_class_weights(data), feats))
+    values = [(f, float(v)) for f, v in zip(feats, model.featureImportances.toArray(), strict=True)]
+    table = data.sparkSession.createDataFrame(values, "feature string, importance double")
+    return model, table.orderBy(F.col("importance").desc(), "feature")
+
+
 def train_risk_classifier(df: DataFrame, features=RISK_FEATURES, folds: int = CV_FOLDS,
                           trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, seed: int = SEED) -> dict:
     """Balanced random forest on rows with a risk label; macro and
     weighted F1 from out-of-fold predictions; importances from a refit."""
-    from pyspark.ml.feature import StringIndexer
-
     feats = available_features(df, features)
-    rows = labelled(df, "risk_level")
-    indexer = StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc").fit(
-        rows.select(F.col("risk_level").alias("label")))
-    labels = list(indexer.labels)
-    prepared = prepare(rows, feats, "risk_level", seed, folds)
-    data = indexer.transform(prepared)
+    prepared = prepare(labelled(df, "risk_level"), feats, "risk_level", seed, folds)
+    data, labels = index_labels(prepared)
     tiny = [r["label"] for r in tiny_classes(data).collect()]
-
-    def make(_train):
-        return RandomForestClassifier(featuresCol="features", labelCol="label_idx", weightCol="weight",
-                                      numTrees=trees, maxDepth=depth, seed=seed,
-                                      featureSubsetStrategy="sqrt", impurity="gini",
-                                      maxMemoryInMB=forest_memory_mb(df.sparkSession))
-
+    forest = risk_forest(df.sparkSession, trees, depth, seed)
     try:
-        pred = out_of_fold(data, feats, make, folds)
+        pred = out_of_fold(data, feats, lambda train: forest.copy(), folds)
         mapping = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(float(i)), F.lit(lab))])
         named = pred.select("label", mapping[F.col("prediction")].alias("prediction"))
         report = local_copy(classification_report(named))
-        model = make(data).fit(assemble(data, feats))
+        model, importances = refit_forest(data, feats, forest)
     finally:
         prepared.unpersist()
-    spark = df.sparkSession
-    imp = model.featureImportances.toArray().tolist()
-    importances = spark.createDataFrame([(f, float(v)) for f, v in zip(feats, imp)],
-                                        "feature string, importance double").orderBy(
-        F.col("importance").desc(), "feature")
     return {
         "model": model, "accuracy": report_metric(report, "accuracy", "precision"),
         "macro_f1": report_metric(report, "macro avg", "f1_score"),

@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TARGET_BUCKET_ROWS = 1_000_000
-MAX_QUANTILES = 1024
+MAX_QUANTILES = 100_000
 QUANTILE_ACCURACY = 10_000
 
 
 def quantile_splits(df: DataFrame, columns: list[str], target_rows: int = TARGET_BUCKET_ROWS,
-                    max_quantiles: int = MAX_QUANTILES, with_rows: bool = False):
+                    max_quantiles: int = MAX_QUANTILES) -> dict[str, list[float]]:
     """Split points for several numeric columns.
 
     One count job sizes the table; only when it exceeds ``target_rows`` a
@@ -56,7 +56,7 @@ def quantile_splits(df: DataFrame, columns: list[str], target_rows: int = TARGET
             qs = row[f"_q{i}"] or []
             splits[c] = sorted({float(q) for q in qs if q is not None
                                 and not math.isnan(q) and not math.isinf(q)})
-    return (splits, n_rows) if with_rows else splits
+    return splits
 
 
 def value_ranks(df: DataFrame, value: str, by: tuple | list = (), splits: list[float] | None = None,
@@ -84,15 +84,10 @@ def value_ranks(df: DataFrame, value: str, by: tuple | list = (), splits: list[f
                              F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_below"),
                              F.sum("_n").over(Window.partitionBy(*by)).alias("_total"))
     n_buckets = len(splits) + 1
-    if splits:
-        bucketizer = Bucketizer(splits=[float("-inf")] + list(splits) + [float("inf")],
-                                inputCol="_vd", outputCol="_bd", handleInvalid="keep")
-        counts = bucketizer.transform(
-            counts.withColumn("_vd", F.coalesce(v.cast("double"), F.lit(0.0))))
-        bucket = F.col("_bd").cast("int")
-    else:
-        bucket = F.lit(0)
-    counts = counts.withColumn("_b", F.when(v.isNull(), F.lit(n_buckets)).otherwise(bucket))
+    bucketizer = Bucketizer(splits=[float("-inf")] + list(splits) + [float("inf")],
+                            inputCol="_vd", outputCol="_bd", handleInvalid="keep")
+    counts = bucketizer.transform(counts.withColumn("_vd", F.coalesce(v.cast("double"), F.lit(0.0))))
+    counts = counts.withColumn("_b", F.when(v.isNull(), F.lit(n_buckets)).otherwise(F.col("_bd").cast("int")))
     counts = counts.select(*by, value, "_n", "_b")
 
     totals = counts.groupBy(*by, "_b").agg(F.sum("_n").alias("_bn"))
@@ -111,13 +106,9 @@ def value_ranks(df: DataFrame, value: str, by: tuple | list = (), splits: list[f
     )
 
 
-def _attach(df: DataFrame, ranks: DataFrame, value: str, by: list, out: str, expr,
-            max_rows: int | None = None) -> DataFrame:
-    """Join rank rows back to ``df`` on (by, value). ``max_rows`` is a known
-    upper bound of the rank table; below the broadcast bound it is broadcast."""
-    if max_rows is not None:
-        from strata.operators.joins import bounded_broadcast
-        ranks = bounded_broadcast(ranks, known_rows=max_rows)
+def _attach(df: DataFrame, ranks: DataFrame, value: str, by: list, out: str, expr) -> DataFrame:
+    """Join rank rows back to ``df`` on (by, value); Spark picks the join by
+    the bytes of the rank table."""
     r = ranks.select(*[F.col(b).alias(f"_k_{b}") for b in by], F.col(value).alias("_k_v"),
                      "_below", "_total")
     cond = F.col(value).eqNullSafe(F.col("_k_v"))
@@ -138,47 +129,12 @@ def percent_rank(df: DataFrame, columns: dict[str, str], by: tuple | list = (),
     """
     by = list(by)
     cols = list(dict.fromkeys(columns.values()))
-    splits, n_rows = quantile_splits(df.select(*cols), cols, target_rows, with_rows=True)
+    splits = quantile_splits(df.select(*cols), cols, target_rows)
     out_df = df
     for out, col in columns.items():
         ranks = value_ranks(df.select(*by, col), col, by, splits=splits[col])
         pr = F.when(F.col("_total") > 1,
                     F.col("_below").cast("double") / (F.col("_total") - 1).cast("double")
                     ).otherwise(F.lit(0.0))
-        # A rank table has at most one row per input row: n_rows bounds it.
-        out_df = _attach(out_df, ranks, col, by, out, pr, max_rows=n_rows)
+        out_df = _attach(out_df, ranks, col, by, out, pr)
     return out_df
-
-
-def dense_codes(df: DataFrame, column: str, out: str, target_rows: int = TARGET_BUCKET_ROWS) -> DataFrame:
-    """``out`` = 0-based dense rank of a numeric ``column`` (nulls last)."""
-    ranks = value_ranks(df.select(column), column, distinct=True, target_rows=target_rows)
-    return _attach(df, ranks, column, [], out, F.col("_below"))
-
-
-def ordinal_within(df: DataFrame, order_col: str, by: tuple | list, out: str,
-                   target_rows: int = TARGET_BUCKET_ROWS) -> DataFrame:
-    """0-based position of each row inside its ``by`` group by a unique
-    numeric ``order_col`` (ties share a position)."""
-    by = list(by)
-    ranks = value_ranks(df.select(*by, order_col), order_col, by, target_rows=target_rows)
-    return _attach(df, ranks, order_col, by, out, F.col("_below"))
-
-
-def dense_codes_text(df: DataFrame, label, out: str) -> DataFrame:
-    """Dense 0-based codes of a text expression in code-point order, for
-    dictionaries too large to inline.
-
-    The distinct labels are range-sorted and checkpointed to the shared
-    checkpoint folder, which fixes partition contents; per-partition sizes
-    then give offsets, and a row number inside each partition the rest.
-    """
-    labels = df.select(label.alias("_l")).distinct().orderBy("_l").checkpoint(eager=True)
-    with_pid = labels.withColumn("_p", F.spark_partition_id())
-    sizes = with_pid.groupBy("_p").agg(F.count(F.lit(1)).alias("_ps"))
-    offsets = sizes.select("_p", F.coalesce(F.sum("_ps").over(
-        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_po"))
-    coded = (with_pid.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("_l")))
-             .join(offsets, "_p")
-             .select("_l", (F.col("_po") + F.col("_r") - 1).cast("int").alias(out)))
-    return df.withColumn("_l", label).join(coded, "_l", "left").drop("_l")

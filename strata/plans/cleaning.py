@@ -17,10 +17,11 @@ from strata.operators.clean import (
     require_column,
 )
 from strata.operators.features import (
+    MAX_DUMMY_COLUMNS,
     add_duration,
     add_mortality_flag,
     add_risk_level,
-    dictionaries,
+    distinct_values,
     encode_categoricals,
     engineer_features,
 )
@@ -109,7 +110,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_path: str,
     1. raw -> cleaned rows, staged in the shared checkpoint folder (one pass
        over the raw input; the lineage is cut there, so a lost executor never
        re-reads raw files or re-runs joins);
-    2. one dictionary job over the staged table (topic list, label codes);
+    2. topic list and label dictionary from the staged table;
     3. unit imputation, features and codes, written partitioned by year and
        range-sorted by (YearStart, LocationAbbr).
 
@@ -119,9 +120,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_path: str,
     from strata.sources.parquet import load_processed, save_processed
 
     staged = stage_cleaned(spark, raw, staging_path or scratch_path(spark, "cleaned"), report)
-    dicts = dictionaries(staged)
-    df = impute_unit(staged, known_groups=dicts.get(("pairs", ("Topic", "Question"))))
-    df = engineer_features(df, topics=dicts.get(("dummy", "Topic")))
-    df = encode_categoricals(df, dicts=dicts)
+    topics = distinct_values(staged, "Topic", MAX_DUMMY_COLUMNS) if "Topic" in staged.columns else None
+    df = engineer_features(impute_unit(staged), topics=topics)
+    df = encode_categoricals(df, source=staged)
     save_processed(df, out_path, partition_by=partition_by)
     return load_processed(spark, out_path)

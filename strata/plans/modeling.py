@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from strata.constants import FOREST_DEPTH, FOREST_TREES, KMEANS_K, KMEANS_STARTS, RISK_FEATURES, SEED
 from strata.operators import ml
+from strata.operators.priority import materialize
 from strata.operators.reshape import state_disease_matrix
 
 
@@ -20,29 +19,14 @@ def cluster_states(processed: DataFrame, k: int = KMEANS_K, starts: int = KMEANS
 def fit_risk_forest(processed: DataFrame, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH,
                     seed: int = SEED) -> DataFrame:
     """M12 refit on all labelled rows + M15: importances by feature, desc."""
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import StringIndexer
-
-    from strata.operators.priority import materialize
-
     feats = ml.available_features(processed, RISK_FEATURES)
-    rows = ml.labelled(processed, "risk_level")
-    stored = materialize(ml.with_class_weights(ml.feature_frame(rows, feats, "risk_level")), "forest-frame")
-    sized = ml.right_sized(stored, stored.count(), ml.TRAINING_ROWS_PER_PARTITION).persist()
+    rows = materialize(ml.feature_frame(ml.labelled(processed, "risk_level"), feats, "risk_level"), "forest-frame")
+    sized = ml.right_sized(rows, rows.count(), ml.TRAINING_ROWS_PER_PARTITION).persist()
     try:
-        data = StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc").fit(
-            sized).transform(sized)
-        model = RandomForestClassifier(featuresCol="features", labelCol="label_idx", weightCol="weight",
-                                       numTrees=trees, maxDepth=depth, seed=seed,
-                                       featureSubsetStrategy="sqrt",
-                                       maxMemoryInMB=ml.forest_memory_mb(processed.sparkSession)
-                                       ).fit(ml.assemble(data, feats))
+        data, _ = ml.index_labels(sized)
+        return ml.refit_forest(data, feats, ml.risk_forest(processed.sparkSession, trees, depth, seed))[1]
     finally:
         sized.unpersist()
-    imp = model.featureImportances.toArray().tolist()
-    return processed.sparkSession.createDataFrame(
-        [(f, float(v)) for f, v in zip(feats, imp)], "feature string, importance double").orderBy(
-        F.col("importance").desc(), "feature")
 
 
 def run(spark: SparkSession, processed: DataFrame, out_dir: str | None = None,
@@ -53,7 +37,7 @@ def run(spark: SparkSession, processed: DataFrame, out_dir: str | None = None,
     clusters = cluster_states(processed, starts=starts)
     mortality = ml.train_mortality_model(processed)
     risk = ml.train_risk_classifier(processed, trees=trees)
-    summary = ml.model_summary(spark, clusters["silhouette"], mortality, risk)
+    summary = ml.model_summary(spark, ml.silhouette_euclidean(clusters["points"]), mortality, risk)
     if out_dir:
         write_csv(clusters["assignments"], f"{out_dir}/state_clusters")
         write_csv(risk["feature_importances"], f"{out_dir}/feature_importances")

@@ -375,25 +375,12 @@ def _processed(spark, sf_dir):
     return processed(obs_raw(spark, sf_dir))
 
 
-_MEMO: dict = {}
-
-
-def _memo(spark, sf_dir, name, fn):
-    """Share one model fit between the registered queries of one Spark
-    application (m8/m11/d4 use the same cross-validated model, m15/t6 the
-    same forest)."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _MEMO:
-        _MEMO[key] = fn()
-    return _MEMO[key]
-
-
 def _mortality(spark, sf_dir):
-    return _memo(spark, sf_dir, "mortality", lambda: ML.train_mortality_model(facts(spark, sf_dir)))
+    return ML.train_mortality_model(_processed(spark, sf_dir))
 
 
 def _forest(spark, sf_dir):
-    return _memo(spark, sf_dir, "forest", lambda: MD.fit_risk_forest(_processed(spark, sf_dir)))
+    return MD.fit_risk_forest(_processed(spark, sf_dir))
 
 
 def _risk_rows(spark, sf_dir):
@@ -413,7 +400,7 @@ def m3(spark, sf_dir):
 @register("m4_silhouette")
 def m4(spark, sf_dir):
     res = MD.cluster_states(_processed(spark, sf_dir))
-    return spark.createDataFrame([("silhouette_euclidean", res["silhouette"]),
+    return spark.createDataFrame([("silhouette_euclidean", ML.silhouette_euclidean(res["points"])),
                                   ("silhouette_squared_euclidean", res["silhouette_squared"])],
                                  "metric string, value double")
 
@@ -452,12 +439,12 @@ def m11(spark, sf_dir):
 
 @register("m13_labelled_rows", O.LABELLED_ROWS)
 def m13(spark, sf_dir):
-    return _risk_rows(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    return ML.labelled(facts(spark, sf_dir), "StratificationCategory1").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("m14_tiny_classes", O.TINY_CLASSES)
 def m14(spark, sf_dir):
-    return ML.tiny_classes(_risk_rows(spark, sf_dir))
+    return ML.tiny_classes(facts(spark, sf_dir).select(F.col("DataValueType").alias("label")))
 
 
 @register("m15_feature_importances")
@@ -470,21 +457,15 @@ def t6(spark, sf_dir):
     return ML.top_importances(_forest(spark, sf_dir))
 
 
-# Cross-validated forests fit six times; the registered checks use fewer
-# trees than the library default (300) to bound their runtime. The refit in
-# m15/t6 uses the full default.
-CHECK_TREES = 50
-
-
 @register("m12_risk_classifier")
 def m12(spark, sf_dir):
-    res = ML.train_risk_classifier(_processed(spark, sf_dir), trees=CHECK_TREES)
+    res = ML.train_risk_classifier(_processed(spark, sf_dir))
     return res["report"]
 
 
 @register("m17_training_run")
 def m17(spark, sf_dir):
-    return MD.run(spark, _processed(spark, sf_dir), trees=CHECK_TREES)["summary"]
+    return MD.run(spark, _processed(spark, sf_dir))["summary"]
 
 
 # --- documented-only analyses ---------------------------------------------------------------

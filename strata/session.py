@@ -9,6 +9,8 @@ filled in.
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,38 +42,63 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+class SharedFolderError(RuntimeError):
+    """No folder that all executors share is configured."""
+
+
+def _configured(spark: SparkSession) -> str | None:
+    return (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            or os.environ.get("STRATA_CHECKPOINT_DIR"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read here.
-    It is set by :func:`ensure_checkpoint_dir` only when it is missing (tests).
+    A cluster must name one: executors do not see each other's disks, so
+    without it this raises. Only a single-process ``local`` master, as in
+    tests, gets a folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = _configured(spark)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = ensure_checkpoint_dir(spark)
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise SharedFolderError(
+                f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+        root = tempfile.mkdtemp(prefix="strata-")
+    if spark.conf.get("spark.checkpoint.dir", None) != root:
+        spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Set a checkpoint directory when the session has none (local runs)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    root = (spark.conf.get("spark.checkpoint.dir", None)
-            or sc.getConf().get("spark.checkpoint.dir", None))
-    if not root:
-        root = os.environ.get("STRATA_CHECKPOINT_DIR") or f"/tmp/strata-ckpt-{uuid.uuid4().hex[:8]}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not current:
-        sc.setCheckpointDir(root)
+    """:func:`checkpoint_root`, also known to ``checkpoint()``."""
+    root = checkpoint_root(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+_scratch: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete every scratch table of this application; returns how many there
+    were. To be called when no result that reads them is needed any more."""
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)
 
 
 MB = 1024 * 1024
@@ -85,7 +112,7 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
     * shuffle partitions sized so that one partition is about the target
       size even if a shuffle carried the whole input (AQE then coalesces the
       many that carry less), never fewer than two waves of the cluster's
-      cores, capped at 100k to keep map-status metadata bounded;
+      cores;
     * a per-task memory check: the target must fit in a quarter of one
       core's share of executor memory, otherwise it is lowered;
     * AQE skew splitting for partitions over 4x the median and the target.
@@ -93,7 +120,7 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
     per_core_mb = executor_memory_mb / max(cores_per_executor, 1)
     target_mb = int(max(32, min(target_partition_mb, per_core_mb / 4)))
     slots = executors * cores_per_executor
-    partitions = int(min(100_000, max(2 * slots, input_bytes // (target_mb * MB) + 1)))
+    partitions = int(max(2 * slots, input_bytes // (target_mb * MB) + 1))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -106,11 +133,3 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     }
-
-
-def apply_conf(spark: SparkSession, conf: dict[str, str], keep: tuple = ()) -> None:
-    """Apply runtime SQL settings, except the keys listed in ``keep``
-    (settings the launcher tuned on purpose)."""
-    for key, value in conf.items():
-        if key not in keep:
-            spark.conf.set(key, value)

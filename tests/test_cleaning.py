@@ -1,181 +1,140 @@
-"""Cleaning and feature properties (ported) plus edge rows."""
+"""Cleaning, features and label codes on rows made for each rule."""
 
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
+from strata.constants import DROP_COLUMNS, RISK_LABELS
+from strata.functions.indicators import risk_level
+from strata.functions.numeric import exact_mean, to_number
 from strata.operators import clean as C
 from strata.operators import features as FE
-from tests.fixtures import make_raw
-
-
-class TestClean:
-    def test_drops_footnote_columns(self, spark):
-        df = C.clean(make_raw(spark))
-        assert "DataValueFootnoteSymbol" not in df.columns
-        assert "DatavalueFootnote" not in df.columns
-        assert "LocationDesc" not in df.columns
-
-    def test_datavalue_numeric(self, spark):
-        df = C.clean(make_raw(spark))
-        assert df.schema["DataValue"].dataType.simpleString() == "double"
-
-    def test_no_null_value(self, spark):
-        df = C.clean(make_raw(spark))
-        assert df.filter(F.col("DataValueAlt").isNull()).count() == 0
-
-    def test_row_count_reasonable(self, spark):
-        assert C.clean(make_raw(spark, 300)).count() > 100
-
-    def test_raises_on_too_small(self, spark):
-        raw = make_raw(spark, 5).withColumn("DataValueAlt", F.lit(100.0))
-        with pytest.raises(AssertionError):
-            C.clean(raw)
-
-    def test_gate_boundary(self, spark):
-        raw = make_raw(spark, 120)
-        exactly_100 = raw.limit(100)
-        exactly_101 = raw.limit(101)
+from tests.fixtures import raw_extract
+
+
+def column(spark, values, kind, name="v"):
+    return spark.createDataFrame([(v,) for v in values], f"`{name}` {kind}")
+
+
+NUMBERS = [
+    (None, None), ("NaN", None), ("", None), ("NA", None), ("1,000", None), ("3f", None), ("1d", None), ("0x1", None),
+    (" 12 ", 12.0), ("-2.5e3", -2500.0), (".5", 0.5), ("7.", 7.0), ("inf", math.inf), ("-Infinity", -math.inf),
+]
+RISKS = [
+    (None, None), (-math.inf, None), (-5.0, "Low"), (100000.0, "Low"), (100000.01, "Moderate"), (250000.0, "Moderate"),
+    (250000.5, "High"), (500000.0, "High"), (500000.5, "Very High"), (math.inf, "Very High"),
+]
+
+
+@pytest.mark.parametrize("cases, kind, rule", [(NUMBERS, "string", to_number), (RISKS, "double", risk_level)],
+                         ids=["numbers", "risk bins"])
+def test_value_rules(spark, cases, kind, rule):
+    rows = column(spark, [given for given, _ in cases], kind)
+    assert [r[0] for r in rows.select(rule("v")).collect()] == [want for _, want in cases]
+
+
+@pytest.mark.parametrize("values, want", [
+    ([0.004, 0.004, 0.0129], 0.0209 / 3),
+    ([1e17, 1.0], 5e16),
+    ([math.inf, 1.0], math.inf), ([math.inf, -math.inf], math.nan),
+    ([1e300, 1e300], 1e300), ([None, 2.5, None], 2.5), ([None], None), ([], None),
+    ([0.1] * 10 + [-0.1] * 10, 0.0),
+])
+def test_means_keep_what_the_values_hold(spark, values, want):
+    got = column(spark, values, "double").select(exact_mean("v")).first()[0]
+    assert got == want if want is None or math.isinf(want) else math.isnan(got) if math.isnan(want) \
+        else got == pytest.approx(want, rel=1e-12, abs=1e-12)
+
+
+def test_means_agree_with_plain_averages_and_any_order(spark):
+    obs = raw_extract(spark, 5000).withColumn("DataValueAlt", F.col("DataValueAlt") / 997)
+    two = obs.groupBy("Topic").agg(exact_mean("DataValueAlt").alias("m"), F.avg("DataValueAlt").alias("plain")).collect()
+    assert all(r.m == pytest.approx(r.plain, rel=1e-9) for r in two)
+    other = obs.repartition(7, "LocationAbbr").groupBy("Topic").agg(exact_mean("DataValueAlt").alias("m")).collect()
+    assert {r.Topic: r.m for r in two} == {r.Topic: r.m for r in other}
+
+
+def test_cleaning_drops_and_counts(spark):
+    damaged = (raw_extract(spark).withColumn("Blank", F.lit(None).cast("double"))
+               .withColumn("DataValueAlt", F.when(F.col("LocationID") != 1, F.col("DataValueAlt")))
+               .withColumn("GeoLocation", F.when(F.col("YearStart") != 2010, F.col("GeoLocation"))))
+    report = C.CleanReport()
+    out = C.clean(damaged, min_rows=20, report=report)
+    keep = damaged.filter("DataValueAlt IS NOT NULL")
+    assert out.count() == report.rows_out == keep.filter("GeoLocation IS NOT NULL").count() > 20
+    assert report.rows_in == 240 and report.dropped_missing_value == 240 - keep.count()
+    assert report.dropped_missing_location == keep.filter("GeoLocation IS NULL").count() > 0
+    assert not set(out.columns) & {*DROP_COLUMNS, "Blank"} and report.empty_columns == ["Blank"]
+    assert dict(out.dtypes)["DataValue"] == "double" and out.filter("DataValue IS NULL").count() > 0
+
+
+@pytest.mark.parametrize("rows, passes", [(0, False), (100, False), (101, True)])
+def test_size_gate(spark, rows, passes):
+    data = raw_extract(spark, rows)
+    if passes:
+        assert C.clean(data).count() == rows
+    else:
         with pytest.raises(C.TooFewRowsError):
-            C.clean(exactly_100)
-        assert C.clean(exactly_101).count() == 101
-
-    def test_missing_value_column_raises(self, spark):
-        with pytest.raises(KeyError):
-            C.clean(make_raw(spark).drop("DataValueAlt"))
-
-    def test_entirely_null_column_dropped(self, spark):
-        raw = make_raw(spark).withColumn("Extra", F.lit(None).cast("string"))
-        report = C.CleanReport()
-        df = C.clean(raw, report=report)
-        assert "Extra" not in df.columns and "Extra" in report.empty_columns
-
-    def test_report_counts(self, spark):
-        raw = make_raw(spark, 300).withColumn(
-            "DataValueAlt", F.when(F.col("LocationID") < 10, None).otherwise(F.col("DataValueAlt")))
-        report = C.CleanReport()
-        out = C.clean(raw, report=report)
-        assert report.rows_in == 300
-        assert report.rows_out == out.count()
-        assert report.dropped_missing_value == raw.filter("DataValueAlt is null").count()
-
-
-def test_numeric_coercion_edge_text(spark):
-    texts = [None, "NaN", "", "NA", " 12 ", "1,000", "3f", "1d", "-2.5e3", ".5", "inf"]
-    df = spark.createDataFrame([(t,) for t in texts], "v string")
-    got = [r[0] for r in df.select(C.to_number("v") if hasattr(C, "to_number") else
-                                   __import__("strata.functions.numeric", fromlist=["to_number"]).to_number("v")
-                                   ).collect()]
-    expected = [None, None, None, None, 12.0, None, None, None, -2500.0, 0.5, math.inf]
-    assert got == expected
-
-
-class TestGeolocation:
-    def test_extracts_lat_lon(self, spark):
-        out = C.parse_geolocation(C.clean(make_raw(spark, 150)))
-        assert {"Latitude", "Longitude"} <= set(out.columns)
-        assert "GeoLocation" not in out.columns
-
-    def test_ranges(self, spark):
-        out = C.parse_geolocation(C.clean(make_raw(spark, 150)))
-        r = out.agg(F.min("Latitude"), F.max("Latitude"), F.min("Longitude"), F.max("Longitude")).first()
-        assert 20 <= r[0] and r[1] <= 55 and -130 <= r[2] and r[3] <= -60
-
-    def test_malformed_and_missing(self, spark):
-        df = spark.createDataFrame([("POINT (-70.5 25.25)",), ("POINT(1 2)",), ("junk",), (None,)], "GeoLocation string")
-        got = [(r.Longitude, r.Latitude) for r in C.parse_geolocation(df).collect()]
-        assert got == [(-70.5, 25.25), (None, None), (None, None), (None, None)]
-        no_col = C.parse_geolocation(df.withColumnRenamed("GeoLocation", "g"))
-        assert no_col.filter("Latitude is not null or Longitude is not null").count() == 0
-
-
-class TestImpute:
-    def test_does_not_increase_nulls_and_keeps_values(self, spark):
-        cleaned = C.clean(make_raw(spark, 200)).withColumn("_id", F.monotonically_increasing_id()).cache()
-        out = C.impute_unit(cleaned)
-        assert out.filter("DataValueUnit is null").count() <= cleaned.filter("DataValueUnit is null").count()
-        kept = cleaned.filter("DataValueUnit is not null").select("_id", F.col("DataValueUnit").alias("before"))
-        joined = kept.join(out.select("_id", "DataValueUnit"), "_id")
-        assert joined.filter("before != DataValueUnit").count() == 0
-
-    def test_mode_ties_and_empty_groups(self, spark):
-        rows = [("T", "Q", "b"), ("T", "Q", "a"), ("T", "Q", None),       # tie a/b -> a
-                ("T", "R", None), ("T", "R", None),                       # no unit -> stays null
-                ("T", None, "x"), ("T", None, None),                      # null key -> stays null
-                ("U", "Q", "z"), ("U", "Q", "z"), ("U", "Q", "y"), ("U", "Q", None)]
-        df = spark.createDataFrame(rows, "Topic string, Question string, DataValueUnit string")
-        out = C.impute_unit(df).collect()
-        filled = [r.DataValueUnit for r in out if r.Topic == "T" and r.Question == "Q"]
-        assert sorted(filled) == ["a", "a", "b"]
-        assert all(r.DataValueUnit is None for r in out if r.Question == "R")
-        assert sorted(str(r.DataValueUnit) for r in out if r.Question is None) == ["None", "x"]
-        assert sorted(r.DataValueUnit for r in out if r.Topic == "U") == ["y", "z", "z", "z"]
-        modes = {(r.Topic, r.Question): r.mode_value for r in C.group_mode(df, ["Topic", "Question"], "DataValueUnit").collect()}
-        portable = {(r.Topic, r.Question): r.mode_value
-                    for r in C.group_mode_by_rank(df, ["Topic", "Question"], "DataValueUnit").collect()}
-        assert modes == portable
-
-
-class TestFeatures:
-    def _df(self, spark, n=200):
-        return FE.engineer_features(C.clean(make_raw(spark, n)))
-
-    def test_is_mortality_binary(self, spark):
-        vals = {r[0] for r in self._df(spark).select("is_mortality").distinct().collect()}
-        assert vals <= {0, 1}
-
-    def test_duration_non_negative(self, spark):
-        assert self._df(spark).filter("disease_duration < 0").count() == 0
-
-    def test_risk_levels(self, spark):
-        vals = {r[0] for r in self._df(spark).select("risk_level").distinct().collect()}
-        assert vals - {None} <= {"Low", "Moderate", "High", "Very High"}
-
-    def test_topic_dummies(self, spark):
-        df = self._df(spark)
-        cols = [c for c in df.columns if c.startswith("topic_")]
-        assert len(cols) >= 5 and cols == sorted(cols)
-        for c in cols:
-            assert {r[0] for r in df.select(F.col(f"`{c}`")).distinct().collect()} <= {0, 1}
-
-    def test_risk_bins_right_closed(self, spark):
-        from strata.functions.indicators import risk_level
-        vals = [100000.0, 100000.01, 250000.0, 500000.0, 500000.5, None, float("-inf"), -5.0]
-        df = spark.createDataFrame([(v,) for v in vals], "v double")
-        got = [r[0] for r in df.select(risk_level("v")).collect()]
-        assert got == ["Low", "Moderate", "Moderate", "High", "Very High", None, None, "Low"]
-
-    def test_mortality_flag_null_source(self, spark):
-        df = spark.createDataFrame([("NVSS",), (None,), ("BRFSS",)], "DataSource string")
-        assert [r.is_mortality for r in FE.add_mortality_flag(df).collect()] == [1, 0, 0]
-        assert FE.add_mortality_flag(df.drop("DataSource")).first().is_mortality == 0
-
-    def test_duration_null_years(self, spark):
-        df = spark.createDataFrame([(2010, 2012), (2012, 2010), (None, 2010), (2010, None)],
-                                   "YearStart int, YearEnd int")
-        assert [r.disease_duration for r in FE.add_duration(df).collect()] == [2, 0, None, None]
-
-    def test_null_topic_all_zero(self, spark):
-        df = spark.createDataFrame([("A",), (None,), ("B",)], "Topic string")
-        out = FE.add_topic_dummies(df).collect()
-        assert [(r.topic_A, r.topic_B) for r in out] == [(1, 0), (0, 0), (0, 1)]
-
-
-class TestEncode:
-    def test_codes_are_ints_in_code_point_order(self, spark):
-        df = FE.encode_categoricals(FE.engineer_features(C.clean(make_raw(spark, 200))))
-        assert df.schema["LocationAbbr_enc"].dataType.simpleString() == "int"
-        pairs = sorted({(r[0], r[1]) for r in df.select("LocationAbbr", "LocationAbbr_enc").collect()})
-        assert [p[1] for p in pairs] == list(range(len(pairs)))
-
-    def test_missing_becomes_nan_label(self, spark):
-        df = spark.createDataFrame([("b",), (None,), ("B",), ("a",)], "LocationAbbr string")
-        got = {r.LocationAbbr: r.LocationAbbr_enc for r in FE.encode_categoricals(df).collect()}
-        assert got == {"B": 0, "a": 1, "b": 2, None: 3}
-
-    def test_distributed_dictionary_matches_inline(self, spark):
-        df = spark.createDataFrame([(f"k{i % 37}",) for i in range(500)] + [(None,)], "LocationAbbr string")
-        inline = {r[0]: r[1] for r in FE.encode_column(df, "LocationAbbr").select("LocationAbbr", "LocationAbbr_enc").distinct().collect()}
-        big = {r[0]: r[1] for r in FE.encode_column(df, "LocationAbbr", max_inline=5).select("LocationAbbr", "LocationAbbr_enc").distinct().collect()}
-        assert inline == big
+            C.clean(data)
+
+
+def test_value_column_is_required(spark):
+    with pytest.raises(KeyError):
+        C.clean(raw_extract(spark).drop("DataValueAlt"))
+
+
+def test_points(spark):
+    cases = {"POINT (-70.5 25.25)": (-70.5, 25.25), "POINT(1 2)": (None, None), "somewhere": (None, None),
+             "POINT (3f 1.0d)": (None, None), "POINT (1e1 .5)": (10.0, 0.5), "POINT (NaN 4)": (None, 4.0), None: (None, None)}
+    out = C.parse_geolocation(column(spark, list(cases), "string", "GeoLocation"))
+    assert [(r.Longitude, r.Latitude) for r in out.collect()] == list(cases.values()) and "GeoLocation" not in out.columns
+    without = C.parse_geolocation(column(spark, ["POINT (1 2)"], "string", "elsewhere")).first()
+    assert (without.Longitude, without.Latitude) == (None, None)
+
+
+UNITS = [  # topic, question, units before, units after
+    ("T", "tie", ["b", "a", None], ["a", "a", "b"]), ("T", "none", [None, None], [None, None]),
+    ("T", None, ["x", None], [None, "x"]), ("U", "most", ["z", "z", "y", None], ["y", "z", "z", "z"]),
+]
+
+
+def test_units_are_filled_with_the_commonest(spark):
+    rows = [(t, q, u) for t, q, units, _ in UNITS for u in units]
+    df = spark.createDataFrame(rows, "Topic string, Question string, DataValueUnit string")
+    out = C.impute_unit(df).collect()
+    for topic, question, _, after in UNITS:
+        assert sorted((r.DataValueUnit for r in out if (r.Topic, r.Question) == (topic, question)), key=str) == sorted(after, key=str)
+    keys = ["Topic", "Question"]
+    one, two = (sorted(map(str, f(df, keys, "DataValueUnit").collect())) for f in (C.group_mode, C.group_mode_by_rank))
+    assert one == two
+
+
+def test_features_of_an_extract(spark):
+    out = FE.engineer_features(C.clean(raw_extract(spark))).cache()
+    assert {r[0] for r in out.select("risk_level").distinct().collect()} <= {*RISK_LABELS}
+    assert out.filter("disease_duration <> greatest(YearEnd - YearStart, 0)").count() == 0
+    assert out.filter("(is_mortality = 1) <> coalesce(DataSource IN ('NVSS', 'Death Certificate'), false)").count() == 0
+    topics = [c for c in out.columns if c.startswith("topic_")]
+    assert topics == [f"topic_{t}" for t in sorted({r[0] for r in out.select("Topic").distinct().collect()})]
+    assert out.filter(" + ".join(f"`{c}`" for c in topics) + " <> 1").count() == 0
+
+
+def test_features_of_missing_inputs(spark):
+    spans = spark.createDataFrame([(2010, 2012), (2012, 2010), (None, 2010), (2010, None)], "YearStart int, YearEnd int")
+    assert [r.disease_duration for r in FE.add_duration(spans).collect()] == [2, 0, None, None]
+    feeds = column(spark, ["NVSS", None, "BRFSS"], "string", "DataSource")
+    assert [r.is_mortality for r in FE.add_mortality_flag(feeds).collect()] == [1, 0, 0]
+    assert FE.add_mortality_flag(feeds.drop("DataSource")).first().is_mortality == 0
+    dummies = FE.add_topic_dummies(column(spark, ["A", None, "B"], "string", "Topic")).collect()
+    assert [(r.topic_A, r.topic_B) for r in dummies] == [(1, 0), (0, 0), (0, 1)]
+
+
+def test_label_codes_follow_code_points(spark):
+    labels = column(spark, ["b", None, "B", "a", "b"], "string", "LocationAbbr")
+    out = FE.encode_categoricals(labels)
+    assert dict(out.dtypes)["LocationAbbr_enc"] == "int"
+    assert {r.LocationAbbr: r.LocationAbbr_enc for r in out.collect()} == {"B": 0, "a": 1, "b": 2, None: 3}
+    many = column(spark, [f"k{i % 37}" for i in range(500)] + [None], "string", "LocationAbbr")
+    codes = {r[0]: r[1] for r in FE.encode_column(many, "LocationAbbr").select("LocationAbbr", "LocationAbbr_enc").collect()}
+    assert codes == {k: i for i, k in enumerate(sorted((x for x in codes if x), key=str))} | {None: 37}

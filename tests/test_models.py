@@ -1,16 +1,21 @@
-"""Modelling properties (ported) plus fold/weight/report checks."""
+"""Modelling: matrices, clusters, folds, weights, reports and scores."""
 
+import math
+import random
+
+import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from strata.operators import ml as ML
 from strata.operators.reshape import state_disease_matrix, state_topic_shares
-from tests.fixtures import make_state_rows
+from tests.fixtures import state_topics
 
 
 class TestStateMatrix:
     def test_shape_and_rows_sum_to_one(self, spark):
-        df = make_state_rows(spark, n_states=10)
+        df = state_topics(spark, 10)
         m = state_disease_matrix(df)
         assert m.count() == 10 and len(m.columns) == 6 and m.columns[0] == "LocationAbbr"
         sums = m.select(sum(F.col(f"`{c}`") for c in m.columns[1:]).alias("s")).collect()
@@ -28,20 +33,40 @@ class TestStateMatrix:
         assert got == {("A", "x"): 1 / 3, ("A", "y"): 2 / 3}
 
 
+def silhouette_by_definition(points):
+    """Mean silhouette from all pairwise distances."""
+    scores = []
+    for x, c in points:
+        same = [math.dist(x, y) for y, d in points if d == c]
+        other = [[math.dist(x, y) for y, d in points if d == o] for o in {d for _, d in points} - {c}]
+        a = sum(same) / max(len(same) - 1, 1)
+        b = min((sum(o) / len(o) for o in other), default=0.0)
+        scores.append(0.0 if len(same) == 1 or max(a, b) == 0 else (b - a) / max(a, b))
+    return sum(scores) / len(scores)
+
+
 class TestClusters:
     def test_cluster_properties(self, spark):
-        m = state_disease_matrix(make_state_rows(spark, n_states=30, n_records=1000))
+        m = state_disease_matrix(state_topics(spark, 30, 1000))
         res = ML.cluster_entities(m, "LocationAbbr", k=3, starts=4)
-        labels = {r.cluster for r in res["assignments"].collect()}
-        assert labels == {0, 1, 2}
-        assert -1.0 <= res["silhouette"] <= 1.0
-        res4 = ML.cluster_entities(m, "LocationAbbr", k=4, starts=2)
-        assert {r.cluster for r in res4["assignments"].collect()} <= {0, 1, 2, 3}
+        assert {r.cluster for r in res["assignments"].collect()} == {0, 1, 2}
+        points = [(list(r.features), r.cluster) for r in res["points"].collect()]
+        assert ML.silhouette_euclidean(res["points"]) == pytest.approx(silhouette_by_definition(points))
+        assert -1.0 <= res["silhouette_squared"] <= 1.0
 
     def test_separated_clusters(self, spark):
         rows = [(f"S{i}", *(0.9 if j == i // 10 else 0.05 for j in range(3))) for i in range(30)]
         m = spark.createDataFrame(rows, "LocationAbbr string, topic_A double, topic_B double, topic_C double")
-        assert ML.cluster_entities(m, "LocationAbbr", k=3, starts=3)["silhouette"] > 0.5
+        res = ML.cluster_entities(m, "LocationAbbr", k=3, starts=3)
+        assert ML.silhouette_euclidean(res["points"]) > 0.5
+
+    def test_silhouette_on_given_labels(self, spark):
+        rng = random.Random(3)
+        points = [([rng.random(), rng.random()], i % 3) for i in range(40)] + [([9.0, 9.0], 7), ([0.5, 0.5], 0), ([0.5, 0.5], 0)]
+        df = spark.createDataFrame([(Vectors.dense(x), c) for x, c in points], ["features", "cluster"])
+        assert ML.silhouette_euclidean(df.repartition(3)) == pytest.approx(silhouette_by_definition(points))
+        with pytest.raises(ValueError):
+            ML.silhouette_euclidean(df, max_points=5)
 
 
 def test_folds_are_stratified(spark):
@@ -93,3 +118,73 @@ def test_roc_auc_matches_evaluator_and_pairs(spark):
     assert got == pytest.approx(pairs)
     ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
     assert got == pytest.approx(ev.evaluate(df.withColumn("label", F.col("label").cast("double"))))
+
+
+@pytest.fixture(scope="module")
+def observations(spark):
+    """Rows whose mortality flag and risk level depend on their features."""
+    rng = random.Random(11)
+    rows = []
+    for _ in range(900):
+        year, length, value = rng.randint(2005, 2015), rng.randint(0, 4), rng.uniform(0, 6e5)
+        risk = "Low" if value < 1e5 else "Moderate" if value < 2.5e5 else "High" if value < 5e5 else "Very High"
+        cancer = int(rng.random() < 0.5)
+        died = int(rng.random() < 1 / (1 + math.exp(-(2 * cancer - 2 + (value - 3e5) / 2e5))))
+        rows.append((year, length, value, died, cancer, rng.randint(0, 6), risk if rng.random() > 0.02 else None))
+    return spark.createDataFrame(rows, "YearStart int, disease_duration int, value_normalized double, is_mortality int, "
+                                 "topic_Cancer int, LocationAbbr_enc int, risk_level string").cache()
+
+
+def test_mortality_model_is_at_its_optimum(spark, observations):
+    got = ML.train_mortality_model(observations, folds=3)
+    assert got["rows"] == 900 and got["scored"].count() == 900  # every row scored once
+    assert got["auc"] == pytest.approx(ML.roc_auc(got["scored"])) and got["auc"] > 0.7
+    feats = got["feature_names"]
+    assert feats == ["YearStart", "disease_duration", "value_normalized", "topic_Cancer"]
+    rows = observations.select(*feats, "is_mortality").toPandas()
+    x, y = rows[feats].to_numpy(float), rows.is_mortality.to_numpy(float)
+    x = (x - x.mean(0)) / x.std(0)
+    weight = np.where(y == 1, 900 / (2 * y.sum()), 900 / (2 * (900 - y.sum())))
+    coef, bias = got["model"].coefficients.toArray(), got["model"].intercept
+    error = weight * (1 / (1 + np.exp(-(x @ coef + bias))) - y)
+    # Gradient of the weighted log loss plus half the squared coefficients (C = 1).
+    assert np.abs(x.T @ error + coef).max() < 0.05 and abs(error.sum()) < 0.05
+
+
+def test_risk_classifier_and_importances(spark, observations):
+    got = ML.train_risk_classifier(observations, features=("YearStart", "disease_duration", "value_normalized", "absent"),
+                                   folds=3, trees=12, depth=6)
+    known = observations.filter("risk_level IS NOT NULL").count()
+    report = {r.cls: r for r in got["report"].collect()}
+    assert got["labels"] == ["High", "Low", "Moderate", "Very High"] and got["tiny_classes"] == []
+    assert report["accuracy"].support == known and got["accuracy"] > 0.9 and got["macro_f1"] > 0.9
+    importances = {r.feature: r.importance for r in got["feature_importances"].collect()}
+    assert sum(importances.values()) == pytest.approx(1) and max(importances, key=importances.get) == "value_normalized"
+    assert [r.feature for r in ML.top_importances(got["feature_importances"], 1).collect()] == ["value_normalized"]
+
+
+def test_training_run_writes_its_outputs(spark, observations, tmp_path):
+    from strata.plans import modeling
+    states = observations.withColumn("LocationAbbr", F.concat(F.lit("s"), (F.col("LocationAbbr_enc") * 3 + F.col("YearStart") % 3).cast("string")))
+    states = states.withColumn("topic_Other", 1 - F.col("topic_Cancer"))
+    got = modeling.run(spark, states, str(tmp_path), starts=2, trees=4)
+    read = lambda name: spark.read.option("header", True).csv(f"{tmp_path}/{name}")
+    assert read("state_clusters").count() == 21
+    assert read("feature_importances").count() == len(got["risk"]["feature_names"])
+    assert read("model_summary").count() == got["summary"].count() > 0
+
+
+def test_calibration_bins_and_thresholds(spark):
+    from strata.operators import quality as DQ
+    rng = random.Random(5)
+    rows = [(s := rng.random(), int(rng.random() < s)) for _ in range(2000)]
+    scored = spark.createDataFrame(rows, "score double, label int").withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+    bins = DQ.calibration(scored).collect()
+    assert sum(r.n for r in bins) == 2000
+    for r in bins:
+        inside = [(s, y) for s, y in rows if min(int(s * len(bins)), len(bins) - 1) == r.bin]
+        assert r.mean_score == pytest.approx(sum(s for s, _ in inside) / len(inside))
+        assert r.observed_rate == pytest.approx(sum(y for _, y in inside) / len(inside))
+    rates = DQ.error_rates(scored).first()
+    negative = [s >= 0.5 for s, y in rows if not y]
+    assert rates["false_positive_rate"] == pytest.approx(sum(negative) / len(negative))
