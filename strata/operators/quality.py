@@ -1,6 +1,5 @@
-"""Documented-only analyses (README of the reference names them, no code):
-disparity (D2), data quality (D3), calibration (D4), rolling means (D5),
-data-driven risk thresholds (D8), time split (D9), difference in
+"""Analyses beyond the marts: data quality (D3), calibration (D4), rolling means (D5),
+region features (D7), data-driven risk thresholds (D8), time split (D9), difference in
 differences (D10), dashboard filters (D11), feature availability (D12).
 
 Series-level statistics re-aggregate already aggregated tables (one value
@@ -12,7 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.numeric import exact_mean, ordered_mean_of, ordered_stddev_of
+from strata.functions.numeric import (
+    DECIMAL_LIMIT,
+    DECIMAL_PLACES,
+    exact_mean,
+    flag_rate,
+    ordered_mean_of,
+    ordered_stddev_of,
+)
 
 SEGMENT = ("LocationAbbr", "Topic")
 
@@ -24,21 +30,45 @@ def yearly_segment_means(obs: DataFrame) -> DataFrame:
 
 def data_quality(obs: DataFrame) -> DataFrame:
     """D3: per (state, topic): records, value coverage, unit missingness,
-    share of all strata present, and volatility (std / mean of yearly means)."""
-    all_strata = obs.select(F.countDistinct("Stratification1")).scalar()
-    base = obs.groupBy(*SEGMENT).agg(
-        F.count(F.lit(1)).alias("record_count"),
-        (F.count("DataValueAlt").cast("double") / F.count(F.lit(1))).alias("value_coverage"),
-        (F.lit(1.0) - F.count("DataValueUnit").cast("double") / F.count(F.lit(1))).alias("unit_missing_rate"),
+    share of all strata present, and volatility (std / mean of yearly means).
+
+    The facts are read once, into counts and sums per (state, topic, year,
+    stratum); everything else re-aggregates that table.
+    """
+    from strata.operators.priority import materialize
+    decimals = F.when(F.abs("DataValueAlt") < DECIMAL_LIMIT, F.col("DataValueAlt")).cast(f"decimal(38,{DECIMAL_PLACES})")
+    rest = F.when(F.abs("DataValueAlt") >= DECIMAL_LIMIT, F.col("DataValueAlt"))
+    cells = materialize(obs.groupBy(*SEGMENT, "YearStart", "Stratification1").agg(
+        F.count(F.lit(1)).alias("n"), F.count("DataValueAlt").alias("values"), F.count("DataValueUnit").alias("units"),
+        F.sum(decimals).alias("total"), F.sum(rest).alias("rest")), "cells")
+    all_strata = cells.select(F.countDistinct("Stratification1")).scalar()
+    count = lambda c: F.sum(c).cast("double")
+    base = cells.groupBy(*SEGMENT).agg(
+        F.sum("n").alias("record_count"), (count("values") / F.sum("n")).alias("value_coverage"),
+        (F.lit(1.0) - count("units") / F.sum("n")).alias("unit_missing_rate"),
         F.countDistinct("Stratification1").alias("strata_present"))
     base = base.withColumn("strata_coverage",
                            F.try_divide(F.col("strata_present").cast("double"), all_strata.cast("double")))
-    yearly = yearly_segment_means(obs).groupBy(*SEGMENT).agg(F.collect_list("v").alias("_vs"))
-    vol = yearly.select(*SEGMENT, F.try_divide(ordered_stddev_of(F.col("_vs")),
+    whole, large = F.sum("total").cast("double"), F.sum("rest")
+    yearly = cells.filter("values > 0").groupBy(*SEGMENT, "YearStart").agg(
+        (F.coalesce(whole + large, whole, large) / F.sum("values")).alias("v"))
+    series = yearly.groupBy(*SEGMENT).agg(F.collect_list("v").alias("_vs"))
+    vol = series.select(*SEGMENT, F.try_divide(ordered_stddev_of(F.col("_vs")),
                                                ordered_mean_of(F.col("_vs"))).alias("volatility"))
     return base.join(vol, list(SEGMENT), "left")
 
 
+def region_features(obs: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Records, states, mean value and mortality-source rate per region and
+    topic; places are looked up by name in the two dimension tables. Places
+    that these do not know have no region and are left out."""
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.col("n_name").alias("LocationAbbr"), F.col("r_name").alias("region"))
+    return obs.join(places, "LocationAbbr").groupBy("region", "Topic").agg(
+        F.count(F.lit(1)).alias("record_count"), F.countDistinct("LocationAbbr").alias("states"),
+        exact_mean("DataValueAlt").alias("avg_indicator_value"), flag_rate("is_mortality").alias("mortality_source_rate"))
+
+
 def rolling_means(obs: DataFrame, years: int = 3) -> DataFrame:
     """Mean of the last ``years`` available yearly means per segment."""
     w = Window.partitionBy(*SEGMENT).orderBy("YearStart").rowsBetween(-(years - 1), 0)

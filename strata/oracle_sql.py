@@ -584,11 +584,23 @@ UNION ALL
 SELECT DISTINCT 'topic_' || Topic, CAST(1 AS DOUBLE) FROM p WHERE Topic IN {FEATURE_TOPICS}"""
 
 MART_VIEWS = _q([TRENDS_CTE, STATE_TOPIC_CTE, RISK_CTE, DEMO_CTE, STATE_TOPIC_YEAR], """
-SELECT 'dashboard_kpis' AS view_name, CAST(1 AS BIGINT) AS rows
-UNION ALL SELECT 'topic_year_trends', COUNT(*) FROM trends
-UNION ALL SELECT 'state_topic_summary', COUNT(*) FROM sts
-UNION ALL SELECT 'risk_distribution', COUNT(*) FROM risk
-UNION ALL SELECT 'mortality_by_topic', (SELECT COUNT(*) FROM (SELECT Topic FROM obs GROUP BY Topic))
-UNION ALL SELECT 'demographic_risk', COUNT(*) FROM demo
+SELECT 'vw_dashboard_kpis' AS view_name, CAST(1 AS BIGINT) AS rows
+UNION ALL SELECT 'mart_topic_year_trends', COUNT(*) FROM trends
+UNION ALL SELECT 'mart_state_topic_summary', COUNT(*) FROM sts
+UNION ALL SELECT 'mart_risk_distribution', COUNT(*) FROM risk
+UNION ALL SELECT 'mart_mortality_by_topic', (SELECT COUNT(*) FROM (SELECT Topic FROM obs GROUP BY Topic))
+UNION ALL SELECT 'mart_demographic_risk', COUNT(*) FROM demo
 UNION ALL SELECT 'ml_feature_base', COUNT(*) FROM obs WHERE DataValueAlt IS NOT NULL
 UNION ALL SELECT 'mart_intervention_priority', COUNT(*) FROM sty""")
+
+
+FACT_TABLE = _q([], """
+SELECT LocationAbbr, DataValueType, COUNT(*) AS rows, MIN(DataValueAlt) AS least, MAX(DataValueAlt) AS most
+FROM obs WHERE is_mortality = 1 GROUP BY LocationAbbr, DataValueType""")
+
+REGION_FEATURES = _q([], f"""
+SELECT r.r_name AS region, o.Topic, COUNT(*) AS record_count, COUNT(DISTINCT o.LocationAbbr) AS states,
+  {AVG.replace('DataValueAlt', 'o.DataValueAlt')} AS avg_indicator_value,
+  {RATE.replace('is_mortality', 'o.is_mortality')} AS mortality_source_rate
+FROM obs o JOIN nation n ON o.LocationAbbr = n.n_name JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY r.r_name, o.Topic""")

@@ -12,6 +12,7 @@ from strata.operators.clean import (
     clean,
     coerce_numeric,
     drop_listed_columns,
+    drop_missing,
     impute_unit,
     parse_geolocation,
     require_column,
@@ -28,16 +29,14 @@ from strata.operators.features import (
 from strata.sources.bridge import obs_raw
 
 
-def core_facts(raw: DataFrame, report: CleanReport | None = None) -> DataFrame:
-    """Cleaned rows with the row-level features (F1-F5) but without the
-    data-dependent schema parts (topic one-hot columns, label codes).
-
-    This is what every mart reads; it costs a single aggregate job (the
-    cleaning gate) on top of the lazy plan.
+def core_facts(raw: DataFrame) -> DataFrame:
+    """Cleaned rows with the row-level features (F1-F5) but without what
+    depends on the data as a whole: the size gate, columns dropped for being
+    empty, one-hot columns and label codes. Marts read this; it is lazy and
+    starts no job, and the unit join runs only for queries that read the unit.
     """
-    df = clean(raw, report=report)
-    df = parse_geolocation(df)
-    df = impute_unit(df)
+    df = drop_listed_columns(drop_missing(coerce_numeric(raw), ["DataValueAlt", "GeoLocation"]))
+    df = impute_unit(parse_geolocation(df))
     df = add_mortality_flag(df)
     df = add_duration(df)
     return add_risk_level(df)

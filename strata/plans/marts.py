@@ -11,6 +11,17 @@ from strata.sources.export import export_marts
 from strata.sources.parquet import load_processed, register_fact_table
 
 
+# Names under which users query the marts.
+VIEW_NAMES = {
+    "dashboard_kpis": "vw_dashboard_kpis",
+    "topic_year_trends": "mart_topic_year_trends",
+    "state_topic_summary": "mart_state_topic_summary",
+    "risk_distribution": "mart_risk_distribution",
+    "mortality_by_topic": "mart_mortality_by_topic",
+    "demographic_risk": "mart_demographic_risk",
+}
+
+
 def build_marts(obs: DataFrame) -> dict[str, DataFrame]:
     """The six reporting marts, the modelling base and the priority mart."""
     out = {name: fn(obs) for name, fn in M.MARTS.items()}
@@ -20,10 +31,10 @@ def build_marts(obs: DataFrame) -> dict[str, DataFrame]:
 
 
 def register_views(marts: dict[str, DataFrame]) -> list[str]:
-    """Expose every mart to SQL under its name."""
+    """Expose every mart to SQL under its view name."""
     for name, df in marts.items():
-        df.createOrReplaceTempView(name)
-    return list(marts)
+        df.createOrReplaceTempView(VIEW_NAMES.get(name, name))
+    return [VIEW_NAMES.get(name, name) for name in marts]
 
 
 def analysis_questions(obs: DataFrame) -> dict[str, DataFrame]:

@@ -465,7 +465,12 @@ def m12(spark, sf_dir):
 
 @register("m17_training_run")
 def m17(spark, sf_dir):
-    return MD.run(spark, _processed(spark, sf_dir))["summary"]
+    from strata.session import scratch_path
+    from strata.sources.export import read_manifest
+    path = scratch_path(spark, "training")
+    names = ("state_clusters", "feature_importances", "model_summary")
+    MD.run(spark, _processed(spark, sf_dir), path)
+    return read_manifest(spark, {n: f"{path}/{n}" for n in names})
 
 
 # --- documented-only analyses ---------------------------------------------------------------
@@ -512,7 +517,7 @@ def d10(spark, sf_dir):
 @register("d11_filtered_trends", O.FILTERED_TRENDS)
 def d11(spark, sf_dir):
     obs = facts(spark, sf_dir)
-    first = obs.select(F.min("YearStart")).first()[0]
+    first = obs.select(F.min("YearStart")).scalar()
     return M.topic_year_trends(DQ.dashboard_filter(obs, years=(first, first + 2)))
 
 
@@ -532,6 +537,21 @@ def d4(spark, sf_dir):
         F.lit(rates["false_negative_rate"]).cast("double").alias("false_negative_rate"))
 
 
+@register("s3_fact_table", O.FACT_TABLE)
+def s3(spark, sf_dir):
+    from strata.sources.parquet import register_fact_table
+    register_fact_table(facts(spark, sf_dir))
+    return spark.sql("SELECT LocationAbbr, DataValueType, COUNT(*) AS rows, MIN(DataValueAlt) AS least, "
+                     "MAX(DataValueAlt) AS most FROM cdi_observations WHERE is_mortality = 1 "
+                     "GROUP BY LocationAbbr, DataValueType")
+
+
+@register("d7_region_features", O.REGION_FEATURES)
+def d7(spark, sf_dir):
+    from strata.sources.tables import table
+    return DQ.region_features(facts(spark, sf_dir), table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
+
+
 @register("s4_mart_views", O.MART_VIEWS)
 def s4(spark, sf_dir):
     from strata.plans.marts import build_marts, register_views

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = True) -> str:
+def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """Header CSV, comma-delimited, in directory ``path``.
 
-    ``single_file`` coalesces to one task; only for outputs whose size is
-    bounded by group cardinality (marts, reports), never for row-level data.
+    ``single_file`` brings the rows into one task, for reports of a few rows.
     """
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).option("delimiter", ",").csv(path)

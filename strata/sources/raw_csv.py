@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.constants import MISSING_TOKENS
 from strata.functions.numeric import to_number
@@ -14,7 +15,8 @@ INTEGER_COLUMNS = ("YearStart", "YearEnd", "LocationID")
 DOUBLE_COLUMNS = ("LowConfidenceLimit", "HighConfidenceLimit")
 
 
-def load_raw(spark: SparkSession, path: str, missing_tokens=MISSING_TOKENS) -> DataFrame:
+def load_raw(spark: SparkSession, path: str, missing_tokens=MISSING_TOKENS, multiline: bool = True,
+             columns: list[str] | None = None) -> DataFrame:
     """Read a raw extract with a header row.
 
     * every column is read as text (no inference pass over the data);
@@ -23,15 +25,23 @@ def load_raw(spark: SparkSession, path: str, missing_tokens=MISSING_TOKENS) -> D
     * known integer / decimal columns are coerced (bad text -> null); the
       value columns are left to the cleaning step (C1).
 
+    ``multiline`` keeps newlines inside quotes but makes each file one task;
+    switch it off for extracts known to have none. ``columns`` names the
+    columns: every file must then carry them in that order, and a header that
+    differs is an error.
+
     A missing path raises FileNotFoundError (S8).
     """
     try:
-        df = (spark.read.option("header", True).option("multiLine", True)
-              .option("escape", '"').option("quote", '"').option("mode", "PERMISSIVE")
-              .csv(path))
+        reader = (spark.read.option("header", True).option("multiLine", multiline)
+                  .option("escape", '"').option("quote", '"').option("mode", "PERMISSIVE"))
+        if columns:
+            reader = reader.option("enforceSchema", False).schema(
+                StructType([StructField(c, StringType()) for c in columns]))
+        df = reader.csv(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise FileNotFoundError(f"Dataset not found at {path}. Place the raw CSV there.") from exc
+            raise FileNotFoundError(f"no raw extract at {path}") from exc
         raise
     tokens = list(missing_tokens)
     cols = {c: F.when(F.col(f"`{c}`").isin(tokens), F.lit(None).cast("string"))

@@ -9,7 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.constants import MISSING_TOKENS
 from strata.operators.clean import coerce_numeric, drop_listed_columns, parse_geolocation
 from strata.operators.features import add_duration, add_mortality_flag, add_risk_level
-from strata.session import scratch_path
 
 
 def clean_rows(df: DataFrame) -> DataFrame:
@@ -26,19 +25,19 @@ def clean_rows(df: DataFrame) -> DataFrame:
 
 
 def start_ingest(spark: SparkSession, source_dir: str, schema, out_path: str,
-                 checkpoint: str | None = None, available_now: bool = True,
+                 checkpoint: str, available_now: bool = True,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Stream raw CSV files from ``source_dir`` into ``out_path`` (Parquet,
-    partitioned by year). The checkpoint lives in the shared checkpoint
-    folder unless given, so a restarted query resumes where it stopped and
-    files are processed exactly once."""
+    partitioned by year). ``checkpoint`` is a folder on shared storage that the
+    caller keeps: a query started again with it resumes where it stopped, and
+    every file is processed exactly once."""
     reader = (spark.readStream.schema(schema).option("header", True).option("multiLine", True)
               .option("escape", '"'))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = clean_rows(reader.csv(source_dir))
     writer = (rows.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-checkpoint"))
+              .option("checkpointLocation", checkpoint)
               .partitionBy("YearStart"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(out_path)
