@@ -37,9 +37,11 @@ from pyspark.sql import functions as F
 
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Pieces of text whose ids a worker remembers; beyond it starts anew.
-MEMO = 600_000
-CHUNK_CHARS = 1_000_000
+#: Pieces of text whose ids a worker remembers, in each of two generations:
+#: when the young one is full it becomes the old one, which is given up. Pieces
+#: in use move on, so common ones stay. Workers outlive tasks and stages.
+MEMO = 100_000
+CHUNK_CHARS = 500_000
 
 _HEAD = struct.Struct("<QI")
 _PAYLOAD = struct.Struct("<qBBI")
@@ -97,13 +99,18 @@ class _Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.memo: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def pack(self, texts: list[str]) -> list[bytes]:
-        memo, pieces = self.memo, [_pieces(t) for t in texts]
-        if len(memo) > MEMO:
-            memo.clear()
-        new = list(set().union(*pieces).difference(memo)) if pieces else []
+        pieces = [_pieces(t) for t in texts]
+        if len(self.young) > MEMO:
+            self.young, self.old = {}, self.young
+        memo, old = self.young, self.old
+        absent = set().union(*pieces).difference(memo)
+        for piece in absent & old.keys():
+            memo[piece] = old[piece]
+        new = list(absent.difference(old))
         kind = f"<u{self.width}"
         for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
             memo[piece] = np.array(found.ids, dtype=kind).tobytes()

@@ -136,10 +136,12 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def runs(offsets: np.ndarray, limit: int = STRETCH) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``limit`` bytes together, one text at least."""
+def runs(offsets: np.ndarray, limit: int = STRETCH, most: int = 512) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``limit`` bytes together, of one text at least
+    and ``most`` at most."""
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1)
-        yield i, min(j, n)
+        j = min(j, n, i + most)
+        yield i, j
         i = j
