@@ -60,3 +60,34 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE
+    WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM worded
+), items AS (
+  SELECT doc_id, unnest(s) AS item FROM sets
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM shared JOIN sets p ON p.doc_id = x JOIN sets q ON q.doc_id = y
+  WHERE 100 * both_have >= 85 * (len(p.s) + len(q.s) - both_have)
+), reach AS (
+  SELECT x, y FROM links
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), smallest AS (
+  SELECT x, min(y) AS low FROM reach GROUP BY x
+)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles,
+       least(d.doc_id, coalesce(m.low, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(m.low, d.doc_id)) AS kept
+FROM sets d LEFT JOIN smallest m ON m.x = d.doc_id
+"""

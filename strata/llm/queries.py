@@ -71,7 +71,7 @@ def op4(spark, sf_dir):
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
-@register("op5_odd_sketch_dedup")
+@register("op5_odd_sketch_dedup", oracle.NEAR_DUPLICATES)
 def op5(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
