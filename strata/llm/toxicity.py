@@ -3,8 +3,10 @@
 1. Every word gets the log-odds of standing in toxic against clean labelled
    documents, with a Dirichlet prior (``ALPHA`` for each word and ``PRIOR`` of
    its own count on both sides), less one standard deviation. Words whose
-   log-odds are under ``MIN_Z`` deviations count as neutral, as do all others;
-   a neutral word costs ``DRIFT``.
+   log-odds are under ``MIN_Z`` deviations or score under ``MIN_SCORE`` (which
+   words of a language with more toxic documents do) count as neutral, as do
+   all others. Odds count documents, so a word scores where a text first has
+   it; a neutral or repeated word costs ``DRIFT``.
 2. One linear scan finds all maximal-scoring segments of a text.
 3. Scores of such segments in clean text follow an extreme-value law with the
    parameters ``rate`` (the root of ``E[exp(rate * score)] = 1``) and ``K``
@@ -41,7 +43,7 @@ from strata.llm.components import stored
 ROWS_PER_CLASS = 20_000
 FOLDS = 5
 ALPHA, PRIOR = 0.5, 0.01
-MIN_Z = 2.5
+MIN_Z, MIN_SCORE = 2.5, 1.5
 DRIFT = 0.15
 MAX_E = 0.05
 MODEL_WORDS = 20_000
@@ -111,10 +113,11 @@ class Model:
 
     def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of words, and the segments of a text."""
-        known, n, places, scores = self.words, 0, [], []
+        known, n, places, scores, met = self.words, 0, [], [], set()
         for words in word_slices(text or ""):
             for i, w in enumerate(words, n):
-                if w in known:
+                if w in known and w not in met:
+                    met.add(w)
                     places.append(i)
                     scores.append(known[w])
             n += len(words)
@@ -173,7 +176,7 @@ def _model(tox: np.ndarray, clean: np.ndarray, words: list[str], n_tox: float, n
     prior = ALPHA + PRIOR * (tox + clean)
     odds = np.log(tox + prior) - np.log(n_tox) - np.log(clean + prior) + np.log(n_clean)
     spread = np.sqrt(1 / (tox + prior) + 1 / (clean + prior))
-    use = (odds >= MIN_Z * spread) & (tox > 0)
+    use = (odds >= MIN_Z * spread) & (odds - spread >= MIN_SCORE) & (tox > 0)
     share = (clean + prior) / n_clean
     picked = np.flatnonzero(use)
     return Model({words[i]: float(odds[i] - spread[i]) for i in picked}, {words[i]: float(share[i]) for i in picked})
