@@ -25,6 +25,7 @@ those of the whole text. Null texts count as empty and hold the end id alone.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -40,7 +41,7 @@ TOKENIZER = "word_bpe_49k.json"
 #: Pieces of text whose ids a worker remembers, in each of two generations:
 #: when the young one is full it becomes the old one, which is given up. Pieces
 #: in use move on, so common ones stay. Workers outlive tasks and stages.
-MEMO = 100_000
+MEMO = 250_000
 CHUNK_CHARS = 500_000
 
 _HEAD = struct.Struct("<QI")
@@ -91,16 +92,67 @@ def _pieces(text: str) -> list[str]:
     return text.split()
 
 
+def _is_word(piece: str) -> bool:
+    """Latin letters only, which lower-case one by one and need no composing."""
+    return piece.isalpha() and (piece.isascii() or (max(piece) < "\u0250" and "\u0130" not in piece))
+
+
 class _Encoder:
     """Whole texts to packed ids, through a memo of white-space pieces."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        # The same model without normalising and splitting, for lower-case words
+        # of letters: a word's last token is told by its suffix, so many words
+        # go through one call. Only for tokenizers that lower-case and mark ends.
+        parts = json.loads(self.tokenizer.to_str())
+        self.words = None
+        suffix = parts["model"].get("end_of_word_suffix")
+        if suffix and {"type": "Lowercase"} in ((parts["normalizer"] or {}).get("normalizers") or []):
+            self.words = Tokenizer.from_file(path)
+            self.words.normalizer = normalizers.Sequence([])
+            self.words.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            tokens = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(tokens.values()) + 1, dtype=bool)
+            self.ends[[i for token, i in tokens.items() if token.endswith(suffix)]] = True
+        self.marks = {m: self._whole([m])[0] for m in ".,"}
+
+    def _whole(self, pieces: list[str]) -> list[bytes]:
+        kind = f"<u{self.width}"
+        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [np.array(f.ids, dtype=kind).tobytes() for f in found]
+
+    def _many(self, words: list[str]) -> list[bytes]:
+        """Packed ids of lower-case words, all in one call."""
+        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids,
+                       dtype=f"<u{self.width}")
+        stops = (np.flatnonzero(self.ends[ids]) + 1) * self.width
+        if len(stops) != len(words):
+            return self._whole(words)
+        data, stops = ids.tobytes(), stops.tolist()
+        return [data[a:b] for a, b in zip([0, *stops], stops)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of pieces not seen before: words of letters, such words before
+        one full stop or comma, and the rest through the whole tokenizer."""
+        memo, done = self.young, set()
+        if self.words:
+            plain = [p for p in new if _is_word(p)]
+            ended = [p for p in new if p[-1] in self.marks and _is_word(p[:-1])]
+            cores = [p.lower() for p in plain] + [p[:-1].lower() for p in ended]
+            ids = self._many(cores) if cores else []
+            memo.update(zip(plain, ids))
+            for piece, packed in zip(ended, ids[len(plain):], strict=True):
+                memo[piece] = packed + self.marks[piece[-1]]
+            done = {*plain, *ended}
+        rest = [p for p in new if p not in done]
+        memo.update(zip(rest, self._whole(rest), strict=True))
 
     def pack(self, texts: list[str]) -> list[bytes]:
         pieces = [_pieces(t) for t in texts]
@@ -110,11 +162,8 @@ class _Encoder:
         absent = set().union(*pieces).difference(memo)
         for piece in absent & old.keys():
             memo[piece] = old[piece]
-        new = list(absent.difference(old))
-        kind = f"<u{self.width}"
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            memo[piece] = np.array(found.ids, dtype=kind).tobytes()
-        end = np.array([END_ID], dtype=kind).tobytes()
+        self._learn(list(absent.difference(old)))
+        end = np.array([END_ID], dtype=f"<u{self.width}").tobytes()
         return [b"".join(map(memo.__getitem__, p)) + end for p in pieces]
 
 
@@ -149,8 +198,23 @@ def write_records(docs: DataFrame, path: str, tokenizer: str) -> None:
     rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     encoded = rows.select("doc_id", "text").mapInArrow(lambda batches: _encoded(tokenizer, batches), "frame binary")
     encoded.select(F.col("frame").cast("string")).write.option("lineSep", "\n").text(f"{path}/records")
-    scan_records(docs.sparkSession, path).select("shard", "doc_id", "offset", "length", "n_tokens").write.parquet(
-        f"{path}/index")
+    _shards(docs.sparkSession, path).mapInArrow(_heads, HEADS).write.parquet(f"{path}/index")
+
+
+HEADS = "shard int, doc_id long, offset long, length long, n_tokens long"
+
+
+def _heads(batches):
+    """Index rows from the heads of the frames."""
+    for batch in batches:
+        for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            shard, content, rows, at = int(re.search(r"part-(\d+)", name)[1]), content.as_py(), [], 0
+            while at < len(content):
+                size, _ = _HEAD.unpack_from(content, at)
+                doc_id, null, _, n = _PAYLOAD.unpack_from(content, at + _HEAD.size)
+                rows.append((shard, None if null else doc_id, at, size + _HEAD.size + 5, n))
+                at += size + _HEAD.size + 5
+            yield _rows(rows, HEADS)
 
 
 SCAN = ("shard int, doc_id long, offset long, length long, start_in_shard long, n_tokens long, "
@@ -167,13 +231,13 @@ def _scan(batches):
                 rows.append((shard, doc_id, offset, length, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                 start += len(ids)
                 if len(rows) == 10_000:
-                    yield _rows(rows)
+                    yield _rows(rows, SCAN)
                     rows = []
-            yield _rows(rows)
+            yield _rows(rows, SCAN)
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    names = [part.split()[0] for part in SCAN.split(", ")]
+def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names = [part.split()[0] for part in schema.split(", ")]
     columns = list(zip(*rows, strict=True)) or [()] * len(names)
     kinds = [pa.int32()] + [pa.int64()] * (len(names) - 1)
     return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=names)
@@ -182,8 +246,12 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 def scan_records(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the shards below ``path``, read back and checked. A
     shard is read whole by one task; Spark's advisory partition size bounds it."""
+    return _shards(spark, path).mapInArrow(_scan, SCAN)
+
+
+def _shards(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/records")
-    return files.select("path", "content").mapInArrow(_scan, SCAN)
+    return files.select("path", "content")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
