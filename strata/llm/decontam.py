@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import stored
-from strata.llm.words import hash_words, mix64, runs, seeds, text_buffers
+from strata.llm.words import hash_words, mix64, released, runs, seeds, text_buffers
 
 MASKS = ("11011011", "1110111", "110010111", "1010110101")
 MIN_ITEM = 5
@@ -88,7 +88,7 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def _items(batches):
-    for batch in batches:
+    for batch in released(batches):
         for i, hashes, counts in _hashed(batch, 1):
             stops = np.cumsum(counts)
             rows = [hashes[e - n:e] for e, n in zip(stops, counts, strict=True)]
@@ -98,7 +98,7 @@ def _items(batches):
 
 
 def _item_seeds(batches):
-    for batch in batches:
+    for batch in released(batches):
         for item, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = np.array(words, dtype=np.int64).view(_U)
             n = len(words)
@@ -117,7 +117,7 @@ def _regions(shared, lengths, reach):
 
     def run(batches):
         bitmap = shared.value
-        for batch in batches:
+        for batch in released(batches):
             for i, hashes, counts in _hashed(batch, 2):
                 stops = np.cumsum(counts)
                 at, seed = [], []
@@ -187,7 +187,7 @@ HITS = ("doc_id long, text_hash long, item_id long, item_words long, matched_wor
 
 
 def _verified(batches):
-    for batch in batches:
+    for batch in released(batches):
         rows = []
         for r in batch.to_pylist():
             doc = np.array(r["words"], dtype=np.int64)

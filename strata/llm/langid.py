@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.components import stored
+from strata.llm.words import released
 
 ROWS_PER_LANGUAGE = 20_000
 MAX_LANGUAGES = 200
@@ -63,7 +64,7 @@ def _counts(batches):
         held.clear()
         return out
 
-    for batch in batches:
+    for batch in released(batches):
         for lang, text in zip(batch.column(0), batch.column(1), strict=True):
             lang = lang.as_py()
             for word, n in Counter(words_of(text.as_py())).items():
@@ -157,7 +158,7 @@ def fitted(docs: DataFrame, teach: Column) -> Model:
 
 
 def _predicted(model: Model, batches):
-    for batch in batches:
+    for batch in released(batches):
         found = [model.predict(t.as_py()) for t in batch.column(2)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array([f[0] for f in found], type=pa.string()),

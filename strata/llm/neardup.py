@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import connected_components, stored
-from strata.llm.words import hash_words, mix64, runs, seeds, text_buffers
+from strata.llm.words import hash_words, mix64, released, runs, seeds, text_buffers
 
 SHINGLE = 5
 _U = np.uint64
@@ -140,7 +140,7 @@ def _text_sets(batch, column: int):
 
 
 def _features(batches):
-    for batch in batches:
+    for batch in released(batches):
         for i, j, flat, sizes, some, starts in _text_sets(batch, 2):
             n = len(sizes)
             bands = np.zeros((0, DOCUMENTS.bands), dtype=_U)
@@ -161,7 +161,7 @@ FEATURES = ("doc_id long, text_hash long, n long, digest binary, bands array<lon
 
 
 def _sets(batches):
-    for batch in batches:
+    for batch in released(batches):
         for _, _, flat, sizes, some, starts in _text_sets(batch, 0):
             if some.any():
                 yield pa.RecordBatch.from_arrays(

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import neardup
 from strata.llm.components import stored
-from strata.llm.words import hash_words, mix64, runs, text_buffers, word_powers
+from strata.llm.words import hash_words, mix64, released, runs, text_buffers, word_powers
 
 MIN_WORDS = 50
 NEAR_WORDS = 40
@@ -78,7 +78,7 @@ UNITS = ("doc_id long, text_hash long, kind int, first_word long, n long, digest
 
 def _units(batches):
     """Lines (kind 0, with bands where long enough) and pieces (kind 1)."""
-    for batch in batches:
+    for batch in released(batches):
         for i, hashes, counts, text, lines, pieces in _stretches(batch, 2):
             before = np.cumsum(counts) - counts
             line_ends = np.append(lines[1:], len(hashes))
@@ -113,7 +113,7 @@ def _line_sets(hashes, firsts, sizes):
 
 
 def _sets(batches):
-    for batch in batches:
+    for batch in released(batches):
         for _, hashes, _, _, lines, _ in _stretches(batch, 0):
             sizes = np.diff(np.append(lines, len(hashes)))
             near = sizes >= NEAR_WORDS

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.words import hash_words, runs, text_buffers
+from strata.llm.words import hash_words, released, runs, text_buffers
 
 SIDE = 2
 WORDS, RARE = 104, 24
@@ -48,7 +48,7 @@ def _buckets(hashes: np.ndarray) -> np.ndarray:
 
 def _bucket_counts(batches):
     total = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
-    for batch in batches:
+    for batch in released(batches):
         data, offsets = text_buffers(batch.column(0))
         for i, j in runs(offsets):
             hashes = hash_words(data, offsets[i:j + 1])[0]
@@ -144,7 +144,7 @@ def _texts(batch, column: int, table: np.ndarray):
 def _trained(weights, table, batches):
     weights = [w.copy() for w in weights]
     seen = 0
-    for batch in batches:
+    for batch in released(batches):
         for _, _, _, words, around, _ in _texts(batch, 0, table):
             train(weights, words, around)
             seen += len(words)
@@ -180,7 +180,7 @@ def fitted(docs: DataFrame) -> Model:
 
 
 def _scored(model: Model, batches):
-    for batch in batches:
+    for batch in released(batches):
         for i, j, counts, words, around, text in _texts(batch, 1, model.table):
             logs = log_probabilities(model.weights, words, around)
             total = np.bincount(text, weights=logs, minlength=len(counts))

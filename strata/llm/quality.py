@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.llm.components import stored
-from strata.llm.words import SPACE, hash_words, mix64, runs, seeds, text_buffers
+from strata.llm.words import hash_words, mix64, released, runs, seeds, SPACE, text_buffers
 
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -132,7 +132,7 @@ def _language_counts(batches):
                      pa.array(bins.astype(np.int32)), pa.array(n[bins])], names=["lang", "kind", "bin", "n"])
         held.clear()
 
-    for batch in batches:
+    for batch in released(batches):
         langs = batch.column(0).to_pylist()
         for row, text, hashes in _each_text(batch, 1, True):
             if langs[row] not in held:
@@ -230,7 +230,7 @@ def _verdict_rows(references: dict, batch, lang: int, text: int) -> list[tuple]:
 
 def _verdicts(references, batches):
     kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
-    for batch in batches:
+    for batch in released(batches):
         columns = list(zip(*_verdict_rows(references, batch, 1, 2), strict=True)) or [()] * len(kinds)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0)] + [pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)],
@@ -238,7 +238,7 @@ def _verdicts(references, batches):
 
 
 def _passing(references, batches):
-    for batch in batches:
+    for batch in released(batches):
         kept = [r[-1] for r in _verdict_rows(references, batch, 0, 1)]
         yield pa.RecordBatch.from_arrays([batch.column(2).filter(pa.array(kept, type=pa.bool_()))], names=["row"])
 

@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strata.llm.words import released
+
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces of text whose ids a worker remembers, in each of two generations:
@@ -174,7 +176,7 @@ def _encoded(path: str, batches):
     if path not in _encoders:
         _encoders[path] = _Encoder(path)
     encoder = _encoders[path]
-    for batch in batches:
+    for batch in released(batches):
         ids, texts = batch.column(0).to_pylist(), batch.column(1)
         at = 0
         while at < len(ids):
@@ -206,7 +208,7 @@ HEADS = "shard int, doc_id long, offset long, length long, n_tokens long"
 
 def _heads(batches):
     """Index rows from the heads of the frames."""
-    for batch in batches:
+    for batch in released(batches):
         for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             shard, content, rows, at = int(re.search(r"part-(\d+)", name)[1]), content.as_py(), [], 0
             while at < len(content):
@@ -222,7 +224,7 @@ SCAN = ("shard int, doc_id long, offset long, length long, start_in_shard long,
 
 
 def _scan(batches):
-    for batch in batches:
+    for batch in released(batches):
         for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             shard = int(re.search(r"part-(\d+)", name)[1])
             rows, start = [], 0

@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import stored
+from strata.llm.words import released
 
 ROWS_PER_CLASS = 20_000
 FOLDS = 5
@@ -157,7 +158,7 @@ def _presence(batches):
         held.clear()
         return out
 
-    for batch in batches:
+    for batch in released(batches):
         for fold, toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             words: set[str] = set()
             for some in word_slices(text.as_py() or ""):
@@ -183,7 +184,7 @@ def _model(tox: np.ndarray, clean: np.ndarray, words: list[str], n_tox: float, n
 
 
 def _held_out_scores(models, batches):
-    for batch in batches:
+    for batch in released(batches):
         rows = []
         for fold, toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             n, segments = models[fold].segments(text.as_py())
@@ -265,7 +266,7 @@ def fitted(docs: DataFrame, labels: DataFrame, teach: Column) -> Model:
 def _scored(model: Model, batches):
     passage = pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()),
                                   ("score", pa.float64()), ("e_value", pa.float64())]))
-    for batch in batches:
+    for batch in released(batches):
         scores, found = [], []
         for text in batch.column(2):
             n, segments = model.segments(text.as_py())

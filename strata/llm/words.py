@@ -12,6 +12,7 @@ so memory beside the result stays bounded however long a text is.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,6 +121,16 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, separa
     return hashes, starts, ends, counts
 
 
+def released(batches):
+    """``batches``, and after the last one unused memory of Arrow's pool and
+    the C heap goes back to the system: workers outlive their tasks."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and offsets of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
