@@ -37,7 +37,7 @@ PIECE, MIN_PIECE = 8, 4
 EDGE = 12
 MIN_LINE = 8
 GAP = 24
-LINES = neardup.Scheme(rows=4, bands=16, samples=128, bits=256, floor=0.62, percent=80)
+LINES = neardup.Scheme(rows=4, bands=16, samples=512, bits=1024, floor=0.73, percent=80)
 
 _U = np.uint64
 
@@ -72,12 +72,11 @@ def _stretches(batch, column: int):
             yield i, hashes, counts, *_cuts(hashes, starts, counts, data, offsets[i:j + 1])
 
 
-UNITS = ("doc_id long, text_hash long, kind int, first_word long, n long, digest long, opens boolean, "
-         "closes boolean, bands array<long>, " + ", ".join(f"{lane} long" for lane in LINES.lanes))
+UNITS = "doc_id long, text_hash long, kind int, first_word long, n long, digest long, opens boolean, closes boolean"
 
 
 def _units(batches):
-    """Lines (kind 0, with bands where long enough) and pieces (kind 1)."""
+    """Lines (kind 0) and pieces (kind 1) with their places."""
     for batch in released(batches):
         for i, hashes, counts, text, lines, pieces in _stretches(batch, 2):
             before = np.cumsum(counts) - counts
@@ -86,27 +85,40 @@ def _units(batches):
                 sizes = np.diff(np.append(firsts, len(hashes)))
                 use = sizes >= least
                 firsts, sizes = firsts[use], sizes[use]
-                if not len(firsts):
-                    continue
-                near = (sizes >= NEAR_WORDS) & (kind == 0)
-                bands = np.zeros((0, LINES.bands), dtype=_U)
-                sketch = np.zeros((len(firsts), len(LINES.lanes)), dtype=np.int64)
-                if near.any():
-                    flat, set_sizes = _line_sets(hashes, firsts[near], sizes[near])
-                    bands, sketch[near] = LINES.sketches(flat, np.cumsum(set_sizes) - set_sizes)
                 row = pa.array(i + text[firsts])
-                offsets = np.concatenate([[0], np.cumsum(np.where(near, LINES.bands, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(row), batch.column(1).take(row),
                      pa.array(np.full(len(firsts), kind, dtype=np.int32)), pa.array(firsts - before[text[firsts]]),
                      pa.array(sizes), pa.array(_digests(hashes, firsts, sizes).view(np.int64)),
-                     pa.array(np.isin(firsts, lines)), pa.array(np.isin(firsts + sizes, line_ends)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.ravel().view(np.int64)),
-                                              mask=pa.array(~near))]
-                    + [pa.array(sketch[:, k]) for k in range(len(LINES.lanes))],
+                     pa.array(np.isin(firsts, lines)), pa.array(np.isin(firsts + sizes, line_ends))],
                     names=[part.split()[0] for part in UNITS.split(", ")])
 
 
+LONG_LINES = ("doc_id long, text_hash long, digest long, n long, bands array<long>, "
+              + ", ".join(f"{lane} long" for lane in LINES.lanes))
+
+
+def _long_lines(batches):
+    """Lines of ``NEAR_WORDS`` words or more with their bands and sketch."""
+    for batch in released(batches):
+        for i, hashes, _, text, lines, _ in _stretches(batch, 2):
+            sizes = np.diff(np.append(lines, len(hashes)))
+            near = sizes >= NEAR_WORDS
+            if not near.any():
+                continue
+            firsts, sizes = lines[near], sizes[near]
+            flat, set_sizes = _line_sets(hashes, firsts, sizes)
+            bands, sketch = LINES.sketches(flat, np.cumsum(set_sizes) - set_sizes)
+            row = pa.array(i + text[firsts])
+            offsets = (np.arange(len(firsts) + 1) * LINES.bands).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(row), batch.column(1).take(row),
+                 pa.array(_digests(hashes, firsts, sizes).view(np.int64)), pa.array(sizes),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.ravel().view(np.int64)))]
+                + [pa.array(sketch[:, k]) for k in range(len(LINES.lanes))],
+                names=[part.split()[0] for part in LONG_LINES.split(", ")])
+
+
 def _line_sets(hashes, firsts, sizes):
     words = np.concatenate([hashes[a:a + n] for a, n in zip(firsts, sizes, strict=True)])
     return neardup.shingle_sets(words, sizes)
@@ -131,13 +143,14 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     one row per passage; ``kept_in`` is the document that keeps the text of its
     first component, ``cluster_id`` names that component."""
     docs = docs.select("doc_id", "text")
-    units = stored(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(_units, UNITS), "units")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    units = stored(texts.mapInArrow(_units, UNITS), "units")
     key = F.xxhash64("doc_id", "text_hash")
     spread = [F.min(key).alias("low"), F.max(key).alias("high"), F.min("doc_id").alias("doc_id")]
 
-    pieces = (units.filter("kind = 1").groupBy("digest").agg(*spread).filter("low <> high")
-              .select(F.lit(1).alias("kind"), "digest", F.col("digest").alias("cluster_id"), F.col("doc_id").alias("kept_in")))
-    lines = stored(units.filter("kind = 0").groupBy("digest").agg(
+    exact = (units.filter(f"kind = 1 OR n < {NEAR_WORDS}").groupBy("kind", "digest").agg(*spread).filter("low <> high")
+             .select("kind", "digest", F.col("digest").alias("cluster_id"), F.col("doc_id").alias("kept_in")))
+    lines = stored(texts.mapInArrow(_long_lines, LONG_LINES).groupBy("digest").agg(
         *spread, *(F.first(c).alias(c) for c in ("n", "bands", *LINES.lanes))), "lines")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
@@ -153,7 +166,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         F.lit(0).alias("kind"), "digest", F.col("root").alias("cluster_id"), "kept_in")
     alone = (lines.filter("low <> high").join(roots, "digest", "left_anti")
              .select(F.lit(0).alias("kind"), "digest", F.col("digest").alias("cluster_id"), F.col("doc_id").alias("kept_in")))
-    repeated = stored(pieces.union(near).union(alone), "repeated")
+    repeated = stored(exact.union(near).union(alone), "repeated")
 
     found = units.select("doc_id", "text_hash", "kind", "first_word", "n", "digest", "opens", "closes").join(
         repeated, ["kind", "digest"])
