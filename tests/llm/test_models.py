@@ -172,3 +172,25 @@ def test_gradient_step_matches_finite_differences():
 
 def test_empty_table(spark):
     assert pseudo.scored(frame(spark, []), pseudo.fitted(frame(spark, []))).count() == 0
+
+
+def test_every_word_has_a_probability_of_its_own(spark, monkeypatch):
+    """Texts that differ in one rare word score by its corpus count; the words
+    of the corpus share a probability of one."""
+    rng = random.Random(21)
+    filler = [f"w{i}" for i in range(1500)]
+    rows = [(i, " ".join(rng.choices(filler, k=40)), "en", "a", 0) for i in range(200)]
+    rows += [(1000 + i, " ".join(["often"] * 3 + rng.choices(filler, k=20)), "en", "a", 0) for i in range(10)]
+    rows += [(2000, "seldom " + " ".join(filler[:20]), "en", "a", 0)]
+    corpus_rows = frame(spark, rows)
+    counts = Counter(w for r in rows for w in r[1].split())
+    for head in (pseudo.HEAD, 300):  # all words in the task; most of them through the join
+        monkeypatch.setattr(pseudo, "HEAD", head)
+        model = pseudo.fitted(corpus_rows)
+        assert len(model.table.lookup.head) + model.table.tail.count() == len(counts)
+        probe = [(i, w, "en", "a", 0) for i, w in enumerate([*counts, "unheard"])]
+        found = {probe[r.doc_id][1]: r.log_likelihood for r in pseudo.scored(frame(spark, probe), model).collect()}
+        assert sum(math.exp(x) for x in found.values()) == pytest.approx(1, abs=0.02)
+        assert len({round(x, 6) for x in found.values()}) > 10
+        assert found["often"] > found["seldom"] + 1
+        assert found["seldom"] >= found["unheard"] - 3
