@@ -10,14 +10,17 @@ compared with a reference of their language, learned from all documents:
 
 Both comparisons use the Jensen-Shannon distance (base 2, 0 to 1). A short
 text differs from its reference by chance, by about ``(k - 1) / (8 n ln 2)``
-in divergence for ``k`` bins and ``n`` draws; the limits grow by twice that, and
-nothing under the minimum length is compared.
-
-References are kept for languages with at least ``LANGUAGE_SHARE`` of all
-words, 1,000 at most, so they are small enough to send to every task. A
-document is first held against its own language; if that fails, or its
-language has no reference, the closest of the others decides. With no
-reference at all every document that passes the base rules stays.
+in divergence for ``k`` bins and ``n`` draws of the text, and as much for those
+of the reference; the limits grow by twice that, and nothing under the minimum
+length is compared.
+
+Every language with ``LANGUAGE_WORDS`` words or more has a reference, however
+large the rest of the corpus is. Those with at least ``LANGUAGE_SHARE`` of all
+words, 1,000 at most, are sent to every task; documents of all other languages
+are joined with a table of the rest. A document is first held against its own
+language; if that fails, or it names no language, the closest of the languages
+sent to the tasks decides. Where the language it names has no reference, the
+base rules alone decide.
 
 Nulls: a null text has no words and fails; a null ``lang`` has no reference of
 its own and feeds none. Repeated rows get equal verdicts.
@@ -28,6 +31,7 @@ from __future__ import annotations
 import functools
 import math
 import unicodedata
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +45,7 @@ from strata.llm.words import hash_words, mix64, released, runs, seeds, SPACE, te
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 COMMON_SHARE = 0.004
+LANGUAGE_WORDS = 1000
 LANGUAGE_SHARE = 0.001
 #: Divergence (square of the distance) allowed beyond chance.
 CLASS_DIVERGENCE, WORD_DIVERGENCE = 0.08, 0.04
@@ -146,31 +151,44 @@ def _language_counts(batches):
     yield from flush()
 
 
-def language_references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each language: class shares, buckets of its common words, and their
-    shares with that of all other words last. At most ``1 / LANGUAGE_SHARE``
-    languages and ``1 / COMMON_SHARE`` words each, by definition."""
+class References(NamedTuple):
+    """References of languages with a large share by name, and ``(lang, own)``
+    of the others, as tables for :func:`_reference`; None if there are none."""
+    held: dict
+    rare: DataFrame | None = None
+
+
+def _reference(words: int, bins) -> tuple:
+    """Class shares, buckets of common words, their shares with that of all
+    other words last, and the draws behind the classes and the words."""
+    classes = np.zeros(len(CLASSES))
+    for _, at, n in (b for b in bins if b[0] == 0):
+        classes[at] = n
+    common = sorted((at, n) for kind, at, n in bins if kind == 1)
+    shares = np.array([n for _, n in common] + [0.0]) / words
+    shares[-1] = 1 - shares.sum()
+    return (classes / classes.sum(), np.array([b for b, _ in common], dtype=np.int64), shares, classes.sum(), words)
+
+
+def language_references(docs: DataFrame) -> References:
+    """References of all languages with ``LANGUAGE_WORDS`` words or more. At most
+    ``1 / LANGUAGE_SHARE`` of them reach the driver, with ``1 / COMMON_SHARE``
+    words each, by definition."""
     counts = (docs.select("lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL")
               .mapInArrow(_language_counts, "lang string, kind int, bin int, n long")
               .groupBy("lang", "kind", "bin").agg(F.sum("n").alias("n")))
     counts = stored(counts, "languages")
     sizes = counts.filter("kind = 1").groupBy("lang").agg(F.sum("n").alias("words"))
     total = sizes.agg(F.sum("words")).first()[0] or 0
-    sizes = sizes.filter(F.col("words") >= LANGUAGE_SHARE * total)
-    rows = counts.join(F.broadcast(sizes), "lang").filter(
-        (F.col("kind") == 0) | (F.col("n") >= COMMON_SHARE * F.col("words"))).collect()
-    found = {}
-    for lang in {r.lang for r in rows}:
-        own = [r for r in rows if r.lang == lang]
-        classes = np.zeros(len(CLASSES))
-        for r in own:
-            if r.kind == 0:
-                classes[r.bin] = r.n
-        common = sorted((r.bin, r.n) for r in own if r.kind == 1)
-        shares = np.array([n for _, n in common] + [0.0]) / own[0].words
-        shares[-1] = 1 - shares.sum()
-        found[lang] = (classes / classes.sum(), np.array([b for b, _ in common], dtype=np.int64), shares)
-    return found
+    found = (counts.join(sizes.filter(F.col("words") >= LANGUAGE_WORDS), "lang")
+             .filter((F.col("kind") == 0) | (F.col("n") >= COMMON_SHARE * F.col("words")))
+             .groupBy("lang").agg(F.struct(F.first("words").alias("words"),
+                                           F.collect_list(F.struct("kind", "bin", "n")).alias("bins")).alias("own")))
+    found = stored(found, "references")
+    large = F.col("own.words") >= LANGUAGE_SHARE * total
+    held = {r.lang: _reference(r.own.words, r.own.bins) for r in found.filter(large).collect()}
+    rare = found.filter(~large)
+    return References(held, None if rare.isEmpty() else rare)
 
 
 def divergence(counts: np.ndarray, reference: np.ndarray) -> float:
@@ -184,7 +202,7 @@ def divergence(counts: np.ndarray, reference: np.ndarray) -> float:
 
 def _excess(classes: np.ndarray, buckets: np.ndarray, reference) -> tuple[float, float, float]:
     """The two distances, and by how much the worse of them is over its limit."""
-    class_ref, common, word_ref = reference
+    class_ref, common, word_ref, n_classes, n_words = reference
     hit = buckets[:0]
     if len(common):
         at = np.minimum(np.searchsorted(common, buckets), len(common) - 1)
@@ -193,8 +211,9 @@ def _excess(classes: np.ndarray, buckets: np.ndarray, reference) -> tuple[float,
     words[-1] += len(buckets) - len(hit)
     chance = 2 / (8 * math.log(2))
     found = []
-    for counts, ref, allowed in ((classes, class_ref, CLASS_DIVERGENCE), (words, word_ref, WORD_DIVERGENCE)):
-        limit = allowed + chance * (len(ref) - 1) / counts.sum()
+    for counts, ref, n, allowed in ((classes, class_ref, n_classes, CLASS_DIVERGENCE),
+                                    (words, word_ref, n_words, WORD_DIVERGENCE)):
+        limit = allowed + chance * (len(ref) - 1) * (1 / counts.sum() + 1 / n)
         found.append((math.sqrt(divergence(counts, ref)), math.sqrt(min(limit, 1.0))))
     (c, c_limit), (w, w_limit) = found
     return c, w, max(c - c_limit, w - w_limit)
@@ -204,9 +223,18 @@ SCHEMA = ("doc_id long, " + ", ".join(f"{c} long" for c in BASE)
           + ", base_failed boolean, class_distance double, word_distance double, kept boolean")
 
 
-def _verdict_rows(references: dict, batch, lang: int, text: int) -> list[tuple]:
+def _joined(langs: list, own: pa.Array) -> dict:
+    """References that came with the rows, by language."""
+    rows = {lang: i for i, lang in enumerate(langs)}
+    tables = {lang: own[i].as_py() for lang, i in rows.items()}
+    return {lang: _reference(t["words"], [(b["kind"], b["bin"], b["n"]) for b in t["bins"]])
+            for lang, t in tables.items() if t is not None}
+
+
+def _verdict_rows(references: dict, batch, lang: int, text: int, own: int | None) -> list[tuple]:
     """A tuple as in ``SCHEMA``, without ``doc_id``, for every row of a batch."""
     langs = batch.column(lang).to_pylist()
+    named = references if own is None else _joined(langs, batch.column(own))
     rows = []
     for (row, content, hashes), (_, _, low) in zip(
             _each_text(batch, text, False), _each_text(batch, text, True), strict=True):
@@ -215,47 +243,57 @@ def _verdict_rows(references: dict, batch, lang: int, text: int) -> list[tuple]:
         failed = n < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n
         c = w = None
         kept = not failed
-        if kept and references:
+        mine = named.get(langs[row])
+        if kept and (mine or references):
             classes, buckets = _classes(content).astype(float), _bucket(low)
-            own = references.get(langs[row])
-            best = _excess(classes, buckets, own) if own else None
+            best = _excess(classes, buckets, mine) if mine else None
             if not best or best[2] > 0:
                 others = [_excess(classes, buckets, r) for r in references.values()]
-                best = min(others, key=lambda x: x[2])
+                best = min([best, *others] if best else others, key=lambda x: x[2])
             c, w, over = best
-            kept = over <= 0
+            kept = over <= 0 or (mine is None and langs[row] is not None)
         rows.append((*base, failed, c, w, kept))
     return rows
 
 
-def _verdicts(references, batches):
+def _verdicts(references, own, batches):
     kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
     for batch in released(batches):
-        columns = list(zip(*_verdict_rows(references, batch, 1, 2), strict=True)) or [()] * len(kinds)
+        columns = list(zip(*_verdict_rows(references, batch, 1, 2, own), strict=True)) or [()] * len(kinds)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0)] + [pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)],
             names=["doc_id", *BASE, "base_failed", "class_distance", "word_distance", "kept"])
 
 
-def _passing(references, batches):
+def _passing(references, own, batches):
     for batch in released(batches):
-        kept = [r[-1] for r in _verdict_rows(references, batch, 0, 1)]
+        kept = [r[-1] for r in _verdict_rows(references, batch, 0, 1, own)]
         yield pa.RecordBatch.from_arrays([batch.column(2).filter(pa.array(kept, type=pa.bool_()))], names=["row"])
 
 
-def quality_filter(docs: DataFrame, references: dict | None = None) -> DataFrame:
+def _judged(rows: DataFrame, references: References, task, schema) -> DataFrame:
+    """``task(references, place of the joined ones, batches)`` over ``rows``
+    (three columns, ``lang`` among them)."""
+    held, rare = references
+    if rare is None:
+        return rows.mapInArrow(lambda batches: task(held, None, batches), schema)
+    sent = F.col("lang").isNull() | F.col("lang").isin(list(held))
+    joined = rows.filter(~sent).join(rare, "lang", "left").select(*(F.col(c) for c in rows.columns), "own")
+    return (rows.filter(sent).mapInArrow(lambda batches: task(held, None, batches), schema)
+            .union(joined.mapInArrow(lambda batches: task(held, 3, batches), schema)))
+
+
+def quality_filter(docs: DataFrame, references: References | None = None) -> DataFrame:
     """The rows of ``docs`` that :func:`quality_verdicts` keeps, all columns."""
     if references is None:
         references = language_references(docs)
     rows = docs.select(F.col("lang"), F.col("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    out = StructType([rows.schema["row"]])
-    return rows.mapInArrow(lambda batches: _passing(references, batches), out).select("row.*")
+    return _judged(rows, references, _passing, StructType([rows.schema["row"]])).select("row.*")
 
 
-def quality_verdicts(docs: DataFrame, references: dict | None = None) -> DataFrame:
+def quality_verdicts(docs: DataFrame, references: References | None = None) -> DataFrame:
     """One row per row of ``docs`` (``doc_id, lang, text``): base counts, the
     two distances (null where the base rules failed) and ``kept``."""
     if references is None:
         references = language_references(docs)
-    return docs.select("doc_id", "lang", "text").mapInArrow(
-        lambda batches: _verdicts(references, batches), SCHEMA)
+    return _judged(docs.select("doc_id", "lang", "text"), references, _verdicts, SCHEMA)
