@@ -2,24 +2,27 @@
 
 1. Every word gets the log-odds of standing in toxic against clean labelled
    documents, with a Dirichlet prior (``ALPHA`` for each word and ``PRIOR`` of
-   its own count on both sides), less one standard deviation. Words whose
-   log-odds are under ``MIN_Z`` deviations or score under ``MIN_SCORE`` (which
-   words of a language with more toxic documents do) count as neutral, as do
-   all others. Odds count documents, so a word scores where a text first has
-   it; a neutral or repeated word costs ``DRIFT``.
-2. One linear scan finds all maximal-scoring segments of a text.
+   its own count on both sides), one standard deviation nearer to zero. Words
+   whose log-odds are within ``MIN_Z`` deviations or score within ``MIN_SCORE``
+   of zero (which words of a language with more or fewer toxic documents do)
+   count as neutral, as do all others: they cost ``DRIFT``.
+2. One linear scan over every occurrence finds all maximal-scoring segments of a
+   text, so a later passage is found whatever words stood before it.
 3. Scores of such segments in clean text follow an extreme-value law with the
-   parameters ``rate`` (the root of ``E[exp(rate * score)] = 1``) and ``K``
-   (fitted on clean documents): a segment of score S has the E-value
+   parameters ``rate`` and ``K``, both fitted to the best segments of clean
+   documents (with few of them, ``rate`` is the root of
+   ``E[exp(rate * score)] = 1``): a segment of score S has the E-value
    ``K n exp(-rate S)`` in ``n`` words. Passages with an E-value of at most
-   ``MAX_E`` are reported. A document's evidence is the log of the sum of
-   ``exp(rate S) / (K n)`` over its segments, turned into a probability by a
-   logistic curve.
+   ``MAX_E`` are reported.
+4. Odds count documents, so repeats say less: in a document's evidence a segment
+   counts each of its words once. The evidence is the log of the sum of
+   ``exp(rate s) / (K n)`` over the segments' scores s of that kind, turned into
+   a probability by a logistic curve.
 
 The model is fitted on about ``ROWS_PER_CLASS`` labelled rows of each class,
 chosen by a hash of the id. The curve and ``K`` are fitted on scores of rows
 that the words' log-odds had not seen (``FOLDS`` folds). At most ``MODEL_WORDS``
-words score.
+words of each sign score.
 
 Defined cases: null and empty texts have no segment and get the share of toxic
 rows among such; without labels of both classes that share is the score of
@@ -48,6 +51,8 @@ MIN_Z, MIN_SCORE = 2.5, 1.5
 DRIFT = 0.15
 MAX_E = 0.05
 MODEL_WORDS = 20_000
+#: Clean documents with a segment from which ``rate`` is fitted.
+MIN_TOPS = 20
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SLICE = 1 << 20
@@ -74,6 +79,9 @@ def maximal_segments(places: list[int], scores: list[float], drift: float) -> li
     total, at = 0.0, -1
     for place, score in zip(places, scores, strict=True):
         total -= drift * (place - at - 1)
+        if score <= 0:
+            total, at = total + score, place
+            continue
         segment = [place, place, total, total + score]
         total, at = total + score, place
         while True:
@@ -88,6 +96,38 @@ def maximal_segments(places: list[int], scores: list[float], drift: float) -> li
     return [(a, b, right - left) for a, b, left, right in found]
 
 
+def scores_once(segments: list[tuple[int, int, float]], places: list[int], words: list[str], known: dict[str, float],
+                drift: float) -> list[float]:
+    """Score of each segment with every word counted once (at least that of its
+    best word). ``words`` stand at ``places``; both in order, as ``segments``."""
+    found, at = [], 0
+    for a, b, _ in segments:
+        while places[at] < a:
+            at += 1
+        first = at
+        while at < len(places) and places[at] <= b:
+            at += 1
+        scores = [known[w] for w in set(words[first:at])]
+        found.append(max(math.fsum(scores) - drift * (b - a + 1 - (at - first)), max(scores)))
+    return found
+
+
+def extreme_value_law(n: np.ndarray, tops: np.ndarray) -> tuple[float, float] | None:
+    """Maximum-likelihood ``(rate, log K)`` of ``P(top < s) = exp(-K n exp(-rate s))``
+    from texts of ``n`` words with these best scores (0: none above the least one
+    possible); None with too few to tell."""
+    some = tops > 0
+    if some.sum() < MIN_TOPS:
+        return None
+    floored = np.maximum(tops, MIN_SCORE)
+    best = (-math.inf, 0.0, 0.0)
+    for rate in np.geomspace(0.02, 8, 200):
+        log_k = math.log(some.sum() / float((n * np.exp(-rate * floored)).sum()))
+        likelihood = some.sum() * (log_k + math.log(rate)) - rate * tops[some].sum()
+        best = max(best, (likelihood, float(rate), log_k))
+    return best[1], best[2]
+
+
 class Model:
     """Word scores and the extreme-value law of segment scores."""
 
@@ -112,23 +152,24 @@ class Model:
             low, high = (middle, high) if excess(middle) < 0 else (low, middle)
         return max(high, 1e-3)
 
-    def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
-        """Number of words, and the segments of a text."""
-        known, n, places, scores, met = self.words, 0, [], [], set()
+    def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]], list[float]]:
+        """Number of words, the segments of a text, and their scores with every
+        word counted once."""
+        known, n, places, used = self.words, 0, [], []
         for words in word_slices(text or ""):
             for i, w in enumerate(words, n):
-                if w in known and w not in met:
-                    met.add(w)
+                if w in known:
                     places.append(i)
-                    scores.append(known[w])
+                    used.append(w)
             n += len(words)
-        return n, maximal_segments(places, scores, DRIFT)
+        found = maximal_segments(places, [known[w] for w in used], DRIFT)
+        return n, found, scores_once(found, places, used, known, DRIFT)
 
-    def evidence(self, n: int, segments: list[tuple[int, int, float]]) -> float | None:
-        """Log of the summed ``exp(rate S) / n`` (``K`` aside); None without a segment."""
-        if not segments:
+    def evidence(self, n: int, once: list[float]) -> float | None:
+        """Log of the summed ``exp(rate s) / n`` (``K`` aside); None without a segment."""
+        if not len(once):
             return None
-        exponents = np.array([self.rate * s for _, _, s in segments])
+        exponents = self.rate * np.array(once)
         top = exponents.max()
         return float(top + np.log(np.exp(exponents - top).sum()) - math.log(max(n, 1)))
 
@@ -177,23 +218,23 @@ def _model(tox: np.ndarray, clean: np.ndarray, words: list[str], n_tox: float, n
     prior = ALPHA + PRIOR * (tox + clean)
     odds = np.log(tox + prior) - np.log(n_tox) - np.log(clean + prior) + np.log(n_clean)
     spread = np.sqrt(1 / (tox + prior) + 1 / (clean + prior))
-    use = (odds >= MIN_Z * spread) & (odds - spread >= MIN_SCORE) & (tox > 0)
+    scores = np.sign(odds) * (np.abs(odds) - spread)
+    use = (np.abs(odds) >= MIN_Z * spread) & (np.abs(odds) - spread >= MIN_SCORE) & ((odds < 0) | (tox > 0))
     share = (clean + prior) / n_clean
     picked = np.flatnonzero(use)
-    return Model({words[i]: float(odds[i] - spread[i]) for i in picked}, {words[i]: float(share[i]) for i in picked})
+    return Model({words[i]: float(scores[i]) for i in picked}, {words[i]: float(share[i]) for i in picked})
 
 
 def _held_out_scores(models, batches):
     for batch in released(batches):
         rows = []
         for fold, toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            n, segments = models[fold].segments(text.as_py())
-            top = max((s for _, _, s in segments), default=0.0)
-            rows.append((toxic, n, models[fold].rate * top, models[fold].evidence(n, segments)))
+            n, segments, once = models[fold].segments(text.as_py())
+            rows.append((toxic, n, max((s for _, _, s in segments), default=0.0), once))
         columns = list(zip(*rows, strict=True)) or [()] * 4
-        kinds = [pa.int32(), pa.int64(), pa.float64(), pa.float64()]
+        kinds = [pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.float64())]
         yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)],
-                                         names=["toxic", "n", "top", "evidence"])
+                                         names=["toxic", "n", "top", "once"])
 
 
 def _curve(toxic: np.ndarray, evidence: np.ndarray) -> tuple[float, float, float]:
@@ -236,10 +277,12 @@ def fitted(docs: DataFrame, labels: DataFrame, teach: Column) -> Model:
         only.curve = (math.log((sizes.get(1, 0) + 1e-9) / (sizes.get(0, 0) + 1e-9)) if rows else -700.0, 0.0, 0.0)
         return only
     tox, clean = F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0))
-    words = counts.filter("word <> ''").groupBy("word").agg(tox.alias("t"), clean.alias("c")).filter("t > 1")
+    words = counts.filter("word <> ''").groupBy("word").agg(tox.alias("t"), clean.alias("c")).filter("t > 1 OR c > 1")
     a, b = (F.col(k) + ALPHA + PRIOR * (F.col("t") + F.col("c")) for k in ("t", "c"))
     z = (F.log(a) - F.log(b) + math.log(n_clean / n_tox)) / F.sqrt(1 / a + 1 / b)
-    screened = words.withColumn("z", z).filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(MODEL_WORDS).select("word")
+    words = words.withColumn("z", z)
+    screened = (words.filter(F.col("z") >= MIN_Z).filter("t > 1").orderBy(F.desc("z"), "word").limit(MODEL_WORDS).select("word")
+                .union(words.filter(F.col("z") <= -MIN_Z).orderBy("z", "word").limit(MODEL_WORDS).select("word")))
     table: dict[str, np.ndarray] = {}
     for r in counts.join(F.broadcast(screened), "word").collect():
         table.setdefault(r.word, np.zeros((FOLDS, 2)))[r.fold, r.toxic] = r.n
@@ -252,13 +295,17 @@ def fitted(docs: DataFrame, labels: DataFrame, teach: Column) -> Model:
         rest = whole - each[:, k]
         folds.append(_model(rest[:, 1], rest[:, 0], names, n_tox - totals[k, 1], n_clean - totals[k, 0]))
     unseen = sample.mapInArrow(lambda batches: _held_out_scores(folds, batches),
-                               "toxic int, n long, top double, evidence double").toPandas()
+                               "toxic int, n long, top double, once array<double>").toPandas()
     model = _model(whole[:, 1], whole[:, 0], names, n_tox, n_clean)
     background = unseen[(unseen.toxic == 0) & (unseen.n > 0)]
-    # Maximum-likelihood K of P(max < s) = exp(-K n exp(-rate s)).
-    if len(background):
-        model.log_k = math.log(len(background) / float((background.n * np.exp(-background.top)).sum()))
-    evidence = unseen.evidence.to_numpy(dtype=float) - model.log_k
+    law = extreme_value_law(background.n.to_numpy(dtype=float), background.top.to_numpy(dtype=float))
+    if law:
+        model.rate, model.log_k = law
+    elif len(background):
+        # Maximum-likelihood K of P(max < s) = exp(-K n exp(-rate s)).
+        model.log_k = math.log(len(background) / float((background.n * np.exp(-model.rate * background.top)).sum()))
+    found = [model.evidence(n, once) for n, once in zip(unseen.n, unseen.once, strict=True)]
+    evidence = np.array([np.nan if e is None else e for e in found], dtype=float) - model.log_k
     model.curve = _curve(unseen.toxic.to_numpy(dtype=float), evidence)
     return model
 
@@ -269,8 +316,8 @@ def _scored(model: Model, batches):
     for batch in released(batches):
         scores, found = [], []
         for text in batch.column(2):
-            n, segments = model.segments(text.as_py())
-            scores.append(model.score(model.evidence(n, segments)))
+            n, segments, once = model.segments(text.as_py())
+            scores.append(model.score(model.evidence(n, once)))
             found.append(model.passages(n, segments))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(scores, type=pa.float64()), pa.array(found, type=passage)],

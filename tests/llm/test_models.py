@@ -194,3 +194,34 @@ def test_every_word_has_a_probability_of_its_own(spark, monkeypatch):
         assert len({round(x, 6) for x in found.values()}) > 10
         assert found["often"] > found["seldom"] + 1
         assert found["seldom"] >= found["unheard"] - 3
+
+
+def test_every_toxic_passage_of_a_text_is_found():
+    """Listed words that stand singly early on, or in an earlier passage, do not
+    hide a later passage; repeats of one word add no evidence."""
+    listed = [f"bad{c}" for c in "abcdefgh"]
+    model = toxicity.Model(dict.fromkeys(listed, 3.0) | {"kindly": -2.0}, dict.fromkeys([*listed, "kindly"], 1e-4))
+    calm, dense = ["calm"] * 60, [w for b in listed for w in (b, "calm")]
+    singly = [w for b in listed for w in (b, *calm)]
+    rows = {"singly": singly, "later": singly + dense, "twice": calm + dense + calm * 4 + dense + calm}
+    found = {}
+    for name, words in rows.items():
+        n, segments, once = model.segments(" ".join(words))
+        found[name] = model.passages(n, segments), model.evidence(n, once)
+    assert not found["singly"][0]
+    assert [(r["first_word"], r["last_word"]) for r in found["later"][0]] == [(len(singly), len(singly) + 14)]
+    assert [r["first_word"] for r in found["twice"][0]] == [60, 60 + 16 + 240]
+    assert found["later"][1] > found["singly"][1] + 5
+    one = model.segments("bada bada bada bada")
+    assert one[1] == [(0, 3, 12.0)] and one[2] == [3.0]
+    assert model.segments("bada kindly badb")[1] == [(0, 2, 4.0)]
+
+
+def test_extreme_value_law_is_recovered():
+    rng = np.random.default_rng(3)
+    n = rng.integers(50, 1000, 20_000).astype(float)
+    tops = (np.log(0.02 * n) - np.log(-np.log(rng.random(len(n))))) / 0.7
+    tops[tops < toxicity.MIN_SCORE] = 0
+    rate, log_k = toxicity.extreme_value_law(n, tops)
+    assert rate == pytest.approx(0.7, rel=0.05) and log_k == pytest.approx(math.log(0.02), abs=0.15)
+    assert toxicity.extreme_value_law(n[:10], tops[:10]) is None
