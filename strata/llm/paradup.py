@@ -99,7 +99,7 @@ LONG_LINES = ("doc_id long, text_hash long, digest long, n long, bands array<lon
 
 
 def _long_lines(batches):
-    """Lines of ``NEAR_WORDS`` words or more with their bands and sketch."""
+    """Lines of ``NEAR_WORDS`` words or more with their number of distinct shingles, bands and sketch."""
     for batch in released(batches):
         for i, hashes, _, text, lines, _ in _stretches(batch, 2):
             sizes = np.diff(np.append(lines, len(hashes)))
@@ -113,7 +113,7 @@ def _long_lines(batches):
             offsets = (np.arange(len(firsts) + 1) * LINES.bands).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(row), batch.column(1).take(row),
-                 pa.array(_digests(hashes, firsts, sizes).view(np.int64)), pa.array(sizes),
+                 pa.array(_digests(hashes, firsts, sizes).view(np.int64)), pa.array(set_sizes),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.ravel().view(np.int64)))]
                 + [pa.array(sketch[:, k]) for k in range(len(LINES.lanes))],
                 names=[part.split()[0] for part in LONG_LINES.split(", ")])

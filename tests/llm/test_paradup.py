@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+
 from strata.llm import paradup
 from tests.llm.data import clashing, edge_rows, frame, prose
 
@@ -42,3 +44,14 @@ def test_repeats_inside_one_document_do_not_count(spark):
     line = prose(random.Random(8), 70).replace("\n", " ")
     rows = [(1, f"{line}\n{line}", "en", "a", 0), (2, prose(random.Random(9), 100), "en", "a", 0)]
     assert paradup.repeated_passages(frame(spark, rows)).count() == 0
+
+
+def test_line_sizes_count_distinct_shingles():
+    """Fifty words against the same words twice: Jaccard 0.92, so the sizes that
+    candidates are held against must not rule the pair out."""
+    line = " ".join(f"w{i}" for i in range(50))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2]), pa.array([1, 2]), pa.array([line, f"{line} {line}"])], names=["doc_id", "text_hash", "text"])
+    found = pa.Table.from_batches(paradup._long_lines([batch])).to_pydict()
+    assert found["n"] == [46, 50]
+    assert 100 * min(found["n"]) >= paradup.LINES.percent * max(found["n"])
