@@ -7,7 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontam, langid, mixing, neardup, oracle, paradup, pseudo, quality, records, toxicity
+from strata.llm import (
+    audit,
+    chat,
+    decontam,
+    langid,
+    mixing,
+    neardup,
+    oracle,
+    paradup,
+    pseudo,
+    quality,
+    records,
+    secrets,
+    toxicity,
+    trie,
+)
+from strata.llm.components import stored
 from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +121,22 @@ def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held_out = remainder(5) == 0
     return langid.identified(docs, langid.fitted(docs, ~held_out), held_out)
+
+
+@register("op11_prefix_trie", oracle.PREFIX_TRIE)
+def op11(spark, sf_dir):
+    turns = stored(trie.ordered_turns(table(spark, sf_dir, "conversations")), "placed")
+    family, shared = F.col("conv_id") - F.col("conv_id") % 5, F.crc32(F.col("conv_id").cast("string")) % 9
+    return trie.prefix_trie(trie.rebuilt(turns, family, shared))
+
+
+@register("op12_secret_scan")
+def op12(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scanned(docs, secrets.identifiers(docs))
+    return secrets.digest(found)
+
+
+@register("op13_filter_audit", oracle.FILTER_AUDIT)
+def op13(spark, sf_dir):
+    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
