@@ -48,7 +48,7 @@ LEAST_NOVEL = 16
 REACH = 48
 WINDOW = 256
 #: Bytes a character, for any string and for hexadecimal digits, which hold four bits each.
-NOVELTY, NOVELTY_HEX = 0.9, 0.7
+NOVELTY, NOVELTY_HEX = 0.85, 0.65
 #: From this length on a candidate is entropy coded by itself, down to its bits.
 CODED, NOVELTY_CODED, NOVELTY_CODED_HEX = 63, 0.72, 0.5
 LEVEL = 3
