@@ -67,10 +67,9 @@ def main() -> None:
         timed("m3_cluster_states", lambda: MD.cluster_states(obs)["assignments"].collect())
 
         def folds():
-            frame = ML.prepare(ML.labelled(obs, "risk_level"),
-                               ML.available_features(obs, RISK_FEATURES), "risk_level")
+            frame = ML.written("bench-frame", lambda: ML.training_frame(
+                ML.labelled(obs, "risk_level"), ML.available_features(obs, RISK_FEATURES), "risk_level"))
             frame.groupBy("label", "fold").count().collect()
-            frame.unpersist()
         timed("m6_training_frame", folds)
 
     # Warm-up: one untimed pass of the same workload over a smaller data set

@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -39,6 +39,7 @@ from strata.constants import (
     SEED,
     TINY_CLASS_ROWS,
 )
+from strata.operators import forest
 
 MAX_CLASSES = 1_000
 PARALLEL_FITS = 8
@@ -365,32 +366,7 @@ def cluster_entities(matrix: DataFrame, key: str, k: int = KMEANS_K, starts: int
 
 # --- M7 / M8 / M12 / M15 ---------------------------------------------------------------
 
-def _parse_mb(text: str | None) -> float | None:
-    if not text:
-        return None
-    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-    t = text.strip().lower().rstrip("b")
-    return float(t[:-1]) * units[t[-1]] if t and t[-1] in units else float(t) / (1024 * 1024)
-
-
-def forest_memory_mb(spark) -> int:
-    """Split-statistics budget per tree-growing task.
-
-    Every concurrent task of a forest iteration holds a buffer of up to
-    ``maxMemoryInMB``; the budget is a quarter of the heap share of one core,
-    clamped to [16, 256] MB (256 is MLlib's default).
-    """
-    conf = spark.sparkContext.getConf()
-    if spark.sparkContext.master.startswith("local"):
-        heap_mb = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() / (1024 * 1024)
-        cores = spark.sparkContext.defaultParallelism
-    else:
-        heap_mb = _parse_mb(conf.get("spark.executor.memory", "1g"))
-        cores = int(conf.get("spark.executor.cores", "1"))
-    return int(max(16, min(256, heap_mb / (4 * max(cores, 1)))))
-
-
-def _fold_fit_predict(train: DataFrame, test: DataFrame, features: list[str], make, standardize: bool):
+def fold_fit_predict(train: DataFrame, test: DataFrame, features: list[str], make, standardize: bool):
     if standardize:
         params = fit_standardizer(train, features)
         train, test = apply_standardizer(train, params), apply_standardizer(test, params)
@@ -405,7 +381,7 @@ def out_of_fold(df: DataFrame, features: list[str], make, folds: int = CV_FOLDS,
     def one(f):
         train = with_class_weights(df.filter(F.col("fold") != f))
         test = df.filter(F.col("fold") == f)
-        return _fold_fit_predict(train, test, features, make, standardize)[1]
+        return fold_fit_predict(train, test, features, make, standardize)[1]
 
     # Fold fits are independent: submit them as concurrent Spark jobs.
     with ThreadPoolExecutor(max_workers=min(PARALLEL_FITS, folds)) as pool:
@@ -416,30 +392,43 @@ def out_of_fold(df: DataFrame, features: list[str], make, folds: int = CV_FOLDS,
     return out
 
 
-def prepare(df: DataFrame, features: list[str], label: str, seed: int = SEED, folds: int = CV_FOLDS) -> DataFrame:
-    """Features, label and stratified folds, computed once and kept for every
-    fold fit."""
+def written(name: str, make) -> DataFrame:
+    """The table that ``make()`` gives, written once to the shared folder. Staged
+    runs pass :class:`strata.plans.steps.Steps` in its place."""
     from strata.operators.priority import materialize
+    return materialize(make(), name)
+
 
-    # Written once (ids and folds frozen, lineage cut), then sized
-    # and kept in memory for the repeated fold fits: every optimizer
-    # iteration is a job over a short plan with no empty tasks.
-    frame = materialize(with_folds(feature_frame(df, features, label), seed=seed, folds=folds), "training-frame")
-    frame = right_sized(frame, frame.count(), TRAINING_ROWS_PER_PARTITION).persist()
-    frame.count()
-    return frame
+def training_frame(df: DataFrame, features: list[str], label: str, seed: int = SEED, folds: int = CV_FOLDS) -> DataFrame:
+    """Features, label and stratified folds. To be written before use: ids and folds are frozen then."""
+    return with_folds(feature_frame(df, features, label), seed=seed, folds=folds)
+
+
+def kept(frame: DataFrame, rows_per_partition: int = TRAINING_ROWS_PER_PARTITION) -> DataFrame:
+    """``frame`` sized for iterative fits and held in memory: every optimizer
+    iteration is a job over a short plan with no empty tasks."""
+    sized = right_sized(frame, frame.count(), rows_per_partition).persist()
+    sized.count()
+    return sized
 
 
 def train_mortality_model(df: DataFrame, features=MORTALITY_FEATURES, folds: int = CV_FOLDS,
-                          max_iter: int = LOGISTIC_MAX_ITER, seed: int = SEED) -> dict:
+                          max_iter: int = LOGISTIC_MAX_ITER, seed: int = SEED, keep=written) -> dict:
     """M8: weighted L2 logistic regression (C = 1) on standardised features,
     5-fold out-of-fold AUC and report, then a refit on all rows.
 
     Spark scales the data term by the total weight; with balanced weights
-    that total is n, so regParam = 1 / n_train matches C = 1.
+    that total is n, so regParam = 1 / n_train matches C = 1. ``keep`` writes
+    the training frame, the scores and the refit (see :func:`written`).
     """
     feats = available_features(df, features)
-    data = prepare(df, feats, "is_mortality", seed, folds)
+    frame = keep("mortality-frame", lambda: training_frame(df, feats, "is_mortality", seed, folds))
+    held: list[DataFrame] = []
+
+    def data():
+        if not held:
+            held.append(kept(frame))
+        return held[0]
 
     def make(train):
         n = train.count()
@@ -447,19 +436,29 @@ def train_mortality_model(df: DataFrame, features=MORTALITY_FEATURES, folds: int
                                   regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
                                   maxIter=max_iter, fitIntercept=True, family="binomial")
 
+    def scores():
+        pred = out_of_fold(data(), feats, make, folds, standardize=True)
+        return pred.select("label", vector_to_array("probability")[1].alias("score"))
+
+    def refit():
+        params = fit_standardizer(data(), feats)
+        model = make(data()).fit(assemble(apply_standardizer(with_class_weights(data()), params), feats))
+        rows = [(i, f, *params[f], float(c)) for i, (f, c) in enumerate(zip(feats, model.coefficients, strict=True))]
+        return data().sparkSession.createDataFrame(
+            [*rows, (len(feats), "(intercept)", 0.0, 1.0, float(model.intercept))],
+            "place int, feature string, mean double, std double, coefficient double")
+
     try:
-        pred = out_of_fold(data, feats, make, folds, standardize=True)
-        scored = pred.select("label", vector_to_array("probability")[1].alias("score"))
-        scored = scored.withColumn("prediction", (F.col("score") >= PROBABILITY_THRESHOLD).cast("int"))
-        auc = roc_auc(scored)
-        report = local_copy(classification_report(scored))
-        params = fit_standardizer(data, feats)
-        model = make(data).fit(assemble(apply_standardizer(with_class_weights(data), params), feats))
-        rates = positive_rate(data).first()
+        scored = keep("mortality-scores", scores)
+        coefficients = keep("mortality-model", refit)
     finally:
-        data.unpersist()
+        for frame_held in held:
+            frame_held.unpersist()
+    scored = scored.withColumn("prediction", (F.col("score") >= PROBABILITY_THRESHOLD).cast("int"))
+    report = local_copy(classification_report(scored))
+    rates = positive_rate(frame).first()
     return {
-        "model": model, "standardizer": params, "auc": auc, "scored": scored,
+        "coefficients": coefficients, "auc": roc_auc(scored), "scored": scored,
         "accuracy": report_metric(report, "accuracy", "precision"),
         "macro_f1": report_metric(report, "macro avg", "f1_score"),
         "report": report, "feature_names": feats,
@@ -467,49 +466,73 @@ def train_mortality_model(df: DataFrame, features=MORTALITY_FEATURES, folds: int
     }
 
 
-def risk_forest(spark, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, seed: int = SEED) -> RandomForestClassifier:
-    return RandomForestClassifier(featuresCol="features", labelCol="label_idx", weightCol="weight", numTrees=trees,
-                                  maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt", impurity="gini",
-                                  maxMemoryInMB=forest_memory_mb(spark))
-
-
 def index_labels(df: DataFrame):
     """``df`` with ``label_idx``, and the labels in the order of their index."""
     indexer = StringIndexer(inputCol="label", outputCol="label_idx", stringOrderType="alphabetAsc").fit(df)
     return indexer.transform(df), list(indexer.labels)
 
 
-def refit_forest(data: DataFrame, feats: list[str], forest: RandomForestClassifier):
-    """Forest over all rows of ``data`` with weights from all of them, and its
-    importances by value (M15)."""
-    model = forest.fit(assemble(with_class_weights(data), feats))
-    values = [(f, float(v)) for f, v in zip(feats, model.featureImportances.toArray(), strict=True)]
-    table = data.sparkSession.createDataFrame(values, "feature string, importance double")
-    return model, table.orderBy(F.col("importance").desc(), "feature")
+def fit_forest(rows: DataFrame, feats: list[str], labels: list[str], trees: int, depth: int, seed: int) -> forest.Forest:
+    """Balanced forest over ``rows`` (features, ``label``, ``label_idx``): the
+    weights are those of these rows. The assembled rows are held in memory."""
+    train = assemble(with_class_weights(rows), feats).select("features", "label_idx", "weight")
+    train = forest.partitioned(train, rows.count()).persist()
+    try:
+        return forest.grown(train, labels, trees, depth, seed)
+    finally:
+        train.unpersist()
+
+
+def importance_table(spark, model: forest.Forest, feats: list[str]) -> DataFrame:
+    """Importances by value, descending."""
+    table = spark.createDataFrame(model.importances(feats), "feature string, importance double")
+    return table.orderBy(F.col("importance").desc(), "feature")
 
 
 def train_risk_classifier(df: DataFrame, features=RISK_FEATURES, folds: int = CV_FOLDS,
-                          trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, seed: int = SEED) -> dict:
+                          trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, seed: int = SEED, keep=written) -> dict:
     """Balanced random forest on rows with a risk label; macro and
-    weighted F1 from out-of-fold predictions; importances from a refit."""
+    weighted F1 from out-of-fold predictions; importances from a refit.
+
+    Folds run one after another, each written by ``keep`` when it is ready; the
+    blocks of a forest run beside each other (:mod:`strata.operators.forest`).
+    """
+    spark = df.sparkSession
     feats = available_features(df, features)
-    prepared = prepare(labelled(df, "risk_level"), feats, "risk_level", seed, folds)
-    data, labels = index_labels(prepared)
-    tiny = [r["label"] for r in tiny_classes(data).collect()]
-    forest = risk_forest(df.sparkSession, trees, depth, seed)
+    frame = keep("risk-frame", lambda: training_frame(labelled(df, "risk_level"), feats, "risk_level", seed, folds))
+    data, labels = index_labels(frame)
+    tiny = [r["label"] for r in tiny_classes(frame).collect()]
+    held: list[DataFrame] = []
+    models = {}
+
+    def rows():
+        if not held:
+            held.append(kept(data, forest.ROWS_PER_PARTITION))
+        return held[0]
+
+    def predicted(fold):
+        model = fit_forest(rows().filter(F.col("fold") != fold), feats, labels, trees, depth, seed)
+        return model.scored(assemble(rows().filter(F.col("fold") == fold), feats)).select("label", "prediction")
+
+    def refit():
+        models["refit"] = fit_forest(rows(), feats, labels, trees, depth, seed)
+        return importance_table(spark, models["refit"], feats)
+
     try:
-        pred = out_of_fold(data, feats, lambda train: forest.copy(), folds)
-        mapping = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(float(i)), F.lit(lab))])
-        named = pred.select("label", mapping[F.col("prediction")].alias("prediction"))
-        report = local_copy(classification_report(named))
-        model, importances = refit_forest(data, feats, forest)
+        parts = [keep(f"risk-fold-{f}", lambda f=f: predicted(f)) for f in range(folds)]
+        importances = keep("risk-importances", refit)
     finally:
-        prepared.unpersist()
+        for rows_held in held:
+            rows_held.unpersist()
+    pred = parts[0]
+    for p in parts[1:]:
+        pred = pred.unionByName(p)
+    report = local_copy(classification_report(pred))
     return {
-        "model": model, "accuracy": report_metric(report, "accuracy", "precision"),
+        "model": models.get("refit"), "predictions": pred, "accuracy": report_metric(report, "accuracy", "precision"),
         "macro_f1": report_metric(report, "macro avg", "f1_score"),
         "weighted_f1": report_metric(report, "weighted avg", "f1_score"),
-        "report": report, "feature_importances": importances, "feature_names": feats,
+        "report": report, "feature_importances": top_importances(importances, len(feats)), "feature_names": feats,
         "tiny_classes": tiny, "labels": labels,
     }
 

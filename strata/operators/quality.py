@@ -1,5 +1,5 @@
 """Analyses beyond the marts: data quality (D3), calibration (D4), rolling means (D5),
-region features (D7), data-driven risk thresholds (D8), time split (D9), difference in
+region features (D7), per-capita values (D7), data-driven risk thresholds (D8), time split (D9), difference in
 differences (D10), dashboard filters (D11), feature availability (D12).
 
 Series-level statistics re-aggregate already aggregated tables (one value
@@ -77,12 +77,39 @@ def rolling_means(obs: DataFrame, years: int = 3) -> DataFrame:
                          ordered_mean_of(F.collect_list("v").over(w)).alias("rolling_mean"))
 
 
-def risk_thresholds(obs: DataFrame, probs=(0.25, 0.5, 0.75), accuracy: int = 10_000) -> DataFrame:
-    """Per-topic cut points of the value distribution (approximate
-    quantiles: bounded memory per group, one pass)."""
-    q = F.percentile_approx("DataValueAlt", list(probs), accuracy)
-    return obs.filter(F.col("DataValueAlt").isNotNull()).groupBy("Topic").agg(q.alias("_q")).select(
-        "Topic", *[F.col("_q")[i].alias(f"p{int(p * 100)}") for i, p in enumerate(probs)])
+def risk_thresholds(obs: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """Per-topic cut points of the value distribution, exact: the values of
+    rank ``ceil(prob * n)`` (:mod:`strata.operators.selection`)."""
+    from strata.operators.selection import exact_quantiles
+
+    cuts = exact_quantiles(obs, "Topic", "DataValueAlt", probs)
+    return cuts.groupBy("Topic").agg(*(F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"p{int(p * 100)}")
+                                       for p in probs))
+
+
+def per_capita(obs: DataFrame, population: DataFrame, per: float = 100_000.0) -> DataFrame:
+    """Records and mortality records per ``per`` inhabitants, by state, topic and year.
+
+    ``population`` (``LocationAbbr, year, population``) changes slowly: a row holds
+    from its year until the state's next one, and a record takes the population
+    that held in its year. Years before a state's first row, states without rows
+    and missing years have no population and no rates; their counts stay.
+    """
+    hits = F.sum(F.when(F.col("is_mortality") == 1, 1).otherwise(0))
+    cells = obs.groupBy("LocationAbbr", "Topic", "YearStart").agg(
+        F.count(F.lit(1)).alias("record_count"), hits.alias("mortality_records"))
+    changes = Window.partitionBy("LocationAbbr").orderBy("year")
+    spans = population.select(F.col("LocationAbbr").alias("_place"), F.col("year").alias("population_year"), "population",
+                              F.lead("year").over(changes).alias("_until"))
+    holds = F.expr("LocationAbbr = _place AND YearStart >= population_year AND (_until IS NULL OR YearStart < _until)")
+    found = cells.join(spans, holds, "left")
+
+    def rate(c):
+        return F.try_divide(F.lit(per) * F.col(c).cast("double"), F.col("population").cast("double"))
+
+    return found.select("LocationAbbr", "Topic", "YearStart", "record_count", "mortality_records", "population",
+                        "population_year", rate("record_count").alias("records_per_100k"),
+                        rate("mortality_records").alias("mortality_per_100k"))
 
 
 def time_split(obs: DataFrame, cutoff=None) -> DataFrame:

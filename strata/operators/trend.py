@@ -1,18 +1,14 @@
 """Trend tests on yearly means, for every topic in one job.
 
 The series are aggregates: one row per (topic, year), so a series is as
-long as the number of years, however large the table under it. Per-series
-statistics run as Arrow-batched pandas functions on those short series; all
-closed-form arithmetic stays in Spark expressions.
+long as the number of years, however large the table under it. Statistics and
+their p-values are Spark expressions over those short series.
 """
 
 from __future__ import annotations
 
-import bisect
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,100 +25,66 @@ def yearly_series(obs: DataFrame, key: str = "Topic", year: str = "YearStart",
             .filter(F.col("v").isNotNull()))
 
 
-def _kendall_parts(pdf: pd.DataFrame) -> pd.DataFrame:
-    """S = sum over i<j of sign(v_j - v_i), and the tie term, for one series.
+def _each(n, first, step):
+    """Sum of ``1 + t1 + t1 t2 + ...``: ``n`` factors ``step(k)`` from ``k = first`` on."""
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
 
-    Counts with a sorted prefix (binary search), no pair enumeration.
-    """
-    pdf = pdf.sort_values("year")
-    seen: list[float] = []
-    s = 0
-    for v in pdf["v"].to_numpy(dtype=float):
-        lo = bisect.bisect_left(seen, v)
-        hi = bisect.bisect_right(seen, v)
-        s += lo - (len(seen) - hi)
-        bisect.insort(seen, v)
-    _, ties = np.unique(pdf["v"].to_numpy(dtype=float), return_counts=True)
-    tie_term = int(sum(int(t) * (int(t) - 1) * (2 * int(t) + 5) for t in ties))
-    return pd.DataFrame({"key": [pdf["key"].iloc[0]], "n": [len(pdf)], "s": [s], "tie_term": [tie_term]})
-
-
-def normal_two_sided_p(z: pd.Series) -> pd.Series:
-    """p = erfc(|z| / sqrt(2)) (two-sided standard normal tail)."""
-    return z.map(lambda x: math.erfc(abs(x) / math.sqrt(2.0)) if pd.notna(x) else float("nan"))
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny, eps = 1e-300, 3e-16
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 1000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
-
-
-def regularized_beta(x: float, a: float, b: float) -> float:
-    """I_x(a, b), the regularized incomplete beta function."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                     + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
-
-
-def student_t_two_sided_p(t: float, df: float) -> float:
-    """Two-sided tail probability of Student's t with ``df`` degrees of freedom."""
-    if t is None or df is None or math.isnan(t) or df <= 0:
-        return float("nan")
-    if math.isinf(t):
-        return 0.0
-    return regularized_beta(df / (df + t * t), df / 2.0, 0.5)
-
-
-def spearman_p(rho: pd.Series, n: pd.Series) -> pd.Series:
-    """p of Spearman's rho from the t statistic with n - 2 degrees of freedom."""
-    out = []
-    for r, k in zip(rho, n):
-        if pd.isna(r) or pd.isna(k) or k < 3:
-            out.append(float("nan"))
-            continue
-        df = float(k) - 2.0
-        t = math.inf if abs(r) >= 1.0 else r * math.sqrt(df / ((1.0 - r) * (1.0 + r)))
-        out.append(student_t_two_sided_p(t, df))
-    return pd.Series(out, dtype="float64")
-
-
-def _nan_to_null(c):
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
+    def add(done, k):
+        term = done["term"] * step(k)
+        return F.struct(term.alias("term"), (done["sum"] + term).alias("sum"))
+
+    indexes = F.when(n > 0, F.sequence(F.lit(first), F.lit(first - 1) + n)).otherwise(F.expr("cast(array() as array<int>)"))
+    return F.aggregate(indexes, start, add, lambda done: done["sum"])
+
+
+#: Terms of the error function's series: enough for any |z| whose tail is not 0 in double precision.
+ERROR_TERMS = 200
+
+
+def normal_two_sided_p(z):
+    """Two-sided tail of the standard normal distribution, to 1e-15: the error
+    function by its series ``exp(-x^2) * sum (2 x^2)^k / (1 3 5 ... (2 k + 1))``,
+    whose terms are all positive."""
+    x = F.abs(z) / F.lit(math.sqrt(2.0))
+    total = _each(F.lit(ERROR_TERMS), 1, lambda k: F.lit(2.0) * x * x / (F.lit(2.0) * k + F.lit(1.0)))
+    tail = F.lit(1.0) - F.lit(2.0 / math.sqrt(math.pi)) * x * F.exp(-x * x) * total
+    return F.when(F.abs(z) > 9, F.lit(0.0)).otherwise(F.greatest(tail, F.lit(0.0)))
+
+
+def spearman_p(rho, n):
+    """Two-sided p of Spearman's rho from Student's t with ``n - 2`` degrees of
+    freedom; null for fewer. For a whole number of degrees the tail is a finite
+    sum in ``rho`` itself, as ``t / sqrt(df)`` is ``rho / sqrt(1 - rho^2)``."""
+    r = F.least(F.abs(rho), F.lit(1.0))
+    c2 = F.lit(1.0) - r * r
+    df = n - 2
+    even = r * _each((df / 2).cast("int") - 1, 1, lambda k: c2 * (F.lit(2.0) * k - 1) / (F.lit(2.0) * k))
+    odd = F.when(df == 1, F.lit(0.0)).otherwise(
+        r * F.sqrt(c2) * _each(((df - 1) / 2).cast("int") - 1, 1, lambda k: c2 * (F.lit(2.0) * k) / (F.lit(2.0) * k + 1)))
+    inside = F.when(df % 2 == 0, even).otherwise(F.lit(2.0 / math.pi) * (F.asin(r) + odd))
+    return F.when(df >= 1, F.greatest(F.lit(1.0) - inside, F.lit(0.0)))
+
+
+def _kendall_parts(series: DataFrame, key: str) -> DataFrame:
+    """``(key, n, s, tie_term)``: S, the sum over i < j of sign(v_j - v_i), and the
+    tie term of each series. A series has a value a year, so its array is short."""
+    years = series.groupBy(F.col(key).alias("key")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("YearStart", "v"))), lambda x: x["v"]).alias("vs"))
+
+    def sign_sum(values, v):
+        return F.aggregate(values, F.lit(0).cast("long"), lambda done, x: done + F.signum(v - x).cast("long"))
+
+    s = F.aggregate(F.transform("vs", lambda v, i: sign_sum(F.slice("vs", F.lit(1), i), v)), F.lit(0).cast("long"),
+                    lambda done, x: done + x)
+    times = F.transform(F.array_distinct("vs"), lambda d: F.size(F.filter("vs", lambda x: x == d)).cast("long"))
+    ties = F.aggregate(times, F.lit(0).cast("long"), lambda done, t: done + t * (t - 1) * (F.lit(2) * t + 5))
+    return years.select("key", F.size("vs").cast("long").alias("n"), s.alias("s"), ties.alias("tie_term"))
 
 
 def mann_kendall(series: DataFrame, key: str = "Topic", with_p: bool = True) -> DataFrame:
     """Mann-Kendall test per key: n, S, tie-corrected var(S), tau, z,
     trend label, significance (p < 0.05 <=> |z| > z_0.975) and p."""
-    parts = (series.select(F.col(key).alias("key"), F.col("YearStart").alias("year"), "v")
-             .groupBy("key").applyInPandas(_kendall_parts, "key string, n long, s long, tie_term long"))
+    parts = _kendall_parts(series, key)
     n, s = F.col("n"), F.col("s")
     var_s = ((n * (n - 1) * (F.lit(2) * n + 5) - F.col("tie_term")).cast("double") / F.lit(18.0))
     z = (F.when(s > 0, (s - 1).cast("double") / F.sqrt(var_s))
@@ -141,7 +103,7 @@ def mann_kendall(series: DataFrame, key: str = "Topic", with_p: bool = True) ->
         "method": F.lit("Mann-Kendall"),
     })
     if with_p:
-        out = out.withColumn("p_value", _nan_to_null(F.pandas_udf(normal_two_sided_p, "double")(F.col("z_score"))))
+        out = out.withColumn("p_value", normal_two_sided_p(F.col("z_score")))
     return out
 
 
@@ -178,6 +140,6 @@ def spearman(series: DataFrame, key: str = "Topic", with_p: bool = True) -> Data
         "method": F.lit("Spearman"),
     })
     if with_p:
-        out = out.withColumn("p_value", _nan_to_null(F.pandas_udf(spearman_p, "double")(F.col("rho"), F.col("n_years"))))
+        out = out.withColumn("p_value", spearman_p(F.col("rho"), F.col("n_years")))
         out = out.withColumn("significant", F.col("p_value") < F.lit(SIGNIFICANCE_LEVEL))
     return out

@@ -604,3 +604,146 @@ SELECT r.r_name AS region, o.Topic, COUNT(*) AS record_count, COUNT(DISTINCT o.L
   {RATE.replace('is_mortality', 'o.is_mortality')} AS mortality_source_rate
 FROM obs o JOIN nation n ON o.LocationAbbr = n.n_name JOIN region r ON n.n_regionkey = r.r_regionkey
 GROUP BY r.r_name, o.Topic""")
+
+RISK_THRESHOLDS = _q(["""
+ranked AS (
+  SELECT Topic, DataValueAlt AS v, row_number() OVER (PARTITION BY Topic ORDER BY DataValueAlt) AS place,
+    COUNT(*) OVER (PARTITION BY Topic) AS n
+  FROM obs WHERE DataValueAlt IS NOT NULL
+)"""], """
+SELECT Topic, MAX(v) FILTER (WHERE place = greatest(ceil(0.25 * n), 1)) AS p25,
+  MAX(v) FILTER (WHERE place = greatest(ceil(0.5 * n), 1)) AS p50,
+  MAX(v) FILTER (WHERE place = greatest(ceil(0.75 * n), 1)) AS p75
+FROM ranked GROUP BY Topic""")
+
+ROLLING_ORIGIN = _q(["""
+cutoffs AS (
+  SELECT DISTINCT YearStart AS cutoff FROM obs WHERE YearStart > (SELECT MIN(YearStart) FROM obs)
+),
+known AS (
+  SELECT c.cutoff, o.LocationAbbr, o.Topic,
+    COUNT(*) FILTER (WHERE o.YearStart < c.cutoff) AS n0,
+    COUNT(*) FILTER (WHERE o.YearStart < c.cutoff AND o.is_mortality = 1) AS p0
+  FROM obs o, cutoffs c WHERE o.YearStart IS NOT NULL GROUP BY 1, 2, 3
+),
+scored AS (
+  SELECT k.cutoff, o.YearStart >= k.cutoff AS test, coalesce(o.is_mortality = 1, false) AS y,
+    CAST(k.p0 + 1 AS DOUBLE) / CAST(k.n0 + 2 AS DOUBLE) AS score
+  FROM obs o JOIN known k ON o.LocationAbbr IS NOT DISTINCT FROM k.LocationAbbr AND o.Topic IS NOT DISTINCT FROM k.Topic
+  WHERE o.YearStart IS NOT NULL
+),
+places AS (
+  SELECT cutoff, y, rank() OVER (PARTITION BY cutoff ORDER BY score)
+    + (COUNT(*) OVER (PARTITION BY cutoff, score) - 1) / 2.0::DOUBLE AS place
+  FROM scored WHERE test
+),
+auc AS (
+  SELECT cutoff, (SUM(place) FILTER (WHERE y) - COUNT(*) FILTER (WHERE y) * (COUNT(*) FILTER (WHERE y) + 1) / 2.0::DOUBLE)
+    / NULLIF(CAST(COUNT(*) FILTER (WHERE y) AS DOUBLE) * CAST(COUNT(*) FILTER (WHERE NOT y) AS DOUBLE), 0) AS baseline_auc
+  FROM places GROUP BY cutoff
+)"""], """
+SELECT s.cutoff, COUNT(*) FILTER (WHERE NOT test) AS train_rows, COUNT(*) FILTER (WHERE NOT test AND y) AS train_positive,
+  COUNT(*) FILTER (WHERE test) AS test_rows, COUNT(*) FILTER (WHERE test AND y) AS test_positive,
+  CAST(COUNT(*) FILTER (WHERE NOT test) AS DOUBLE) / NULLIF(CAST(2 * COUNT(*) FILTER (WHERE NOT test AND NOT y) AS DOUBLE), 0) AS weight_negative,
+  CAST(COUNT(*) FILTER (WHERE NOT test) AS DOUBLE) / NULLIF(CAST(2 * COUNT(*) FILTER (WHERE NOT test AND y) AS DOUBLE), 0) AS weight_positive,
+  ANY_VALUE(a.baseline_auc) AS baseline_auc
+FROM scored s JOIN auc a ON a.cutoff = s.cutoff GROUP BY s.cutoff""")
+
+_MATCH_CELLS = ["""
+arms AS (
+  SELECT LocationAbbr, Topic, Stratification1, DataValueAlt, coalesce(is_mortality = 1, false) AS t,
+    YearStart >= floor(((SELECT MIN(YearStart) FROM obs) + (SELECT MAX(YearStart) FROM obs)) / 2) AS p
+  FROM obs WHERE DataValueAlt IS NOT NULL AND YearStart IS NOT NULL
+),
+alike AS (
+  SELECT LocationAbbr, Topic, Stratification1,
+    """ + ", ".join(
+        f"COUNT(*) FILTER (WHERE {'' if t == 'treated' else 'NOT '}t AND {'' if p == 'post' else 'NOT '}p) AS n_{t}_{p}, "
+        f"CAST(SUM(CAST(CAST(DataValueAlt AS VARCHAR) AS DECIMAL(38,10))) FILTER (WHERE {'' if t == 'treated' else 'NOT '}t AND "
+        f"{'' if p == 'post' else 'NOT '}p) AS DOUBLE) AS sum_{t}_{p}"
+        for t in ("treated", "control") for p in ("pre", "post")) + """
+  FROM arms GROUP BY LocationAbbr, Topic, Stratification1
+),
+judged AS (
+  SELECT *, least(n_treated_pre, n_treated_post, n_control_pre, n_control_post) > 0 AS matched FROM alike
+),
+whole AS (
+  SELECT CAST(SUM(n_control_pre) AS DOUBLE) / CAST(SUM(n_treated_pre) AS DOUBLE) AS pre,
+    CAST(SUM(n_control_post) AS DOUBLE) / CAST(SUM(n_treated_post) AS DOUBLE) AS post
+  FROM judged WHERE matched
+)"""]
+
+MATCH_WEIGHTS = _q(_MATCH_CELLS, """
+SELECT j.*,
+  CASE WHEN matched THEN CAST(n_treated_pre AS DOUBLE) / CAST(n_control_pre AS DOUBLE) * w.pre END AS weight_pre,
+  CASE WHEN matched THEN CAST(n_treated_post AS DOUBLE) / CAST(n_control_post AS DOUBLE) * w.post END AS weight_post
+FROM judged j, whole w""")
+
+_SORTED_SUM = "list_reduce(list_sort(list({0})), lambda a, b: a + b)"
+MATCHED_DIFF_IN_DIFF = _q([*_MATCH_CELLS, f"""
+clusters AS (
+  SELECT LocationAbbr AS g, {_SORTED_SUM.format('sum_treated_pre')} AS tb, {_SORTED_SUM.format('sum_treated_post')} AS ta,
+    {_SORTED_SUM.format('CAST(n_treated_pre AS DOUBLE) * (sum_control_pre / CAST(n_control_pre AS DOUBLE))')} AS cb,
+    {_SORTED_SUM.format('CAST(n_treated_post AS DOUBLE) * (sum_control_post / CAST(n_control_post AS DOUBLE))')} AS ca,
+    CAST(SUM(n_treated_pre) AS DOUBLE) AS nb, CAST(SUM(n_treated_post) AS DOUBLE) AS na,
+    SUM(n_control_pre) AS mb, SUM(n_control_post) AS ma, COUNT(*) AS strata
+  FROM judged WHERE matched GROUP BY LocationAbbr
+),
+sums AS (
+  SELECT {', '.join(f"{_SORTED_SUM.format(c)} AS {c}" for c in ('tb', 'ta', 'cb', 'ca', 'nb', 'na'))},
+    SUM(mb) AS mb, SUM(ma) AS ma, SUM(strata) AS strata, COUNT(*) AS n FROM clusters
+),
+left_out AS (
+  SELECT ((s.ta - c.ta) / (s.na - c.na) - (s.tb - c.tb) / (s.nb - c.nb))
+       - ((s.ca - c.ca) / (s.na - c.na) - (s.cb - c.cb) / (s.nb - c.nb)) AS theta
+  FROM clusters c, sums s WHERE s.n > 1
+),
+center AS (SELECT {_SORTED_SUM.format('theta')} / COUNT(*) AS mean FROM left_out),
+spread AS (SELECT {_SORTED_SUM.format('(theta - mean) * (theta - mean)')} AS squares FROM left_out, center)"""], """
+SELECT CAST(strata AS BIGINT) AS matched_strata, n AS clusters, CAST(nb AS BIGINT) AS treated_pre_rows,
+  CAST(na AS BIGINT) AS treated_post_rows, CAST(mb AS BIGINT) AS control_pre_rows, CAST(ma AS BIGINT) AS control_post_rows,
+  tb / nb AS treated_pre, ta / na AS treated_post, cb / nb AS control_pre, ca / na AS control_post,
+  (ta / na - tb / nb) - (ca / na - cb / nb) AS did,
+  sqrt((CAST(n AS DOUBLE) - 1.0) / CAST(n AS DOUBLE) * squares) AS jackknife_error
+FROM sums, spread WHERE n > 0""")
+
+PER_CAPITA = _q(["""
+firsts AS (SELECT o_custkey, MIN(year(o_orderdate)) AS first FROM orders GROUP BY o_custkey),
+homes AS (
+  SELECT n.n_name AS place, f.first + 12 AS year FROM firsts f
+  JOIN customer c ON c.c_custkey = f.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
+),
+cells AS (
+  SELECT LocationAbbr, Topic, YearStart, COUNT(*) AS record_count,
+    COUNT(*) FILTER (WHERE is_mortality = 1) AS mortality_records
+  FROM obs GROUP BY LocationAbbr, Topic, YearStart
+),
+known AS (
+  SELECT c.*, (SELECT COUNT(*) FROM homes h WHERE h.place = c.LocationAbbr AND h.year <= c.YearStart) AS people,
+    (SELECT MAX(year) FROM homes h WHERE h.place = c.LocationAbbr AND h.year <= c.YearStart) AS population_year
+  FROM cells c
+)"""], """
+SELECT LocationAbbr, Topic, YearStart, record_count, mortality_records, NULLIF(people, 0) AS population,
+  CAST(population_year AS INTEGER) AS population_year,
+  100000.0::DOUBLE * CAST(record_count AS DOUBLE) / CAST(NULLIF(people, 0) AS DOUBLE) AS records_per_100k,
+  100000.0::DOUBLE * CAST(mortality_records AS DOUBLE) / CAST(NULLIF(people, 0) AS DOUBLE) AS mortality_per_100k
+FROM known""")
+
+# p of the normal tail by a midpoint sum of the density over [|z|, |z| + 12]: 100,000 strips.
+MANN_KENDALL_TEST = f"""
+SELECT t.*, round(list_sum(list_transform(range(100000), lambda i:
+    exp(-pow(abs(t.z_score) + (i + 0.5::DOUBLE) * 0.00012::DOUBLE, 2) / 2.0::DOUBLE)))
+  * 0.00012::DOUBLE * 2.0::DOUBLE / sqrt(2.0::DOUBLE * pi()), 8) AS p_value
+FROM ({MANN_KENDALL}) t"""
+
+# p of Student's t: the density in the angle atan(t / sqrt(df)) is cos^(df - 1), added
+# up by midpoints over the tail and over the whole quarter turn.
+SPEARMAN_TEST = f"""
+SELECT *, p_value < 0.05 AS significant FROM (
+  SELECT t.*, CASE WHEN n_years >= 3 AND rho IS NOT NULL THEN round(
+      list_sum(list_transform(range(200000), lambda i: pow(cos(asin(least(abs(t.rho), 1.0::DOUBLE))
+        + (i + 0.5::DOUBLE) * (pi() / 2 - asin(least(abs(t.rho), 1.0::DOUBLE))) / 200000.0::DOUBLE), t.n_years - 3)))
+        * (pi() / 2 - asin(least(abs(t.rho), 1.0::DOUBLE)))
+    / (list_sum(list_transform(range(200000), lambda i: pow(cos((i + 0.5::DOUBLE) * (pi() / 2) / 200000.0::DOUBLE), t.n_years - 3)))
+        * (pi() / 2)), 8) END AS p_value
+  FROM ({SPEARMAN}) t)"""

@@ -21,25 +21,35 @@ def fit_risk_forest(processed: DataFrame, trees: int = FOREST_TREES, depth: int
     """M12 refit on all labelled rows + M15: importances by feature, desc."""
     feats = ml.available_features(processed, RISK_FEATURES)
     rows = materialize(ml.feature_frame(ml.labelled(processed, "risk_level"), feats, "risk_level"), "forest-frame")
-    sized = ml.right_sized(rows, rows.count(), ml.TRAINING_ROWS_PER_PARTITION).persist()
-    try:
-        data, _ = ml.index_labels(sized)
-        return ml.refit_forest(data, feats, ml.risk_forest(processed.sparkSession, trees, depth, seed))[1]
-    finally:
-        sized.unpersist()
+    data, labels = ml.index_labels(rows)
+    return ml.importance_table(processed.sparkSession, ml.fit_forest(data, feats, labels, trees, depth, seed), feats)
 
 
 def run(spark: SparkSession, processed: DataFrame, out_dir: str | None = None,
         starts: int = KMEANS_STARTS, trees: int = FOREST_TREES) -> dict:
-    """The full modelling run; writes the three outputs when ``out_dir`` is set."""
+    """The full modelling run; writes the three outputs when ``out_dir`` is set.
+
+    With an ``out_dir`` every part of the run is a step that is written when
+    ready: the clusters and their score, the mortality model's frame, scores and
+    coefficients, the risk classifier's frame, each of its folds and its
+    importances. A run that was stopped goes on where it stopped, if the rows of
+    ``processed`` and the parameters are the same (:mod:`strata.plans.steps`).
+    """
+    from strata.plans.steps import Steps, fingerprint
     from strata.sources.export import write_csv
 
-    clusters = cluster_states(processed, starts=starts)
-    mortality = ml.train_mortality_model(processed)
-    risk = ml.train_risk_classifier(processed, trees=trees)
-    summary = ml.model_summary(spark, ml.silhouette_euclidean(clusters["points"]), mortality, risk)
+    keep = ml.written
+    if out_dir:
+        keep = Steps(spark, out_dir, fingerprint(processed) | {"starts": starts, "trees": trees, "depth": FOREST_DEPTH,
+                                                               "k": KMEANS_K, "seed": SEED})
+    points = keep("clusters", lambda: cluster_states(processed, starts=starts)["points"])
+    silhouette = keep("silhouette", lambda: spark.createDataFrame([(ml.silhouette_euclidean(points),)], "value double"))
+    mortality = ml.train_mortality_model(processed, keep=keep)
+    risk = ml.train_risk_classifier(processed, trees=trees, keep=keep)
+    summary = ml.model_summary(spark, silhouette.first().value, mortality, risk)
+    clusters = {"assignments": points.drop("features"), "points": points, "n_clusters": KMEANS_K}
     if out_dir:
         write_csv(clusters["assignments"], f"{out_dir}/state_clusters")
         write_csv(risk["feature_importances"], f"{out_dir}/feature_importances")
         write_csv(summary, f"{out_dir}/model_summary")
-    return {"clustering": clusters, "mortality": mortality, "risk": risk, "summary": summary}
+    return {"clustering": clusters, "mortality": mortality, "risk": risk, "summary": summary, "steps": keep}

@@ -230,9 +230,10 @@ def z1(spark, sf_dir):
     return Z.mann_kendall(Z.yearly_series(facts(spark, sf_dir)), with_p=False)
 
 
-@register("z1_mann_kendall_test")
+@register("z1_mann_kendall_test", O.MANN_KENDALL_TEST)
 def z1p(spark, sf_dir):
-    return Z.mann_kendall(Z.yearly_series(facts(spark, sf_dir)), with_p=True)
+    found = Z.mann_kendall(Z.yearly_series(facts(spark, sf_dir)), with_p=True)
+    return found.withColumn("p_value", F.round("p_value", 8))
 
 
 @register("z2_spearman", O.SPEARMAN)
@@ -240,9 +241,10 @@ def z2(spark, sf_dir):
     return Z.spearman(Z.yearly_series(facts(spark, sf_dir)), with_p=False)
 
 
-@register("z2_spearman_test")
+@register("z2_spearman_test", O.SPEARMAN_TEST)
 def z2p(spark, sf_dir):
-    return Z.spearman(Z.yearly_series(facts(spark, sf_dir)), with_p=True)
+    found = Z.spearman(Z.yearly_series(facts(spark, sf_dir)), with_p=True)
+    return found.withColumn("p_value", F.round("p_value", 8))
 
 
 # --- sources, cleaning and features -------------------------------------------------
@@ -476,6 +478,7 @@ def m17(spark, sf_dir):
 # --- documented-only analyses ---------------------------------------------------------------
 
 from strata.constants import RISK_FEATURES  # noqa: E402
+from strata.operators import evaluation as EV  # noqa: E402
 from strata.operators import quality as DQ  # noqa: E402
 
 
@@ -499,7 +502,7 @@ def d5(spark, sf_dir):
     return DQ.rolling_means(facts(spark, sf_dir))
 
 
-@register("d8_risk_thresholds")
+@register("d8_risk_thresholds", O.RISK_THRESHOLDS)
 def d8(spark, sf_dir):
     return DQ.risk_thresholds(facts(spark, sf_dir))
 
@@ -509,6 +512,32 @@ def d9(spark, sf_dir):
     return DQ.time_split(facts(spark, sf_dir))
 
 
+@register("d9_rolling_origin", O.ROLLING_ORIGIN)
+def d9_rolling(spark, sf_dir):
+    return EV.rolling_origin(facts(spark, sf_dir))
+
+
+@register("d9_rolling_models")
+def d9_models(spark, sf_dir):
+    return EV.rolling_models(_processed(spark, sf_dir))
+
+
+@register("d10_match_weights", O.MATCH_WEIGHTS)
+def d10_weights(spark, sf_dir):
+    return EV.matched_strata(facts(spark, sf_dir), F.col("is_mortality") == 1)
+
+
+@register("d10_matched_diff_in_diff", O.MATCHED_DIFF_IN_DIFF)
+def d10_matched(spark, sf_dir):
+    return EV.matched_diff_in_diff(facts(spark, sf_dir), F.col("is_mortality") == 1)
+
+
+@register("d7_per_capita", O.PER_CAPITA)
+def d7_rates(spark, sf_dir):
+    from strata.sources.bridge import customer_population
+    return DQ.per_capita(facts(spark, sf_dir), customer_population(spark, sf_dir))
+
+
 @register("d10_diff_in_diff", O.DIFF_IN_DIFF)
 def d10(spark, sf_dir):
     return DQ.diff_in_diff(facts(spark, sf_dir), F.col("is_mortality") == 1)

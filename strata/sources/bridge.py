@@ -12,7 +12,7 @@ the charted list, and values with up to ten decimals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.sources.tables import table
@@ -108,3 +108,17 @@ def obs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         # A column that cleaning drops by name, and one without any value.
         F.col("n_name").alias("LocationDesc"), F.lit(None).cast("string").alias("Notes"),
     )
+
+
+def customer_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(LocationAbbr, year, population)``: customers of a nation who have placed
+    an order by a year, with a row for every year in which their number grew."""
+    first = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("first"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))  # 25 rows at every scale
+    new = (first.join(customers, first.o_custkey == customers.c_custkey)
+           .join(nation, F.col("c_nationkey") == nation.n_nationkey)
+           .groupBy(F.col("n_name").alias("LocationAbbr"), (F.col("first") + YEARS_LATER).alias("year"))
+           .agg(F.count(F.lit(1)).alias("n")).filter(F.col("year").isNotNull()))
+    so_far = Window.partitionBy("LocationAbbr").orderBy("year").rowsBetween(Window.unboundedPreceding, 0)
+    return new.select("LocationAbbr", "year", F.sum("n").over(so_far).alias("population"))

@@ -128,6 +128,25 @@ def test_spearman_cases(spark):
     assert out["mix"].p_value == pytest.approx(0.2847570, abs=1e-6)
 
 
-def test_student_t_tail():
+def test_student_t_tail(spark):
     # t = 2.0 with 10 df: two-sided p = 0.0733880347707
-    assert Z.student_t_two_sided_p(2.0, 10.0) == pytest.approx(0.0733880347707, abs=1e-10)
+    rows = [(2.0 / math.sqrt(14.0), 12)] + [(r, n) for r in (-1.0, -0.7, 0.0, 0.3, 0.999) for n in (2, 3, 4, 5, 6, 9, 30, 61)]
+    df = spark.createDataFrame(rows, "rho double, n long")
+    found = {(r.rho, r.n): r.p for r in df.select("rho", "n", Z.spearman_p(F.col("rho"), F.col("n")).alias("p")).collect()}
+    assert found[rows[0]] == pytest.approx(0.0733880347707, abs=1e-10)
+    strips = 20_000
+    for (rho, n), p in found.items():
+        if n < 3:
+            assert p is None
+            continue
+        a = math.asin(min(abs(rho), 1.0))  # the density in the angle is cos^(n - 3)
+        total = sum(math.cos((i + 0.5) * math.pi / 2 / strips) ** (n - 3) for i in range(strips)) * math.pi / 2
+        tail = sum(math.cos(a + (i + 0.5) * (math.pi / 2 - a) / strips) ** (n - 3) for i in range(strips)) * (math.pi / 2 - a)
+        assert p == pytest.approx(tail / total, abs=1e-8)
+
+
+def test_normal_tail(spark):
+    zs = [-12.0, -3.0, -0.5, 0.0, 1e-9, 1.0, 1.959963984540054, 4.0, 6.0, 8.9, 9.1]
+    df = spark.createDataFrame([(z,) for z in zs], "z double")
+    for r in df.select("z", Z.normal_two_sided_p(F.col("z")).alias("p")).collect():
+        assert r.p == pytest.approx(math.erfc(abs(r.z) / math.sqrt(2)), abs=2e-15)

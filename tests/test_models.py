@@ -145,7 +145,10 @@ def test_mortality_model_is_at_its_optimum(spark, observations):
     x, y = rows[feats].to_numpy(float), rows.is_mortality.to_numpy(float)
     x = (x - x.mean(0)) / x.std(0)
     weight = np.where(y == 1, 900 / (2 * y.sum()), 900 / (2 * (900 - y.sum())))
-    coef, bias = got["model"].coefficients.toArray(), got["model"].intercept
+    table = got["coefficients"].orderBy("place").collect()
+    assert [r.feature for r in table] == [*feats, "(intercept)"]
+    assert [r["mean"] for r in table[:-1]] == pytest.approx(list(rows[feats].to_numpy(float).mean(0)))
+    coef, bias = np.array([r.coefficient for r in table[:-1]]), table[-1].coefficient
     error = weight * (1 / (1 + np.exp(-(x @ coef + bias))) - y)
     # Gradient of the weighted log loss plus half the squared coefficients (C = 1).
     assert np.abs(x.T @ error + coef).max() < 0.05 and abs(error.sum()) < 0.05
@@ -174,6 +177,70 @@ def test_training_run_writes_its_outputs(spark, observations, tmp_path):
     assert read("model_summary").count() == got["summary"].count() > 0
 
 
+class Stopped(RuntimeError):
+    pass
+
+
+def test_training_run_goes_on_where_it_stopped(spark, observations, tmp_path, monkeypatch):
+    from strata.plans import modeling
+    states = observations.withColumn("LocationAbbr", F.concat(F.lit("s"), (F.col("LocationAbbr_enc") * 3 + F.col("YearStart") % 3).cast("string")))
+    states = states.withColumn("topic_Other", 1 - F.col("topic_Cancer"))
+    fits, fit, whole = [], ML.fit_forest, ML.train_risk_classifier
+
+    def stopping(*args, **kwargs):
+        raise Stopped
+
+    def second_fails(*args):
+        fits.append(args)
+        if len(fits) == 2:
+            raise Stopped
+        return fit(*args)
+
+    path = str(tmp_path)
+    monkeypatch.setattr(ML, "train_risk_classifier", stopping)  # stops after clusters and mortality model
+    with pytest.raises(Stopped):
+        modeling.run(spark, states, path, starts=2, trees=4)
+    monkeypatch.setattr(ML, "train_risk_classifier", whole)
+    monkeypatch.setattr(ML, "fit_forest", second_fails)  # and again in the second fold
+    with pytest.raises(Stopped):
+        modeling.run(spark, states, path, starts=2, trees=4)
+    monkeypatch.setattr(modeling, "cluster_states", stopping)
+    got = modeling.run(spark, states, path, starts=2, trees=4)
+    assert got["steps"].ran == [*(f"risk-fold-{f}" for f in range(1, 5)), "risk-importances"]
+    monkeypatch.undo()
+    once = modeling.run(spark, states, f"{path}/once", starts=2, trees=4)
+    assert once["steps"].ran[:5] == ["clusters", "silhouette", "mortality-frame", "mortality-scores", "mortality-model"]
+    assert len(once["steps"].ran) == 5 + 1 + 5 + 1
+    assert sorted(map(tuple, got["summary"].collect())) == sorted(map(tuple, once["summary"].collect()))
+    # Other rows or parameters are another run.
+    from strata.plans.steps import Steps, fingerprint
+    assert fingerprint(states) == fingerprint(states.repartition(3)) != fingerprint(states.limit(899))
+    assert Steps(spark, path, {"trees": 4}).path != Steps(spark, path, {"trees": 5}).path
+
+
+def test_blocks_vote_like_one_forest(spark, observations, monkeypatch):
+    """The class probabilities are the mean over all trees, whatever the blocks."""
+    from strata.operators import forest
+    monkeypatch.setattr(forest, "TREES_PER_BLOCK", 3)
+    feats = ["YearStart", "disease_duration", "value_normalized"]
+    rows = ML.feature_frame(ML.labelled(observations, "risk_level"), feats, "risk_level")
+    data, labels = ML.index_labels(rows)
+    model = ML.fit_forest(data, feats, labels, 8, 4, 5)
+    assert [b.getNumTrees for b in model.blocks] == [3, 3, 2] and model.trees == 8
+    some = ML.assemble(rows.limit(50), feats)
+    scored = model.scored(some).collect()
+    for r in scored:
+        votes = np.zeros(len(labels))
+        for block in model.blocks:
+            for tree in block.trees:
+                votes += np.array(tree.predictProbability(r.features).toArray())
+        assert list(r.probabilities) == pytest.approx(list(votes / 8))
+        assert r.prediction == labels[int(np.argmax(r.probabilities))]
+    shares = dict(model.importances(feats))
+    mean = np.mean([t.featureImportances.toArray() for b in model.blocks for t in b.trees], axis=0)
+    assert [shares[f] for f in feats] == pytest.approx(list(mean / mean.sum()))
+
+
 def test_calibration_bins_and_thresholds(spark):
     from strata.operators import quality as DQ
     rng = random.Random(5)
