@@ -1,49 +1,60 @@
 """Language identification: known words first, then ever shorter n-grams.
 
-Words are lower-cased runs of letters. A word among a language's ``WORDS`` most
-frequent ones scores by its log frequency in every language; any other word
-scores by the mean log frequency of its n-grams (word ends marked), of the
-longest length from ``LONGEST`` down of which the model knows one. A document's score
-is the sum over its words plus the log share of the language; the softmax of
-these sums is the score of the prediction.
+Words are lower-cased runs of ASCII letters and of characters beyond ASCII. A
+word that makes up ``WORD_SHARE`` of some language or more scores by its log
+frequency in every language; any other word scores by the mean log frequency of
+its n-grams (word ends marked), of the longest length from ``LONGEST`` down of
+which the model knows one (``GRAM_SHARE`` of some language's n-grams of that
+length). A document's score is the sum over its words plus the log share of the
+language; the softmax of these sums is the score of the prediction.
 
 The model is fitted on a sample of labelled rows, about ``ROWS_PER_LANGUAGE`` of
-each language chosen by a hash of the id, so its cost does not grow with the
-input. Its size is bounded by ``MAX_LANGUAGES`` times the words and n-grams kept
-for each; more languages than that are an error, none is dropped.
+each language chosen by a hash of the id (of the text where that is null), so
+its cost does not grow with the input. What is known follows from frequency
+alone; no language can have more than ``1 / share`` entries of a kind, which
+bounds the model by the number of languages. Words are counted once; n-grams
+are counted from the distinct words and their counts.
 
-Nulls and ties: null, empty and letterless texts are ``und`` with score 0; so is
+Texts are read in slices of ``SLICE`` bytes, as words' hashes; a worker keeps the
+scores of words that it has met, so each distinct word is looked at once.
+
+Defined cases: null, empty and letterless texts are ``und`` with score 0; so is
 every text when no row is labelled. Rows with a null ``lang`` or ``text`` teach
-nothing. Equal scores go to the language first in code point order.
+nothing; rows that repeat count as often. Equal scores go to the language first
+in code point order. Extra columns are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import stored
-from strata.llm.words import released
+from strata.llm.words import hash_words, parts, released, text_buffers
 
 ROWS_PER_LANGUAGE = 20_000
-MAX_LANGUAGES = 200
-WORDS, GRAMS = 5_000, 2_000
+WORD_SHARE, GRAM_SHARE = 2e-5, 1e-4
 LONGEST = 4
 SMOOTHING = 0.5
 UNKNOWN = "und"
+SLICE = 1 << 20
+#: Scores of words that a worker keeps, in numbers.
+MEMO = 20_000_000
 
-_WORD = re.compile(r"[^\W\d_]+")
-_HELD = 400_000
+#: Bytes between words: all ASCII but letters.
+_BETWEEN = np.zeros(256, dtype=bool)
+_BETWEEN[:128] = True
+_BETWEEN[65:91] = _BETWEEN[97:123] = False
 
 
-def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+def _lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes and offsets of a lower-cased string column."""
+    return text_buffers(pc.utf8_lower(column))
 
 
 def _grams(word: str, n: int) -> list[str]:
@@ -52,117 +63,174 @@ def _grams(word: str, n: int) -> list[str]:
 
 
 def _counts(batches):
-    """Rows (lang, kind, key, n): kind 0 counts words, kind n their n-grams."""
-    held: Counter = Counter()
-
-    def flush():
-        keys = list(held)
-        out = pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], type=pa.string()), pa.array([k[1] for k in keys], type=pa.int32()),
-             pa.array([k[2] for k in keys], type=pa.string()), pa.array([held[k] for k in keys], type=pa.int64())],
-            names=["lang", "kind", "key", "n"])
-        held.clear()
-        return out
-
+    """Rows ``(lang, word, n)``."""
     for batch in released(batches):
-        for lang, text in zip(batch.column(0), batch.column(1), strict=True):
-            lang = lang.as_py()
-            for word, n in Counter(words_of(text.as_py())).items():
-                held[lang, 0, word] += n
-                for size in range(1, LONGEST + 1):
-                    for gram in _grams(word, size):
-                        held[lang, size, gram] += n
-            if len(held) > _HELD:
-                yield flush()
-    yield flush()
+        langs = batch.column(0).dictionary_encode()
+        codes, names = langs.indices.to_numpy(), langs.dictionary.to_pylist()
+        data, offsets = _lowered(batch.column(1))
+        for first, group in parts(data, offsets, SLICE, _BETWEEN):
+            hashes, starts, ends, counts = hash_words(data, group, lower=False, separators=_BETWEEN)
+            if not len(hashes):
+                continue
+            of = np.repeat(codes[first:first + len(counts)], counts)
+            order = np.lexsort((hashes, of))
+            new = np.ones(len(order), dtype=bool)
+            h, c = hashes[order], of[order]
+            new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
+            at = np.flatnonzero(new)
+            chosen, n = order[at], np.diff(np.append(at, len(order)))
+            words = [data[a:b].tobytes().decode() for a, b in zip(starts[chosen].tolist(), ends[chosen].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([names[k] for k in of[chosen].tolist()], type=pa.string()), pa.array(words, type=pa.string()),
+                 pa.array(n, type=pa.int64())], names=["lang", "key", "n"])
 
 
 class Model:
-    """Log frequencies of words and n-grams, one column per language."""
+    """Log frequencies of words (kind 0) and n-grams (kind = their length).
 
-    def __init__(self, languages: list[str], prior: np.ndarray, tables: list[dict[str, np.ndarray]],
-                 floors: list[np.ndarray]):
+    ``tables[kind]`` gives a key's row; row ``r`` holds, for the languages
+    ``column[starts[r]:starts[r + 1]]``, the logs ``value[...]``, and a language
+    beside them has the kind's floor."""
+
+    def __init__(self, languages: list[str], prior: np.ndarray, tables: list[dict[str, int]], floors: list[np.ndarray],
+                 starts: np.ndarray, column: np.ndarray, value: np.ndarray):
         self.languages, self.prior, self.tables, self.floors = languages, prior, tables, floors
-        self.memo: dict[str, int] = {}
-        self.rows = np.zeros((0, len(languages)), dtype=np.float32)
+        self.starts, self.column, self.value = starts, column, value
+        self.forget()
+
+    def forget(self) -> None:
+        self.memo: dict[int, int] = {}
+        self.rows = np.zeros((1024, len(self.languages)), dtype=np.float32)
+
+    def row(self, kind: int, key: str) -> np.ndarray | None:
+        at = self.tables[kind].get(key)
+        if at is None:
+            return None
+        found = self.floors[kind].copy()
+        span = slice(self.starts[at], self.starts[at + 1])
+        found[self.column[span]] = self.value[span]
+        return found
 
     def word(self, word: str) -> np.ndarray:
-        found = self.tables[0].get(word)
+        found = self.row(0, word)
         if found is not None:
             return found
         for size in range(LONGEST, 0, -1):
-            known = [g for g in map(self.tables[size].get, _grams(word, size)) if g is not None]
+            known = [r for r in (self.row(size, g) for g in _grams(word, size)) if r is not None]
             if known:
                 return np.mean(known, axis=0)
         return self.floors[1]
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text or "")
-        letters = any(map(str.isalpha, words)) or any(c.isalpha() for w in words for c in w)
-        if not letters or not self.languages:
-            return UNKNOWN, 0.0
-        if len(self.memo) > len(self.rows) - len(words):
-            room = max(20_000_000 // len(self.languages), 1)
-            self.memo, self.rows = {}, np.empty((min(room, 400_000) + len(words), len(self.languages)), dtype=np.float32)
-        memo = self.memo
-        for w in words:
-            if w not in memo:
-                self.rows[len(memo)] = self.word(w)
-                memo[w] = len(memo)
-        total = self.prior + self.rows[[memo[w] for w in words]].sum(axis=0, dtype=np.float64)
-        share = np.exp(total - total.max())
-        best = int(np.argmax(total))
-        return self.languages[best], float(share[best] / share.sum())
+    def scores_of(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Rows of ``self.rows`` for the words of these hashes."""
+        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.memo) * max(len(self.languages), 1) > MEMO:
+            self.forget()
+        memo, keys = self.memo, distinct.tolist()
+        for k, at in zip(keys, first.tolist(), strict=True):
+            if k not in memo:
+                if len(memo) == len(self.rows):
+                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+                self.rows[len(memo)] = self.word(data[starts[at]:ends[at]].tobytes().decode())
+                memo[k] = len(memo)
+        return np.array([memo[k] for k in keys], dtype=np.int64)[back]
+
+    def predict(self, texts: pa.Array) -> tuple[list[str], list[float]]:
+        """Language and score of every text."""
+        n, width = len(texts), len(self.languages)
+        lettered = pc.fill_null(pc.match_substring_regex(texts, r"\pL"), False).to_numpy(zero_copy_only=False)
+        if not width:
+            return [UNKNOWN] * n, [0.0] * n
+        data, offsets = _lowered(texts)
+        totals = np.zeros((n, width))
+        for first, group in parts(data, offsets, SLICE, _BETWEEN):
+            hashes, starts, ends, counts = hash_words(data, group, lower=False, separators=_BETWEEN)
+            if not len(hashes):
+                continue
+            rows = self.scores_of(data, hashes, starts, ends)
+            some = np.flatnonzero(counts)
+            begins = (np.cumsum(counts) - counts)[some]
+            for k in range(width):
+                scores = self.rows[rows, k].astype(np.float64)
+                totals[first + some, k] += np.add.reduceat(scores, begins)
+        totals += self.prior
+        best = totals.argmax(axis=1)
+        share = 1.0 / np.exp(totals - totals.max(axis=1, keepdims=True)).sum(axis=1)
+        names = [self.languages[b] if yes else UNKNOWN for b, yes in zip(best.tolist(), lettered.tolist(), strict=True)]
+        return names, np.where(lettered, share, 0.0).tolist()
+
+
+def sample(docs: DataFrame, teach: Column) -> tuple[DataFrame, list[tuple[str, int]]]:
+    """Rows ``(lang, text)`` to learn from, and the number of labelled rows of each language."""
+    rows = docs.select("doc_id", "lang", "text", teach.alias("teach")).filter(
+        "teach AND lang IS NOT NULL AND text IS NOT NULL")
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    found = sorted((r.lang, r.rows) for r in sizes.collect())
+    own = F.coalesce(F.col("doc_id"), F.xxhash64("text"))
+    ticket = F.pmod(F.xxhash64(own, F.lit("language")), F.lit(1 << 30))
+    shares = docs.sparkSession.createDataFrame(
+        [(lang, min(1 << 30, math.ceil((1 << 30) * ROWS_PER_LANGUAGE / n))) for lang, n in found], "lang string, share long")
+    return rows.join(F.broadcast(shares), "lang").filter(ticket < F.col("share")).select("lang", "text"), found
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """``(lang, kind, key, n)``: words (kind 0) and n-grams of rows ``(lang, text)``."""
+    words = stored(rows.mapInArrow(_counts, "lang string, key string, n long")
+                   .groupBy("lang", "key").agg(F.sum("n").alias("n")), "language-words")
+    marked = F.concat(F.lit(" "), "key", F.lit(" "))
+
+    def of_length(size):
+        cut = F.transform(F.sequence(F.lit(1), F.length(marked) - size + 1),
+                          lambda i: F.struct(F.lit(size).alias("kind"), F.substring(marked, i, F.lit(size)).alias("key")))
+        return F.when(F.length(marked) >= size, cut).otherwise(F.expr("cast(array() as array<struct<kind:int,key:string>>)"))
+
+    grams = [of_length(size) for size in range(1, LONGEST + 1)]
+    grams = (words.select("lang", "n", F.explode(F.flatten(F.array(*grams))).alias("gram"))
+             .groupBy("lang", "gram.kind", "gram.key").agg(F.sum("n").alias("n")))
+    return words.select("lang", F.lit(0).alias("kind"), "key", "n").unionByName(grams)
 
 
 def fitted(docs: DataFrame, teach: Column) -> Model:
     """Model from the rows of ``docs`` (``doc_id, lang, text``) where ``teach``
     holds."""
-    rows = docs.select("doc_id", "lang", "text", teach.alias("teach")).filter(
-        "teach AND lang IS NOT NULL AND text IS NOT NULL")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).limit(MAX_LANGUAGES + 1)
-    found = sorted((r.lang, r.rows) for r in sizes.collect())
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"over {MAX_LANGUAGES} languages to learn; raise MAX_LANGUAGES")
+    rows, found = sample(docs, teach)
     if not found:
-        return Model([], np.zeros(0), [{} for _ in range(LONGEST + 1)], [np.zeros(0)] * (LONGEST + 1))
-    ticket = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30))
-    share = F.create_map(*(F.lit(x) for lang, n in found
-                           for x in (lang, min(1 << 30, math.ceil((1 << 30) * ROWS_PER_LANGUAGE / n)))))
-    sample = rows.filter(ticket < share[F.col("lang")]).select("lang", "text")
-    counts = stored(sample.mapInArrow(_counts, "lang string, kind int, key string, n long")
-                    .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "language-counts")
+        return Model([], np.zeros(0), [{} for _ in range(LONGEST + 1)], [np.zeros(0)] * (LONGEST + 1),
+                     np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
+    counts = stored(counted(rows), "language-counts")
     totals = counts.groupBy("lang", "kind").agg(F.sum("n").alias("total")).collect()
-    order = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    top = counts.withColumn("rank", F.row_number().over(order)).filter(
-        F.col("rank") <= F.when(F.col("kind") == 0, WORDS).otherwise(GRAMS)).select("kind", "key").distinct()
-    kept = counts.join(top, ["kind", "key"]).collect()
+    spark = docs.sparkSession
+    known = spark.createDataFrame(
+        [(r.lang, r.kind, r.total * (GRAM_SHARE if r.kind else WORD_SHARE)) for r in totals], "lang string, kind int, least double")
+    keys = counts.join(F.broadcast(known), ["lang", "kind"]).filter("n >= least").select("kind", "key").distinct()
+    kept = counts.join(keys, ["kind", "key"]).orderBy("kind", "key", "lang").toArrow()
 
     languages = [lang for lang, _ in found]
-    column = {lang: i for i, lang in enumerate(languages)}
+    place = {lang: i for i, lang in enumerate(languages)}
     sums = np.zeros((LONGEST + 1, len(languages)))
     for r in totals:
-        sums[r.kind, column[r.lang]] = r.total
-    tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
-    for r in kept:
-        row = tables[r.kind].setdefault(r.key, np.full(len(languages), SMOOTHING))
-        row[column[r.lang]] += r.n
-    floors = []
-    for kind, table in enumerate(tables):
-        base = np.log(sums[kind] + SMOOTHING * (len(table) + 1))
-        for key, row in table.items():
-            table[key] = (np.log(row) - base).astype(np.float32)
-        floors.append((math.log(SMOOTHING) - base).astype(np.float32))
+        sums[r.kind, place[r.lang]] = r.total
+    tables: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+    kinds, names = kept["kind"].to_numpy(), kept["key"].to_pylist()
+    starts = []
+    for at, (kind, key) in enumerate(zip(kinds.tolist(), names, strict=True)):
+        if key not in tables[kind]:
+            tables[kind][key] = len(starts)
+            starts.append(at)
+    column = np.array([place[x] for x in kept["lang"].to_pylist()], dtype=np.int64)
+    bases = np.array([np.log(sums[k] + SMOOTHING * (len(t) + 1)) for k, t in enumerate(tables)])
+    value = np.log(kept["n"].to_numpy() + SMOOTHING) - bases[kinds, column]
+    floors = [(math.log(SMOOTHING) - b).astype(np.float32) for b in bases]
     rows_of = np.array([n for _, n in found], dtype=float)
-    return Model(languages, np.log(rows_of / rows_of.sum()), tables, floors)
+    return Model(languages, np.log(rows_of / rows_of.sum()), tables, floors,
+                 np.array([*starts, len(names)], dtype=np.int64), column, value.astype(np.float32))
 
 
 def _predicted(model: Model, batches):
     for batch in released(batches):
-        found = [model.predict(t.as_py()) for t in batch.column(2)]
+        names, scores = model.predict(batch.column(2))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array([f[0] for f in found], type=pa.string()),
-             pa.array([f[1] for f in found], type=pa.float64())],
+            [batch.column(0), batch.column(1), pa.array(names, type=pa.string()), pa.array(scores, type=pa.float64())],
             names=["doc_id", "held_out", "lang_pred", "score"])
 
 

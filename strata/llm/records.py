@@ -18,9 +18,14 @@ that is run again replaces its file whole.
 The index is a Parquet table ``(shard, doc_id, offset, length, n_tokens)``: a
 reader that shuffles picks frames by offset without scanning the shards.
 
-Texts are split at white space and each distinct piece is encoded once per
-memo; the tokenizer's pre-tokenizer cuts at white space anyway, so the ids are
-those of the whole text. Null texts count as empty and hold the end id alone.
+Texts are split at white space and each distinct piece, known by a 64-bit hash,
+is encoded once per memo; the tokenizer's pre-tokenizer cuts at white space
+anyway, so the ids are those of the whole text. Ids are gathered for many texts
+at once.
+
+Defined cases: null texts count as empty and hold the end id alone; a text longer
+than ``CHUNK`` is encoded in parts; rows that repeat are records of their own;
+extra columns are ignored; an empty table gives no record.
 """
 
 from __future__ import annotations
@@ -36,21 +41,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.words import released
+from strata.llm.words import hash_words, parts, released, text_buffers
 
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Pieces of text whose ids a worker remembers, in each of two generations:
-#: when the young one is full it becomes the old one, which is given up. Pieces
-#: in use move on, so common ones stay. Workers outlive tasks and stages.
-MEMO = 250_000
-CHUNK_CHARS = 500_000
+#: Pieces of text whose ids a worker remembers before it starts anew.
+MEMO = 1_000_000
+#: Bytes of text that are encoded together, and of text in a shard.
+CHUNK, SHARD_BYTES = 1 << 20, 1 << 25
 
 _HEAD = struct.Struct("<QI")
 _PAYLOAD = struct.Struct("<qBBI")
 _U32 = struct.Struct("<I")
-#: ASCII separators that Python's split takes for white space, the tokenizer not.
-_ODD = re.compile("[\x1c-\x1f]")
 
 
 def masked_crc(data: bytes) -> int:
@@ -88,12 +90,6 @@ def token_ids(payload: bytes) -> tuple[int | None, np.ndarray]:
     return (None if null else doc_id), np.frombuffer(payload, f"<u{width}", n, _PAYLOAD.size)
 
 
-def _pieces(text: str) -> list[str]:
-    if _ODD.search(text):
-        return [p for p in re.split("[^\\S\x1c-\x1f]+", text) if p]
-    return text.split()
-
-
 def _is_word(piece: str) -> bool:
     """Latin letters only, which lower-case one by one and need no composing."""
     return piece.isalpha() and (piece.isascii() or (max(piece) < "\u0250" and "\u0130" not in piece))
@@ -107,8 +103,7 @@ class _Encoder:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.forget()
         # The same model without normalising and splitting, for lower-case words
         # of letters: a word's last token is told by its suffix, so many words
         # go through one call. Only for tokenizers that lower-case and mark ends.
@@ -140,33 +135,59 @@ class _Encoder:
         data, stops = ids.tobytes(), stops.tolist()
         return [data[a:b] for a, b in zip([0, *stops], stops)]
 
-    def _learn(self, new: list[str]) -> None:
-        """Ids of pieces not seen before: words of letters, such words before
-        one full stop or comma, and the rest through the whole tokenizer."""
-        memo, done = self.young, set()
+    def encoded(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of pieces: words of letters, such words before one full
+        stop or comma, and the rest through the whole tokenizer."""
+        found: dict[str, bytes] = {}
         if self.words:
-            plain = [p for p in new if _is_word(p)]
-            ended = [p for p in new if p[-1] in self.marks and _is_word(p[:-1])]
+            plain = [p for p in pieces if _is_word(p)]
+            ended = [p for p in pieces if p[-1] in self.marks and _is_word(p[:-1])]
             cores = [p.lower() for p in plain] + [p[:-1].lower() for p in ended]
             ids = self._many(cores) if cores else []
-            memo.update(zip(plain, ids))
+            found.update(zip(plain, ids))
             for piece, packed in zip(ended, ids[len(plain):], strict=True):
-                memo[piece] = packed + self.marks[piece[-1]]
-            done = {*plain, *ended}
-        rest = [p for p in new if p not in done]
-        memo.update(zip(rest, self._whole(rest), strict=True))
-
-    def pack(self, texts: list[str]) -> list[bytes]:
-        pieces = [_pieces(t) for t in texts]
-        if len(self.young) > MEMO:
-            self.young, self.old = {}, self.young
-        memo, old = self.young, self.old
-        absent = set().union(*pieces).difference(memo)
-        for piece in absent & old.keys():
-            memo[piece] = old[piece]
-        self._learn(list(absent.difference(old)))
-        end = np.array([END_ID], dtype=f"<u{self.width}").tobytes()
-        return [b"".join(map(memo.__getitem__, p)) + end for p in pieces]
+                found[piece] = packed + self.marks[piece[-1]]
+        rest = [p for p in pieces if p not in found]
+        found.update(zip(rest, self._whole(rest), strict=True))
+        return [found[p] for p in pieces]
+
+    def ids(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after another, and how many each has."""
+        if self.known > MEMO:
+            self.forget()
+        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        keys, places = distinct.tolist(), self.places
+        new = [i for i, k in enumerate(keys) if k not in places]
+        if new:
+            at = first[new]
+            pieces = [data[a:b].tobytes().decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            packed = self.encoded(pieces)
+            sizes = np.array([len(p) for p in packed], dtype=np.int64) // self.width
+            begin, stop = self.known, self.known + len(new)
+            self._reserve(stop, self.used + int(sizes.sum()))
+            self.flat[self.used:self.used + int(sizes.sum())] = np.frombuffer(b"".join(packed), dtype=self.flat.dtype)
+            self.sizes[begin:stop] = sizes
+            self.begins[begin:stop] = self.used + np.cumsum(sizes) - sizes
+            self.used += int(sizes.sum())
+            self.known = stop
+            places.update(zip([keys[i] for i in new], range(begin, stop), strict=True))
+        rows = np.fromiter(map(places.__getitem__, keys), dtype=np.int64, count=len(keys))[back]
+        sizes = self.sizes[rows]
+        shift = np.repeat(self.begins[rows] - (np.cumsum(sizes) - sizes), sizes)
+        return self.flat[shift + np.arange(len(shift))], sizes
+
+    def forget(self) -> None:
+        self.places: dict[int, int] = {}
+        self.known = self.used = 0
+        self.begins = np.zeros(1 << 12, dtype=np.int64)
+        self.sizes = np.zeros(1 << 12, dtype=np.int64)
+        self.flat = np.zeros(1 << 14, dtype=f"<u{self.width}")
+
+    def _reserve(self, pieces: int, ids: int) -> None:
+        if pieces > len(self.sizes):
+            self.begins, self.sizes = (np.resize(x, 2 * pieces) for x in (self.begins, self.sizes))
+        if ids > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * ids)
 
 
 _encoders: dict[str, _Encoder] = {}
@@ -176,28 +197,46 @@ def _encoded(path: str, batches):
     if path not in _encoders:
         _encoders[path] = _Encoder(path)
     encoder = _encoders[path]
+    kind = f"<u{encoder.width}"
+    end = np.array([END_ID], dtype=kind).tobytes()
     for batch in released(batches):
-        ids, texts = batch.column(0).to_pylist(), batch.column(1)
-        at = 0
-        while at < len(ids):
-            chunk, size = [], 0
-            while at + len(chunk) < len(ids) and size < CHUNK_CHARS:
-                chunk.append(texts[at + len(chunk)].as_py() or "")
-                size += len(chunk[-1])
-            out = []
-            for doc_id, packed in zip(ids[at:at + len(chunk)], encoder.pack(chunk), strict=True):
-                head = _PAYLOAD.pack(doc_id or 0, doc_id is None, encoder.width, len(packed) // encoder.width)
-                out.append(frame(head + packed))
-            yield pa.RecordBatch.from_arrays([pa.array(out, type=pa.binary())], names=["frame"])
-            at += len(chunk)
+        doc_ids = batch.column(0).to_pylist()
+        data, offsets = text_buffers(batch.column(1))
+        out, open_parts, last = [], [], 0
+
+        def close(upto):
+            """Frames of texts before ``upto``: one text may have been read in parts."""
+            nonlocal last, open_parts
+            for k in range(last, upto):
+                ids = b"".join(open_parts if k == last else []) + end
+                head = _PAYLOAD.pack(doc_ids[k] or 0, doc_ids[k] is None, encoder.width, len(ids) // encoder.width)
+                out.append(frame(head + ids))
+                open_parts = []
+            last = max(last, upto)
+
+        for first, group in parts(data, offsets, CHUNK):
+            close(first)
+            hashes, starts, ends, counts = hash_words(data, group, lower=False)
+            ids, sizes = encoder.ids(data, hashes, starts, ends) if len(hashes) else (np.zeros(0, dtype=kind), hashes)
+            edges = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int64)
+            for k in range(len(counts)):
+                if k:
+                    close(first + k)
+                open_parts.append(ids[edges[k]:edges[k + 1]].tobytes())
+            if len(out) > 1_000:
+                yield pa.RecordBatch.from_arrays([pa.array(out, type=pa.binary())], names=["frame"])
+                out.clear()
+        close(len(doc_ids))
+        yield pa.RecordBatch.from_arrays([pa.array(out, type=pa.binary())], names=["frame"])
 
 
 def write_records(docs: DataFrame, path: str, tokenizer: str) -> None:
     """Encode ``docs`` (``doc_id``, ``text``) into shards below ``path/records``
     and index them below ``path/index``. ``tokenizer``: a file that every
-    worker can read."""
+    worker can read. There are as many shards as the texts fill ``SHARD_BYTES``."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
-    rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    rows = rows.repartitionByRange(int(size // SHARD_BYTES) + 1, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     encoded = rows.select("doc_id", "text").mapInArrow(lambda batches: _encoded(tokenizer, batches), "frame binary")
     encoded.select(F.col("frame").cast("string")).write.option("lineSep", "\n").text(f"{path}/records")
     _shards(docs.sparkSession, path).mapInArrow(_heads, HEADS).write.parquet(f"{path}/index")

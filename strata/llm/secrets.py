@@ -17,8 +17,8 @@ bytes from either side as surroundings. Names, paths and repeated values are
 matched there and cost little; a string that stays above ``NOVELTY`` and mixes
 letters with digits, or lower with upper case, is reported.
 
-The dictionary holds the names that occur most often over all documents, as
-many as fit ``DICTIONARY`` bytes, the commonest last (the compressor reaches the
+The dictionary holds the names that occur most often over all documents, down
+to the frequency whose names still fit ``DICTIONARY`` bytes, the commonest last (the compressor reaches the
 end most cheaply). Names are letters and ``_`` that stand alone ``NAME_COUNT`` times
 or more, so no piece of a key gets in.
 
@@ -40,6 +40,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.components import stored
 from strata.llm.words import released, text_buffers
 
 KINDS = ("assign", "access", "hex", "novel")
@@ -148,17 +149,21 @@ def _names(batches):
 
 
 def identifiers(docs: DataFrame) -> list[bytes]:
-    """The commonest names of all documents that fit ``DICTIONARY`` bytes."""
+    """The commonest names of all documents that fit ``DICTIONARY`` bytes, all of a
+    frequency (in eighths of a power of two) or none."""
     counts = docs.filter("text IS NOT NULL").select("text").mapInArrow(_names, "name binary, n long")
-    most = DICTIONARY // (NAME_BYTES[0] + 1)
-    top = counts.groupBy("name").agg(F.sum("n").alias("n")).filter(F.col("n") >= NAME_COUNT).orderBy(F.desc("n"), "name").limit(most).collect()
-    out, size = [], 0
-    for row in top:
-        size += len(row.name) + 1
+    counts = stored(counts.groupBy("name").agg(F.sum("n").alias("n")).filter(F.col("n") >= NAME_COUNT).select(
+        "name", "n", F.floor(F.log2("n") * 8).alias("level")), "names")
+    levels = counts.groupBy("level").agg(F.sum(F.octet_length("name") + 1).alias("size")).orderBy(F.desc("level")).collect()
+    size, least = 0, None
+    for row in levels:
+        size += row["size"]
         if size > DICTIONARY:
             break
-        out.append(bytes(row.name))
-    return out
+        least = row.level
+    if least is None:
+        return []
+    return [bytes(r.name) for r in counts.filter(F.col("level") >= least).orderBy(F.desc("n"), "name").collect()]
 
 
 SPANS = "array<struct<kind:string,start:long,end:long,value:string>>"

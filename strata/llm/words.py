@@ -156,3 +156,22 @@ def runs(offsets: np.ndarray, limit: int = STRETCH, most: int = 512) -> Iterator
         j = min(j, n, i + most)
         yield i, j
         i = j
+
+
+def parts(data: np.ndarray, offsets: np.ndarray, limit: int, separators: np.ndarray = SPACE,
+          most: int = 10_000) -> Iterator[tuple[int, np.ndarray]]:
+    """``(first, offsets)`` of groups of texts of about ``limit`` bytes together, the
+    first text's number and the group's offsets. A text that is longer comes in
+    parts cut at ``separators``, each a group of its own with that text's number."""
+    for i, j in runs(offsets, limit, most):
+        at, stop = int(offsets[i]), int(offsets[j])
+        if j > i + 1 or stop - at <= limit:
+            yield i, offsets[i:j + 1]
+            continue
+        while at < stop:
+            end = min(at + limit, stop)
+            while end < stop and not separators[data[end]]:
+                gaps = np.flatnonzero(separators[data[end:end + 4096]])
+                end = min(end + (int(gaps[0]) if len(gaps) else 4096), stop)
+            yield i, np.array([at, end])
+            at = end

@@ -2,9 +2,11 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -49,19 +51,74 @@ def test_language_of_held_out_rows(spark, docs):
     assert len(edges) == len(edge_rows())
 
 
+def model_of(tables, floors):
+    """A model of two languages from dense rows."""
+    at, places, values = 0, [], []
+    indexed = []
+    for table in tables:
+        indexed.append({key: at + i for i, key in enumerate(table)})
+        at += len(table)
+        values += [v for row in table.values() for v in row]
+        places += [0, 1] * len(table)
+    return langid.Model(["a", "b"], np.log([0.5, 0.5]), indexed, floors, np.arange(0, 2 * at + 1, 2), np.array(places, dtype=int),
+                        np.array(values, dtype=np.float32))
+
+
 def test_backoff_takes_the_longest_known_grams():
-    word = np.array([-1.0, -5.0], dtype=np.float32)
-    three, one = np.array([-2.0, -6.0]), np.array([-3.0, -7.0])
-    model = langid.Model(["a", "b"], np.log([0.5, 0.5]),
-                         [{"known": word}, {"q": one}, {}, {" un": three, "unk": three * 2}, {}],
-                         [np.array([-9.0, -9.0])] * 5)
+    word, one, three = np.array([-1.0, -5]), np.array([-3.0, -7]), np.array([-2.0, -6])
+    model = model_of([{"known": word}, {"q": one}, {}, {" un": three, "unk": three * 2}, {}], [np.array([-9.0, -9.0])] * 5)
     assert list(model.word("known")) == [-1, -5]
     assert list(model.word("unk")) == [-3, -9]  # the mean of two 3-grams
     assert list(model.word("qqq")) == [-3, -7]
     assert list(model.word("zzz")) == [-9, -9]
-    assert model.predict("12 ² ½ !") == ("und", 0.0)
-    label, score = model.predict("Known zzz")
-    assert label == "a" and score == pytest.approx(1 / (1 + math.exp(-4)))
+    assert model.predict(pa.array(["12 ² ½ !", None, ""])) == (["und"] * 3, [0.0] * 3)
+    labels, scores = model.predict(pa.array(["Known zzz", "x", "qqq KNOWN-known"]))
+    assert labels == ["a"] * 3 and scores[0] == pytest.approx(1 / (1 + math.exp(-4)))
+    assert scores[2] == pytest.approx(1 / (1 + math.exp(-12)))
+
+
+def words_by_hand(text):
+    return re.findall("(?:[a-z]|[^\x00-\x7f])+", text.lower())
+
+
+def test_long_texts_in_slices_score_as_whole(monkeypatch):
+    word, one = np.array([-1.0, -5]), np.array([-3.0, -2.5])
+    model = model_of([{"known": word}, {"q": one}, {}, {}, {}], [np.array([-4.0, -3.0])] * 5)
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["known", "qé", "zzz", "x" * 40]) for _ in range(n)) for n in (1, 300, 5, 4000, 2)]
+    whole = model.predict(pa.array(texts))
+    monkeypatch.setattr(langid, "SLICE", 64)
+    model.forget()
+    sliced = model.predict(pa.array(texts))
+    assert sliced[0] == whole[0] and sliced[1] == pytest.approx(whole[1])
+    for text, label in zip(texts, whole[0], strict=True):
+        total = sum(model.word(w) for w in words_by_hand(text))
+        assert label == "ab"[int(np.argmax(total))]
+
+
+def test_fit_counts_as_by_hand(spark, docs, monkeypatch):
+    """Words, n-grams and what is known of them, by plain loops over all rows."""
+    rows, _ = langid.sample(docs, F.lit(True))
+    want = Counter()
+    for _, text, lang, *_ in corpus():
+        for w in words_by_hand(text):
+            want[lang, 0, w] += 1
+            for size in range(1, 5):
+                marked = f" {w} "
+                want.update((lang, size, marked[i:i + size]) for i in range(len(marked) - size + 1))
+    assert {(r.lang, r.kind, r.key): r.n for r in langid.counted(rows).collect()} == want
+    monkeypatch.setattr(langid, "WORD_SHARE", 0.01)
+    monkeypatch.setattr(langid, "GRAM_SHARE", 0.005)
+    model = langid.fitted(docs, F.lit(True))
+    totals = Counter()
+    for (lang, kind, _), n in want.items():
+        totals[lang, kind] += n
+    for kind, share in enumerate([0.01] + [0.005] * 4):
+        known = {k for (lang, of, k), n in want.items() if of == kind and n >= share * totals[lang, kind]}
+        assert set(model.tables[kind]) == known
+        for key in known:
+            logs = [math.log((want[lang, kind, key] + 0.5) / (totals[lang, kind] + 0.5 * (len(known) + 1))) for lang in ("en", "fr")]
+            assert list(model.row(kind, key)) == pytest.approx(logs, rel=1e-5)
 
 
 def test_no_labelled_language(spark):
