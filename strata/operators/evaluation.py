@@ -80,6 +80,19 @@ def rolling_origin(obs: DataFrame, label: str = "is_mortality", segment=SEGMENT)
         weight(F.col("train_positive")).alias("weight_positive"), "baseline_auc")
 
 
+def segment_scores(obs: DataFrame, label: str = "is_mortality", segment=SEGMENT) -> DataFrame:
+    """``(score, label, prediction)`` for the rows of the latest year: the fixed
+    score of :func:`rolling_origin` at that cutoff, and whether it is 0.5 or more."""
+    latest = obs.select(F.max("YearStart")).scalar()
+    cells = rolling_cells(obs, label, segment).withColumn("score", (F.col("pos_before") + 1).cast("double")
+                                                          / (F.col("n_before") + 2).cast("double"))
+    keys = [F.col(f"o.{c}").eqNullSafe(F.col(f"c.{c}")) for c in segment]
+    rows = obs.filter(F.col("YearStart") == latest).alias("o").join(
+        cells.filter(F.col("cutoff") == latest).select(*segment, "score").alias("c"), keys)
+    return rows.select("score", F.coalesce((F.col(f"o.{label}") == 1).cast("int"), F.lit(0)).alias("label"),
+                       (F.col("score") >= PROBABILITY_THRESHOLD).cast("int").alias("prediction"))
+
+
 def rolling_models(df: DataFrame, features=MORTALITY_FEATURES, label: str = "is_mortality",
                    max_iter: int = LOGISTIC_MAX_ITER, keep=ml.written) -> DataFrame:
     """The mortality model fitted once per cutoff on the rows before it and

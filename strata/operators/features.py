@@ -9,9 +9,8 @@ from strata.constants import ENCODE_COLUMNS
 from strata.functions.indicators import clipped_duration, mortality_flag, risk_level
 from strata.functions.numeric import to_number
 
-# Largest number of distinct values turned into one-hot columns or into an
-# inline dictionary. Beyond it one-hot raises (the schema would explode) and
-# encoding switches to a distributed dictionary join.
+# Largest number of distinct values turned into one-hot columns; beyond it
+# one-hot raises (the schema would explode).
 MAX_DUMMY_COLUMNS = 1_000
 
 

@@ -15,8 +15,6 @@ from __future__ import annotations
 import math
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
-import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
@@ -40,10 +38,10 @@ from strata.constants import (
     TINY_CLASS_ROWS,
 )
 from strata.operators import forest
+from strata.operators.silhouette import silhouette_euclidean  # noqa: F401
 
 MAX_CLASSES = 1_000
 PARALLEL_FITS = 8
-MAX_SILHOUETTE_POINTS = 50_000
 
 
 # --- M1 / M2 -------------------------------------------------------------------------
@@ -267,56 +265,6 @@ def silhouette_squared(pred: DataFrame, features: str = "features", cluster: str
     return float(ev.evaluate(pred))
 
 
-def silhouette_euclidean(pred: DataFrame, features: str = "features", cluster: str = "cluster",
-                         max_points: int = MAX_SILHOUETTE_POINTS) -> float:
-    """M4: mean silhouette with plain Euclidean distance, for entities such as
-    states.
-
-    It needs every pairwise distance, with no decomposition by cluster sums:
-    the entities are sent to all tasks behind a size check, and every task
-    scores blocks of its own against them. Work grows with the square of their
-    number, so it is an operator of its own; :func:`silhouette_squared` serves
-    any number and is what clustering reports by itself.
-    """
-    pts = pred.select(vector_to_array(features).alias("x"), F.col(cluster).cast("int").alias("c"))
-    local = pts.limit(max_points + 1).collect()
-    if len(local) > max_points:
-        raise ValueError(f"more than {max_points} points; use silhouette_squared")
-    if len(local) < 2:
-        return 0.0
-    shared = pred.sparkSession.sparkContext.broadcast(
-        (np.array([r["x"] for r in local], dtype=float), np.array([r["c"] for r in local], dtype=int)))
-    own = pts.mapInPandas(lambda batches: _silhouettes(shared.value, batches), "s double")
-    return float(own.agg(F.avg("s")).first()[0])
-
-
-BLOCK = 256
-
-
-def _silhouettes(points, batches):
-    """Silhouette of each row against all points, ``BLOCK`` rows at a time."""
-    x, c = points
-    labels, code = np.unique(c, return_inverse=True)
-    member = np.eye(len(labels))[code]  # points x clusters
-    sizes = member.sum(axis=0)
-    norms = (x * x).sum(axis=1)
-    for pdf in batches:
-        for at in range(0, len(pdf), BLOCK):
-            part = pdf.iloc[at:at + BLOCK]
-            xi = np.stack(part["x"].to_numpy()).astype(float)
-            own = np.searchsorted(labels, part["c"].to_numpy())
-            squares = (xi * xi).sum(axis=1)[:, None] + norms - 2 * xi @ x.T
-            sums = np.sqrt(np.maximum(squares, 0)) @ member  # rows x clusters
-            rows = np.arange(len(xi))
-            inside = sums[rows, own] / np.maximum(sizes[own] - 1, 1)
-            means = sums / sizes
-            means[rows, own] = np.inf
-            outside = means.min(axis=1) if len(labels) > 1 else np.zeros(len(xi))
-            top = np.maximum(inside, outside)
-            alone = (sizes[own] <= 1) | (top == 0)
-            yield pd.DataFrame({"s": np.where(alone, 0.0, (outside - inside) / np.where(alone, 1.0, top))})
-
-
 ENTITY_ROWS_PER_PARTITION = 100_000
 
 

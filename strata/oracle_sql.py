@@ -747,3 +747,62 @@ SELECT *, p_value < 0.05 AS significant FROM (
     / (list_sum(list_transform(range(200000), lambda i: pow(cos((i + 0.5::DOUBLE) * (pi() / 2) / 200000.0::DOUBLE), t.n_years - 3)))
         * (pi() / 2)), 8) END AS p_value
   FROM ({SPEARMAN}) t)"""
+
+_FIXED_SCORES = """
+latest AS (SELECT MAX(YearStart) AS y FROM obs),
+earlier AS (
+  SELECT LocationAbbr, Topic, COUNT(*) AS n, COUNT(*) FILTER (WHERE is_mortality = 1) AS p
+  FROM obs, latest WHERE YearStart < y GROUP BY LocationAbbr, Topic
+),
+fixed AS (
+  SELECT coalesce(o.is_mortality = 1, false) AS label,
+    CAST(coalesce(e.p, 0) + 1 AS DOUBLE) / CAST(coalesce(e.n, 0) + 2 AS DOUBLE) AS score
+  FROM obs o JOIN latest ON o.YearStart = y LEFT JOIN earlier e
+    ON e.LocationAbbr IS NOT DISTINCT FROM o.LocationAbbr AND e.Topic IS NOT DISTINCT FROM o.Topic
+)"""
+
+FIXED_SCORE_CALIBRATION = _q([_FIXED_SCORES, """
+bins AS (
+  SELECT CAST(least(floor(score * 10), 9) AS INTEGER) AS bin, COUNT(*) AS n, AVG(score) AS mean_score,
+    AVG(CAST(label AS INTEGER)) AS observed_rate
+  FROM fixed GROUP BY 1
+)"""], """
+SELECT bin, n, round(mean_score, 8) AS mean_score, observed_rate,
+  (SELECT CAST(COUNT(*) FILTER (WHERE score >= 0.5 AND NOT label) AS DOUBLE) / NULLIF(COUNT(*) FILTER (WHERE NOT label), 0)
+   FROM fixed) AS false_positive_rate,
+  (SELECT CAST(COUNT(*) FILTER (WHERE score < 0.5 AND label) AS DOUBLE) / NULLIF(COUNT(*) FILTER (WHERE label), 0)
+   FROM fixed) AS false_negative_rate,
+  (SELECT round(SUM(n * abs(mean_score - observed_rate)) / SUM(n), 8) FROM bins) AS expected_calibration_error
+FROM bins""")
+
+# Isotonic regression by its max-min formula over all ranges of levels.
+ISOTONIC_BLOCKS = _q([_FIXED_SCORES, """
+levels AS (
+  SELECT score, row_number() OVER (ORDER BY score) AS i, SUM(COUNT(*)) OVER (ORDER BY score) AS n,
+    SUM(COUNT(*) FILTER (WHERE label)) OVER (ORDER BY score) AS p, COUNT(*) AS own, COUNT(*) FILTER (WHERE label) AS hits
+  FROM fixed GROUP BY score
+),
+ends AS (SELECT i, n, p FROM levels UNION ALL SELECT 0, 0, 0),
+ranges AS (
+  SELECT a.i + 1 AS a, b.i AS b, CAST(b.p - a.p AS DOUBLE) / CAST(b.n - a.n AS DOUBLE) AS share
+  FROM ends a JOIN ends b ON a.i < b.i
+),
+least_from AS (
+  SELECT a, b, MIN(share) OVER (PARTITION BY a ORDER BY b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS low FROM ranges
+),
+fit AS (SELECT b AS i, MAX(low) AS value FROM least_from GROUP BY b)"""], """
+SELECT MIN(score) AS low, MAX(score) AS high, CAST(SUM(own) AS BIGINT) AS n, CAST(SUM(hits) AS BIGINT) AS positives,
+  value AS calibrated
+FROM levels JOIN fit USING (i) GROUP BY value""")
+
+FILTERED_KPIS = _q(["""
+chosen AS (
+  SELECT *, false AS filtered FROM obs
+  UNION ALL
+  SELECT *, true FROM obs WHERE Topic IN ('Asthma', 'Cancer')
+    AND YearStart BETWEEN (SELECT MIN(YearStart) FROM obs) AND (SELECT MIN(YearStart) FROM obs) + 2
+)"""], f"""
+SELECT filtered, COUNT(*) AS total_records, COUNT(DISTINCT LocationAbbr) AS state_count,
+  COUNT(DISTINCT Topic) AS topic_count, MIN(YearStart) AS first_year, MAX(YearStart) AS latest_year,
+  {RATE} AS mortality_source_rate, COUNT(DISTINCT Question) AS question_count
+FROM chosen GROUP BY filtered""")

@@ -550,6 +550,16 @@ def d11(spark, sf_dir):
     return M.topic_year_trends(DQ.dashboard_filter(obs, years=(first, first + 2)))
 
 
+@register("a1_filtered_kpis", O.FILTERED_KPIS)
+def a1_cells(spark, sf_dir):
+    from strata.operators import cells as CE
+    from strata.operators.priority import materialize
+    cells = materialize(CE.kpi_cells(facts(spark, sf_dir)), "kpi-cells")
+    first = cells.agg(F.min("YearStart")).first()[0]
+    whole, some = CE.filtered_kpis(cells), CE.filtered_kpis(cells, topics=["Asthma", "Cancer"], years=(first, first + 2))
+    return whole.withColumn("filtered", F.lit(False)).unionByName(some.withColumn("filtered", F.lit(True)))
+
+
 @register("d12_feature_availability", O.FEATURE_AVAILABILITY)
 def d12(spark, sf_dir):
     cols = list(dict.fromkeys(list(MORTALITY_FEATURES) + list(RISK_FEATURES)))
@@ -566,6 +576,23 @@ def d4(spark, sf_dir):
         F.lit(rates["false_negative_rate"]).cast("double").alias("false_negative_rate"))
 
 
+@register("d4_fixed_score_calibration", O.FIXED_SCORE_CALIBRATION)
+def d4_bins(spark, sf_dir):
+    from strata.operators.isotonic import expected_calibration_error
+    from strata.operators.priority import materialize
+    scored = materialize(EV.segment_scores(facts(spark, sf_dir)), "fixed-scores")
+    rates, error = DQ.error_rates(scored), expected_calibration_error(scored)
+    bins = DQ.calibration(scored).select("bin", "n", F.round("mean_score", 8).alias("mean_score"), "observed_rate")
+    return bins.withColumns({c: rates.select(c).scalar() for c in ("false_positive_rate", "false_negative_rate")}
+                            | {"expected_calibration_error": F.round(error.select("ece").scalar(), 8)})
+
+
+@register("d4_isotonic_blocks", O.ISOTONIC_BLOCKS)
+def d4_isotonic(spark, sf_dir):
+    from strata.operators.isotonic import isotonic_blocks
+    return isotonic_blocks(EV.segment_scores(facts(spark, sf_dir)))
+
+
 @register("s3_fact_table", O.FACT_TABLE)
 def s3(spark, sf_dir):
     from strata.sources.parquet import register_fact_table

@@ -65,8 +65,16 @@ class TestClusters:
         points = [([rng.random(), rng.random()], i % 3) for i in range(40)] + [([9.0, 9.0], 7), ([0.5, 0.5], 0), ([0.5, 0.5], 0)]
         df = spark.createDataFrame([(Vectors.dense(x), c) for x, c in points], ["features", "cluster"])
         assert ML.silhouette_euclidean(df.repartition(3)) == pytest.approx(silhouette_by_definition(points))
-        with pytest.raises(ValueError):
-            ML.silhouette_euclidean(df, max_points=5)
+        assert ML.silhouette_euclidean(df.repartition(3), tile=4) == pytest.approx(silhouette_by_definition(points))
+        assert ML.silhouette_euclidean(df.limit(1)) == ML.silhouette_euclidean(df.limit(0)) == 0.0
+
+    def test_only_clusters_that_may_be_nearest_are_compared(self):
+        from strata.operators import silhouette
+        pivots = {c: np.array([100.0 * c, 0.0]) for c in range(5)}
+        near = np.array([[201.0, 1.0], [199.0, 0.0]])
+        assert silhouette.wanted_clusters(near, 2, pivots, dict.fromkeys(range(5), 5.0)) == [2, 1, 3]
+        assert silhouette.wanted_clusters(near[:1], 2, pivots, dict.fromkeys(range(5), 0.1)) == [2, 3]
+        assert silhouette.wanted_clusters(near, 2, pivots, dict.fromkeys(range(5), 500.0)) == [2, 0, 1, 3, 4]
 
 
 def test_folds_are_stratified(spark):
