@@ -15,15 +15,18 @@ of the reference; the limits grow by twice that, and nothing under the minimum
 length is compared.
 
 Every language with ``LANGUAGE_WORDS`` words or more has a reference, however
-large the rest of the corpus is. Those with at least ``LANGUAGE_SHARE`` of all
-words, 1,000 at most, are sent to every task; documents of all other languages
-are joined with a table of the rest. A document is first held against its own
-language; if that fails, or it names no language, the closest of the languages
-sent to the tasks decides. Where the language it names has no reference, the
-base rules alone decide.
+large the rest of the corpus is, and all references are sent to every task: a
+reference is 260 numbers at most and their number is that of the language
+names, so a table of 5,000 languages is 10 MB. ``MAX_LANGUAGES`` names or more
+are an error: such a column does not hold languages. A document is first held
+against its own language; if that fails, or it names no language, the closest
+of all references decides, at any size of the corpus. Where the language it
+names has no reference, the base rules alone decide.
 
 Nulls: a null text has no words and fails; a null ``lang`` has no reference of
 its own and feeds none. Repeated rows get equal verdicts.
+Extra columns are ignored, or kept by the filter; a text is judged whole, one at a
+time; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -31,7 +34,6 @@ from __future__ import annotations
 import functools
 import math
 import unicodedata
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +48,7 @@ MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 COMMON_SHARE = 0.004
 LANGUAGE_WORDS = 1000
-LANGUAGE_SHARE = 0.001
+MAX_LANGUAGES = 20_000
 #: Divergence (square of the distance) allowed beyond chance.
 CLASS_DIVERGENCE, WORD_DIVERGENCE = 0.08, 0.04
 #: Words are told apart by this many hash buckets when references are learned.
@@ -151,13 +153,6 @@ def _language_counts(batches):
     yield from flush()
 
 
-class References(NamedTuple):
-    """References of languages with a large share by name, and ``(lang, own)``
-    of the others, as tables for :func:`_reference`; None if there are none."""
-    held: dict
-    rare: DataFrame | None = None
-
-
 def _reference(words: int, bins) -> tuple:
     """Class shares, buckets of common words, their shares with that of all
     other words last, and the draws behind the classes and the words."""
@@ -170,25 +165,21 @@ def _reference(words: int, bins) -> tuple:
     return (classes / classes.sum(), np.array([b for b, _ in common], dtype=np.int64), shares, classes.sum(), words)
 
 
-def language_references(docs: DataFrame) -> References:
-    """References of all languages with ``LANGUAGE_WORDS`` words or more. At most
-    ``1 / LANGUAGE_SHARE`` of them reach the driver, with ``1 / COMMON_SHARE``
-    words each, by definition."""
+def language_references(docs: DataFrame) -> dict:
+    """References by name of all languages with ``LANGUAGE_WORDS`` words or more,
+    with ``1 / COMMON_SHARE`` common words each at most, by definition."""
     counts = (docs.select("lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL")
               .mapInArrow(_language_counts, "lang string, kind int, bin int, n long")
               .groupBy("lang", "kind", "bin").agg(F.sum("n").alias("n")))
     counts = stored(counts, "languages")
     sizes = counts.filter("kind = 1").groupBy("lang").agg(F.sum("n").alias("words"))
-    total = sizes.agg(F.sum("words")).first()[0] or 0
-    found = (counts.join(sizes.filter(F.col("words") >= LANGUAGE_WORDS), "lang")
-             .filter((F.col("kind") == 0) | (F.col("n") >= COMMON_SHARE * F.col("words")))
-             .groupBy("lang").agg(F.struct(F.first("words").alias("words"),
-                                           F.collect_list(F.struct("kind", "bin", "n")).alias("bins")).alias("own")))
-    found = stored(found, "references")
-    large = F.col("own.words") >= LANGUAGE_SHARE * total
-    held = {r.lang: _reference(r.own.words, r.own.bins) for r in found.filter(large).collect()}
-    rare = found.filter(~large)
-    return References(held, None if rare.isEmpty() else rare)
+    found = stored(counts.join(sizes.filter(F.col("words") >= LANGUAGE_WORDS), "lang")
+                   .filter((F.col("kind") == 0) | (F.col("n") >= COMMON_SHARE * F.col("words")))
+                   .groupBy("lang").agg(F.first("words").alias("words"),
+                                        F.collect_list(F.struct("kind", "bin", "n")).alias("bins")), "references")
+    if found.count() > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} values of lang with {LANGUAGE_WORDS} words or more")
+    return {r.lang: _reference(r.words, r.bins) for r in found.orderBy("lang").collect()}
 
 
 def divergence(counts: np.ndarray, reference: np.ndarray) -> float:
@@ -223,18 +214,9 @@ SCHEMA = ("doc_id long, " + ", ".join(f"{c} long" for c in BASE)
           + ", base_failed boolean, class_distance double, word_distance double, kept boolean")
 
 
-def _joined(langs: list, own: pa.Array) -> dict:
-    """References that came with the rows, by language."""
-    rows = {lang: i for i, lang in enumerate(langs)}
-    tables = {lang: own[i].as_py() for lang, i in rows.items()}
-    return {lang: _reference(t["words"], [(b["kind"], b["bin"], b["n"]) for b in t["bins"]])
-            for lang, t in tables.items() if t is not None}
-
-
-def _verdict_rows(references: dict, batch, lang: int, text: int, own: int | None) -> list[tuple]:
+def _verdict_rows(references: dict, batch, lang: int, text: int) -> list[tuple]:
     """A tuple as in ``SCHEMA``, without ``doc_id``, for every row of a batch."""
     langs = batch.column(lang).to_pylist()
-    named = references if own is None else _joined(langs, batch.column(own))
     rows = []
     for (row, content, hashes), (_, _, low) in zip(
             _each_text(batch, text, False), _each_text(batch, text, True), strict=True):
@@ -243,8 +225,8 @@ def _verdict_rows(references: dict, batch, lang: int, text: int, own: int | None
         failed = n < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * n
         c = w = None
         kept = not failed
-        mine = named.get(langs[row])
-        if kept and (mine or references):
+        mine = references.get(langs[row])
+        if kept and references:
             classes, buckets = _classes(content).astype(float), _bucket(low)
             best = _excess(classes, buckets, mine) if mine else None
             if not best or best[2] > 0:
@@ -256,34 +238,28 @@ def _verdict_rows(references: dict, batch, lang: int, text: int, own: int | None
     return rows
 
 
-def _verdicts(references, own, batches):
+def _verdicts(references, batches):
     kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
     for batch in released(batches):
-        columns = list(zip(*_verdict_rows(references, batch, 1, 2, own), strict=True)) or [()] * len(kinds)
+        columns = list(zip(*_verdict_rows(references, batch, 1, 2), strict=True)) or [()] * len(kinds)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0)] + [pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)],
             names=["doc_id", *BASE, "base_failed", "class_distance", "word_distance", "kept"])
 
 
-def _passing(references, own, batches):
+def _passing(references, batches):
     for batch in released(batches):
-        kept = [r[-1] for r in _verdict_rows(references, batch, 0, 1, own)]
+        kept = [r[-1] for r in _verdict_rows(references, batch, 0, 1)]
         yield pa.RecordBatch.from_arrays([batch.column(2).filter(pa.array(kept, type=pa.bool_()))], names=["row"])
 
 
-def _judged(rows: DataFrame, references: References, task, schema) -> DataFrame:
-    """``task(references, place of the joined ones, batches)`` over ``rows``
-    (three columns, ``lang`` among them)."""
-    held, rare = references
-    if rare is None:
-        return rows.mapInArrow(lambda batches: task(held, None, batches), schema)
-    sent = F.col("lang").isNull() | F.col("lang").isin(list(held))
-    joined = rows.filter(~sent).join(rare, "lang", "left").select(*(F.col(c) for c in rows.columns), "own")
-    return (rows.filter(sent).mapInArrow(lambda batches: task(held, None, batches), schema)
-            .union(joined.mapInArrow(lambda batches: task(held, 3, batches), schema)))
+def _judged(rows: DataFrame, references: dict, task, schema) -> DataFrame:
+    """``task(references, batches)`` over ``rows``."""
+    shared = rows.sparkSession.sparkContext.broadcast(references)
+    return rows.mapInArrow(lambda batches: task(shared.value, batches), schema)
 
 
-def quality_filter(docs: DataFrame, references: References | None = None) -> DataFrame:
+def quality_filter(docs: DataFrame, references: dict | None = None) -> DataFrame:
     """The rows of ``docs`` that :func:`quality_verdicts` keeps, all columns."""
     if references is None:
         references = language_references(docs)
@@ -291,7 +267,7 @@ def quality_filter(docs: DataFrame, references: References | None = None) -> Dat
     return _judged(rows, references, _passing, StructType([rows.schema["row"]])).select("row.*")
 
 
-def quality_verdicts(docs: DataFrame, references: References | None = None) -> DataFrame:
+def quality_verdicts(docs: DataFrame, references: dict | None = None) -> DataFrame:
     """One row per row of ``docs`` (``doc_id, lang, text``): base counts, the
     two distances (null where the base rules failed) and ``kept``."""
     if references is None:

@@ -62,7 +62,7 @@ def op2(spark, sf_dir):
     held_out = remainder(3) == 1
     rows = toxicity.scored(docs, toxicity.fitted(docs, labels, ~held_out), held_out)
     return rows.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
-                       F.size("passages").cast("long").alias("n_passages"))
+                       F.size("passages").cast("long").alias("n_passages"), "passages")
 
 
 @register("op3_chat_format", oracle.CHAT)

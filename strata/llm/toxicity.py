@@ -21,8 +21,9 @@
 
 The model is fitted on about ``ROWS_PER_CLASS`` labelled rows of each class,
 chosen by a hash of the id. The curve and ``K`` are fitted on scores of rows
-that the words' log-odds had not seen (``FOLDS`` folds). At most ``MODEL_WORDS``
-words of each sign score.
+that the words' log-odds had not seen (``FOLDS`` folds). Every word scores whose
+log-odds are significant and that stands in ``WORD_SHARE`` of its class's rows, two
+at least; no number of words is set.
 
 Defined cases: null and empty texts have no segment and get the share of toxic
 rows among such; without labels of both classes that share is the score of
@@ -50,7 +51,8 @@ ALPHA, PRIOR = 0.5, 0.01
 MIN_Z, MIN_SCORE = 2.5, 1.5
 DRIFT = 0.15
 MAX_E = 0.05
-MODEL_WORDS = 20_000
+#: Share of a class's sampled rows that a word of its sign stands in.
+WORD_SHARE = 1e-4
 #: Clean documents with a segment from which ``rate`` is fitted.
 MIN_TOPS = 20
 
@@ -281,8 +283,8 @@ def fitted(docs: DataFrame, labels: DataFrame, teach: Column) -> Model:
     a, b = (F.col(k) + ALPHA + PRIOR * (F.col("t") + F.col("c")) for k in ("t", "c"))
     z = (F.log(a) - F.log(b) + math.log(n_clean / n_tox)) / F.sqrt(1 / a + 1 / b)
     words = words.withColumn("z", z)
-    screened = (words.filter(F.col("z") >= MIN_Z).filter("t > 1").orderBy(F.desc("z"), "word").limit(MODEL_WORDS).select("word")
-                .union(words.filter(F.col("z") <= -MIN_Z).orderBy("z", "word").limit(MODEL_WORDS).select("word")))
+    toxic = (F.col("z") >= MIN_Z) & (F.col("t") >= max(2.0, WORD_SHARE * n_tox))
+    screened = words.filter(toxic | ((F.col("z") <= -MIN_Z) & (F.col("c") >= max(2.0, WORD_SHARE * n_clean)))).select("word")
     table: dict[str, np.ndarray] = {}
     for r in counts.join(F.broadcast(screened), "word").collect():
         table.setdefault(r.word, np.zeros((FOLDS, 2)))[r.fold, r.toxic] = r.n

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from strata.llm import decontam
 from tests.llm.data import clashing, edge_rows, frame, prose
@@ -39,6 +40,44 @@ def test_exact_and_substituted_passages_are_found(spark):
     assert all(d // 10 == item or (d // 10 == 0 and item == 20) for d, item in some)
 
 
+def brute_force(rows):
+    """Pairs by laying every document beside every item at every offset."""
+    def hashed(text):
+        batch = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([text.lower()])], names=["id", "text"])
+        return next(iter(decontam._hashed(batch, 1)))[1].view(np.int64)
+
+    items = [(i, hashed(t)) for i, t in bench_rows() if t]
+    out = set()
+    for doc_id, text, *_ in rows:
+        doc = hashed(text)
+        for item_id, item in items:
+            if len(item) < decontam.MIN_ITEM:
+                continue
+            matched, longest, *_ = decontam.aligned(doc, item, range(-len(item), len(doc)))
+            m = int(matched.sum())
+            if m and (m >= decontam.MIN_SHARE * len(item) or longest >= decontam.MIN_PASSAGE):
+                out.add((doc_id, item_id))
+    return out
+
+
+def test_recall_by_share_of_replaced_words(spark):
+    """Against the brute-force version: nothing else is reported, and 0.9 at least is found
+    with 10, 20 and 30 % of the words replaced."""
+    rates = (0.1, 0.2, 0.3)
+    rows = [(10_000 * k + r[0], *r[1:]) for k, rate in enumerate(rates) for r in planted(rate)]
+    found, _ = hits(spark, rows)
+    want = brute_force(rows)
+    assert found <= want
+    for k in range(len(rates)):
+        of = {x for x in want if x[0] // 10_000 == k}
+        assert len(of & found) >= 0.9 * len(of) and len(of & found) >= 0.9 * 60
+
+
+def test_items_too_short_to_be_sought_are_listed(spark):
+    listed = decontam.unsought(spark.createDataFrame(bench_rows(), ITEMS)).collect()
+    assert {(r.item_id, r.n) for r in listed} == {(50, 0), (51, 0), (52, 3)}
+
+
 def test_awkward_rows(spark):
     rows = edge_rows() + [(900, "we saw EXACTLY six, rare words zyx here again", "en", "a", 0),
                           (901, "too short here", "en", "a", 0), (902, "exactly six rare words", "en", "a", 0),
