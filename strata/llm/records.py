@@ -46,7 +46,7 @@ from strata.llm.words import hash_words, parts, released, text_buffers
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces of text whose ids a worker remembers before it starts anew.
-MEMO = 1_000_000
+MEMO = 400_000
 #: Bytes of text that are encoded together, and of text in a shard.
 CHUNK, SHARD_BYTES = 1 << 20, 1 << 25
 
