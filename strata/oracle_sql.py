@@ -479,32 +479,30 @@ disp AS (
 
 DISPARITY = _q([DISPARITY_CTE], "SELECT * FROM disp")
 
+def below_known(column: str) -> str:
+    """:func:`below` over ``marks``, a missing value standing above all known ones."""
+    return (f"CAST((SELECT COUNT(*) FROM marks other WHERE other.{column} < own.{column}"
+            f" OR (own.{column} IS NULL AND other.{column} IS NOT NULL)) AS DOUBLE)"
+            " / greatest((SELECT COUNT(*) FROM marks) - 1, 1)")
+
+
 DOCUMENTED_PRIORITY = _q([STATE_TOPIC_YEAR, DISPARITY_CTE, """
-j AS (
-  SELECT s.*, d.demographic_disparity,
-    LAG(s.avg_indicator_value) OVER (PARTITION BY s.state, s.disease_topic ORDER BY s.year) AS prev
-  FROM sty s LEFT JOIN disp d ON s.state = d.state AND s.disease_topic = d.disease_topic AND s.year = d.year
-),
-c AS (
-  SELECT *, CASE WHEN prev IS NULL OR prev = 0 THEN NULL
-                 ELSE (avg_indicator_value - prev) / prev END AS yoy_pct_change FROM j
+marks AS (
+  SELECT m.*, (SELECT any_value(demographic_disparity) FROM disp d
+      WHERE (d.state, d.disease_topic, d.year) = (m.state, m.disease_topic, m.year)) AS demographic_disparity,
+    (SELECT (m.avg_indicator_value - arg_max(p.avg_indicator_value, p.year)) / nullif(arg_max(p.avg_indicator_value, p.year), 0)
+     FROM sty p WHERE p.state = m.state AND p.disease_topic = m.disease_topic AND p.year < m.year) AS yoy_pct_change
+  FROM sty m
 ),
-r AS (
-  SELECT *,
-    PERCENT_RANK() OVER (ORDER BY avg_indicator_value NULLS LAST) AS burden_score,
-    PERCENT_RANK() OVER (ORDER BY mortality_source_rate NULLS LAST) AS mortality_score,
-    PERCENT_RANK() OVER (ORDER BY yoy_pct_change NULLS LAST) AS growth_score,
-    PERCENT_RANK() OVER (ORDER BY demographic_disparity NULLS LAST) AS disparity_score,
-    PERCENT_RANK() OVER (ORDER BY record_count NULLS LAST) AS reliability_score
-  FROM c
+scores AS (
+  SELECT own.*, """ + ", ".join(f"{below_known(c)} AS {n}_score" for n, c in (
+    ("burden", "avg_indicator_value"), ("mortality", "mortality_source_rate"), ("growth", "yoy_pct_change"),
+    ("disparity", "demographic_disparity"), ("reliability", "record_count"))) + """
+  FROM marks own
 )"""], """
-SELECT state, disease_topic, year, record_count, avg_indicator_value, mortality_source_rate,
-  yoy_pct_change, demographic_disparity, burden_score, mortality_score, growth_score, disparity_score,
-  reliability_score,
-  CAST(0.35 AS DOUBLE) * burden_score + CAST(0.25 AS DOUBLE) * mortality_score
-  + CAST(0.20 AS DOUBLE) * growth_score + CAST(0.10 AS DOUBLE) * disparity_score
-  + CAST(0.10 AS DOUBLE) * reliability_score AS documented_priority_score
-FROM r""")
+SELECT *, CAST(0.35 AS DOUBLE) * burden_score + CAST(0.25 AS DOUBLE) * mortality_score + CAST(0.20 AS DOUBLE) * growth_score
+  + CAST(0.10 AS DOUBLE) * disparity_score + CAST(0.10 AS DOUBLE) * reliability_score AS documented_priority_score
+FROM scores""")
 
 YEARLY_SEGMENT_CTE = f"""
 yearly AS (
