@@ -389,7 +389,7 @@ def _risk_rows(spark, sf_dir):
     return ML.labelled(facts(spark, sf_dir), "risk_level").select(F.col("risk_level").alias("label"))
 
 
-@register("r2_state_disease_matrix")
+@register("r2_state_disease_matrix", O.TOPIC_MATRIX)
 def r2w(spark, sf_dir):
     return R.state_disease_matrix(_processed(spark, sf_dir))
 
@@ -587,6 +587,21 @@ def d4_bins(spark, sf_dir):
                             | {"expected_calibration_error": F.round(error.select("ece").scalar(), 8)})
 
 
+@register("m10_fixed_score_auc", O.FIXED_SCORE_AUC)
+def m10(spark, sf_dir):
+    from strata.operators.priority import materialize
+    scored = materialize(EV.segment_scores(facts(spark, sf_dir)), "fixed-scores")
+    return spark.createDataFrame([(scored.count(), ML.roc_auc(scored))], "rows long, auc double")
+
+
+@register("m11_fixed_score_report", O.FIXED_SCORE_REPORT)
+def m11_fixed(spark, sf_dir):
+    from strata.operators.priority import materialize
+    scored = materialize(EV.segment_scores(facts(spark, sf_dir)), "fixed-scores")
+    report = ML.classification_report(scored)
+    return report.select("cls", *(F.round(c, 10).alias(c) for c in ("precision", "recall", "f1_score")), "support")
+
+
 @register("d4_isotonic_blocks", O.ISOTONIC_BLOCKS)
 def d4_isotonic(spark, sf_dir):
     from strata.operators.isotonic import isotonic_blocks
