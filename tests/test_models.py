@@ -174,12 +174,22 @@ def test_risk_classifier_and_importances(spark, observations):
     assert [r.feature for r in ML.top_importances(got["feature_importances"], 1).collect()] == ["value_normalized"]
 
 
-def test_training_run_writes_its_outputs(spark, observations, tmp_path):
+@pytest.fixture(scope="module")
+def states(observations):
+    state = F.concat(F.lit("s"), (F.col("LocationAbbr_enc") * 3 + F.col("YearStart") % 3).cast("string"))
+    return observations.withColumn("LocationAbbr", state).withColumn("topic_Other", 1 - F.col("topic_Cancer"))
+
+
+@pytest.fixture(scope="module")
+def whole_run(spark, states, tmp_path_factory):
     from strata.plans import modeling
-    states = observations.withColumn("LocationAbbr", F.concat(F.lit("s"), (F.col("LocationAbbr_enc") * 3 + F.col("YearStart") % 3).cast("string")))
-    states = states.withColumn("topic_Other", 1 - F.col("topic_Cancer"))
-    got = modeling.run(spark, states, str(tmp_path), starts=2, trees=4)
-    read = lambda name: spark.read.option("header", True).csv(f"{tmp_path}/{name}")
+    path = str(tmp_path_factory.mktemp("run"))
+    return modeling.run(spark, states, path, starts=2, trees=4), path
+
+
+def test_training_run_writes_its_outputs(spark, whole_run):
+    got, path = whole_run
+    read = lambda name: spark.read.option("header", True).csv(f"{path}/{name}")
     assert read("state_clusters").count() == 21
     assert read("feature_importances").count() == len(got["risk"]["feature_names"])
     assert read("model_summary").count() == got["summary"].count() > 0
@@ -189,10 +199,8 @@ class Stopped(RuntimeError):
     pass
 
 
-def test_training_run_goes_on_where_it_stopped(spark, observations, tmp_path, monkeypatch):
+def test_training_run_goes_on_where_it_stopped(spark, states, whole_run, tmp_path, monkeypatch):
     from strata.plans import modeling
-    states = observations.withColumn("LocationAbbr", F.concat(F.lit("s"), (F.col("LocationAbbr_enc") * 3 + F.col("YearStart") % 3).cast("string")))
-    states = states.withColumn("topic_Other", 1 - F.col("topic_Cancer"))
     fits, fit, whole = [], ML.fit_forest, ML.train_risk_classifier
 
     def stopping(*args, **kwargs):
@@ -215,8 +223,7 @@ def test_training_run_goes_on_where_it_stopped(spark, observations, tmp_path, mo
     monkeypatch.setattr(modeling, "cluster_states", stopping)
     got = modeling.run(spark, states, path, starts=2, trees=4)
     assert got["steps"].ran == [*(f"risk-fold-{f}" for f in range(1, 5)), "risk-importances"]
-    monkeypatch.undo()
-    once = modeling.run(spark, states, f"{path}/once", starts=2, trees=4)
+    once = whole_run[0]
     assert once["steps"].ran[:5] == ["clusters", "silhouette", "mortality-frame", "mortality-scores", "mortality-model"]
     assert len(once["steps"].ran) == 5 + 1 + 5 + 1
     assert sorted(map(tuple, got["summary"].collect())) == sorted(map(tuple, once["summary"].collect()))
