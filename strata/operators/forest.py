@@ -10,6 +10,12 @@ trees grown so far.
 Rows are kept in partitions of ``ROWS_PER_PARTITION``. Statistics of a split are
 shuffled once per partition and node, so a small table in few partitions costs
 least; its blocks then run beside each other, until the cores are in use.
+
+Features of the risk model are years, codes and flags, so many rows are equal. Where
+at least ``ROWS_PER_CELL`` rows share a cell (:func:`cells`: features, label, number of rows),
+trees are grown over the cells, each from its own bootstrap. A bootstrap gives each
+row a Poisson(1) number, so the rows of a cell together have a Poisson(n) one: the trees
+are distributed as those over rows, and the fit no longer grows with the copies of a cell.
 """
 
 from __future__ import annotations
@@ -18,11 +24,15 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
+import numpy as np
+import pyarrow as pa
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from strata.session import ensure_checkpoint_dir
 
@@ -30,6 +40,8 @@ TREES_PER_BLOCK = 38
 ROWS_PER_PARTITION = 250_000
 PARALLEL_BLOCKS = 8
 CHECKPOINT_INTERVAL = 10
+ROWS_PER_CELL = 4
+PARALLEL_TREES = 12
 
 
 @dataclass(frozen=True)
@@ -87,6 +99,81 @@ def partitioned(df: DataFrame, n_rows: int) -> DataFrame:
     return df.coalesce(parts) if parts < df.rdd.getNumPartitions() else df
 
 
+def cells(rows: DataFrame, features: list[str], folds: int = 0) -> DataFrame:
+    """Distinct ``(*features, label)`` with ``n``, their number of rows, ``cell``, a hash
+    of both, and ``n_<fold>``, the rows in each of ``folds``."""
+    keys = [*features, "label"]
+    per = [F.count(F.when(F.col("fold") == f, 1)).alias(f"n_{f}") for f in range(folds)]
+    found = rows.groupBy(*(F.col(f"`{k}`") for k in keys)).agg(F.count(F.lit(1)).alias("n"), *per)
+    return found.withColumn("cell", F.xxhash64(*(F.col(f"`{k}`") for k in keys)))
+
+
+def by_cells(n_rows: int, n_cells: int) -> bool:
+    """Whether trees are grown over cells: not where blocks take all rows in one partition."""
+    return n_rows > ROWS_PER_PARTITION and n_rows >= ROWS_PER_CELL * n_cells
+
+
+def _draws(seed: int, trees: int):
+    def drawn(batches):
+        for batch in batches:
+            n = batch.column(batch.schema.names.index("n")).to_numpy()
+            if len(n):
+                first = batch.column(batch.schema.names.index("cell"))[0].as_py()
+                draws = np.random.default_rng([seed, first & (2**63 - 1)]).poisson(n[:, None], (len(n), trees))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * trees), pa.array(draws.ravel()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "draws"])
+    return drawn
+
+
+def _joined(fits: list[RandomForestClassificationModel]) -> RandomForestClassificationModel:
+    """Forests of one tree each as one forest."""
+    jvm, gateway = SparkContext._active_spark_context._jvm, SparkContext._gateway
+    kinds = jvm.org.apache.spark.ml.classification
+    trees = gateway.new_array(kinds.DecisionTreeClassificationModel, len(fits))
+    for i, fit in enumerate(fits):
+        trees[i] = fit.trees[0]._java_obj
+    forest = kinds.RandomForestClassificationModel(trees, fits[0].numFeatures, fits[0].numClasses)
+    forest.set("numTrees", len(fits))
+    return RandomForestClassificationModel(forest)
+
+
+def grown_over_cells(train: DataFrame, features: list[str], labels: list[str], trees: int, depth: int, seed: int,
+                     n_cells: int) -> Forest:
+    """:func:`grown` over cells (``features``, ``label_idx``, ``weight`` of a row, ``n``, ``cell``).
+    The bootstraps of a block of trees are drawn at once and held in memory with the cells."""
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = max(1, math.ceil(n_cells / ROWS_PER_PARTITION))
+    # In one order: a run over the same rows draws the same bootstraps.
+    train = train.repartition(parts, "cell").sortWithinPartitions("cell", "label_idx")
+    with_draws = StructType([*train.schema.fields, StructField("draws", ArrayType(LongType()))])
+    classes = F.col("label_idx").alias("label_idx", metadata=train.schema["label_idx"].metadata)
+    sizes = [min(TREES_PER_BLOCK, trees - done) for done in range(0, trees, TREES_PER_BLOCK)]
+    base = RandomForestClassifier(
+        featuresCol="features", labelCol="label_idx", weightCol="weight", numTrees=1, bootstrap=False, maxDepth=depth,
+        featureSubsetStrategy="sqrt", impurity="gini", maxMemoryInMB=memory_mb(spark))
+    workers = max(1, min(PARALLEL_TREES, spark.sparkContext.defaultParallelism // parts))
+
+    def block(number: int) -> RandomForestClassificationModel:
+        first = seed + 7919 * number
+        bags = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep").transform(
+            train.mapInArrow(_draws(first, sizes[number]), with_draws))
+        bags = bags.select("features", classes, "weight", "draws").persist()
+        bags.count()
+
+        def one(tree: int):
+            bag = bags.select("features", "label_idx", (F.col("weight") * F.col("draws")[tree]).alias("weight"))
+            return base.copy().setSeed(first + 104729 * (tree + 1)).fit(bag.filter("weight > 0"))
+
+        try:
+            with ThreadPoolExecutor(max_workers=workers) as pool:
+                return _joined(list(pool.map(inheritable_thread_target(spark)(one), range(sizes[number]))))
+        finally:
+            bags.unpersist()
+
+    return Forest(tuple(block(i) for i in range(len(sizes))), tuple(labels))
+
+
 def grown(train: DataFrame, labels: list[str], trees: int, depth: int, seed: int) -> Forest:
     """Forest over ``train`` (``features``, ``label_idx``, ``weight``), which the caller keeps in memory."""
     spark = train.sparkSession

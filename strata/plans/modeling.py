@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from strata.constants import FOREST_DEPTH, FOREST_TREES, KMEANS_K, KMEANS_STARTS, RISK_FEATURES, SEED
-from strata.operators import ml
+from strata.operators import forest, ml
 from strata.operators.priority import materialize
 from strata.operators.reshape import state_disease_matrix
 
@@ -20,8 +22,11 @@ def fit_risk_forest(processed: DataFrame, trees: int = FOREST_TREES, depth: int
                     seed: int = SEED) -> DataFrame:
     """M12 refit on all labelled rows + M15: importances by feature, desc."""
     feats = ml.available_features(processed, RISK_FEATURES)
-    rows = materialize(ml.feature_frame(ml.labelled(processed, "risk_level"), feats, "risk_level"), "forest-frame")
-    data, labels = ml.index_labels(rows)
+    frame = ml.feature_frame(ml.labelled(processed, "risk_level"), feats, "risk_level")
+    cells, labels = ml.index_labels(materialize(forest.cells(frame, feats), "forest-cells"))
+    data = cells
+    if not forest.by_cells(cells.agg(F.sum("n")).first()[0] or 0, cells.count()):
+        data = cells.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("_copy", "cell", "n")
     return ml.importance_table(processed.sparkSession, ml.fit_forest(data, feats, labels, trees, depth, seed), feats)
 
 

@@ -270,3 +270,43 @@ def test_calibration_bins_and_thresholds(spark):
     rates = DQ.error_rates(scored).first()
     negative = [s >= 0.5 for s, y in rows if not y]
     assert rates["false_positive_rate"] == pytest.approx(sum(negative) / len(negative))
+
+
+def test_trees_over_cells_are_those_over_rows(spark, monkeypatch):
+    """Equal rows count by their number: bootstraps, weights, votes and folds."""
+    from strata.operators import forest
+    monkeypatch.setattr(forest, "ROWS_PER_PARTITION", 1_000)
+    monkeypatch.setattr(forest, "TREES_PER_BLOCK", 4)
+    rng = random.Random(3)
+    rows = []
+    for _ in range(4000):
+        year, place = rng.randint(2005, 2008), rng.randint(0, 3)
+        rows.append((year, place, rng.randint(0, 1), "Low" if place > 1 and rng.random() < 0.95 else "High"))
+    df = spark.createDataFrame(rows, "YearStart int, LocationAbbr_enc int, is_mortality int, risk_level string")
+    feats = ["YearStart", "LocationAbbr_enc", "is_mortality"]
+    calls, over_cells = [], forest.grown_over_cells
+    monkeypatch.setattr(forest, "grown_over_cells", lambda *a: calls.append(a[-1]) or over_cells(*a))
+    got = ML.train_risk_classifier(df, features=feats, folds=3, trees=10, depth=4)
+    assert len(calls) == 4 and max(calls) <= 64  # three folds and the refit
+    report = {r.cls: r for r in got["report"].collect()}
+    assert report["accuracy"].support == 4000 and got["predictions"].agg(F.sum("n")).first()[0] == 4000
+    assert got["accuracy"] == pytest.approx(sum((p > 1) == (r == "Low") for _, p, _, r in rows) / 4000)
+    model = got["model"]
+    assert [b.getNumTrees for b in model.blocks] == [4, 4, 2]
+    frame = ML.feature_frame(df, feats, "risk_level")
+    cells, labels = ML.index_labels(forest.cells(frame, feats))
+    again = ML.fit_forest(cells, feats, labels, 10, 4, 42)
+    assert again.importances(feats) == model.importances(feats)
+    each = [t.featureImportances.toArray() for b in model.blocks for t in b.trees]
+    assert len(each) == 10 and np.std(each, axis=0).max() > 0  # of bootstraps and feature subsets of their own
+
+
+def test_bootstraps_of_cells_are_poisson(spark):
+    """A cell of n rows is drawn n times in the mean, with variance n; trees differ."""
+    import pyarrow as pa
+    from strata.operators import forest
+    n = np.full(2000, 50)
+    batch = pa.RecordBatch.from_arrays([pa.array(n), pa.array(np.arange(2000))], names=["n", "cell"])
+    draws = np.array(next(iter(forest._draws(7, 3)([batch]))).column(2).to_pylist())
+    assert draws.mean() == pytest.approx(50, abs=1) and draws.var() == pytest.approx(50, rel=0.1)
+    assert abs(np.corrcoef(draws[:, 0], draws[:, 1])[0, 1]) < 0.1
