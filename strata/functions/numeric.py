@@ -21,20 +21,28 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_number(c) -> Column:
+#: Types whose values are the same double by a cast as by their text.
+PLAIN_NUMBERS = ("tinyint", "smallint", "int", "bigint", "double")
+
+
+def to_number(c, kind: str | None = None) -> Column:
     """Coerce text (or a number) to double; anything unparseable -> null.
 
     Surrounding blanks are ignored. NaN never survives: it becomes null so
-    that counts and averages treat it as missing.
+    that counts and averages treat it as missing. ``kind``: the column's type, if
+    known; plain numbers are not written as text and parsed again.
     """
     c = _col(c)
+    if kind in PLAIN_NUMBERS:
+        number = c.cast("double")
+        return F.when(~F.isnan(number), number)
     text = F.trim(c.cast("string"))
-    parsed = (
+    # Neither pattern has a text of NaN.
+    return (
         F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
         .when(text.rlike(INFINITY_PATTERN),
               F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
     )
-    return F.when(F.isnan(parsed), F.lit(None).cast("double")).otherwise(parsed)
 
 
 #: Decimal places kept by exact sums, and the size from which a value is too

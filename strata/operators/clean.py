@@ -36,7 +36,8 @@ def coerce_numeric(df: DataFrame, columns=("DataValue", "DataValueAlt")) -> Data
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
-    return df.withColumns({c: to_number(c) for c in present})
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: to_number(c, kinds[c]) for c in present})
 
 
 def require_column(df: DataFrame, column: str) -> None:

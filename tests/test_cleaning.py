@@ -138,3 +138,18 @@ def test_label_codes_follow_code_points(spark):
     many = column(spark, [f"k{i % 37}" for i in range(500)] + [None], "string", "LocationAbbr")
     codes = {r[0]: r[1] for r in FE.encode_column(many, "LocationAbbr").select("LocationAbbr", "LocationAbbr_enc").collect()}
     assert codes == {k: i for i, k in enumerate(sorted((x for x in codes if x), key=str))} | {None: 37}
+
+
+def test_plain_numbers_are_not_parsed_as_text(spark):
+    from strata.functions.numeric import to_number
+    values = [1.0, -0.0, 0.1, 1e300, 4.9e-324, float("inf"), float("-inf"), float("nan"), None, 123456789.0000000001]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "DataValueAlt double, DataValue long")
+    typed = C.coerce_numeric(df)
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan and "string" not in plan
+    by_text = df.select(to_number("DataValue").alias("DataValue"), to_number("DataValueAlt").alias("DataValueAlt"))
+    assert sorted(map(str, typed.select("DataValue", "DataValueAlt").collect())) == sorted(map(str, by_text.collect()))
+    years = spark.createDataFrame([(2010, 2012), (None, 2012), (2011, 2009)], "YearStart int, YearEnd int")
+    found = FE.add_duration(years)
+    assert "RLIKE" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([(2010, 2012, 2), (None, 2012, None), (2011, 2009, 0)], key=str)
