@@ -173,17 +173,21 @@ def group_mode_by_rank(df: DataFrame, keys, value: str, out: str = "mode_value")
             .select(*keys, F.col(value).alias(out)))
 
 
-def impute_unit(df: DataFrame, unit: str = "DataValueUnit", keys=("Topic", "Question")) -> DataFrame:
+def impute_unit(df: DataFrame, unit: str = "DataValueUnit", keys=("Topic", "Question"), written: bool = False) -> DataFrame:
     """Fill a missing unit with the mode of its (Topic, Question) group.
 
     Groups without any non-null unit, and rows with a null key, stay missing.
     The mode table has one row per key. The plan leaves its size to Spark, which
-    broadcasts it if its bytes allow and splits skewed keys otherwise.
+    broadcasts it if its bytes allow and splits skewed keys otherwise. Only a
+    ``written`` mode table has known bytes before the rows are shuffled for the join.
     """
     keys = list(keys)
     if not set(keys + [unit]).issubset(df.columns):
         return df
     modes = group_mode(df, keys, unit, "_mode_unit")
+    if written:
+        from strata.operators.priority import materialize
+        modes = materialize(modes, "modes")
     cols = df.columns
     return (df.join(modes, on=keys, how="left")
             .withColumn(unit, F.coalesce(F.col(unit), F.col("_mode_unit")))

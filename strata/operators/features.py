@@ -116,8 +116,9 @@ def label_dictionary(df: DataFrame, columns) -> DataFrame:
     earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = labels.groupBy("column", "part").agg(F.count(F.lit(1)).alias("n")).select(
         "column", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    return labels.withColumn("place", F.row_number().over(inside)).join(before, ["column", "part"]).select(
+    codes = labels.withColumn("place", F.row_number().over(inside)).join(before, ["column", "part"]).select(
         "column", "label", (F.col("before") + F.col("place") - 1).cast("int").alias("code"))
+    return materialize(codes, "codes")
 
 
 def encode_categoricals(df: DataFrame, columns=ENCODE_COLUMNS, source: DataFrame | None = None) -> DataFrame:
@@ -134,6 +135,13 @@ def encode_categoricals(df: DataFrame, columns=ENCODE_COLUMNS, source: DataFrame
     return df
 
 
+def column_codes(encoded: DataFrame, columns=ENCODE_COLUMNS) -> DataFrame:
+    """``(column_name, label, code)`` of all encoded columns, as the rows hold them, in one pass."""
+    held = [F.struct(F.lit(c).alias("column_name"), _as_label(c).alias("label"), F.col(f"{c}_enc").alias("code"))
+            for c in columns if c in encoded.columns]
+    return encoded.select(F.explode(F.array(*held)).alias("e")).select("e.*").distinct()
+
+
 def encode_column(df: DataFrame, column: str) -> DataFrame:
     """E1 for one column."""
     return encode_categoricals(df, [column])

@@ -153,3 +153,16 @@ def test_plain_numbers_are_not_parsed_as_text(spark):
     found = FE.add_duration(years)
     assert "RLIKE" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, found.collect()), key=str) == sorted([(2010, 2012, 2), (None, 2012, None), (2011, 2009, 0)], key=str)
+
+
+def test_small_dictionaries_are_broadcast(spark):
+    """Units and label codes: the rows stay where they are, whatever their number."""
+    from tests.fixtures import raw_extract
+    rows = C.impute_unit(raw_extract(spark).repartition(3), written=True)
+    out = FE.encode_categoricals(rows)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 5
+    codes = FE.column_codes(out)
+    assert codes._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    whole = {(c, str(r[c]), r[f"{c}_enc"]) for c in FE.ENCODE_COLUMNS for r in out.collect()}
+    assert {tuple(r) for r in codes.collect()} == whole
