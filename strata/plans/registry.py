@@ -249,6 +249,7 @@ def z2p(spark, sf_dir):
 
 # --- sources, cleaning and features -------------------------------------------------
 
+from strata.constants import ENCODE_COLUMNS  # noqa: E402
 from strata.operators import clean as C  # noqa: E402
 from strata.operators import features as FE  # noqa: E402
 from strata.sources.bridge import obs_raw  # noqa: E402
@@ -327,16 +328,8 @@ def f6(spark, sf_dir):
 
 @register("e1_label_encoding", O.LABEL_ENCODING)
 def e1(spark, sf_dir):
-    from strata.constants import ENCODE_COLUMNS
-    enc = FE.encode_categoricals(facts(spark, sf_dir))
-    parts = [enc.select(F.lit(c).alias("column_name"),
-                        F.coalesce(F.col(c), F.lit("nan")).alias("label"),
-                        F.col(f"{c}_enc").alias("code")).distinct()
-             for c in ENCODE_COLUMNS if c in enc.columns]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    obs = P.materialize(facts(spark, sf_dir).select(*ENCODE_COLUMNS), "facts")
+    return FE.column_codes(FE.encode_categoricals(obs))
 
 
 @register("s1_csv_roundtrip", O.CSV_ROUNDTRIP)
