@@ -105,6 +105,10 @@ def feature_base(obs: DataFrame) -> DataFrame:
     return obs.filter(F.col(VALUE).isNotNull()).select(*FEATURE_BASE_COLUMNS)
 
 
+#: Columns that the marts below read.
+MART_COLUMNS = ("YearStart", "LocationAbbr", "Topic", "StratificationCategory1", "Stratification1", VALUE, FLAG,
+                "risk_level", "Latitude", "Longitude")
+
 MARTS = {
     "dashboard_kpis": dashboard_kpis,
     "topic_year_trends": topic_year_trends,

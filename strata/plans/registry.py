@@ -352,7 +352,7 @@ def c16(spark, sf_dir):
 def s6(spark, sf_dir):
     from strata.session import scratch_path
     from strata.sources.export import export_marts, read_manifest
-    obs = facts(spark, sf_dir)
+    obs = P.materialize(facts(spark, sf_dir).select(*M.MART_COLUMNS), "facts")  # one pass for all marts
     paths = export_marts({name: fn(obs) for name, fn in M.MARTS.items()}, scratch_path(spark, "extracts"))
     return read_manifest(spark, paths)
 

@@ -166,3 +166,13 @@ def test_small_dictionaries_are_broadcast(spark):
     assert codes._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     whole = {(c, str(r[c]), r[f"{c}_enc"]) for c in FE.ENCODE_COLUMNS for r in out.collect()}
     assert {tuple(r) for r in codes.collect()} == whole
+
+
+def test_marts_for_export_read_their_columns_only(spark):
+    from strata.operators import marts as M
+    from strata.plans.cleaning import core_facts
+    from tests.fixtures import raw_extract
+    obs = core_facts(raw_extract(spark))
+    some = obs.select(*M.MART_COLUMNS)
+    for fn in M.MARTS.values():
+        assert sorted(map(str, fn(some).collect())) == sorted(map(str, fn(obs).collect()))
