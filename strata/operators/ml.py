@@ -16,11 +16,9 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +35,7 @@ from strata.constants import (
     SEED,
     TINY_CLASS_ROWS,
 )
-from strata.operators import forest
+from strata.operators import forest, logistic
 from strata.operators.silhouette import silhouette_euclidean  # noqa: F401
 
 MAX_CLASSES = 1_000
@@ -318,32 +316,6 @@ def cluster_entities(matrix: DataFrame, key: str, k: int = KMEANS_K, starts: int
 
 # --- M7 / M8 / M12 / M15 ---------------------------------------------------------------
 
-def fold_fit_predict(train: DataFrame, test: DataFrame, features: list[str], make, standardize: bool):
-    if standardize:
-        params = fit_standardizer(train, features)
-        train, test = apply_standardizer(train, params), apply_standardizer(test, params)
-    model = make(train).fit(assemble(train, features))
-    return model, model.transform(assemble(test, features))
-
-
-def out_of_fold(df: DataFrame, features: list[str], make, folds: int = CV_FOLDS,
-                standardize: bool = False) -> DataFrame:
-    """M7: fit on k-1 folds, predict the held-out fold, union the predictions.
-    Class weights come from the rows a fold trains on."""
-    def one(f):
-        train = with_class_weights(df.filter(F.col("fold") != f))
-        test = df.filter(F.col("fold") == f)
-        return fold_fit_predict(train, test, features, make, standardize)[1]
-
-    # Fold fits are independent: submit them as concurrent Spark jobs.
-    with ThreadPoolExecutor(max_workers=min(PARALLEL_FITS, folds)) as pool:
-        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(one), range(folds)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def written(name: str, make) -> DataFrame:
     """The table that ``make()`` gives, written once to the shared folder. Staged
     runs pass :class:`strata.plans.steps.Steps` in its place."""
@@ -369,43 +341,33 @@ def train_mortality_model(df: DataFrame, features=MORTALITY_FEATURES, folds: int
     """M8: weighted L2 logistic regression (C = 1) on standardised features,
     5-fold out-of-fold AUC and report, then a refit on all rows.
 
-    Spark scales the data term by the total weight; with balanced weights
-    that total is n, so regParam = 1 / n_train matches C = 1. ``keep`` writes
-    the training frame, the scores and the refit (see :func:`written`).
+    The models of all folds and the refit are fitted side by side
+    (:mod:`strata.operators.logistic`). ``keep`` writes the training frame, the scores
+    and the refit (see :func:`written`).
     """
     feats = available_features(df, features)
     frame = keep("mortality-frame", lambda: training_frame(df, feats, "is_mortality", seed, folds))
-    held: list[DataFrame] = []
+    fits: list[logistic.Logistic] = []
 
-    def data():
-        if not held:
-            held.append(kept(frame))
-        return held[0]
-
-    def make(train):
-        n = train.count()
-        return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                                  regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False,
-                                  maxIter=max_iter, fitIntercept=True, family="binomial")
+    def models():
+        if not fits:
+            each = [[g for g in range(folds) if g != f] for f in range(folds)]
+            fits.extend(logistic.fit(frame, feats, "fold", [*each, list(range(folds))], max_iter))
+        return fits
 
     def scores():
-        pred = out_of_fold(data(), feats, make, folds, standardize=True)
-        return pred.select("label", vector_to_array("probability")[1].alias("score"))
+        own = [F.when(F.col("fold") == f, m.score()) for f, m in enumerate(models()[:folds])]
+        return frame.select("label", F.coalesce(*own).alias("score"))
 
     def refit():
-        params = fit_standardizer(data(), feats)
-        model = make(data()).fit(assemble(apply_standardizer(with_class_weights(data()), params), feats))
-        rows = [(i, f, *params[f], float(c)) for i, (f, c) in enumerate(zip(feats, model.coefficients, strict=True))]
-        return data().sparkSession.createDataFrame(
-            [*rows, (len(feats), "(intercept)", 0.0, 1.0, float(model.intercept))],
+        m = models()[-1]
+        rows = [(i, *r) for i, r in enumerate(zip(feats, m.means, m.stds, m.coefficients, strict=True))]
+        return frame.sparkSession.createDataFrame(
+            [*rows, (len(feats), "(intercept)", 0.0, 1.0, m.intercept)],
             "place int, feature string, mean double, std double, coefficient double")
 
-    try:
-        scored = keep("mortality-scores", scores)
-        coefficients = keep("mortality-model", refit)
-    finally:
-        for frame_held in held:
-            frame_held.unpersist()
+    scored = keep("mortality-scores", scores)
+    coefficients = keep("mortality-model", refit)
     scored = scored.withColumn("prediction", (F.col("score") >= PROBABILITY_THRESHOLD).cast("int"))
     report = local_copy(classification_report(scored))
     rates = positive_rate(frame).first()

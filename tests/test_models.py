@@ -310,3 +310,40 @@ def test_bootstraps_of_cells_are_poisson(spark):
     draws = np.array(next(iter(forest._draws(7, 3)([batch]))).column(2).to_pylist())
     assert draws.mean() == pytest.approx(50, abs=1) and draws.var() == pytest.approx(50, rel=0.1)
     assert abs(np.corrcoef(draws[:, 0], draws[:, 1])[0, 1]) < 0.1
+
+
+def test_models_side_by_side_are_those_of_mllib(spark, observations, monkeypatch):
+    """Each training part gives the coefficients of a fit of its own; a step is one scan of all."""
+    from pyspark.ml.classification import LogisticRegression
+    from strata.operators import logistic
+    feats = ["YearStart", "disease_duration", "value_normalized", "topic_Cancer", "constant"]
+    frame = ML.feature_frame(observations.withColumn("constant", F.lit(3.0)), feats, "is_mortality",
+                             [(F.col("LocationAbbr_enc") % 3).alias("fold")]).cache()
+    scans, sums = [], logistic._sums
+    monkeypatch.setattr(logistic, "_sums", lambda *a: scans.append(a) or sums(*a))
+    parts = [[1, 2], [0, 2], [0, 1, 2]]
+    found = logistic.fit(frame, feats, "fold", parts, 100)
+    assert len(scans) < 12
+    for part, model in zip(parts, found, strict=True):
+        train = ML.with_class_weights(frame.filter(F.col("fold").isin(part)))
+        params = ML.fit_standardizer(train, feats)
+        assert list(model.means) == pytest.approx([params[f][0] for f in feats])
+        assert list(model.stds) == pytest.approx([params[f][1] for f in feats])
+        n = train.count()
+        mllib = LogisticRegression(weightCol="weight", regParam=1.0 / n, standardization=False, tol=1e-10).fit(
+            ML.assemble(ML.apply_standardizer(train, params), feats))
+        assert list(model.coefficients) == pytest.approx(list(mllib.coefficients), abs=1e-4)
+        assert model.intercept == pytest.approx(mllib.intercept, abs=1e-4)
+    score = frame.select(found[2].score().alias("s")).agg(F.min("s"), F.max("s")).first()
+    assert 0 < score[0] < score[1] < 1
+
+
+def test_model_of_one_class_and_of_rows_that_separate(spark):
+    from strata.operators import logistic
+    rows = [(float(i), int(i >= 20), 0) for i in range(40)] + [(1.0, 1, 1)] * 3
+    frame = spark.createDataFrame(rows, "x double, label int, fold int")
+    apart, one = logistic.fit(frame, ["x"], "fold", [[0], [1]], 100)
+    assert frame.filter("fold = 0").filter((apart.score() >= 0.5) != (F.col("label") == 1)).count() == 0
+    assert [r[0] for r in frame.select(one.score()).distinct().collect()] == [1.0]
+    with pytest.raises(ValueError):
+        logistic.fit(frame, ["x"], "fold", [[7]], 100)
