@@ -10,14 +10,12 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.constants import LOGISTIC_MAX_ITER, MORTALITY_FEATURES, PROBABILITY_THRESHOLD
 from strata.functions.numeric import exact_sum, ordered_mean_of, ordered_sum_of
-from strata.operators import ml
+from strata.operators import logistic, ml
 from strata.operators.priority import materialize
 from strata.operators.quality import SEGMENT
 
@@ -103,30 +101,28 @@ def rolling_models(df: DataFrame, features=MORTALITY_FEATURES, label: str = "is_
     spark = df.sparkSession
     feats = ml.available_features(df, features)
     rows = df.filter(F.col("YearStart").isNotNull())
-    frame = ml.kept(keep("rolling-frame", lambda: ml.feature_frame(rows, feats, label, [F.col("YearStart").alias("_year")])))
-    try:
-        sizes = {r["_year"]: (r["n"], r["pos"]) for r in frame.groupBy("_year").agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("pos")).collect()}
-
-        def one(cutoff):
-            before, after = ([sizes[y] for y in sizes if (y < cutoff) == early] for early in (True, False))
-            n = [sum(s[0] for s in part) for part in (before, after)]
-            if any(sum(s[1] for s in part) in (0, total) for part, total in zip((before, after), n, strict=True)):
-                return cutoff, *n, None, None, None
-            train, test = frame.filter(F.col("_year") < cutoff), frame.filter(F.col("_year") >= cutoff)
-            model = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / n[0],
-                                       elasticNetParam=0.0, standardization=False, maxIter=max_iter, family="binomial")
-            pred = ml.fold_fit_predict(ml.with_class_weights(train), test, feats, lambda _: model, True)[1]
-            scored = keep(f"rolling-{cutoff}", lambda: pred.select("label", vector_to_array("probability")[1].alias("score")))
-            scored = scored.withColumn("prediction", (F.col("score") >= PROBABILITY_THRESHOLD).cast("int"))
-            report = ml.local_copy(ml.classification_report(scored))
-            return (cutoff, *n, ml.roc_auc(scored), ml.report_metric(report, "accuracy", "precision"),
-                    ml.report_metric(report, "macro avg", "f1_score"))
-
-        with ThreadPoolExecutor(max_workers=PARALLEL_ORIGINS) as pool:
-            found = list(pool.map(inheritable_thread_target(spark)(one), sorted(sizes)[1:]))
-    finally:
-        frame.unpersist()
+    frame = keep("rolling-frame", lambda: ml.feature_frame(rows, feats, label, [F.col("YearStart").alias("_year")]))
+    sizes = {r["_year"]: (r["n"], r["pos"]) for r in frame.groupBy("_year").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("pos")).collect()}
+    cutoffs = sorted(sizes)[1:]
+    # The models of all cutoffs side by side: a step of all of them is one scan.
+    models = dict(zip(cutoffs, logistic.fit(frame, feats, "_year", [[y for y in sizes if y < c] for c in cutoffs], max_iter),
+                      strict=True)) if cutoffs else {}
+
+    def one(cutoff):
+        before, after = ([sizes[y] for y in sizes if (y < cutoff) == early] for early in (True, False))
+        n = [sum(s[0] for s in part) for part in (before, after)]
+        if any(sum(s[1] for s in part) in (0, total) for part, total in zip((before, after), n, strict=True)):
+            return cutoff, *n, None, None, None
+        test = frame.filter(F.col("_year") >= cutoff)
+        scored = keep(f"rolling-{cutoff}", lambda: test.select("label", models[cutoff].score().alias("score")))
+        scored = scored.withColumn("prediction", (F.col("score") >= PROBABILITY_THRESHOLD).cast("int"))
+        report = ml.local_copy(ml.classification_report(scored))
+        return (cutoff, *n, ml.roc_auc(scored), ml.report_metric(report, "accuracy", "precision"),
+                ml.report_metric(report, "macro avg", "f1_score"))
+
+    with ThreadPoolExecutor(max_workers=PARALLEL_ORIGINS) as pool:
+        found = list(pool.map(inheritable_thread_target(spark)(one), cutoffs))
     return spark.createDataFrame(found, "cutoff int, train_rows long, test_rows long, auc double, accuracy double, macro_f1 double")
 
 
