@@ -8,12 +8,23 @@ from pyspark.sql import functions as F
 from strata.session import scratch_path
 
 
+#: Has Spark remove the shuffle files of a query when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: the lineage
-    ends there, and a lost executor costs no recomputation before it."""
+    ends there, and a lost executor costs no recomputation before it. Nothing
+    reads the shuffles of the write again, so their files go when it ends and
+    not when the driver next collects garbage."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -173,3 +173,25 @@ def test_every_passage_holds_a_band():
             keys.append(set(paradup.bands(np.concatenate([before, shared, after]),
                                           np.array([len(before) + 51 + len(after)]))[0].tolist()))
         assert keys[0] & keys[1]
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    """A table that is written ends its shuffles: they take no disk while later steps run."""
+    import os
+    import time
+
+    from strata.llm.components import DROP_SHUFFLES, stored
+    status = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+
+    def files():
+        roots = [d.toString() for d in status.diskBlockManager().localDirs()]
+        return {os.path.join(at, f) for r in roots for at, _, fs in os.walk(r) for f in fs if f.startswith("shuffle_")}
+    before = files()
+    rows = spark.range(20000).selectExpr("id % 977 AS k", "id").groupBy("k").count()
+    table = stored(rows, "few")
+    for _ in range(50):  # files are removed in the background
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before and table.count() == 977
+    assert spark.conf.get(DROP_SHUFFLES) == "false"
