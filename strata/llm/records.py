@@ -18,10 +18,12 @@ that is run again replaces its file whole.
 The index is a Parquet table ``(shard, doc_id, offset, length, n_tokens)``: a
 reader that shuffles picks frames by offset without scanning the shards.
 
-Texts are split at white space and each distinct piece, known by a 64-bit hash,
-is encoded once per memo; the tokenizer's pre-tokenizer cuts at white space
-anyway, so the ids are those of the whole text. Ids are gathered for many texts
-at once.
+Texts are split at white space. Where the tokenizer's further cuts are known
+(``_units``), pieces of Latin letters, digits and signs are split into its words,
+folded as it folds them; other pieces stay whole. Each distinct word or piece,
+known by a 64-bit hash, is encoded once per memo; the tokenizer cuts at these
+places anyway, so the ids are those of the whole text. Ids are gathered for many
+texts at once.
 
 Defined cases: null texts count as empty and hold the end id alone; a text longer
 than ``CHUNK`` is encoded in parts; rows that repeat are records of their own;
@@ -34,6 +36,7 @@ import json
 import os
 import re
 import struct
+import unicodedata
 import zlib
 
 import numpy as np
@@ -41,14 +44,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.words import hash_words, parts, released, text_buffers
+from strata.llm.words import SPACE, STRETCH, hash_spans, parts, released, text_buffers
 
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Pieces of text whose ids a worker remembers before it starts anew.
-MEMO = 400_000
+#: Words and pieces of text, and their ids, that a worker remembers before it
+#: starts anew, in arrays.
+MEMO, MEMO_IDS = 1_000_000, 16_000_000
 #: Bytes of text that are encoded together, and of text in a shard.
-CHUNK, SHARD_BYTES = 1 << 20, 1 << 25
+CHUNK, SHARD_BYTES = STRETCH, 1 << 25
 
 _HEAD = struct.Struct("<QI")
 _PAYLOAD = struct.Struct("<qBBI")
@@ -90,104 +94,194 @@ def token_ids(payload: bytes) -> tuple[int | None, np.ndarray]:
     return (None if null else doc_id), np.frombuffer(payload, f"<u{width}", n, _PAYLOAD.size)
 
 
-def _is_word(piece: str) -> bool:
-    """Latin letters only, which lower-case one by one and need no composing."""
-    return piece.isalpha() and (piece.isascii() or (max(piece) < "\u0250" and "\u0130" not in piece))
+#: A tokenizer whose cuts ``_units`` knows composes and lower-cases, cuts texts into
+#: runs of letters, single digits and runs of other characters, spells bytes as
+#: characters, and has added tokens only that begin with ``<|``.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+#: Kinds of bytes: white space, letters, digits, other ASCII, and what only the
+#: whole tokenizer judges (apostrophes, control characters, other alphabets).
+_GAP, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
+_KINDS = np.full(256, _ODD, dtype=np.uint8)
+_KINDS[33:127] = [_ODD if c == "'" else _LETTER if c.isalpha() else _DIGIT if c.isdigit() else _SIGN
+                  for c in map(chr, range(33, 127))]
+_KINDS[SPACE] = _GAP
+_PIECES = np.where(SPACE, _GAP, _ODD).astype(np.uint8)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Lower case of the Latin letters of two bytes that need no composing.
+_LATIN = np.zeros(1 << 11, dtype=np.uint16)
+for _c in map(chr, range(0x80, 0x250)):
+    if _c.isalpha() and len(_c.lower()) == 1 and ord(_c.lower()) < 1 << 11 and unicodedata.is_normalized("NFC", _c):
+        _LATIN[ord(_c)] = ord(_c.lower())
+#: The character that stands for each byte in such a vocabulary; blanks stay.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_HIDDEN = [b for b in range(256) if b not in _SHOWN]
+_SPELLED = "".join(" " if b == 32 else chr(b if b in _SHOWN else 256 + _HIDDEN.index(b)) for b in range(256))
+
+
+def _cuts_known(parts: dict) -> bool:
+    normalizer, cutter = parts["normalizer"] or {}, parts["pre_tokenizer"] or {}
+    steps = cutter.get("pretokenizers") or [{}]
+    return (normalizer.get("normalizers") == _NORMALIZER and len(steps) == 2 and not parts["model"].get("dropout")
+            and steps[0] == {"type": "Split", "pattern": {"Regex": _CUTS}, "behavior": "Removed", "invert": True}
+            and steps[1]["type"] == "ByteLevel" and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+            and all(t["content"].startswith("<|") and not t["normalized"] for t in parts["added_tokens"]))
+
+
+def _units(data: np.ndarray, offsets: np.ndarray, known: bool):
+    """What is encoded by itself in the texts ``data[offsets[i]:offsets[i + 1]]``:
+    their bytes, folded in words; hashes, starts and ends there, which ones are
+    whole pieces between white space, and how many each text has. Not ``known``:
+    all are whole pieces."""
+    raw = data[int(offsets[0]):int(offsets[-1])]
+    breaks = offsets - offsets[0]
+    kinds, folded = (_KINDS if known else _PIECES)[raw], raw
+    if known and len(raw):
+        folded = _LOWER[raw]
+        lead = np.flatnonzero((raw[:-1] >= 0xC2) & (raw[:-1] <= 0xC9))
+        follow = raw[lead + 1]
+        lower = _LATIN[(raw[lead].astype(np.int64) & 31) << 6 | follow & 63]
+        letter = (lower > 0) & (follow & 0xC0 == 0x80)
+        lead, lower = lead[letter], lower[letter]
+        kinds[lead] = kinds[lead + 1] = _LETTER
+        folded[lead], folded[lead + 1] = 0xC0 | lower >> 6, 0x80 | lower & 63
+        kinds[:-1][(raw[:-1] == ord("<")) & (raw[1:] == ord("|"))] = _ODD
+        odd = kinds == _ODD
+        if odd.any():
+            word = kinds != _GAP
+            first = word.copy()
+            first[1:] &= ~word[:-1]
+            inside = breaks[breaks < len(raw)]
+            first[inside] = word[inside]
+            piece = np.cumsum(first)
+            has = np.zeros(int(piece[-1]) + 1, dtype=bool)
+            has[piece[odd]] = True
+            odd = has[piece] & word
+            kinds[odd], folded[odd] = _ODD, raw[odd]
+    cut = np.ones(len(raw) + 1, dtype=bool)
+    cut[1:-1] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)
+    cut[breaks] = True
+    edges = np.flatnonzero(cut)
+    starts, ends = edges[:-1], edges[1:]
+    full = kinds[starts] != _GAP
+    starts, ends = starts[full], ends[full]
+    counts = np.diff(np.searchsorted(starts, breaks))
+    return folded, hash_spans(folded, starts, ends), starts, ends, kinds[starts] == _ODD, counts
+
+
+class _Places:
+    """Numbers of 64-bit hashes, in order of arrival. Open addressing in arrays
+    looks up many at once."""
+
+    def __init__(self):
+        self._empty(1 << 14)
+
+    def _empty(self, size: int) -> None:
+        self.n = 0
+        self.keys, self.numbers = np.zeros(size, dtype=np.uint64), np.full(size, -1, dtype=np.int32)
+
+    def __len__(self) -> int:
+        return self.n
+
+    def _first(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(len(self.keys) - 1)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Their numbers, -1 for unknown ones."""
+        at = self._first(hashes)
+        found = self.numbers[at]
+        other = np.flatnonzero((found >= 0) & (self.keys[at] != hashes))
+        while len(other):
+            at[other] = (at[other] + 1) & (len(self.keys) - 1)
+            found[other] = self.numbers[at[other]]
+            other = other[(found[other] >= 0) & (self.keys[at[other]] != hashes[other])]
+        return found
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Number distinct unknown hashes."""
+        if 2 * (self.n + len(hashes)) > len(self.keys):
+            filled = self.numbers >= 0
+            old = self.keys[filled][np.argsort(self.numbers[filled])]
+            self._empty(1 << (2 * (self.n + len(hashes))).bit_length())
+            self.add(old)
+        at, numbers = self._first(hashes), np.arange(self.n, self.n + len(hashes), dtype=np.int32)
+        left = np.arange(len(hashes))
+        while len(left):
+            free = left[self.numbers[at[left]] < 0]
+            self.numbers[at[free]] = numbers[free]
+            placed = self.numbers[at[left]] == numbers[left]
+            self.keys[at[left[placed]]] = hashes[left[placed]]
+            left = left[~placed]
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+        self.n += len(hashes)
 
 
 class _Encoder:
-    """Whole texts to packed ids, through a memo of white-space pieces."""
+    """Whole texts to packed ids, through a memo of words and pieces."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.known = _cuts_known(json.loads(self.tokenizer.to_str()))
         self.forget()
-        # The same model without normalising and splitting, for lower-case words
-        # of letters: a word's last token is told by its suffix, so many words
-        # go through one call. Only for tokenizers that lower-case and mark ends.
-        parts = json.loads(self.tokenizer.to_str())
-        self.words = None
-        suffix = parts["model"].get("end_of_word_suffix")
-        if suffix and {"type": "Lowercase"} in ((parts["normalizer"] or {}).get("normalizers") or []):
-            self.words = Tokenizer.from_file(path)
-            self.words.normalizer = normalizers.Sequence([])
-            self.words.pre_tokenizer = pre_tokenizers.Sequence(
-                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-            tokens = self.tokenizer.get_vocab(with_added_tokens=True)
-            self.ends = np.zeros(max(tokens.values()) + 1, dtype=bool)
-            self.ends[[i for token, i in tokens.items() if token.endswith(suffix)]] = True
-        self.marks = {m: self._whole([m])[0] for m in ".,"}
-
-    def _whole(self, pieces: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(f.ids, dtype=kind).tobytes() for f in found]
-
-    def _many(self, words: list[str]) -> list[bytes]:
-        """Packed ids of lower-case words, all in one call."""
-        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids,
-                       dtype=f"<u{self.width}")
-        stops = (np.flatnonzero(self.ends[ids]) + 1) * self.width
-        if len(stops) != len(words):
-            return self._whole(words)
-        data, stops = ids.tobytes(), stops.tolist()
-        return [data[a:b] for a, b in zip([0, *stops], stops)]
-
-    def encoded(self, pieces: list[str]) -> list[bytes]:
-        """Packed ids of pieces: words of letters, such words before one full
-        stop or comma, and the rest through the whole tokenizer."""
-        found: dict[str, bytes] = {}
-        if self.words:
-            plain = [p for p in pieces if _is_word(p)]
-            ended = [p for p in pieces if p[-1] in self.marks and _is_word(p[:-1])]
-            cores = [p.lower() for p in plain] + [p[:-1].lower() for p in ended]
-            ids = self._many(cores) if cores else []
-            found.update(zip(plain, ids))
-            for piece, packed in zip(ended, ids[len(plain):], strict=True):
-                found[piece] = packed + self.marks[piece[-1]]
-        rest = [p for p in pieces if p not in found]
-        found.update(zip(rest, self._whole(rest), strict=True))
-        return [found[p] for p in pieces]
-
-    def ids(self, data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces one after another, and how many each has."""
-        if self.known > MEMO:
+
+    def encoded(self, folded: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                whole: np.ndarray) -> tuple[list[int], list[int]]:
+        """Ids of the units and where each one's end. Words go to the tokenizer's
+        model, which is what it gives them to; whole pieces through all of it."""
+        text = folded.tobytes()
+        units = [text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        pieces = [u.decode() for u, w in zip(units, whole.tolist(), strict=True) if w]
+        words = [u for u, w in zip(units, whole.tolist(), strict=True) if not w]
+        ids, stops, tokenize = [], [], self.tokenizer.model.tokenize
+        for word in b" ".join(words).decode("latin-1").translate(_SPELLED).split(" ") if words else []:
+            ids += [token.id for token in tokenize(word)]
+            stops.append(len(ids))
+        for found in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
+            ids += found.ids
+            stops.append(len(ids))
+        return ids, stops
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts ``data[offsets[i]:offsets[i + 1]]`` one after another,
+        and how many each has."""
+        if self.places.n > MEMO or self.stops[self.places.n] > MEMO_IDS:
             self.forget()
-        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        keys, places = distinct.tolist(), self.places
-        new = [i for i, k in enumerate(keys) if k not in places]
-        if new:
-            at = first[new]
-            pieces = [data[a:b].tobytes().decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-            packed = self.encoded(pieces)
-            sizes = np.array([len(p) for p in packed], dtype=np.int64) // self.width
-            begin, stop = self.known, self.known + len(new)
-            self._reserve(stop, self.used + int(sizes.sum()))
-            self.flat[self.used:self.used + int(sizes.sum())] = np.frombuffer(b"".join(packed), dtype=self.flat.dtype)
-            self.sizes[begin:stop] = sizes
-            self.begins[begin:stop] = self.used + np.cumsum(sizes) - sizes
-            self.used += int(sizes.sum())
-            self.known = stop
-            places.update(zip([keys[i] for i in new], range(begin, stop), strict=True))
-        rows = np.fromiter(map(places.__getitem__, keys), dtype=np.int64, count=len(keys))[back]
-        sizes = self.sizes[rows]
-        shift = np.repeat(self.begins[rows] - (np.cumsum(sizes) - sizes), sizes)
-        return self.flat[shift + np.arange(len(shift))], sizes
+        folded, hashes, starts, ends, whole, counts = _units(data, offsets, self.known)
+        rows = self.places.find(hashes)
+        missing = np.flatnonzero(rows < 0)
+        if len(missing):
+            new, first = np.unique(hashes[missing], return_index=True)
+            at = missing[first]
+            order = np.argsort(whole[at], kind="stable")  # words first, as ``encoded`` gives them
+            new, at = new[order], at[order]
+            self._remember(new, *self.encoded(folded, starts[at], ends[at], whole[at]))
+            rows[missing] = self.places.find(hashes[missing])
+        begins = self.stops[rows]
+        sizes = self.stops[rows + 1] - begins
+        until = np.concatenate([[0], np.cumsum(sizes)])
+        shift = np.repeat(begins - until[:-1], sizes)
+        edges = until[np.concatenate([[0], np.cumsum(counts)])]
+        return self.flat[shift + np.arange(len(shift))], np.diff(edges)
 
     def forget(self) -> None:
-        self.places: dict[int, int] = {}
-        self.known = self.used = 0
-        self.begins = np.zeros(1 << 12, dtype=np.int64)
-        self.sizes = np.zeros(1 << 12, dtype=np.int64)
+        self.places = _Places()
+        self.stops = np.zeros(1 << 12, dtype=np.int64)
         self.flat = np.zeros(1 << 14, dtype=f"<u{self.width}")
 
-    def _reserve(self, pieces: int, ids: int) -> None:
-        if pieces > len(self.sizes):
-            self.begins, self.sizes = (np.resize(x, 2 * pieces) for x in (self.begins, self.sizes))
-        if ids > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * ids)
+    def _remember(self, hashes: np.ndarray, ids: list[int], stops: list[int]) -> None:
+        n, used = self.places.n, int(self.stops[self.places.n])
+        self.places.add(hashes)
+        if self.places.n >= len(self.stops):
+            self.stops = np.resize(self.stops, 2 * self.places.n)
+        if used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * (used + len(ids)))
+        self.stops[n + 1:self.places.n + 1] = np.array(stops, dtype=np.int64) + used
+        self.flat[used:used + len(ids)] = ids
 
 
 _encoders: dict[str, _Encoder] = {}
@@ -216,10 +310,9 @@ def _encoded(path: str, batches):
 
         for first, group in parts(data, offsets, CHUNK):
             close(first)
-            hashes, starts, ends, counts = hash_words(data, group, lower=False)
-            ids, sizes = encoder.ids(data, hashes, starts, ends) if len(hashes) else (np.zeros(0, dtype=kind), hashes)
-            edges = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int64)
-            for k in range(len(counts)):
+            ids, sizes = encoder.ids(data, group)
+            edges = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+            for k in range(len(sizes)):
                 if k:
                     close(first + k)
                 open_parts.append(ids[edges[k]:edges[k + 1]].tobytes())

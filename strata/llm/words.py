@@ -57,6 +57,14 @@ def word_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _BYTES) -> np.ndarray:
+    """Hashes of the spans ``data[starts[i]:ends[i]]``."""
+    up, down = word_powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=_U)
+    np.cumsum(table[data] * up[: len(data)], out=sums[1:])
+    return mix64((sums[ends] - sums[starts]) * down[starts])
+
+
 def _stretch(data: np.ndarray, breaks: np.ndarray, table: np.ndarray, separators: np.ndarray):
     """Hashes, starts and ends of the words of one stretch. ``breaks``:
     positions where a text begins, so no word runs over them."""
@@ -71,10 +79,7 @@ def _stretch(data: np.ndarray, breaks: np.ndarray, table: np.ndarray, separators
     last[before] = word[before]
     starts = np.flatnonzero(first)
     ends = np.flatnonzero(last) + 1
-    up, down = word_powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=_U)
-    np.cumsum(table[data] * up[: len(data)], out=sums[1:])
-    return mix64((sums[ends] - sums[starts]) * down[starts]), starts, ends
+    return hash_spans(data, starts, ends, table), starts, ends
 
 
 def _cut(data: np.ndarray, at: int, end: int, stop: int) -> int:

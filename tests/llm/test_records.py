@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -69,3 +70,57 @@ def test_null_ids_and_empty_table(spark):
     path = scratch_path(spark, "test-records")
     records.write_records(frame(spark, []), path, records.tokenizer_path())
     assert records.read_records(spark, path).count() == 0
+
+
+def packed(texts):
+    """Ids of each text as the tasks give them, and the worker's encoder."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    path = records.tokenizer_path()
+    out = [f for b in records._encoded(path, [batch]) for f in b.column(0).to_pylist()]
+    return [records.token_ids(p)[1].tolist() for f in out for _, _, p in records.frames(f + b"\n")], records._encoders[path]
+
+
+def plainly(texts):
+    tokenizer = Tokenizer.from_file(records.tokenizer_path())
+    return [tokenizer.encode(t, add_special_tokens=False).ids + [records.END_ID] for t in texts]
+
+
+def test_forms_of_a_word_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(records, "_encoders", {})
+    signs = [*".,=/\"", "!!", "###", ".%%%"]
+    texts = [" ".join(form + sign for form in ("élan", "Élan", "ÉLAN")) for sign in signs] + ["(élan) élan/Élan 2024 4202 20"]
+    found, encoder = packed(texts)
+    assert found == plainly(texts)
+    assert len(encoder.places) == 1 + len(signs) + 2 + 3  # the word, runs of signs with brackets, digits
+
+
+def test_odd_letters_and_signs(monkeypatch):
+    monkeypatch.setattr(records, "_encoders", {})
+    letters = [chr(c) for c in [*range(1, 0x600), *range(0x1E00, 0x1F00), 0x2028, 0x3000, 0x4E2D, 0xAC00, 0xFB01, 0x1F600, 0x10400]]
+    rng = random.Random(7)
+    common = [*"abzAZ09 .,'!#<|> \n", "'s", "'LL", "don't", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "e\u0301", "É", "ß", "İ"]
+    texts = [c + "a" + c + "B " + c for c in letters]
+    texts += ["".join(rng.choice(common if rng.random() < 0.7 else letters) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    found, _ = packed(texts)
+    assert [t for t, a, b in zip(texts, found, plainly(texts), strict=True) if a != b] == []
+
+
+def test_memo_that_starts_anew_and_long_pieces(monkeypatch):
+    monkeypatch.setattr(records, "_encoders", {})
+    monkeypatch.setattr(records, "MEMO", 50)
+    monkeypatch.setattr(records, "CHUNK", 2000)
+    rng = random.Random(3)
+    words = ["".join(rng.choice("aebtnséü中'") for _ in range(rng.randrange(1, 9))) for _ in range(2000)]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(900))) for _ in range(30)] + ["", "aé1" * 3000, "x" * 5000, "中" * 2000 + " end"]
+    found, _ = packed(texts)
+    assert found == plainly(texts)
+
+
+def test_places_number_hashes_by_arrival():
+    places = records._Places()
+    hashes = np.concatenate([np.arange(40_000, dtype=np.uint64) * np.uint64(1 << 14), np.arange(1, 40_000, 7, dtype=np.uint64)])
+    hashes = np.unique(hashes)[::-1][:30_000].copy()
+    for part in np.array_split(hashes, 9):
+        assert (places.find(part) == -1).all()
+        places.add(part)
+    assert places.find(hashes).tolist() == list(range(len(hashes)))
