@@ -11,11 +11,14 @@ Rows are kept in partitions of ``ROWS_PER_PARTITION``. Statistics of a split are
 shuffled once per partition and node, so a small table in few partitions costs
 least; its blocks then run beside each other, until the cores are in use.
 
-Features of the risk model are years, codes and flags, so many rows are equal. Where
-at least ``ROWS_PER_CELL`` rows share a cell (:func:`cells`: features, label, number of rows),
-trees are grown over the cells, each from its own bootstrap. A bootstrap gives each
-row a Poisson(1) number, so the rows of a cell together have a Poisson(n) one: the trees
-are distributed as those over rows, and the fit no longer grows with the copies of a cell.
+Features of the risk model are years, codes and flags, so many rows are equal. Equal
+rows are a cell (:func:`cells`: features, label, number of rows), and trees are grown
+over the cells, each from its own bootstrap. A bootstrap gives each row a Poisson(1)
+number, so the rows of a cell together have a Poisson(n) one: the trees are distributed
+as those over rows, and the fit no longer grows with the copies of a cell. Up to
+``CELLS_PER_TASK`` cells, tasks grow whole trees (:mod:`strata.operators.trees`). Of more
+cells, every tree is a fit of its own where at least ``ROWS_PER_CELL`` rows share one, and
+blocks are fitted to the rows otherwise.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
+from strata.operators import trees as whole_trees
 from strata.session import ensure_checkpoint_dir
 
 TREES_PER_BLOCK = 38
@@ -41,6 +45,9 @@ ROWS_PER_PARTITION = 250_000
 PARALLEL_BLOCKS = 8
 CHECKPOINT_INTERVAL = 10
 ROWS_PER_CELL = 4
+#: Cells that a task holds, as codes, to grow whole trees; the driver sends them out.
+CELLS_PER_TASK = 250_000
+CLASSES_PER_TASK = 32
 PARALLEL_TREES = 12
 
 
@@ -48,7 +55,7 @@ PARALLEL_TREES = 12
 class Forest:
     """Blocks of trees over a ``features`` vector; ``labels[i]`` names class ``i``."""
 
-    blocks: tuple[RandomForestClassificationModel, ...]
+    blocks: tuple[RandomForestClassificationModel, ...] | tuple[whole_trees.Block, ...]
     labels: tuple[str, ...]
 
     @property
@@ -67,6 +74,10 @@ class Forest:
     def scored(self, df: DataFrame, out: str = "prediction", probabilities: str = "probabilities") -> DataFrame:
         """``df`` with class probabilities (in the order of ``labels``) and the
         likeliest label, the first of equally likely ones."""
+        if isinstance(self.blocks[0], whole_trees.Block):
+            found = df.withColumn(probabilities, whole_trees.probabilities(
+                df.sparkSession, self.blocks, vector_to_array("features")))
+            return self._likeliest(found, out, probabilities)
         names = []
         for i, block in enumerate(self.blocks):
             names.append(f"_block{i}")
@@ -74,7 +85,9 @@ class Forest:
         share = [b.getNumTrees / self.trees for b in self.blocks]
         classes = [sum((vector_to_array(n)[k] * s for n, s in zip(names[1:], share[1:], strict=True)),
                        vector_to_array(names[0])[k] * share[0]) for k in range(len(self.labels))]
-        found = df.withColumn(probabilities, F.array(*classes)).drop(*names)
+        return self._likeliest(df.withColumn(probabilities, F.array(*classes)).drop(*names), out, probabilities)
+
+    def _likeliest(self, found: DataFrame, out: str, probabilities: str) -> DataFrame:
         best = F.array_position(probabilities, F.array_max(probabilities)).cast("int")
         return found.withColumn(out, F.element_at(F.array(*map(F.lit, self.labels)), best))
 
@@ -109,8 +122,9 @@ def cells(rows: DataFrame, features: list[str], folds: int = 0) -> DataFrame:
 
 
 def by_cells(n_rows: int, n_cells: int) -> bool:
-    """Whether trees are grown over cells: not where blocks take all rows in one partition."""
-    return n_rows > ROWS_PER_PARTITION and n_rows >= ROWS_PER_CELL * n_cells
+    """Whether trees are grown over cells: where a task holds them all, or where they are
+    few for their rows and blocks would not take all rows in one partition."""
+    return n_cells <= CELLS_PER_TASK or (n_rows > ROWS_PER_PARTITION and n_rows >= ROWS_PER_CELL * n_cells)
 
 
 def _draws(seed: int, trees: int):
@@ -140,15 +154,20 @@ def _joined(fits: list[RandomForestClassificationModel]) -> RandomForestClassifi
 def grown_over_cells(train: DataFrame, features: list[str], labels: list[str], trees: int, depth: int, seed: int,
                      n_cells: int) -> Forest:
     """:func:`grown` over cells (``features``, ``label_idx``, ``weight`` of a row, ``n``, ``cell``).
-    The bootstraps of a block of trees are drawn at once and held in memory with the cells."""
+    Where a task does not hold all cells, the bootstraps of a block of trees are drawn at
+    once and held in memory with the cells."""
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
+    sizes = [min(TREES_PER_BLOCK, trees - done) for done in range(0, trees, TREES_PER_BLOCK)]
+    if n_cells <= CELLS_PER_TASK and len(labels) <= CLASSES_PER_TASK:
+        found = whole_trees.forest_of(train, features, len(labels), trees, depth, seed)
+        ends = np.cumsum(sizes)
+        return Forest(tuple(whole_trees.Block(tuple(found[e - n:e])) for e, n in zip(ends, sizes, strict=True)), tuple(labels))
     parts = max(1, math.ceil(n_cells / ROWS_PER_PARTITION))
     # In one order: a run over the same rows draws the same bootstraps.
     train = train.repartition(parts, "cell").sortWithinPartitions("cell", "label_idx")
     with_draws = StructType([*train.schema.fields, StructField("draws", ArrayType(LongType()))])
     classes = F.col("label_idx").alias("label_idx", metadata=train.schema["label_idx"].metadata)
-    sizes = [min(TREES_PER_BLOCK, trees - done) for done in range(0, trees, TREES_PER_BLOCK)]
     base = RandomForestClassifier(
         featuresCol="features", labelCol="label_idx", weightCol="weight", numTrees=1, bootstrap=False, maxDepth=depth,
         featureSubsetStrategy="sqrt", impurity="gini", maxMemoryInMB=memory_mb(spark))

@@ -92,12 +92,12 @@ def class_weights(df: DataFrame, label: str = "label", count: str | None = None)
 
 
 def with_class_weights(df: DataFrame, label: str = "label", out: str = "weight", count: str | None = None) -> DataFrame:
-    """Attach M5 weights; the class table has k rows (checked), so it is broadcast."""
-    weights = class_weights(df, label, count)
-    k = weights.count()
-    if k > MAX_CLASSES:
-        raise ValueError(f"{k} classes exceed {MAX_CLASSES}")
-    return df.join(F.broadcast(weights.select(label, F.col("weight").alias(out))), label)
+    """Attach M5 weights; the class table has k rows (checked), counted once, so it is broadcast."""
+    weights = class_weights(df, label, count).select(label, F.col("weight").alias(out))
+    rows = weights.limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, weights.schema)), label)
 
 
 def with_folds(df: DataFrame, label: str = "label", folds: int = CV_FOLDS, seed: int = SEED,
@@ -419,7 +419,8 @@ def train_risk_classifier(df: DataFrame, features=RISK_FEATURES, folds: int = CV
 
     Folds run one after another, each written by ``keep`` when it is ready; the
     trees of a forest run beside each other (:mod:`strata.operators.forest`), over
-    cells of equal rows where these are few. Equal rows have one prediction, so the
+    cells of equal rows where these are few. Equal rows have one prediction: a fold's
+    different features are scored once each, spread over the cluster, and the
     predictions are ``(label, prediction, n)``, counted over cells.
     """
     from strata.operators.priority import materialize
@@ -433,7 +434,9 @@ def train_risk_classifier(df: DataFrame, features=RISK_FEATURES, folds: int = CV
     tiny = [r["label"] for r in tiny_classes(frame).collect()]
     held: list[DataFrame] = []
     models = {}
-    few = forest.by_cells(frame.count(), counts.count())
+    n_cells = counts.count()
+    few = forest.by_cells(frame.count(), n_cells)
+    parts_scored = max(spark.sparkContext.defaultParallelism, math.ceil(n_cells / forest.ROWS_PER_PARTITION))
 
     def rows(fold=None):
         """All rows, or those outside ``fold``; as cells where these are few."""
@@ -446,8 +449,11 @@ def train_risk_classifier(df: DataFrame, features=RISK_FEATURES, folds: int = CV
 
     def predicted(fold):
         model = fit_forest(rows(fold), feats, labels, trees, depth, seed)
-        own = assemble(counts.filter(F.col(f"n_{fold}") > 0).drop("n"), feats)
-        return model.scored(own).groupBy("label", "prediction").agg(F.sum(f"n_{fold}").alias("n"))
+        names = [F.col(f"`{f}`") for f in feats]
+        own = counts.filter(F.col(f"n_{fold}") > 0).repartition(parts_scored, *names).groupBy(*names).agg(
+            F.collect_list(F.struct("label", F.col(f"n_{fold}").alias("n"))).alias("own"))
+        each = model.scored(assemble(own, feats)).select("prediction", F.inline("own"))
+        return each.groupBy("label", "prediction").agg(F.sum("n").alias("n"))
 
     def refit():
         models["refit"] = fit_forest(rows(), feats, labels, trees, depth, seed)
