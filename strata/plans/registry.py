@@ -470,7 +470,7 @@ def m17(spark, sf_dir):
     from strata.sources.export import read_manifest
     path = scratch_path(spark, "training")
     names = ("state_clusters", "feature_importances", "model_summary")
-    MD.run(spark, _processed(spark, sf_dir), path)
+    MD.run(spark, _processed_once(spark, sf_dir), path)
     return read_manifest(spark, {n: f"{path}/{n}" for n in names})
 
 

@@ -151,3 +151,22 @@ def test_scored_folds_count_every_row(spark):
     got = ML.train_risk_classifier(frame, features=FEATS, folds=4, trees=5, depth=5)
     counts = {r.label: r.n for r in got["predictions"].groupBy("label").agg(F.sum("n").alias("n")).collect()}
     assert counts == {k: sum(r[3] == k for r in rows) for k in ("Low", "High", "Mid")}
+
+
+@pytest.mark.parametrize("query", ["m12_risk_classifier", "m17_training_run"])
+def test_raw_observations_are_joined_once(spark, monkeypatch, query):
+    """What the run reads again and again is the written table, not the joins over the driver tables."""
+    from strata.plans import registry
+
+    class Reached(RuntimeError):
+        pass
+
+    def seen(*args, **_):
+        raise Reached([f for a in args if hasattr(a, "inputFiles") for f in a.inputFiles()])
+
+    monkeypatch.setattr(registry.ML, "train_risk_classifier", seen)
+    monkeypatch.setattr(registry.MD, "run", seen)
+    with pytest.raises(Reached) as reached:
+        registry.QUERIES[query](spark, "/root/testdata/sf0.001")
+    files = reached.value.args[0]
+    assert files and not [f for f in files if "testdata" in f]
